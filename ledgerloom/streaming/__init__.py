@@ -1,0 +1,8 @@
+"""Streaming.
+
+The workload this library rebuilds is a bounded batch load: three raw sheets
+in, nine tables out, then a reconciliation. It has no stream, watermark,
+event-time window or per-key state, so there is no streaming operator here;
+an incremental feed is served by re-running the batch pipeline into a new run
+folder and publishing it (``plans.publish``).
+"""
