@@ -35,7 +35,7 @@ def parse_locale_number(c: ColumnOrName, thousands: str = " ", decimal: str = ",
     text = F.regexp_replace(_col(c).cast("string"), f"[{thousands} ]", "")
     if decimal != ".":
         text = F.replace(text, F.lit(decimal), F.lit("."))
-    return text.cast("double") if strict else F.try_cast(text, "double")
+    return text.cast("double") if strict else text.try_cast("double")
 
 
 def postal_normalize(c: ColumnOrName, lenient: bool = False) -> Column:
@@ -47,7 +47,7 @@ def postal_normalize(c: ColumnOrName, lenient: bool = False) -> Column:
     number raises, or gives NULL when ``lenient``.
     """
     c = _col(c)
-    as_num = F.try_cast(c, "double") if lenient else c.cast("double")
+    as_num = c.try_cast("double") if lenient else c.cast("double")
     digits = F.coalesce(as_num, F.lit(0.0)).cast("bigint").cast("string")
     if lenient:
         digits = F.when(c.isNull() | as_num.isNotNull(), digits)
@@ -66,7 +66,7 @@ def parse_timestamp(c: ColumnOrName, fmt: str | None = None, lenient: bool = Fal
     """Datetime-like text (or timestamp) → zone-less timestamp."""
     c = _col(c)
     if fmt is None:
-        return F.try_cast(c, "timestamp_ntz") if lenient else c.cast("timestamp_ntz")
+        return c.try_cast("timestamp_ntz") if lenient else c.cast("timestamp_ntz")
     if lenient:
         return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
     return F.to_timestamp_ntz(c, F.lit(fmt))

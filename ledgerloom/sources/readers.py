@@ -58,7 +58,7 @@ def conform(df: DataFrame, schema: T.StructType, locale_numbers: bool = False,
         elif strict:
             out = c.cast(f.dataType)
         else:
-            out = F.try_cast(c, f.dataType.simpleString())
+            out = c.try_cast(f.dataType)
         cols.append(out.alias(f.name))
     return df.select(*cols)
 
