@@ -22,15 +22,19 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
-def sized_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim``.
+def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows.
 
     The count reads at most ``max_rows + 1`` rows; dimensions come from staged
     Parquet, so this is cheap.
     """
     limit = broadcast_limit(dim) if max_rows is None else max_rows
-    n = dim.limit(limit + 1).count()
-    return F.broadcast(dim) if n <= limit else dim
+    return dim.limit(limit + 1).count() <= limit
+
+
+def sized_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim``."""
+    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 
 
 @dataclass(frozen=True)
@@ -43,40 +47,43 @@ class Lookup:
     broadcast_rows: int | None = None
 
 
+def _join(left: DataFrame, lk: Lookup, right: DataFrame) -> DataFrame:
+    left_keys = lk.left_keys or lk.keys
+    cond: Column | None = None
+    for lkey, dkey in zip(left_keys, lk.keys):
+        term = left[lkey] == right[f"_lk_{dkey}"]
+        cond = term if cond is None else cond & term
+    return left.join(right, cond, "left").drop(*[f"_lk_{k}" for k in lk.keys])
+
+
+def _right(lk: Lookup) -> DataFrame:
+    return lk.dim.select(*[F.col(k).alias(f"_lk_{k}") for k in lk.keys], *lk.take)
+
+
 def lookup(left: DataFrame, lk: Lookup) -> DataFrame:
     """LEFT JOIN ``lk.dim`` on its keys; adds the ``take`` columns.
 
     Plain SQL equality: a NULL key matches nothing and yields NULL ids. A key
     present twice in the dimension fans out (see ``check_lookup_unique``).
     """
-    left_keys = lk.left_keys or lk.keys
-    renamed = lk.dim.select(*[F.col(k).alias(f"_lk_{k}") for k in lk.keys], *lk.take)
-    right = sized_broadcast(renamed, lk.broadcast_rows)
-    cond: Column | None = None
-    for lkey, dkey in zip(left_keys, lk.keys):
-        term = left[lkey] == right[f"_lk_{dkey}"]
-        cond = term if cond is None else cond & term
-    joined = left.join(right, cond, "left")
-    return joined.drop(*[f"_lk_{k}" for k in lk.keys])
+    return _join(left, lk, sized_broadcast(_right(lk), lk.broadcast_rows))
 
 
-def lookup_distinct(pre: DataFrame, lookups: Sequence[Lookup], out: Sequence[str]) -> DataFrame:
-    """DISTINCT over ``out`` of ``pre`` LEFT JOIN each lookup, for a ``pre`` that
-    is already distinct.
+def lookup_distinct(raw: DataFrame, lookups: Sequence[Lookup], out: Sequence[str],
+                    pre: Sequence[str | Column] | None = None) -> DataFrame:
+    """SELECT DISTINCT ``out`` FROM ``raw`` LEFT JOIN each lookup.
 
-    Rows whose lookups all matched are unique already: every surrogate id
-    belongs to exactly one natural key, so distinct inputs give distinct
-    outputs. Only rows with an unmatched lookup (NULL id) can collapse into one
-    another; only those pass through a second, small DISTINCT. This saves a
-    full shuffle of the fact table compared with DISTINCT after the joins.
+    When every dimension passes the broadcast size check the joins run on the
+    map side at raw grain and the only shuffle is the DISTINCT itself, whose
+    partial aggregation collapses repeated rows before the exchange. When one
+    does not, ``raw`` is first reduced to its distinct ``pre`` columns so the
+    shuffled joins (split by adaptive execution on a hot key) move as few rows
+    as possible; the DISTINCT after the joins keeps the result exact, since
+    two raw rows with unmatched keys can meet in one output row.
     """
-    joined = pre
-    for lk in lookups:
-        joined = lookup(joined, lk)
-    ids = [c for lk in lookups for c in lk.take]
-    all_found = F.lit(True)
-    for c in ids:
-        all_found = all_found & F.col(c).isNotNull()
-    complete = joined.filter(all_found).select(*out)
-    partial = joined.filter(~all_found).select(*out).distinct()
-    return complete.unionByName(partial)
+    rights = [_right(lk) for lk in lookups]
+    small = [fits_broadcast(r, lk.broadcast_rows) for r, lk in zip(rights, lookups)]
+    joined = raw if all(small) or pre is None else raw.select(*pre).distinct()
+    for lk, r, fits in zip(lookups, rights, small):
+        joined = _join(joined, lk, F.broadcast(r) if fits else r)
+    return joined.select(*out).distinct()

@@ -96,11 +96,14 @@ def product_lookup(product: DataFrame) -> Lookup:
 
 # -- facts ---------------------------------------------------------------------
 
+def with_postal_key(raw: DataFrame) -> DataFrame:
+    """Raw rows with the postal code in its stored text form (the lookup key)."""
+    return raw.withColumn("postal_code", postal_key(raw))
+
+
 def order_grain(raw: DataFrame) -> DataFrame:
     """Distinct raw rows at order grain (postal code in its stored text form)."""
-    cols = [postal_key(raw).alias("postal_code") if c == "postal_code" else F.col(c)
-            for c in ORDER_GRAIN]
-    return raw.select(*cols).distinct()
+    return with_postal_key(raw).select(*ORDER_GRAIN).distinct()
 
 
 def build_orders(raw: DataFrame, people: DataFrame, type_ship: DataFrame,
@@ -108,7 +111,8 @@ def build_orders(raw: DataFrame, people: DataFrame, type_ship: DataFrame,
     """DISTINCT (order, date, manager, customer, ship mode, address) rows."""
     out = ["order_id", "order_date", "people_id", "customer_id", "ship_id", "addresses_id"]
     lookups = [people_lookup(people), ship_lookup(type_ship), address_lookup(addresses)]
-    return conform_table(lookup_distinct(order_grain(raw), lookups, out), "orders")
+    rows = lookup_distinct(with_postal_key(raw), lookups, out, pre=ORDER_GRAIN)
+    return conform_table(rows, "orders")
 
 
 def sort_orders(orders: DataFrame) -> DataFrame:
@@ -120,8 +124,8 @@ def build_date_ship(raw: DataFrame, type_ship: DataFrame,
                     num_partitions: int | None = None) -> DataFrame:
     """One row per distinct (ship mode, order, ship date); split shipments give
     several rows per order."""
-    pre = raw.select("ship_mode", "order_id", "ship_date").distinct()
-    rows = lookup_distinct(pre, [ship_lookup(type_ship)], ["ship_id", "order_id", "ship_date"])
+    rows = lookup_distinct(raw, [ship_lookup(type_ship)], ["ship_id", "order_id", "ship_date"],
+                           pre=["ship_mode", "order_id", "ship_date"])
     return _keyed(rows, "date_ship", num_partitions)
 
 
@@ -136,7 +140,7 @@ def build_order_details(raw: DataFrame, product: DataFrame,
     store types. The cast comes after DISTINCT: lines that differ only beyond
     the fourth decimal both survive (and both store the same value)."""
     out = ["order_id", "product_code", "quantity", "sales", "discount", "profit"]
-    rows = lookup_distinct(line_grain(raw), [product_lookup(product)], out)
+    rows = lookup_distinct(raw, [product_lookup(product)], out, pre=LINE_GRAIN)
     keyed = dense_key(rows, TABLES["order_details"].key_order, "detail_id", num_partitions)
     return conform_table(keyed, "order_details")
 

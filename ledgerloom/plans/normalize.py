@@ -9,6 +9,7 @@ lineage, so a lost executor costs one table's tasks, not the whole chain.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -18,6 +19,16 @@ from ..schemas import RAW_ORDERS_SCHEMA, TABLE_ORDER, TABLES
 from . import entities as E
 
 
+# Tables each builder reads (FK parents that are only checked are not inputs).
+BUILD_INPUTS = {
+    "product": (), "addresses": (), "type_ship": (), "people": (), "customers": (),
+    "orders": ("people", "type_ship", "addresses"),
+    "date_ship": ("type_ship",),
+    "order_details": ("product",),
+    "returns": ("orders", "order_details"),
+}
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` and return the written table."""
     df.write.mode("overwrite").parquet(path)
@@ -76,9 +87,35 @@ class Normalizer:
             self.tables[name] = stage(built, self.path(name))
         return self.tables[name]
 
-    def build(self, names: Iterable[str] = TABLE_ORDER) -> dict[str, DataFrame]:
+    def build(self, names: Iterable[str] = TABLE_ORDER, parallel: bool = True) -> dict[str, DataFrame]:
+        """Build ``names`` and their parents in dependency waves.
+
+        Tables of one wave do not depend on each other; with ``parallel`` their
+        Spark jobs are submitted from separate threads and share the cluster,
+        instead of queuing small dimension builds one after another.
+        """
+        wanted: list[str] = []
+
+        def need(name: str) -> None:
+            for parent in BUILD_INPUTS[name]:
+                need(parent)
+            if name not in wanted:
+                wanted.append(name)
+
         for name in names:
-            self.table(name)
+            need(name)
+        if any(n not in self.tables for n in wanted if n != "people"):
+            self.raw_orders  # stage the shared input once, before the waves
+        pending = [n for n in TABLE_ORDER if n in wanted and n not in self.tables]
+        while pending:
+            wave = [n for n in pending if all(p in self.tables for p in BUILD_INPUTS[n])]
+            if parallel and len(wave) > 1:
+                with ThreadPoolExecutor(max_workers=len(wave)) as pool:
+                    list(pool.map(self.table, wave))
+            else:
+                for n in wave:
+                    self.table(n)
+            pending = [n for n in pending if n not in wave]
         return {name: self.tables[name] for name in TABLE_ORDER if name in self.tables}
 
 
