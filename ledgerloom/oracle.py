@@ -36,7 +36,7 @@ def _keyed_sql(name: str, source: str) -> str:
             f"AS {spec.surrogate}, {cols} FROM ({source}) src")
 
 
-_RAW_CTES = f"""
+_FIXTURE_CTES = f"""
 lines AS (
   SELECT * FROM lineitem
   UNION ALL
@@ -86,6 +86,10 @@ raw_returns_seq AS (
   SELECT 'Yes', 'O-none', CAST(-1 AS BIGINT)
 ),
 raw_returns AS (SELECT returned, order_id FROM raw_returns_seq),
+"""
+
+# Target tables from the raw views raw_orders, raw_people, raw_returns.
+TARGET_CTES = f"""
 t_product AS ({_keyed_sql("product", "SELECT DISTINCT product_id, category, sub_category, product_name FROM raw_orders")}),
 t_addresses AS ({_keyed_sql("addresses", f"SELECT DISTINCT country, city, state, {postal_key_sql('postal_code')} AS postal_code FROM raw_orders")}),
 t_type_ship AS ({_keyed_sql("type_ship", "SELECT DISTINCT ship_mode FROM raw_orders")}),
@@ -118,7 +122,13 @@ t_returns_unfiltered AS ({_keyed_sql("returns", "SELECT DISTINCT r.returned, od.
 
 
 def with_ctes(body: str) -> str:
-    return f"WITH {_RAW_CTES}\n{body}"
+    return f"WITH {_FIXTURE_CTES}\n{TARGET_CTES}\n{body}"
+
+
+def target_sql(table: str) -> str:
+    """SQL for one target table over existing raw_orders/raw_people/raw_returns
+    views (used by tests on hand-made raw rows)."""
+    return f"WITH {TARGET_CTES}\nSELECT * FROM t_{table}"
 
 
 def _na(col: str) -> str:
