@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lookups import sized_broadcast
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -27,20 +26,24 @@ def duplicate_key_count(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL ``fk`` has no parent (LEFT ANTI JOIN)."""
-    keys = sized_broadcast(parent.select(F.col(parent_key).alias("_ll_pk")))
+    keys = parent.select(F.col(parent_key).alias("_ll_pk"))
     return child.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_ll_pk"), "left_anti")
 
 
 def orphan_count(child: DataFrame, fk: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """One row: ``orphan_rows`` (non-NULL FK without parent), ``null_fk_rows``.
 
-    Child rows are first counted per FK value; only distinct values meet the
-    parent keys in the anti join. The NULL group never matches, so it survives
-    the anti join and is reported separately from the real orphans.
+    Child rows are first counted per FK value (partial aggregation before the
+    shuffle); only distinct values then meet the parent keys. The match is a
+    LEFT JOIN kept to unmatched keys rather than an anti join, which Catalyst
+    would move below the aggregation and so shuffle every child row. The NULL
+    group never matches and is reported apart from the real orphans. The join
+    strategy is left to the planner's size statistics and adaptive execution.
     """
     per_key = child.groupBy(F.col(fk).alias("_ll_fk")).agg(F.count(F.lit(1)).alias("_ll_n"))
-    keys = sized_broadcast(parent.select(F.col(parent_key).alias("_ll_pk")))
-    missing = per_key.join(keys, F.col("_ll_fk") == F.col("_ll_pk"), "left_anti")
+    keys = parent.select(F.col(parent_key).alias("_ll_pk"))
+    missing = per_key.join(keys, F.col("_ll_fk") == F.col("_ll_pk"), "left") \
+                     .filter(F.col("_ll_pk").isNull())
     is_null = F.col("_ll_fk").isNull()
     return missing.agg(
         F.coalesce(F.sum(F.when(~is_null, F.col("_ll_n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
