@@ -67,3 +67,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, never reused folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/ledgerloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(df):
+    """Round-robin ``df`` over the cluster's cores when it has fewer partitions.
+
+    A source made of a few large unsplittable units (one gzip CSV, one Parquet
+    row group) arrives as a handful of partitions and would keep every
+    following map-side step on that many tasks. Large inputs already have at
+    least as many partitions as cores, so for them this is a no-op and adds no
+    shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
-from ..config import stage_path
+from ..config import spread, stage_path
 from ..operators.dedup import keep_first
 from ..schemas import RAW_ORDERS_SCHEMA, TABLE_ORDER, TABLES
 from . import entities as E
@@ -59,7 +59,7 @@ class Normalizer:
     def raw_orders(self) -> DataFrame:
         if self._staged_raw is None:
             cols = [f.name for f in RAW_ORDERS_SCHEMA.fields if f.name in self._raw_orders.columns]
-            self._staged_raw = stage(self._raw_orders.select(*cols), f"{self.run_dir}/_raw_orders")
+            self._staged_raw = stage(spread(self._raw_orders.select(*cols)), f"{self.run_dir}/_raw_orders")
         return self._staged_raw
 
     def _builders(self) -> dict[str, Callable[[], DataFrame]]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import spread
 from ..schemas import RAW_ORDERS_SCHEMA
 
 
@@ -27,7 +28,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     hundredth order injected (the flat source has such duplicates)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
-    lines = li.unionByName(li.filter(F.col("l_orderkey") % 100 == 0))
+    lines = spread(li.unionByName(li.filter(F.col("l_orderkey") % 100 == 0)))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                    "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
