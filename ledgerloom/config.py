@@ -76,7 +76,8 @@ def spread(df):
     row group) arrives as a handful of partitions and would keep every
     following map-side step on that many tasks. Large inputs already have at
     least as many partitions as cores, so for them this is a no-op and adds no
-    shuffle.
+    shuffle. Meant for file scans: asking a plan that contains a shuffle for its
+    partition count would run that plan.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -15,6 +15,7 @@ key builder here gives the same numbers in two distributed passes:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,14 +38,16 @@ def _ordering(cols: Sequence[str | Column]) -> list[Column]:
 
 
 def dense_key(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
-              num_partitions: int | None = None, start: int = 1) -> DataFrame:
+              num_partitions: int | None = None, start: int = 1,
+              stage_dir: str | None = None) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... following ``order_by`` (ASC NULLS FIRST).
 
     Equal to ``row_number() over (order by ...)``; ties (if the ordering is not
     total) are numbered in an arbitrary but fixed order. ``num_partitions``
     fixes the range-partition count; by default the session's shuffle
     partitions are used and adaptive execution may coalesce neighbouring ranges,
-    which keeps them contiguous and in order.
+    which keeps them contiguous and in order. The positioned rows are written
+    under ``stage_dir`` (default: a fresh folder under the checkpoint root).
     """
     spark = df.sparkSession
     ordering = _ordering(order_by)
@@ -55,7 +58,8 @@ def dense_key(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
     positioned = (ranged.sortWithinPartitions(*ordering)
                   .withColumn(_PART, F.spark_partition_id())
                   .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
-    path = stage_path(spark, "dense-key")
+    path = (f"{stage_dir.rstrip('/')}/dense-key-{uuid.uuid4().hex}" if stage_dir
+            else stage_path(spark, "dense-key"))
     positioned.write.parquet(path)
     staged = spark.read.parquet(path)
 

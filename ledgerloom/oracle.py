@@ -208,14 +208,19 @@ def _fk_sql() -> str:
 
 
 def _totals_sql() -> str:
-    exp = ("SELECT CAST(sum(CAST(sales AS DECIMAL(12,4))) AS DECIMAL(18,4)) AS s, "
-           "CAST(sum(CAST(profit AS DECIMAL(12,4))) AS DECIMAL(18,4)) AS p FROM "
-           "(SELECT DISTINCT order_id, product_id, product_name, quantity, sales, discount, profit FROM raw_orders)")
-    act = ("SELECT CAST(sum(sales) AS DECIMAL(18,4)) AS s, CAST(sum(profit) AS DECIMAL(18,4)) AS p "
-           "FROM t_order_details")
-    rows = (f"SELECT 'sum_sales' AS check_name, CAST(e.s AS {V22}) AS expected, CAST(a.s AS {V22}) AS actual "
-            f"FROM ({exp}) e, ({act}) a UNION ALL "
-            f"SELECT 'sum_profit', CAST(e.p AS {V22}), CAST(a.p AS {V22}) FROM ({exp}) e, ({act}) a")
+    lines = ("(SELECT DISTINCT order_id, product_id, product_name, quantity, sales, discount, profit "
+             "FROM raw_orders)")
+
+    def expected(col: str) -> str:
+        return (f"(SELECT CAST(CAST(sum(CAST({col} AS DECIMAL(12,4))) AS DECIMAL(18,4)) AS {V22}) "
+                f"FROM {lines})")
+
+    def actual(col: str) -> str:
+        return f"(SELECT CAST(CAST(sum({col}) AS DECIMAL(18,4)) AS {V22}) FROM t_order_details)"
+
+    rows = (f"SELECT 'sum_sales' AS check_name, {expected('sales')} AS expected, "
+            f"{actual('sales')} AS actual UNION ALL "
+            f"SELECT 'sum_profit', {expected('profit')}, {actual('profit')}")
     return (f"SELECT 'control_total' AS check_group, check_name, expected, actual, "
             f"{_status('abs(actual - expected) < 1.0')} AS status FROM ({rows})")
 

@@ -33,9 +33,11 @@ def postal_key(raw: DataFrame) -> F.Column:
     return postal_or_default(postal_normalize("postal_code"))
 
 
-def _keyed(df: DataFrame, name: str, num_partitions: int | None = None) -> DataFrame:
+def _keyed(df: DataFrame, name: str, num_partitions: int | None = None,
+           stage_dir: str | None = None) -> DataFrame:
     spec = TABLES[name]
-    return conform_table(dense_key(df, spec.key_order, spec.surrogate, num_partitions), name)
+    return conform_table(dense_key(df, spec.key_order, spec.surrogate, num_partitions,
+                                   stage_dir=stage_dir), name)
 
 
 # -- dimensions --------------------------------------------------------------
@@ -44,32 +46,36 @@ def distinct_product(raw: DataFrame) -> DataFrame:
     return distinct_rows(raw, ["product_id", "category", "sub_category", "product_name"])
 
 
-def build_product(raw: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    return _keyed(distinct_product(raw), "product", num_partitions)
+def build_product(raw: DataFrame, num_partitions: int | None = None,
+                  stage_dir: str | None = None) -> DataFrame:
+    return _keyed(distinct_product(raw), "product", num_partitions, stage_dir)
 
 
 def distinct_addresses(raw: DataFrame) -> DataFrame:
     return raw.select("country", "city", "state", postal_key(raw).alias("postal_code")).distinct()
 
 
-def build_addresses(raw: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    return _keyed(distinct_addresses(raw), "addresses", num_partitions)
+def build_addresses(raw: DataFrame, num_partitions: int | None = None,
+                  stage_dir: str | None = None) -> DataFrame:
+    return _keyed(distinct_addresses(raw), "addresses", num_partitions, stage_dir)
 
 
 def distinct_ship_mode(raw: DataFrame) -> DataFrame:
     return distinct_rows(raw, ["ship_mode"])
 
 
-def build_ship_mode(raw: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    return _keyed(distinct_ship_mode(raw), "type_ship", num_partitions)
+def build_ship_mode(raw: DataFrame, num_partitions: int | None = None,
+                  stage_dir: str | None = None) -> DataFrame:
+    return _keyed(distinct_ship_mode(raw), "type_ship", num_partitions, stage_dir)
 
 
 def distinct_people(raw_people: DataFrame) -> DataFrame:
     return distinct_rows(raw_people, ["person", "region"])
 
 
-def build_people(raw_people: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    return _keyed(distinct_people(raw_people), "people", num_partitions)
+def build_people(raw_people: DataFrame, num_partitions: int | None = None,
+                 stage_dir: str | None = None) -> DataFrame:
+    return _keyed(distinct_people(raw_people), "people", num_partitions, stage_dir)
 
 
 def build_customers(raw: DataFrame) -> DataFrame:
@@ -120,13 +126,13 @@ def sort_orders(orders: DataFrame) -> DataFrame:
     return orders.sortWithinPartitions("order_date", "customer_id", "order_id")
 
 
-def build_date_ship(raw: DataFrame, type_ship: DataFrame,
-                    num_partitions: int | None = None) -> DataFrame:
+def build_date_ship(raw: DataFrame, type_ship: DataFrame, num_partitions: int | None = None,
+                    stage_dir: str | None = None) -> DataFrame:
     """One row per distinct (ship mode, order, ship date); split shipments give
     several rows per order."""
     rows = lookup_distinct(raw, [ship_lookup(type_ship)], ["ship_id", "order_id", "ship_date"],
                            pre=["ship_mode", "order_id", "ship_date"])
-    return _keyed(rows, "date_ship", num_partitions)
+    return _keyed(rows, "date_ship", num_partitions, stage_dir)
 
 
 def line_grain(raw: DataFrame) -> DataFrame:
@@ -134,14 +140,15 @@ def line_grain(raw: DataFrame) -> DataFrame:
     return raw.select(*LINE_GRAIN).distinct()
 
 
-def build_order_details(raw: DataFrame, product: DataFrame,
-                        num_partitions: int | None = None) -> DataFrame:
+def build_order_details(raw: DataFrame, product: DataFrame, num_partitions: int | None = None,
+                        stage_dir: str | None = None) -> DataFrame:
     """Distinct lines with their product code, numbered, then cast to the exact
     store types. The cast comes after DISTINCT: lines that differ only beyond
     the fourth decimal both survive (and both store the same value)."""
     out = ["order_id", "product_code", "quantity", "sales", "discount", "profit"]
     rows = lookup_distinct(raw, [product_lookup(product)], out, pre=LINE_GRAIN)
-    keyed = dense_key(rows, TABLES["order_details"].key_order, "detail_id", num_partitions)
+    keyed = dense_key(rows, TABLES["order_details"].key_order, "detail_id", num_partitions,
+                      stage_dir=stage_dir)
     return conform_table(keyed, "order_details")
 
 
@@ -150,7 +157,7 @@ def returned_orders(raw_returns: DataFrame) -> DataFrame:
 
 
 def build_returns(raw_returns: DataFrame, orders: DataFrame, order_details: DataFrame,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, stage_dir: str | None = None) -> DataFrame:
     """Every line of a returned order is a return; returns of unknown orders
     (or of orders without lines) are dropped.
 
@@ -161,17 +168,18 @@ def build_returns(raw_returns: DataFrame, orders: DataFrame, order_details: Data
     known = returned_orders(raw_returns).join(orders.select("order_id"), "order_id", "left_semi")
     rows = known.join(order_details.select("order_id", "detail_id"), "order_id", "inner") \
                 .select("returned", "detail_id")
-    return _keyed(rows, "returns", num_partitions)
+    return _keyed(rows, "returns", num_partitions, stage_dir)
 
 
 def build_returns_unfiltered(raw_returns: DataFrame, order_details: DataFrame,
-                             num_partitions: int | None = None) -> DataFrame:
+                             num_partitions: int | None = None,
+                             stage_dir: str | None = None) -> DataFrame:
     """Draft variant: returns joined to details directly with no NOT NULL
     filter, so a return of an unknown order keeps one row with a NULL detail."""
     joined = lookup(returned_orders(raw_returns),
                     Lookup(order_details.select("order_id", "detail_id"), ("order_id",), ("detail_id",)))
     rows = joined.select("returned", "detail_id").distinct()
-    return _keyed(rows, "returns", num_partitions)
+    return _keyed(rows, "returns", num_partitions, stage_dir)
 
 
 MONEY_TYPES = {"sales": SALES_TYPE, "discount": DISCOUNT_TYPE, "profit": PROFIT_TYPE}

@@ -4,6 +4,8 @@ Tables are built parents first; each one is written as Parquet under the run
 folder and read back before its children use it, exactly as a database would
 insert into a parent table and then select from it. The written tables cut the
 lineage, so a lost executor costs one table's tasks, not the whole chain.
+Intermediate files (the staged raw rows, the dense-key stages) live under
+``<run_dir>/_staging`` and are not part of the published tables.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
-from ..config import spread, stage_path
+from ..config import stage_path
 from ..operators.dedup import keep_first
 from ..schemas import RAW_ORDERS_SCHEMA, TABLE_ORDER, TABLES
 from . import entities as E
@@ -59,23 +61,25 @@ class Normalizer:
     def raw_orders(self) -> DataFrame:
         if self._staged_raw is None:
             cols = [f.name for f in RAW_ORDERS_SCHEMA.fields if f.name in self._raw_orders.columns]
-            self._staged_raw = stage(spread(self._raw_orders.select(*cols)), f"{self.run_dir}/_raw_orders")
+            self._staged_raw = stage(self._raw_orders.select(*cols), f"{self.run_dir}/_staging/raw_orders")
         return self._staged_raw
 
     def _builders(self) -> dict[str, Callable[[], DataFrame]]:
         n = self.num_partitions
+        s = f"{self.run_dir}/_staging"
         t = self.table
         return {
-            "product": lambda: E.build_product(self.raw_orders, n),
-            "addresses": lambda: E.build_addresses(self.raw_orders, n),
-            "type_ship": lambda: E.build_ship_mode(self.raw_orders, n),
-            "people": lambda: E.build_people(self.raw_people, n),
+            "product": lambda: E.build_product(self.raw_orders, n, s),
+            "addresses": lambda: E.build_addresses(self.raw_orders, n, s),
+            "type_ship": lambda: E.build_ship_mode(self.raw_orders, n, s),
+            "people": lambda: E.build_people(self.raw_people, n, s),
             "customers": lambda: E.build_customers(self.raw_orders),
             "orders": lambda: E.sort_orders(E.build_orders(
                 self.raw_orders, t("people"), t("type_ship"), t("addresses"))),
-            "date_ship": lambda: E.build_date_ship(self.raw_orders, t("type_ship"), n),
-            "order_details": lambda: E.build_order_details(self.raw_orders, t("product"), n),
-            "returns": lambda: E.build_returns(self.raw_returns, t("orders"), t("order_details"), n),
+            "date_ship": lambda: E.build_date_ship(self.raw_orders, t("type_ship"), n, s),
+            "order_details": lambda: E.build_order_details(self.raw_orders, t("product"), n, s),
+            "returns": lambda: E.build_returns(self.raw_returns, t("orders"), t("order_details"),
+                                               n, s),
         }
 
     def path(self, name: str) -> str:

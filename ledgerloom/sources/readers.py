@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import spread
 from ..functions.columns import na_to_null, parse_locale_number, parse_timestamp
 from ..schemas import (NA_MARKERS, RAW_ORDERS_SCHEMA, RAW_PEOPLE_SCHEMA, RAW_RETURNS_SCHEMA,
                        SOURCE_HEADERS)
@@ -69,7 +70,8 @@ def read_sheet(spark: SparkSession, path: str, sheet: str, fmt: str = "csv",
     """Read one sheet (``orders`` | ``people`` | ``returns``) from files.
 
     CSV is read as text with the header row for names (no type inference) and
-    conformed; Parquet keeps its types and is conformed the same way.
+    conformed; Parquet keeps its types and is conformed the same way. A source
+    of fewer splits than cores (one gzip file) is spread over the cores.
     """
     schema = RAW_SCHEMAS[sheet]
     reader = spark.read
@@ -79,6 +81,7 @@ def read_sheet(spark: SparkSession, path: str, sheet: str, fmt: str = "csv",
         df = reader.option("header", True).option("inferSchema", False).csv(path)
     else:
         df = reader.format(fmt).load(path)
+    df = spread(df)
     return conform(rename_headers(df), schema, locale_numbers=locale_numbers, strict=strict)
 
 
