@@ -14,9 +14,11 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import stage_path
 from ..operators.dedup import keep_first
+from ..operators.integrity import duplicate_keys
 from ..schemas import RAW_ORDERS_SCHEMA, TABLE_ORDER, TABLES
 from . import entities as E
 
@@ -37,17 +39,44 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class KeyViolation(ValueError):
+    """A natural primary key or a lookup key is not unique (strict mode)."""
+
+
+def check_keys(name: str, table: DataFrame, sample: int = 5) -> None:
+    """Strict mode: raise if the table's natural primary key, or the natural key
+    its children look it up by, occurs twice (NULL lookup keys never match and
+    are ignored). Only a handful of offending keys reach the driver."""
+    spec = TABLES[name]
+    checks = []
+    if spec.surrogate is None:
+        checks.append(("primary key", spec.primary_key, table))
+    if spec.lookup_key:
+        non_null = table
+        for k in spec.lookup_key:
+            non_null = non_null.filter(F.col(k).isNotNull())
+        checks.append(("lookup key", spec.lookup_key, non_null))
+    for kind, key, df in checks:
+        bad = duplicate_keys(df, key).take(sample)
+        if bad:
+            shown = ", ".join(str(tuple(r[k] for k in key)) for r in bad)
+            raise KeyViolation(f"{name}: {kind} {key} not unique, e.g. {shown}")
+
+
 class Normalizer:
     """Builds the nine tables on demand, parents first, each written once.
 
     ``raw_orders`` is staged as Parquet first (when ``stage_raw``), so seven
     builders read just their columns from a columnar copy instead of repeating
-    the upstream scan or join.
+    the upstream scan or join. With ``strict`` a table whose natural or lookup
+    key is not unique stops the load (``KeyViolation``), as a primary key
+    constraint would; otherwise such rows are kept and the validation report
+    flags them.
     """
 
     def __init__(self, raw_orders: DataFrame, raw_people: DataFrame, raw_returns: DataFrame,
                  run_dir: str | None = None, stage_raw: bool = True,
-                 num_partitions: int | None = None):
+                 num_partitions: int | None = None, strict: bool = False):
         self.spark = raw_orders.sparkSession
         self.run_dir = (run_dir or stage_path(self.spark, "run")).rstrip("/")
         self.num_partitions = num_partitions
@@ -55,6 +84,7 @@ class Normalizer:
         self._staged_raw: DataFrame | None = None if stage_raw else raw_orders
         self.raw_people = raw_people
         self.raw_returns = raw_returns
+        self.strict = strict
         self.tables: dict[str, DataFrame] = {}
 
     @property
@@ -88,7 +118,10 @@ class Normalizer:
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
             built = self._builders()[name]()
-            self.tables[name] = stage(built, self.path(name))
+            written = stage(built, self.path(name))
+            if self.strict:
+                check_keys(name, written)
+            self.tables[name] = written
         return self.tables[name]
 
     def build(self, names: Iterable[str] = TABLE_ORDER, parallel: bool = True) -> dict[str, DataFrame]:
@@ -125,23 +158,29 @@ class Normalizer:
 
 def normalize(raw_orders: DataFrame, raw_people: DataFrame, raw_returns: DataFrame,
               run_dir: str | None = None, stage_raw: bool = True,
-              num_partitions: int | None = None) -> dict[str, DataFrame]:
+              num_partitions: int | None = None, strict: bool = False) -> dict[str, DataFrame]:
     """All nine tables, written under ``run_dir`` (a fresh folder under the
     checkpoint root by default), as DataFrames over the written files."""
     return Normalizer(raw_orders, raw_people, raw_returns, run_dir, stage_raw,
-                      num_partitions).build()
+                      num_partitions, strict).build()
 
 
 def flat_load(raw_orders: DataFrame, raw_people: DataFrame, raw_returns: DataFrame,
-              people_seq: str = "seq", returns_seq: str = "seq") -> dict[str, DataFrame]:
+              people_seq: str = "seq", returns_seq: str = "seq",
+              out_dir: str | None = None) -> dict[str, DataFrame]:
     """The flat three-table load: orders as read, people de-duplicated by
     region and returns by order id, each keeping the first row by sheet
-    position (the ``*_seq`` columns)."""
-    return {
-        "orders": raw_orders,
+    position (the ``*_seq`` columns). With ``out_dir`` the three tables replace
+    any earlier copy there (``overwrite``) and are returned as written."""
+    frames = {
+        "orders": raw_orders.select(*[f.name for f in RAW_ORDERS_SCHEMA.fields
+                                      if f.name in raw_orders.columns]),
         "people": keep_first(raw_people, ["region"], people_seq, ["person", "region"]),
         "returns": keep_first(raw_returns, ["order_id"], returns_seq, ["returned", "order_id"]),
     }
+    if out_dir is None:
+        return frames
+    return {name: stage(df, f"{out_dir.rstrip('/')}/{name}") for name, df in frames.items()}
 
 
-__all__ = ["Normalizer", "TABLES", "flat_load", "normalize", "stage"]
+__all__ = ["KeyViolation", "Normalizer", "TABLES", "check_keys", "flat_load", "normalize", "stage"]

@@ -124,3 +124,33 @@ def test_all_inputs_empty(spark):
     assert rows[("control_total", "sum_sales")] == "MISMATCH"
     assert rows[("row_count", "orders")] == "OK"
     assert not V.passed(report)
+
+
+def test_strict_mode_stops_on_key_violations(spark):
+    from ledgerloom.plans.normalize import KeyViolation
+    ro, rp, rr = frames(spark)
+    with pytest.raises(KeyViolation, match="lookup key"):
+        Normalizer(ro, rp, rr, strict=True).build()
+    clean_people = spark.createDataFrame([("Mia", "East"), ("Ned", "West")], RAW_PEOPLE_SCHEMA)
+    clean = [ln for ln in EDGE_LINES if ln[1] not in ("O-9", "O-11", "O-14")]
+    ro2, _, _ = frames(spark, lines=clean)
+    tables = Normalizer(ro2, clean_people, rr, strict=True).build()
+    assert tables["orders"].count() > 0
+    bad_orders, _, _ = frames(spark, lines=clean + [line(order="O-1", od=D2)])
+    with pytest.raises(KeyViolation, match="orders: primary key"):
+        Normalizer(bad_orders, clean_people, rr, strict=True).build()
+
+
+def test_flat_load_writes_and_keeps_first(spark, tmp_path):
+    from ledgerloom.plans.normalize import flat_load
+    people = spark.createDataFrame([("Mia", "East", 2), ("Ann", "East", 1), ("Ned", "West", 3)],
+                                   "person string, region string, seq int")
+    returns = spark.createDataFrame([("Yes", "O-1", 1), ("No", "O-1", 0)],
+                                    "returned string, order_id string, seq int")
+    ro, _, _ = frames(spark)
+    out = flat_load(ro, people, returns, out_dir=str(tmp_path / "flat"))
+    assert sorted(tuple(r) for r in out["people"].collect()) == [("Ann", "East"), ("Ned", "West")]
+    assert [tuple(r) for r in out["returns"].collect()] == [("No", "O-1")]
+    assert out["orders"].count() == len(EDGE_LINES)
+    again = flat_load(ro, people, returns, out_dir=str(tmp_path / "flat"))
+    assert again["people"].count() == 2
