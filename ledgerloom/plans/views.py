@@ -37,15 +37,17 @@ def sales_view(tables: Mapping[str, DataFrame]) -> DataFrame:
     prod = sized_broadcast(tables["product"].withColumnRenamed("product_code", "_prod_code"))
     ret = sized_broadcast(returned)
 
+    # The returned flag goes onto the narrow detail rows first: if the returns
+    # are too many to broadcast, only detail columns are shuffled for it.
+    flagged = d.join(ret, F.col("detail_id") == F.col("_ret_id"), "left")
     orders = o.select(F.col("order_id").alias("_o_id"), "order_date",
                       F.col("customer_id").alias("_o_cust"), "people_id", "ship_id", "addresses_id")
-    v = (d.join(orders, F.col("order_id") == F.col("_o_id"), "left")
+    v = (flagged.join(orders, F.col("order_id") == F.col("_o_id"), "left")
          .join(cust, F.col("_o_cust") == cust["customer_id"], "left")
          .join(addr, F.col("addresses_id") == F.col("_addr_id"), "left")
          .join(ppl, F.col("people_id") == F.col("_ppl_id"), "left")
          .join(ship, F.col("ship_id") == F.col("_ship_id"), "left")
-         .join(prod, F.col("product_code") == F.col("_prod_code"), "left")
-         .join(ret, F.col("detail_id") == F.col("_ret_id"), "left"))
+         .join(prod, F.col("product_code") == F.col("_prod_code"), "left"))
     cols = {c: F.col(c) for c in SALES_VIEW_COLUMNS}
     cols["order_id"] = d["order_id"]
     cols["customer_id"] = F.col("_o_cust")
