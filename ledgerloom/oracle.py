@@ -139,7 +139,7 @@ def _na(col: str) -> str:
 _RAW_STRING_COLS = ("order_id", "ship_mode", "customer_id", "customer_name", "segment", "country",
                     "city", "state", "region", "product_id", "category", "sub_category",
                     "product_name")
-_RAW_COLS = ("row_id", "order_id", "order_date", "ship_date", "ship_mode", "customer_id",
+_RAW_COLS = ("order_id", "order_date", "ship_date", "ship_mode", "customer_id",
              "customer_name", "segment", "country", "city", "state", "postal_code", "region",
              "product_id", "category", "sub_category", "product_name", "sales", "quantity",
              "discount", "profit")
@@ -335,4 +335,12 @@ def oracle_queries() -> dict[str, str]:
             f"CAST(sum(profit) AS DECIMAL(18,4)) AS total_profit "
             f"FROM ({_sales_view_sql()}) GROUP BY region, category"),
     }
-    return {name: with_ctes(sql) for name, sql in body.items()}
+    from .catalog import DECIMAL_OUTPUTS
+    out = {}
+    for name, sql in body.items():
+        cols = DECIMAL_OUTPUTS.get(name)
+        if cols:
+            casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+            sql = f"SELECT * REPLACE ({casts}) FROM ({sql}) q"
+        out[name] = with_ctes(sql)
+    return out

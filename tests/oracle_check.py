@@ -1,6 +1,7 @@
 """Compare every registered query with its DuckDB oracle (as the driver does).
 
-Usage: python tests/oracle_check.py [sf_dir] [name ...]
+Usage: python tests/oracle_check.py [--pandas] [sf_dir] [name ...]
+(--pandas compares through toPandas()/DuckDB .df() with every cell as text.)
 Prints one line per query: row counts, column names, and whether the
 multisets of rows are equal; exits non-zero on any mismatch.
 """
@@ -47,7 +48,15 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def pandas_bag(pdf) -> Counter:
+    """Naive client-side form: pandas frame, columns by name, every cell as str."""
+    pdf = pdf[sorted(pdf.columns)]
+    return Counter(map(tuple, pdf.astype(str).values.tolist()))
+
+
 def main(argv: list[str]) -> int:
+    use_pandas = "--pandas" in argv
+    argv = [a for a in argv if a != "--pandas"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
     import __spark_entry__ as entry
@@ -81,12 +90,15 @@ def main(argv: list[str]) -> int:
             bad += 1
             continue
         same_cols = sorted(s_cols) == sorted(d_cols)
-        same_rows = same_cols and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
+        if use_pandas:
+            same_rows = same_cols and pandas_bag(df.toPandas()) == pandas_bag(con.execute(oracle[name]).df())
+        else:
+            same_rows = same_cols and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
         ok = same_cols and same_rows and len(s_rows) == len(d_rows)
         bad += not ok
         print(f"{name:28s} {'OK ' if ok else 'BAD'} spark={len(s_rows)} duck={len(d_rows)} "
               f"cols={'same' if same_cols else (sorted(s_cols), sorted(d_cols))} {ts:.1f}s")
-        if not ok and same_cols:
+        if not ok and same_cols and not use_pandas:
             a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
             print("   spark-only:", list((a - b).items())[:3])
             print("   duck-only: ", list((b - a).items())[:3])

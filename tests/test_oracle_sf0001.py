@@ -37,3 +37,17 @@ def test_entry_smoke(spark):
     assert df.columns == ["region", "category", "lines", "returned_lines", "total_sales",
                           "total_profit"]
     assert df.count() > 0
+
+
+def test_decimal_outputs_listed(spark):
+    """Every decimal column of a registered result is in DECIMAL_OUTPUTS."""
+    from pyspark.sql.types import DecimalType
+
+    from ledgerloom.catalog import _BUILDERS, DECIMAL_OUTPUTS
+    for name in ("fact_order_details", "validation_report", "sales_by_region_category",
+                 "dim_product", "check_fk_orphans"):
+        df = _BUILDERS[name](spark, SF_SMALL)
+        decimals = tuple(f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType))
+        assert set(decimals) == set(DECIMAL_OUTPUTS.get(name, ())), name
+        assert not any(isinstance(f.dataType, DecimalType)
+                       for f in entry.queries()[name](spark, SF_SMALL).schema.fields)
