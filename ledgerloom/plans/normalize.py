@@ -125,11 +125,12 @@ class Normalizer:
         return self.tables[name]
 
     def build(self, names: Iterable[str] = TABLE_ORDER, parallel: bool = True) -> dict[str, DataFrame]:
-        """Build ``names`` and their parents in dependency waves.
+        """Build ``names`` and the tables they are built from.
 
-        Tables of one wave do not depend on each other; with ``parallel`` their
-        Spark jobs are submitted from separate threads and share the cluster,
-        instead of queuing small dimension builds one after another.
+        With ``parallel`` every table starts, from its own thread, as soon as
+        the tables it reads are written; independent Spark jobs (the small
+        dimensions, the three fact tables) then share the cluster instead of
+        queuing one after another.
         """
         wanted: list[str] = []
 
@@ -141,18 +142,26 @@ class Normalizer:
 
         for name in names:
             need(name)
-        if any(n not in self.tables for n in wanted if n != "people"):
-            self.raw_orders  # stage the shared input once, before the waves
         pending = [n for n in TABLE_ORDER if n in wanted and n not in self.tables]
-        while pending:
-            wave = [n for n in pending if all(p in self.tables for p in BUILD_INPUTS[n])]
-            if parallel and len(wave) > 1:
-                with ThreadPoolExecutor(max_workers=len(wave)) as pool:
-                    list(pool.map(self.table, wave))
-            else:
-                for n in wave:
-                    self.table(n)
-            pending = [n for n in pending if n not in wave]
+        if any(n != "people" for n in pending):
+            self.raw_orders  # stage the shared input once, before the builders start
+        if not parallel or len(pending) < 2:
+            for n in pending:
+                self.table(n)
+        else:
+            with ThreadPoolExecutor(max_workers=len(pending)) as pool:
+                futures = {}
+
+                def run(name: str) -> DataFrame:
+                    for dep in BUILD_INPUTS[name]:
+                        if dep in futures:
+                            futures[dep].result()
+                    return self.table(name)
+
+                for n in pending:  # TABLE_ORDER lists inputs before their users
+                    futures[n] = pool.submit(run, n)
+                for f in futures.values():
+                    f.result()
         return {name: self.tables[name] for name in TABLE_ORDER if name in self.tables}
 
 
