@@ -81,3 +81,12 @@ def spread(df):
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` recursively on whatever file system it names (HDFS, S3,
+    local), through Hadoop's ``FileSystem``, as Spark itself would."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath) and fs.delete(hpath, True))

@@ -3,6 +3,8 @@ Publishing happens only when every check passes."""
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +77,8 @@ def test_publish_gate(spark):
     base = stage_path(spark, "warehouse-test")
     ok = run_and_publish(ro, rp, rr, base)
     assert ok.published and current_run(spark, base) == ok.run_dir
+    assert not os.path.exists(ok.run_dir.replace("file:", "") + "/_staging")
+    assert os.path.exists(ok.run_dir.replace("file:", "") + "/order_details")
     wrong = V.expected_counts(spark, {"product": 1})
     bad = run_and_publish(ro, rp, rr, base, expected_rows=wrong)
     assert not bad.published
