@@ -33,7 +33,7 @@ _BUILT: dict[tuple[str, str], Normalizer] = {}
 
 def built(spark: SparkSession, sf_dir: str) -> Normalizer:
     """Normalizer over the fixture raw inputs, shared within one application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir)
     if key not in _BUILT:
         ro, rp, rr = fixtures.raw_inputs(spark, sf_dir)
         _BUILT[key] = Normalizer(ro, rp, rr)

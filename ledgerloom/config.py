@@ -50,20 +50,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     cluster, so there it is an error.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        master = spark.sparkContext.master
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; point it at a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def stage_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, never reused folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/ledgerloom/{purpose}-{uuid.uuid4().hex}"
@@ -79,14 +88,20 @@ def spread(df):
     shuffle. Meant for file scans: asking a plan that contains a shuffle for its
     partition count would run that plan.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    sc = _context(df.sparkSession)
+    if sc is None:  # Spark Connect: no partition count to ask for
+        return df
+    cores = sc.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete ``path`` recursively on whatever file system it names (HDFS, S3,
-    local), through Hadoop's ``FileSystem``, as Spark itself would."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    local), through Hadoop's ``FileSystem``, as Spark itself would. Returns
+    whether something was deleted."""
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: no file system handle; leave the folder
+        return False
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath) and fs.delete(hpath, True))
