@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.integrity import orphan_count
-from ..schemas import FOREIGN_KEYS, LINE_GRAIN, LOOKUP_TABLES, TABLE_ORDER, TABLES, TOTAL_TYPE
+from ..schemas import (CONTROL_TOLERANCE, FOREIGN_KEYS, LINE_GRAIN, LOOKUP_TABLES,
+                       SOURCE_WORKBOOK_PROFIT, SOURCE_WORKBOOK_ROWS, SOURCE_WORKBOOK_SALES,
+                       TABLE_ORDER, TABLES, TOTAL_TYPE)
 from . import entities as E
 
 VALUE_TYPE = "decimal(22,4)"
-TOLERANCE = 1.0
+TOLERANCE = CONTROL_TOLERANCE
 
 REPORT_COLUMNS = ("check_group", "check_name", "expected", "actual", "status")
 
@@ -155,6 +157,13 @@ def expected_totals_from_raw(raw_orders: DataFrame) -> DataFrame:
                                "sum_profit").alias("metric", "expected"))
 
 
+def workbook_expectations(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """The fixed expectations of the original source workbook (row counts and
+    control totals), for validating a load of that workbook as is."""
+    return (expected_counts(spark, SOURCE_WORKBOOK_ROWS),
+            expected_totals(spark, SOURCE_WORKBOOK_SALES, SOURCE_WORKBOOK_PROFIT))
+
+
 def expected_totals(spark: SparkSession, sales: float, profit: float) -> DataFrame:
     return spark.createDataFrame([("sum_sales", float(sales)), ("sum_profit", float(profit))],
                                  "metric string, expected double")

@@ -197,3 +197,20 @@ ORDER_GRAIN = ("order_id", "order_date", "region", "customer_id", "ship_mode",
 
 # Raw columns that identify one order line (row_id and ship_date excluded).
 LINE_GRAIN = ("order_id", "product_id", "product_name", "quantity", "sales", "discount", "profit")
+
+# The reference's expectations for its source workbook (row
+# counts of the nine tables, control totals of sales and profit, tolerance).
+SOURCE_WORKBOOK_ROWS = {
+    "product": 1894,
+    "people": 4,
+    "type_ship": 4,
+    "addresses": 632,
+    "customers": 793,
+    "orders": 5009,
+    "date_ship": 5009,
+    "order_details": 9993,
+    "returns": 800,
+}
+SOURCE_WORKBOOK_SALES = 2296919.49
+SOURCE_WORKBOOK_PROFIT = 286409.08
+CONTROL_TOLERANCE = 1.0

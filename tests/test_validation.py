@@ -83,3 +83,15 @@ def test_publish_gate(spark):
     bad = run_and_publish(ro, rp, rr, base, expected_rows=wrong)
     assert not bad.published
     assert current_run(spark, base) == ok.run_dir    # previous good run stays current
+
+
+def test_workbook_expectations_shape(spark, built):
+    """The fixed workbook figures plug into the same report; on the test tables
+    they are (rightly) not met."""
+    _, tables, _, _ = built
+    rows, sums = V.workbook_expectations(spark)
+    assert rows.count() == 9 and sums.count() == 2
+    report = V.validation_report(tables, rows, sums)
+    fails = failing(report)
+    assert ("row_count", "product") in fails and ("control_total", "sum_sales") in fails
+    assert not any(g == "fk_orphans" for g, _ in fails)
