@@ -280,7 +280,7 @@ def sales_view_query(spark, sf):
 
 
 def sales_by_region_category_query(spark, sf):
-    return sales_by_region_category(sales_view(_tables(spark, sf)))
+    return sales_by_region_category(_tables(spark, sf))
 
 
 _BUILDERS: dict[str, Query] = {

@@ -329,11 +329,16 @@ def oracle_queries() -> dict[str, str]:
             f"{_lookup_unique_sql()} UNION ALL {_fk_sql()} UNION ALL {_totals_sql()})"),
         "sales_view": _sales_view_sql(),
         "sales_by_region_category": (
-            f"SELECT region, category, CAST(count(*) AS BIGINT) AS lines, "
-            f"CAST(count(*) FILTER (WHERE is_returned) AS BIGINT) AS returned_lines, "
-            f"CAST(sum(sales) AS DECIMAL(18,4)) AS total_sales, "
-            f"CAST(sum(profit) AS DECIMAL(18,4)) AS total_profit "
-            f"FROM ({_sales_view_sql()}) GROUP BY region, category"),
+            "SELECT p.region, pr.category, CAST(count(*) AS BIGINT) AS lines, "
+            "CAST(count(*) FILTER (WHERE r.detail_id IS NOT NULL) AS BIGINT) AS returned_lines, "
+            "CAST(sum(d.sales) AS DECIMAL(18,4)) AS total_sales, "
+            "CAST(sum(d.profit) AS DECIMAL(18,4)) AS total_profit "
+            "FROM t_order_details d "
+            "LEFT JOIN (SELECT DISTINCT detail_id FROM t_returns) r ON r.detail_id = d.detail_id "
+            "LEFT JOIN t_orders o ON o.order_id = d.order_id "
+            "LEFT JOIN t_people p ON p.people_id = o.people_id "
+            "LEFT JOIN t_product pr ON pr.product_code = d.product_code "
+            "GROUP BY p.region, pr.category"),
     }
     from .catalog import DECIMAL_OUTPUTS
     out = {}

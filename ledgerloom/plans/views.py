@@ -17,6 +17,18 @@ SALES_VIEW_COLUMNS = (
     "quantity", "sales", "discount", "profit", "is_returned")
 
 
+def with_returned_flag(details: DataFrame, returns: DataFrame) -> DataFrame:
+    """Detail rows plus ``is_returned``. The flag joins on *distinct* detail
+    ids, so a line listed under two ``returned`` values still appears once; it
+    goes onto the narrow detail rows first, so that if the returns are too
+    many to broadcast only detail columns are shuffled for it."""
+    returned = returns.select(F.col("detail_id").alias("_ret_id")).distinct() \
+                      .withColumn("_ret", F.lit(True))
+    flagged = details.join(sized_broadcast(returned), F.col("detail_id") == F.col("_ret_id"), "left")
+    return flagged.withColumn("is_returned", F.coalesce(F.col("_ret"), F.lit(False))) \
+                  .drop("_ret_id", "_ret")
+
+
 def sales_view(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per order line with its order, customer, address, manager, ship
     mode, product and a returned flag.
@@ -28,18 +40,12 @@ def sales_view(tables: Mapping[str, DataFrame]) -> DataFrame:
     appears once. Ship dates are left out: an order may have several.
     """
     d, o = tables["order_details"], tables["orders"]
-    returned = tables["returns"].select("detail_id").distinct() \
-                                .select(F.col("detail_id").alias("_ret_id"), F.lit(True).alias("_ret"))
     cust = sized_broadcast(tables["customers"])
     addr = sized_broadcast(tables["addresses"].withColumnRenamed("addresses_id", "_addr_id"))
     ppl = sized_broadcast(tables["people"].withColumnRenamed("people_id", "_ppl_id"))
     ship = sized_broadcast(tables["type_ship"].withColumnRenamed("ship_id", "_ship_id"))
     prod = sized_broadcast(tables["product"].withColumnRenamed("product_code", "_prod_code"))
-    ret = sized_broadcast(returned)
-
-    # The returned flag goes onto the narrow detail rows first: if the returns
-    # are too many to broadcast, only detail columns are shuffled for it.
-    flagged = d.join(ret, F.col("detail_id") == F.col("_ret_id"), "left")
+    flagged = with_returned_flag(d, tables["returns"])
     orders = o.select(F.col("order_id").alias("_o_id"), "order_date",
                       F.col("customer_id").alias("_o_cust"), "people_id", "ship_id", "addresses_id")
     v = (flagged.join(orders, F.col("order_id") == F.col("_o_id"), "left")
@@ -52,13 +58,28 @@ def sales_view(tables: Mapping[str, DataFrame]) -> DataFrame:
     cols["order_id"] = d["order_id"]
     cols["customer_id"] = F.col("_o_cust")
     cols["product_code"] = d["product_code"]
-    cols["is_returned"] = F.coalesce(F.col("_ret"), F.lit(False))
     return v.select(*[cols[c].alias(c) for c in SALES_VIEW_COLUMNS])
 
 
-def sales_by_region_category(view: DataFrame) -> DataFrame:
-    """Lines, returned lines, sales and profit per manager region and category."""
-    return view.groupBy("region", "category").agg(
+def sales_by_region_category(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Lines, returned lines, sales and profit per manager region and product
+    category.
+
+    Only the tables that feed these columns are joined: details (with the
+    returned flag), orders for the manager, people, product. Customers,
+    addresses and ship modes would not change a figure but could cost a
+    shuffle of the whole fact if one is too large to broadcast.
+    """
+    d = tables["order_details"].select("detail_id", "order_id", "product_code", "sales", "profit")
+    lines = with_returned_flag(d, tables["returns"])
+    orders = tables["orders"].select(F.col("order_id").alias("_o_id"), "people_id")
+    ppl = sized_broadcast(tables["people"].select(F.col("people_id").alias("_ppl_id"), "region"))
+    prod = sized_broadcast(tables["product"].select(F.col("product_code").alias("_prod_code"),
+                                                    "category"))
+    v = (lines.join(orders, F.col("order_id") == F.col("_o_id"), "left")
+         .join(ppl, F.col("people_id") == F.col("_ppl_id"), "left")
+         .join(prod, F.col("product_code") == F.col("_prod_code"), "left"))
+    return v.groupBy("region", "category").agg(
         F.count(F.lit(1)).cast("bigint").alias("lines"),
         F.count_if(F.col("is_returned")).cast("bigint").alias("returned_lines"),
         F.sum("sales").cast(TOTAL_TYPE).alias("total_sales"),
