@@ -1,8 +1,9 @@
 """Natural-key → surrogate-key lookups (LEFT equi-joins).
 
-A dimension is broadcast only after its row count has been checked against a
-limit (``ledgerloom.broadcast.maxRows``); above it the join stays a shuffled
-join, and adaptive execution may still switch it to a broadcast from measured
+A dimension is broadcast only after its row count and its byte size have
+been measured against limits (``ledgerloom.broadcast.maxRows``,
+``ledgerloom.broadcast.maxBytes``); above them the join stays a shuffled join,
+and adaptive execution may still switch it to a broadcast from measured
 shuffle sizes, or split a hot key's partition (skew join).
 """
 
@@ -13,28 +14,55 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS_CONF = "ledgerloom.broadcast.maxRows"
+BROADCAST_BYTES_CONF = "ledgerloom.broadcast.maxBytes"
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 32   # per-row cost of a row in the broadcast hash relation
 
 
 def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows.
+def broadcast_byte_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
 
-    The count reads at most ``max_rows + 1`` rows; dimensions come from staged
-    Parquet, so this is cheap.
-    """
-    limit = broadcast_limit(dim) if max_rows is None else max_rows
-    return dim.limit(limit + 1).count() <= limit
+
+def _width(field: T.StructField) -> Column:
+    """Bytes of one value: exact for text and binary, fixed width otherwise."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
+    return F.lit(16 if isinstance(field.dataType, T.DecimalType) else 8).cast("long")
 
 
-def sized_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim``."""
-    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
+def fits_broadcast(dim: DataFrame, max_rows: int | None = None,
+                   max_bytes: int | None = None) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows and its rows add up to
+    at most ``max_bytes`` (text measured exactly, plus a per-row overhead).
+
+    One pass over at most ``max_rows + 1`` rows decides both; dimensions come
+    from staged Parquet, so this is cheap, and a huge table is never read in
+    full just to learn that it is too big.
+    """
+    limit = broadcast_limit(dim) if max_rows is None else max_rows
+    byte_limit = broadcast_byte_limit(dim) if max_bytes is None else max_bytes
+    width = F.lit(ROW_OVERHEAD_BYTES).cast("long")
+    for f in dim.schema.fields:
+        width = width + _width(f)
+    row = dim.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"),
+                                   F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return row["n"] <= limit and row["b"] <= byte_limit
+
+
+def sized_broadcast(dim: DataFrame, max_rows: int | None = None,
+                    max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(dim)`` when it passes ``fits_broadcast``, else ``dim`` (the
+    planner and adaptive execution then choose the join)."""
+    return F.broadcast(dim) if fits_broadcast(dim, max_rows, max_bytes) else dim
 
 
 @dataclass(frozen=True)

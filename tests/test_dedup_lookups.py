@@ -48,6 +48,14 @@ def test_sized_broadcast_respects_limit(spark):
     assert "ResolvedHint (strategy=broadcast)" not in plan_text(big, "extended")
 
 
+def test_broadcast_byte_limit(spark):
+    from ledgerloom.operators.lookups import fits_broadcast
+    wide = spark.range(100).selectExpr("id", "repeat('x', 1000) AS text")
+    assert fits_broadcast(wide, 1000, 200_000)            # ~100 * (1000 + 8 + 32) bytes
+    assert not fits_broadcast(wide, 1000, 50_000)
+    assert fits_broadcast(spark.range(0), 10, 10)
+
+
 def test_orphans_and_nulls(spark):
     parent = spark.createDataFrame([(1,), (2,), (None,)], "id long")
     child = spark.createDataFrame([(1,), (1,), (3,), (3,), (4,), (None,)], "fk long")
