@@ -24,7 +24,8 @@ from .plans.normalize import Normalizer, flat_load
 from .plans.publish import current_run, read_tables, run_and_publish, table_counts
 from .plans.views import sales_by_region_category, sales_view
 from .sources import fixtures
-from .sources.readers import clean_raw_orders
+from .schemas import SOURCE_HEADERS
+from .sources.readers import clean_raw_orders, read_sheet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +62,18 @@ def scan_raw_orders(spark, sf):
     return clean_raw_orders(fixtures.raw_orders(spark, sf)).drop("row_id")
 
 
+def scan_csv_sheets(spark, sf):
+    """The raw orders sheet written as CSV under its source header names, then
+    read back through the sheet reader (header mapping, NA markers, declared
+    types)."""
+    raw = fixtures.raw_orders(spark, sf).drop("row_id")
+    source_names = {ours: theirs for theirs, ours in SOURCE_HEADERS.items()}
+    path = stage_path(spark, "csv-sheet")
+    raw.select(*[F.col(c).alias(source_names[c]) for c in raw.columns]) \
+       .write.option("header", True).csv(path)
+    return read_sheet(spark, path, "orders").drop("row_id")
+
+
 def raw_counts(spark, sf):
     ro, rp, rr = fixtures.raw_inputs(spark, sf)
     return table_counts({"raw_orders": ro, "raw_people": rp, "raw_returns": rr})
@@ -285,6 +298,7 @@ def sales_by_region_category_query(spark, sf):
 
 _BUILDERS: dict[str, Query] = {
     "scan_raw_orders": scan_raw_orders,
+    "scan_csv_sheets": scan_csv_sheets,
     "raw_counts": raw_counts,
     "parse_locale_number": parse_locale_number,
     "postal_normalize": postal_normalize,

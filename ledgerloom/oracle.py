@@ -256,6 +256,7 @@ def oracle_queries() -> dict[str, str]:
                      "ELSE CAST((c_custkey % 50) * 1999 AS DOUBLE) END")
     body = {
         "scan_raw_orders": f"SELECT {raw_select} FROM raw_orders",
+        "scan_csv_sheets": f"SELECT {raw_select} FROM raw_orders",
         "raw_counts": _counts_sql([("raw_orders", "raw_orders"), ("raw_people", "raw_people"),
                                    ("raw_returns", "raw_returns")]),
         "parse_locale_number": (
