@@ -83,6 +83,8 @@ def test_publish_gate(spark):
     bad = run_and_publish(ro, rp, rr, base, expected_rows=wrong)
     assert not bad.published
     assert current_run(spark, base) == ok.run_dir    # previous good run stays current
+    newer = run_and_publish(ro, rp, rr, base)
+    assert newer.published and current_run(spark, base) == newer.run_dir
 
 
 def test_workbook_expectations_shape(spark, built):
