@@ -16,8 +16,11 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Session settings the library relies on. AQE stays on so that shuffle
-# partitions are coalesced / skewed join partitions split at runtime.
+# partitions are coalesced / skewed join partitions split at runtime. Tables of
+# a load are built by concurrent jobs; FAIR scheduling shares the executors
+# between them instead of running the first-submitted job's tasks first.
 DEFAULT_CONF = {
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
