@@ -44,18 +44,20 @@ def fits_broadcast(dim: DataFrame, max_rows: int | None = None,
     """True when ``dim`` has at most ``max_rows`` rows and its rows add up to
     at most ``max_bytes`` (text measured exactly, plus a per-row overhead).
 
-    One pass over at most ``max_rows + 1`` rows decides both; dimensions come
-    from staged Parquet, so this is cheap, and a huge table is never read in
-    full just to learn that it is too big.
+    The row count comes first: on Parquet it is answered from row-group
+    metadata, so a huge table is rejected without reading its columns (a
+    ``limit`` would funnel rows through one task instead). Only a table that
+    passes is measured, and that pass reads at most ``max_rows`` rows.
     """
     limit = broadcast_limit(dim) if max_rows is None else max_rows
     byte_limit = broadcast_byte_limit(dim) if max_bytes is None else max_bytes
+    if dim.count() > limit:
+        return False
     width = F.lit(ROW_OVERHEAD_BYTES).cast("long")
     for f in dim.schema.fields:
         width = width + _width(f)
-    row = dim.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"),
-                                   F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
-    return row["n"] <= limit and row["b"] <= byte_limit
+    size = dim.agg(F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()["b"]
+    return size <= byte_limit
 
 
 def sized_broadcast(dim: DataFrame, max_rows: int | None = None,
