@@ -71,12 +71,3 @@ def dense_key(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
     keyed = staged.join(F.broadcast(offsets), _PART, "inner")
     key = (F.col(_OFF) + F.col(_POS) + F.lit(start)).cast("bigint").alias(key_col)
     return keyed.select(key, *[F.col(c) for c in df.columns if c != key_col])
-
-
-def row_number_key(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
-                   start: int = 1) -> DataFrame:
-    """Single-window form of the same key. One task numbers every row; kept as
-    the reference implementation for tests on small inputs only."""
-    w = Window.orderBy(*_ordering(order_by))
-    return df.select((F.row_number().over(w) + F.lit(start - 1)).cast("bigint").alias(key_col),
-                     *[F.col(c) for c in df.columns if c != key_col])
