@@ -154,3 +154,12 @@ def test_flat_load_writes_and_keeps_first(spark, tmp_path):
     assert out["orders"].count() == len(EDGE_LINES)
     again = flat_load(ro, people, returns, out_dir=str(tmp_path / "flat"))
     assert again["people"].count() == 2
+
+
+def test_store_overflow_stops_the_build(spark):
+    """sales 123456789.5 does not fit decimal(12,4): the load fails instead of
+    storing a wrong or NULL amount (ANSI cast)."""
+    from pyspark.errors import PySparkException
+    ro, rp, rr = frames(spark, lines=[line(), line(order="O-big", sales=123456789.5)])
+    with pytest.raises(PySparkException):
+        Normalizer(ro, rp, rr).build(["order_details"])
