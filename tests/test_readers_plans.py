@@ -66,3 +66,27 @@ def test_lookups_broadcast_and_scans_pruned(spark):
     assert "BroadcastHashJoin" in plan
     assert "ReadSchema: struct<order_id:string,ship_date:timestamp_ntz,ship_mode:string>" in plan
     assert plan.count("hashpartitioning(") == 1
+
+
+def test_read_parquet_sheets_strict_and_lenient(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    d = tempfile.mkdtemp(prefix="ll-pq-")
+    people = spark.createDataFrame([("Ann", "East"), ("NA", "West")], "`Person` string, `Region` string")
+    people.write.parquet(f"{d}/people")
+    got = sorted(((r["person"], r["region"]) for r in read_sheet(spark, f"{d}/people", "people",
+                                                                 fmt="parquet").collect()),
+                 key=lambda t: t[1])
+    assert got == [("Ann", "East"), (None, "West")]
+    returns = spark.createDataFrame([("Yes", "O-1")], "`Returned` string, `Order ID` string")
+    returns.write.parquet(f"{d}/returns")
+    assert read_sheet(spark, f"{d}/returns", "returns", fmt="parquet").first().asDict() == \
+        {"returned": "Yes", "order_id": "O-1"}
+    orders = spark.createDataFrame([("O-1", "12.5", "2020-01-02 00:00:00"), ("O-2", "n/a", "junk")],
+                                   "`Order ID` string, `Sales` string, `Order Date` string")
+    orders.write.parquet(f"{d}/orders")
+    lenient = read_sheet(spark, f"{d}/orders", "orders", fmt="parquet", strict=False)
+    rows = {r["order_id"]: (r["sales"], r["order_date"]) for r in lenient.collect()}
+    assert rows["O-1"][0] == 12.5 and rows["O-2"] == (None, None)
+    with pytest.raises(PySparkException):
+        read_sheet(spark, f"{d}/orders", "orders", fmt="parquet").collect()
