@@ -69,3 +69,16 @@ def test_dense_key_start_offset(spark):
        n=st.integers(1, 9))
 def test_dense_key_property(spark, rows, n):
     _check(spark, rows, n)
+
+
+def test_hot_leading_value_spans_range_partitions(spark):
+    """A third of the rows share the leading key column; range bounds over the
+    whole tuple still spread them over several partitions (no single hot task),
+    and the keys stay exact."""
+    rows = [("hot", i, 0.0) for i in range(300)] + [(f"k{i}", i, 0.0) for i in range(600)]
+    df = spark.createDataFrame(rows, "a string, b bigint, c double")
+    ordering = [F.col(c).asc_nulls_first() for c in ORDER]
+    parts = (df.repartitionByRange(6, *ordering).filter(F.col("a") == "hot")
+             .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts >= 2
+    assert _keys(dense_key(df, ORDER, "k", num_partitions=6)) == _keys(row_number_key(df, ORDER, "k"))
