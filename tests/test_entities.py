@@ -186,3 +186,18 @@ def test_hot_keys_on_the_shuffled_path(spark):
     finally:
         for k in confs:
             spark.conf.unset(k)
+
+
+def test_failed_run_is_not_published_and_leaves_no_staging(spark):
+    import os
+
+    from ledgerloom.config import stage_path
+    from ledgerloom.plans.normalize import KeyViolation
+    from ledgerloom.plans.publish import current_run, run_and_publish
+    ro, rp, rr = frames(spark)
+    base = stage_path(spark, "warehouse-fail")
+    with pytest.raises(KeyViolation):
+        run_and_publish(ro, rp, rr, base, strict=True)
+    assert current_run(spark, base) is None
+    runs = os.path.join(base.replace("file:", ""), "runs")
+    assert all(not os.path.exists(os.path.join(runs, r, "_staging")) for r in os.listdir(runs))
