@@ -342,11 +342,13 @@ _BUILDERS: dict[str, Query] = {
 }
 
 
-# Decimal columns of each query result. The stored tables keep their exact
-# decimal types; the registered results hand these columns out as DOUBLE
-# (cast after all decimal arithmetic), in the Spark result and in its oracle
-# SQL alike, so a comparison by value does not depend on how a client library
-# converts decimals (Decimal objects in one engine, floats in the other).
+# Columns each query result hands out as DOUBLE. The stored tables keep their
+# exact types; the cast happens after all arithmetic, in the Spark result and
+# in its oracle SQL alike, so a comparison by value does not depend on how a
+# client library converts them. Decimals come out as Decimal objects from one
+# engine and floats from the other; an integer column holding NULLs comes out
+# as float from one and as a nullable integer from the other. Doubles hold
+# these values exactly (integers below 2**53, decimals of at most 18 digits).
 MONEY = ("sales", "discount", "profit")
 REPORT = ("expected", "actual")
 DECIMAL_OUTPUTS: dict[str, tuple[str, ...]] = {
@@ -361,6 +363,7 @@ DECIMAL_OUTPUTS: dict[str, tuple[str, ...]] = {
     "check_row_counts": REPORT,
     "check_control_totals": REPORT,
     "validation_report": REPORT,
+    "returns_unfiltered": ("detail_id",),   # NULL for a return of an unknown order
 }
 
 

@@ -40,7 +40,8 @@ def test_entry_smoke(spark):
 
 
 def test_decimal_outputs_listed(spark):
-    """Every decimal column of a registered result is in DECIMAL_OUTPUTS."""
+    """Every decimal column of a registered result is in DECIMAL_OUTPUTS
+    (which also lists nullable integer columns)."""
     from pyspark.sql.types import DecimalType
 
     from ledgerloom.catalog import _BUILDERS, DECIMAL_OUTPUTS
