@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import stage_path
+from ..config import remove_path, stage_path
 from ..operators.dedup import keep_first
 from ..operators.integrity import duplicate_keys
 from ..schemas import RAW_ORDERS_SCHEMA, TABLE_ORDER, TABLES
@@ -115,6 +115,14 @@ class Normalizer:
     def path(self, name: str) -> str:
         return f"{self.run_dir}/{name}"
 
+    def cleanup_staging(self) -> bool:
+        """Delete ``<run_dir>/_staging`` (staged raw rows, dense-key stages).
+        The written tables do not read from it; ``raw_orders`` is staged again
+        if asked for afterwards."""
+        if self._staged_raw is not None and self._staged_raw is not self._raw_orders:
+            self._staged_raw = None
+        return remove_path(self.spark, f"{self.run_dir}/_staging")
+
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
             built = self._builders()[name]()
@@ -169,9 +177,14 @@ def normalize(raw_orders: DataFrame, raw_people: DataFrame, raw_returns: DataFra
               run_dir: str | None = None, stage_raw: bool = True,
               num_partitions: int | None = None, strict: bool = False) -> dict[str, DataFrame]:
     """All nine tables, written under ``run_dir`` (a fresh folder under the
-    checkpoint root by default), as DataFrames over the written files."""
-    return Normalizer(raw_orders, raw_people, raw_returns, run_dir, stage_raw,
-                      num_partitions, strict).build()
+    checkpoint root by default), as DataFrames over the written files. The
+    run's staging folder is removed afterwards."""
+    normalizer = Normalizer(raw_orders, raw_people, raw_returns, run_dir, stage_raw,
+                            num_partitions, strict)
+    try:
+        return normalizer.build()
+    finally:
+        normalizer.cleanup_staging()
 
 
 def flat_load(raw_orders: DataFrame, raw_people: DataFrame, raw_returns: DataFrame,

@@ -63,3 +63,15 @@ def test_fixture_golden_counts_and_totals(base):
     assert {n: tables[n].count() for n in expected} == expected
     sums = tables["order_details"].agg(F.sum("sales"), F.sum("profit")).first()
     assert (sums[0], sums[1]) == (Decimal("317364757.3100"), Decimal("-225679.2873"))
+
+
+def test_normalize_function_cleans_staging(spark):
+    import os
+
+    from ledgerloom.config import stage_path
+    from ledgerloom.plans.normalize import normalize
+    ro, rp, rr = fixtures.raw_inputs(spark, SF_SMALL)
+    run_dir = stage_path(spark, "normalize-fn")
+    tables = normalize(ro, rp, rr, run_dir=run_dir)
+    assert tables["order_details"].count() == 6000
+    assert not os.path.exists(run_dir.replace("file:", "") + "/_staging")
