@@ -62,14 +62,29 @@ def postal_or_default(c: ColumnOrName) -> Column:
     return F.coalesce(_col(c), F.lit(POSTAL_DEFAULT))
 
 
-def parse_timestamp(c: ColumnOrName, fmt: str | None = None, lenient: bool = False) -> Column:
-    """Datetime-like text (or timestamp) → zone-less timestamp."""
+def parse_timestamp(c: ColumnOrName, fmt: str | tuple[str, ...] | None = None,
+                    lenient: bool = False) -> Column:
+    """Datetime-like text (or timestamp) → zone-less timestamp.
+
+    ``fmt`` is one pattern or several tried in turn (e.g. ``("M/d/yyyy",
+    "yyyy-MM-dd HH:mm:ss")``); with several, ISO text is also accepted. Text
+    that no pattern reads raises, or becomes NULL when ``lenient``.
+    """
     c = _col(c)
     if fmt is None:
         return c.try_cast("timestamp_ntz") if lenient else c.cast("timestamp_ntz")
+    if isinstance(fmt, str):
+        if lenient:
+            return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+        return F.to_timestamp_ntz(c, F.lit(fmt))
+    text = c.cast("string")
+    parsed = F.coalesce(text.try_cast("timestamp_ntz"),
+                        *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in fmt])
     if lenient:
-        return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
-    return F.to_timestamp_ntz(c, F.lit(fmt))
+        return parsed
+    bad = F.concat(F.lit("unreadable date: "), text)
+    return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(bad).cast("timestamp_ntz")) \
+            .otherwise(parsed)
 
 
 def format_timestamp(c: ColumnOrName, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:

@@ -31,13 +31,15 @@ def rename_headers(df: DataFrame, mapping: dict[str, str] = SOURCE_HEADERS) -> D
 
 
 def conform(df: DataFrame, schema: T.StructType, locale_numbers: bool = False,
-            strict: bool = True, na_markers: tuple[str, ...] = NA_MARKERS) -> DataFrame:
+            strict: bool = True, na_markers: tuple[str, ...] = NA_MARKERS,
+            date_formats: tuple[str, ...] | None = None) -> DataFrame:
     """Cast ``df`` to ``schema`` column by column.
 
     Text columns: missing markers → NULL. Numeric columns read as text: markers
     → NULL, then either a locale parse (thousands ``' '``, decimal ``','``) or a
-    plain cast. ``strict`` raises on text that is not a number or date;
-    otherwise such cells become NULL. A schema column absent from ``df`` is
+    plain cast. Dates are read as ISO text or by one of ``date_formats``
+    (e.g. ``("M/d/yyyy",)``). ``strict`` raises on text that is not a number
+    or date; otherwise such cells become NULL. A schema column absent from ``df`` is
     NULL (only ``row_id`` is optional).
     """
     present = set(df.columns)
@@ -53,7 +55,7 @@ def conform(df: DataFrame, schema: T.StructType, locale_numbers: bool = False,
         if isinstance(f.dataType, T.StringType):
             out = c.cast("string")
         elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
-            out = parse_timestamp(c, lenient=not strict)
+            out = parse_timestamp(c, date_formats, lenient=not strict)
         elif isinstance(src, T.StringType) and locale_numbers:
             out = parse_locale_number(c, strict=strict).cast(f.dataType)
         elif strict:
@@ -66,7 +68,8 @@ def conform(df: DataFrame, schema: T.StructType, locale_numbers: bool = False,
 
 def read_sheet(spark: SparkSession, path: str, sheet: str, fmt: str = "csv",
                locale_numbers: bool = False, strict: bool = True,
-               options: dict[str, str] | None = None) -> DataFrame:
+               options: dict[str, str] | None = None,
+               date_formats: tuple[str, ...] | None = None) -> DataFrame:
     """Read one sheet (``orders`` | ``people`` | ``returns``) from files.
 
     CSV is read as text with the header row for names (no type inference) and
@@ -82,7 +85,8 @@ def read_sheet(spark: SparkSession, path: str, sheet: str, fmt: str = "csv",
     else:
         df = reader.format(fmt).load(path)
     df = spread(df)
-    return conform(rename_headers(df), schema, locale_numbers=locale_numbers, strict=strict)
+    return conform(rename_headers(df), schema, locale_numbers=locale_numbers, strict=strict,
+                   date_formats=date_formats)
 
 
 def clean_raw_orders(df: DataFrame, strict: bool = True) -> DataFrame:

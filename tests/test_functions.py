@@ -72,3 +72,16 @@ def test_sentinel(spark):
     df = one_col(spark, [None, 5], "bigint")
     assert [r[0] for r in df.select(sentinel("x")).collect()] == ["-", "5"]
     assert df.select(sentinel(F.col("x"), "n/a")).first()[0] == "n/a"
+
+
+def test_dates_in_several_formats(spark):
+    df = one_col(spark, ["11/8/2016", "2016-11-08 00:00:00", "2016-11-08", "1/2/2017", None, "junk"],
+                 "string")
+    fmts = ("M/d/yyyy", "yyyy-MM-dd HH:mm:ss")
+    got = [r[0] for r in df.select(parse_timestamp("x", fmts, lenient=True)).collect()]
+    d = dt.datetime(2016, 11, 8)
+    assert got == [d, d, d, dt.datetime(2017, 1, 2), None, None]
+    assert [r[0] for r in df.filter("x IS NULL OR x != 'junk'").select(parse_timestamp("x", fmts)).collect()] \
+        == [d, d, d, dt.datetime(2017, 1, 2), None]
+    with pytest.raises(PySparkException):
+        df.select(parse_timestamp("x", fmts)).collect()
