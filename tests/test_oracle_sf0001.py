@@ -29,6 +29,7 @@ def test_every_query_has_oracle():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
+    assert df.inputFiles(), "a registered query reads the given tables or files derived from them"
     assert spark_bag(df) == duck_bag(con, entry.oracle_sql()[name])
 
 
