@@ -53,3 +53,17 @@ def test_csv_sheets_to_published_run(spark):
     sums = run.tables["order_details"].agg(F.sum("sales"), F.sum("profit")).first()
     assert (sums[0], sums[1]) == (Decimal("317364757.3100"), Decimal("-225679.2873"))
     assert not os.path.exists(run.run_dir.replace("file:", "") + "/_staging")
+
+
+def test_command_line_load(spark, capsys):
+    from ledgerloom.__main__ import main
+    src = stage_path(spark, "cli-sheets")
+    fixtures.raw_orders(spark, SF_SMALL).drop("row_id").write.parquet(f"{src}/orders")
+    fixtures.raw_people(spark, SF_SMALL).write.parquet(f"{src}/people")
+    fixtures.raw_returns(spark, SF_SMALL).write.parquet(f"{src}/returns")
+    base = stage_path(spark, "cli-warehouse")
+    args = ["--orders", f"{src}/orders", "--people", f"{src}/people", "--returns",
+            f"{src}/returns", "--base", base, "--format", "parquet"]
+    assert main(args, spark) == 0
+    assert "published" in capsys.readouterr().out
+    assert current_run(spark, base) is not None
