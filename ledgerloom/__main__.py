@@ -1,8 +1,10 @@
 """Command-line load: read the three sheets, build, validate, publish.
 
-    spark-submit --py-files ledgerloom.zip -m ledgerloom \\
-        --orders s3://…/orders/ --people s3://…/people/ --returns s3://…/returns/ \\
-        --base s3://…/warehouse [--format csv] [--locale-numbers] [--date-format M/d/yyyy] [--strict]
+    python -m ledgerloom --orders s3://…/orders/ --people s3://…/people/ \\
+        --returns s3://…/returns/ --base s3://…/warehouse \\
+        [--format csv] [--locale-numbers] [--date-format M/d/yyyy] [--strict]
+
+(with spark-submit: ``tools/run_load.py`` takes the same arguments)
 
 Prints the validation report; the exit code is 0 when the run was published
 and 1 otherwise, so a scheduler can gate on it.
