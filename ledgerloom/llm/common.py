@@ -11,7 +11,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -46,8 +48,23 @@ class Scratch:
             remove_path(self.spark, t.scratch_path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, so
+    that a caller's working folder doesn't matter; a cluster ships it as usual
+    (``--py-files``)."""
+    env = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
+def table_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table_of(spark, sf_dir, "documents")
 
 
 # --- components ------------------------------------------------------------

@@ -34,4 +34,34 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_i
 FROM sets s JOIN comp c ON c.doc_id = s.doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_minhash_near_dedup": NEAR_DUPLICATES}
+WORDS = f"regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+CONTAMINATION = f"""
+WITH items AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS k, list_slice(w, i, i + least(10, len(w)) - 1) AS g
+  FROM items, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS u(i) WHERE len(w) > 0
+), docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+sizes AS (SELECT DISTINCT k FROM windows),
+grams AS (
+  SELECT r, k, i, list_slice(w, i, i + k - 1) AS g
+  FROM docs, sizes, unnest(range(1, len(w) - k + 2)) AS u(i)
+), found AS (
+  SELECT g.r, g.i, g.k, x.item_id FROM grams g JOIN windows x ON x.k = g.k AND x.g = g.g
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, i, k FROM found) f, unnest(range(i, i + k)) AS u(p)
+  GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS names
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.names, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h USING (r) LEFT JOIN named n USING (r)
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_minhash_near_dedup": NEAR_DUPLICATES,
+    "op6_benchmark_decontamination": CONTAMINATION,
+}
