@@ -61,7 +61,28 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
 FROM docs d LEFT JOIN hit h USING (r) LEFT JOIN named n USING (r)
 """
 
+SIMILAR_EMBEDDINGS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN comp c USING (vec_id) LEFT JOIN counts n USING (vec_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_benchmark_decontamination": CONTAMINATION,
+    "op8_pstable_embedding_dedup": SIMILAR_EMBEDDINGS,
 }

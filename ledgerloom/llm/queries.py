@@ -19,7 +19,13 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(docs_of(spark, sf_dir), table_of(spark, sf_dir, "benchmark"))
 
 
+def op8_pstable_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embed_dedup import near_embeddings
+    return near_embeddings(table_of(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op8_pstable_embedding_dedup": op8_pstable_embedding_dedup,
 }
