@@ -81,8 +81,19 @@ SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.
 FROM embeddings e JOIN comp c USING (vec_id) LEFT JOIN counts n USING (vec_id)
 """
 
+ARCHIVED_PAGES = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), top AS (SELECT h, max(page_id) AS original FROM p WHERE n >= 1000 GROUP BY h)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, sha1(p.h) AS payload_digest,
+       CASE WHEN top.original <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN top.original <> p.page_id THEN top.original END AS refers_to
+FROM p LEFT JOIN top ON p.h = top.h AND p.n >= 1000
+"""
+
 ORACLE: dict[str, str] = {
     "op2_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_benchmark_decontamination": CONTAMINATION,
+    "op5_warc_round_trip": ARCHIVED_PAGES,
     "op8_pstable_embedding_dedup": SIMILAR_EMBEDDINGS,
 }

@@ -24,8 +24,14 @@ def op8_pstable_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table_of(spark, sf_dir, "embeddings"))
 
 
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive_round_trip
+    return archive_round_trip(table_of(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op5_warc_round_trip": op5_warc_round_trip,
     "op8_pstable_embedding_dedup": op8_pstable_embedding_dedup,
 }
