@@ -24,6 +24,11 @@ def op8_pstable_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table_of(spark, sf_dir, "embeddings"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import secret_spans
+    return secret_spans(docs_of(spark, sf_dir))
+
+
 def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive_round_trip
     return archive_round_trip(table_of(spark, sf_dir, "pages"))
@@ -32,6 +37,7 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op3_secret_scan": op3_secret_scan,
     "op5_warc_round_trip": op5_warc_round_trip,
     "op8_pstable_embedding_dedup": op8_pstable_embedding_dedup,
 }
