@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import docs_of, table_of
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify
+    return identify(docs_of(spark, sf_dir))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_duplicates
     return near_duplicates(docs_of(spark, sf_dir))
@@ -19,6 +24,11 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(docs_of(spark, sf_dir), table_of(spark, sf_dir, "benchmark"))
 
 
+def op7_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+    return pack(docs_of(spark, sf_dir))
+
+
 def op8_pstable_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .embed_dedup import near_embeddings
     return near_embeddings(table_of(spark, sf_dir, "embeddings"))
@@ -34,10 +44,18 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table_of(spark, sf_dir, "pages"))
 
 
+def op9_paragraph_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import repeated_passages
+    return repeated_passages(docs_of(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op3_secret_scan": op3_secret_scan,
     "op5_warc_round_trip": op5_warc_round_trip,
+    "op7_length_bucket_packing": op7_length_bucket_packing,
     "op8_pstable_embedding_dedup": op8_pstable_embedding_dedup,
+    "op9_paragraph_substring_dedup": op9_paragraph_substring_dedup,
 }
