@@ -39,6 +39,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(docs_of(spark, sf_dir))
 
 
+def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii_crf import personal_data
+    return personal_data(docs_of(spark, sf_dir))
+
+
 def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive_round_trip
     return archive_round_trip(table_of(spark, sf_dir, "pages"))
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op3_secret_scan": op3_secret_scan,
+    "op4_pii_crf": op4_pii_crf,
     "op5_warc_round_trip": op5_warc_round_trip,
     "op7_length_bucket_packing": op7_length_bucket_packing,
     "op8_pstable_embedding_dedup": op8_pstable_embedding_dedup,
