@@ -54,6 +54,11 @@ def op9_paragraph_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame
     return repeated_passages(docs_of(spark, sf_dir))
 
 
+def op10_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+    return classify(docs_of(spark, sf_dir), table_of(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -64,4 +69,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_length_bucket_packing": op7_length_bucket_packing,
     "op8_pstable_embedding_dedup": op8_pstable_embedding_dedup,
     "op9_paragraph_substring_dedup": op9_paragraph_substring_dedup,
+    "op10_co_trained_quality": op10_co_trained_quality,
 }
