@@ -243,9 +243,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10,
                   max_coverage: float = 0.5) -> DataFrame:
     """``docs`` with contaminated spans removed from the text; a document of whose
     words more than ``max_coverage`` are hit is dropped."""
-    found = match_items(docs, items, window)
+    rows = docs.select(F.struct("*").alias("_row"), "text")  # columns of any name pass through
+    found = match_items(rows, items, window)
     found = found.filter(hit_words() <= F.lit(max_coverage) * F.col(STATE[0]))
-    return found.mapInArrow(_cut, found.schema).drop(*STATE)
+    return found.mapInArrow(_cut, found.schema).select(
+        *(F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:

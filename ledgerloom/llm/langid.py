@@ -256,8 +256,13 @@ def _accepted(shared, least: float):
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            lang, score = shared.value.scores(batch.column("text").to_pylist())
-            yield batch.filter(pa.array([x != "und" and s >= least for x, s in zip(lang, score)], pa.bool_()))
+            texts = batch.column("text").to_pylist()
+            if shared.value.langs:
+                lang, score = shared.value.scores(texts)
+                keep = [x != "und" and s >= least for x, s in zip(lang, score)]
+            else:  # nothing to learn from: only texts without a letter go
+                keep = [bool(t and LETTERS.search(t)) for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
     return run
 
 

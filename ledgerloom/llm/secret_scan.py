@@ -241,7 +241,7 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mask: str = "<SECRET>") -> DataFrame:
     """``docs`` with every span (overlapping ones merged) replaced by ``mask``."""
-    found = scan(docs)
+    found = scan(docs.select(F.struct("*").alias("_row"), "text"))  # columns of any name pass through
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -251,5 +251,5 @@ def redact(docs: DataFrame, mask: str = "<SECRET>") -> DataFrame:
                         F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(gap, F.lit(mask)))).alias("out"))
     text = F.aggregate("_spans", zero, step, lambda acc: F.concat(
         F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["at"] + 1, F.char_length("text") - acc["at"])))
-    return (found.withColumn("text", F.when(F.size("_spans") > 0, text).otherwise(F.col("text")))
-            .select(*docs.columns))
+    text = F.when(F.size("_spans") > 0, text).otherwise(F.col("text"))
+    return found.select(*(text.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
