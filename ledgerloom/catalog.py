@@ -25,7 +25,7 @@ from .plans.publish import current_run, read_tables, run_and_publish, table_coun
 from .plans.views import sales_by_region_category, sales_view
 from .schemas import SOURCE_HEADERS
 from .sources import fixtures
-from .sources.readers import clean_raw_orders, read_sheet
+from .sources.readers import CSV_OPTIONS, clean_raw_orders, read_sheet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,7 +70,7 @@ def scan_csv_sheets(spark, sf):
     source_names = {ours: theirs for theirs, ours in SOURCE_HEADERS.items()}
     path = stage_path(spark, "csv-sheet")
     raw.select(*[F.col(c).alias(source_names[c]) for c in raw.columns]) \
-       .write.option("header", True).csv(path)
+       .write.options(**CSV_OPTIONS).csv(path)
     return read_sheet(spark, path, "orders").drop("row_id")
 
 

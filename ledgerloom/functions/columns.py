@@ -44,17 +44,20 @@ def postal_normalize(c: ColumnOrName, lenient: bool = False) -> Column:
     NULL → ``'00000'``; 2101.0 → ``'02101'``; 90210.9 → ``'90210'`` (truncation);
     codes longer than five digits stay whole (plain ``lpad`` would cut them);
     a negative code keeps its sign in front of the padding. Text that is not a
-    number raises, or gives NULL when ``lenient``.
+    number raises, or stays as it is when ``lenient``, so that different codes
+    never become one.
     """
     c = _col(c)
     as_num = c.try_cast("double") if lenient else c.cast("double")
     digits = F.coalesce(as_num, F.lit(0.0)).cast("bigint").cast("string")
     if lenient:
         digits = F.when(c.isNull() | as_num.isNotNull(), digits)
+    text = c.cast("string")
     negative = digits.startswith("-")
     padded = F.when(negative, F.concat(F.lit("-"), F.lpad(F.substring(digits, 2, 64), POSTAL_WIDTH - 1, "0"))) \
               .otherwise(F.lpad(digits, POSTAL_WIDTH, "0"))
-    return F.when(F.length(digits) < POSTAL_WIDTH, padded).otherwise(digits)
+    out = F.when(F.length(digits) < POSTAL_WIDTH, padded).otherwise(digits)
+    return F.coalesce(out, text) if lenient else out
 
 
 def postal_or_default(c: ColumnOrName) -> Column:
@@ -75,11 +78,10 @@ def parse_timestamp(c: ColumnOrName, fmt: str | tuple[str, ...] | None = None,
         return c.try_cast("timestamp_ntz") if lenient else c.cast("timestamp_ntz")
     if isinstance(fmt, str):
         if lenient:
-            return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+            return _zoneless(c, fmt)
         return F.to_timestamp_ntz(c, F.lit(fmt))
     text = c.cast("string")
-    parsed = F.coalesce(text.try_cast("timestamp_ntz"),
-                        *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in fmt])
+    parsed = F.coalesce(text.try_cast("timestamp_ntz"), *[_zoneless(text, f) for f in fmt])
     if lenient:
         return parsed
     bad = F.concat(F.lit("unreadable date: "), text)
@@ -87,6 +89,15 @@ def parse_timestamp(c: ColumnOrName, fmt: str | tuple[str, ...] | None = None,
             .otherwise(parsed)
 
 
+def _zoneless(text: Column, fmt: str) -> Column:
+    """NULL for text that ``fmt`` doesn't read. The text is read and printed in the
+    same zone, UTC, whatever the session's, so that no midnight is shifted by a
+    change of clocks."""
+    at = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{fmt} Z"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(at), epoch)
+
+
 def format_timestamp(c: ColumnOrName, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Timestamp → text; NULL stays NULL (export only)."""
     return F.date_format(_col(c), fmt)

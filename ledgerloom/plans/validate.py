@@ -20,7 +20,7 @@ from ..schemas import (CONTROL_TOLERANCE, FOREIGN_KEYS, LINE_GRAIN, LOOKUP_TABLE
                        TABLE_ORDER, TABLES, TOTAL_TYPE)
 from . import entities as E
 
-VALUE_TYPE = "decimal(22,4)"
+VALUE_TYPE = "decimal(38,4)"
 TOLERANCE = CONTROL_TOLERANCE
 
 REPORT_COLUMNS = ("check_group", "check_name", "expected", "actual", "status")

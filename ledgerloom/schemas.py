@@ -88,7 +88,7 @@ POSTAL_WIDTH = 5
 SALES_TYPE = "decimal(12,4)"
 DISCOUNT_TYPE = "decimal(6,4)"
 PROFIT_TYPE = "decimal(12,4)"
-TOTAL_TYPE = "decimal(18,4)"
+TOTAL_TYPE = "decimal(38,4)"
 
 # ---------------------------------------------------------------------------
 # Normalized model

@@ -37,16 +37,16 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
 
-    flat = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .join(part, F.col("l_partkey") == F.col("p_partkey")))
+    flat = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+            .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+            .join(part, F.col("l_partkey") == F.col("p_partkey"), "left"))
 
     cust_mod = F.col("c_custkey") % 50
     out = flat.select(
         F.lit(None).cast("bigint").alias("row_id"),
-        F.concat(F.lit("O-"), _text(F.col("o_orderkey"))).alias("order_id"),
+        F.concat(F.lit("O-"), _text(F.col("l_orderkey"))).alias("order_id"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("order_date"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("ship_date"),
         F.col("o_orderpriority").alias("ship_mode"),
@@ -87,15 +87,18 @@ def raw_people_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_returns(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> DataFrame:
-    """One 'Yes' row per returned line of every seventh order (duplicates on
-    purpose) plus one return of an order that does not exist."""
+    """One 'Yes' row per returned line (an order with several has duplicates)
+    plus one return of an order that does not exist."""
     li = table(spark, sf_dir, "lineitem")
-    rows = li.filter((F.col("l_returnflag") == "R") & (F.col("l_orderkey") % 7 == 0)).select(
+    rows = li.filter(F.col("l_returnflag") == "R").select(
         F.lit("Yes").alias("returned"),
         F.concat(F.lit("O-"), _text(F.col("l_orderkey"))).alias("order_id"),
         (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).cast("bigint").alias("seq"))
-    orphan = spark.range(1).select(
-        F.lit("Yes").alias("returned"), F.lit("O-none").alias("order_id"),
+    # read from a table, so that the plan keeps an equi-join on order_id
+    region = table(spark, sf_dir, "region")
+    orphan = region.filter(F.col("r_regionkey") == 0).select(
+        F.lit("Yes").alias("returned"),
+        F.concat(F.lit("O-none-"), _text(F.col("r_regionkey"))).alias("order_id"),
         F.lit(-1).cast("bigint").alias("seq"))
     out = rows.unionByName(orphan)
     return out if with_seq else out.drop("seq")

@@ -18,6 +18,11 @@ from ..functions.columns import na_to_null, parse_locale_number, parse_timestamp
 from ..schemas import (NA_MARKERS, RAW_ORDERS_SCHEMA, RAW_PEOPLE_SCHEMA, RAW_RETURNS_SCHEMA,
                        SOURCE_HEADERS)
 
+OPTIONAL = ("row_id",)
+
+# RFC 4180 text: quotes inside quoted cells are doubled, cells may hold line ends.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+
 RAW_SCHEMAS = {
     "orders": RAW_ORDERS_SCHEMA,
     "people": RAW_PEOPLE_SCHEMA,
@@ -39,10 +44,14 @@ def conform(df: DataFrame, schema: T.StructType, locale_numbers: bool = False,
     → NULL, then either a locale parse (thousands ``' '``, decimal ``','``) or a
     plain cast. Dates are read as ISO text or by one of ``date_formats``
     (e.g. ``("M/d/yyyy",)``). ``strict`` raises on text that is not a number
-    or date; otherwise such cells become NULL. A schema column absent from ``df`` is
-    NULL (only ``row_id`` is optional).
+    or date; otherwise such cells become NULL. ``row_id`` is optional; any other
+    column of the schema that ``df`` lacks is an error (a misspelt header would
+    otherwise load as NULL).
     """
     present = set(df.columns)
+    missing = [f.name for f in schema.fields if f.name not in present and f.name not in OPTIONAL]
+    if missing:
+        raise ValueError(f"missing columns {missing}; the sheet has {df.columns}")
     cols = []
     for f in schema.fields:
         if f.name not in present:
@@ -72,18 +81,18 @@ def read_sheet(spark: SparkSession, path: str, sheet: str, fmt: str = "csv",
                date_formats: tuple[str, ...] | None = None) -> DataFrame:
     """Read one sheet (``orders`` | ``people`` | ``returns``) from files.
 
-    CSV is read as text with the header row for names (no type inference) and
-    conformed; Parquet keeps its types and is conformed the same way. A source
+    CSV is read as RFC 4180 text with the header row for names (no type inference)
+    and conformed; ``strict`` fails on malformed rows; ``options`` override
+    ``CSV_OPTIONS`` (``multiLine=false`` lets Spark split large files whose cells
+    hold no line ends); Parquet keeps its types and is conformed the same way. A source
     of fewer splits than cores (one gzip file) is spread over the cores.
     """
     schema = RAW_SCHEMAS[sheet]
-    reader = spark.read
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
     if fmt == "csv":
-        df = reader.option("header", True).option("inferSchema", False).csv(path)
+        csv = {**CSV_OPTIONS, "inferSchema": "false", "mode": "FAILFAST" if strict else "PERMISSIVE", **(options or {})}
+        df = spark.read.options(**csv).csv(path)
     else:
-        df = reader.format(fmt).load(path)
+        df = spark.read.options(**(options or {})).format(fmt).load(path)
     df = spread(df)
     return conform(rename_headers(df), schema, locale_numbers=locale_numbers, strict=strict,
                    date_formats=date_formats)

@@ -23,10 +23,10 @@ def test_postal_normalize_edges(spark):
     assert got == ["00000", "02101", "90210", "123456", "90210", "00000", "00007", "-0005"]
 
 
-def test_postal_text_strict_raises_lenient_nulls(spark):
-    df = one_col(spark, ["V5K 0A1", "2101", None], "string")
+def test_postal_text_strict_raises_lenient_stays(spark):
+    df = one_col(spark, ["V5K 0A1", "02101-1234", "2101", None], "string")
     assert [r[0] for r in df.select(postal_normalize("x", lenient=True)).collect()] == \
-        [None, "02101", "00000"]
+        ["V5K 0A1", "02101-1234", "02101", "00000"]
     with pytest.raises(PySparkException):
         df.select(postal_normalize("x")).collect()
 

@@ -11,8 +11,8 @@ from ledgerloom.operators.lookups import lookup_distinct
 from ledgerloom.plans import entities as E
 from ledgerloom.plans.normalize import Normalizer
 from ledgerloom.sources import fixtures, read_sheet
-from ledgerloom.sources.readers import conform
-from ledgerloom.schemas import RAW_ORDERS_SCHEMA
+from ledgerloom.sources.readers import conform, rename_headers
+from ledgerloom.schemas import RAW_ORDERS_SCHEMA, RAW_RETURNS_SCHEMA
 
 HEADER = ("Row ID,Order ID,Order Date,Ship Date,Ship Mode,Customer ID,Customer Name,Segment,"
           "Country/Region,City,State,Postal Code,Region,Product ID,Category,Sub-Category,"
@@ -82,11 +82,74 @@ def test_read_parquet_sheets_strict_and_lenient(spark):
     returns.write.parquet(f"{d}/returns")
     assert read_sheet(spark, f"{d}/returns", "returns", fmt="parquet").first().asDict() == \
         {"returned": "Yes", "order_id": "O-1"}
+    from ledgerloom.schemas import RAW_ORDERS_SCHEMA, SOURCE_HEADERS
+    own = {"order_id", "sales", "order_date"}
+    names = {ours: theirs for theirs, ours in SOURCE_HEADERS.items()}
     orders = spark.createDataFrame([("O-1", "12.5", "2020-01-02 00:00:00"), ("O-2", "n/a", "junk")],
                                    "`Order ID` string, `Sales` string, `Order Date` string")
+    with pytest.raises(ValueError, match="missing columns"):
+        conform(rename_headers(orders), RAW_ORDERS_SCHEMA)
+    orders = orders.selectExpr("*", *(f"cast(null as string) `{names[f.name]}`" for f in RAW_ORDERS_SCHEMA
+                                      if f.name not in own | {"row_id"}))
     orders.write.parquet(f"{d}/orders")
     lenient = read_sheet(spark, f"{d}/orders", "orders", fmt="parquet", strict=False)
     rows = {r["order_id"]: (r["sales"], r["order_date"]) for r in lenient.collect()}
     assert rows["O-1"][0] == 12.5 and rows["O-2"] == (None, None)
     with pytest.raises(PySparkException):
         read_sheet(spark, f"{d}/orders", "orders", fmt="parquet").collect()
+
+
+def test_csv_follows_rfc_4180(spark):
+    from ledgerloom.sources.readers import CSV_OPTIONS
+    d = tempfile.mkdtemp(prefix="ll-csv-")
+    rows = [('Binder, 11" x 17", blue', "East"), ('ends 11"', "two\nlines"), ('"quoted"', "a,b"), ("NA", "x")]
+    spark.createDataFrame(rows, "Person string, Region string").write.options(**CSV_OPTIONS).csv(f"{d}/people")
+    got = {(r.person, r.region) for r in read_sheet(spark, f"{d}/people", "people").collect()}
+    assert got == {*rows[:3], (None, "x")}
+
+
+def test_misspelt_header_is_an_error(spark):
+    import pytest
+    bad = spark.createDataFrame([("Yes", "O-1")], "`Returned` string, `Order Id` string")
+    for strict in (True, False):
+        with pytest.raises(ValueError, match="order_id"):
+            conform(rename_headers(bad), RAW_RETURNS_SCHEMA, strict=strict)
+
+
+def test_dates_do_not_depend_on_the_session_zone(spark):
+    import datetime as dt
+
+    from ledgerloom.functions.columns import parse_timestamp
+    from pyspark.sql import functions as F
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        df = spark.createDataFrame([("10/15/2017",), ("2017-10-15 00:00:00",)], "d string")
+        got = [r[0] for r in df.select(parse_timestamp(F.col("d"), ("M/d/yyyy",))).collect()]
+        assert got == [dt.datetime(2017, 10, 15)] * 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_totals_beyond_fourteen_digits(spark):
+    from decimal import Decimal
+
+    from ledgerloom.plans.validate import _sums
+    lines = spark.range(3_000_000).selectExpr("cast(99999999.9999 as decimal(12,4)) sales",
+                                              "cast(-99999999.9999 as decimal(12,4)) profit")
+    assert _sums(lines, "s", "p").first()[0] == Decimal("99999999.9999") * 3_000_000
+
+
+def test_corrupt_manifest_is_an_error(spark):
+    import os
+
+    import pytest
+
+    from ledgerloom.plans.publish import MANIFEST, current_run
+    d = tempfile.mkdtemp(prefix="ll-man-")
+    assert current_run(spark, d) is None
+    os.makedirs(f"{d}/{MANIFEST}")
+    with open(f"{d}/{MANIFEST}/part-0.json", "w") as f:
+        f.write("{not json\n")
+    with pytest.raises(Exception):
+        current_run(spark, d)
