@@ -98,6 +98,12 @@ def spread(df):
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the file system it names."""
+    hpath = _context(spark)._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(_context(spark)._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete ``path`` recursively on whatever file system it names (HDFS, S3,
     local), through Hadoop's ``FileSystem``, as Spark itself would. Returns

@@ -18,6 +18,8 @@ FORBIDDEN = {
 
 def _code_lines():
     for path in sorted(PACKAGE.rglob("*.py")):
+        if "llm" in path.relative_to(PACKAGE).parts:  # Python operators with rules of their own
+            continue
         in_doc = False
         for no, line in enumerate(path.read_text().splitlines(), 1):
             stripped = line.strip()
