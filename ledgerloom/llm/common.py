@@ -12,10 +12,11 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,22 +126,93 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     return labels
 
 
-def bucket_components(scratch: Scratch, members: DataFrame,
-                      confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def runs(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """Runs of equal ``by`` from batches sorted by it; the last run of a batch may
+    go on in the next one and waits for it."""
+    rest = None
+    for pdf in batches:
+        if rest is not None:
+            pdf = pd.concat([rest, pdf], ignore_index=True)
+        new = np.any([pdf[c].to_numpy()[1:] != pdf[c].to_numpy()[:-1] for c in by], axis=0)
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(pdf)]
+        for s, e in zip(edges[:-2], edges[1:-1]):
+            yield pdf.iloc[s:e]
+        rest = pdf.iloc[edges[-2]:]
+    if rest is not None and len(rest):
+        yield rest
+
+
+def dealt(rows: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """Members ``rows(key, id, ...)`` of buckets ``sizes(key, n)`` dealt into blocks
+    of about ``block`` rows, once for every pair of blocks ``one <= two`` that
+    their own block (``side``) is in. A bucket of up to ``block`` rows is one
+    block; no task ever gets more than two blocks."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    other = F.col("other")
+    return (rows.join(sizes, "key")
+            .withColumn("side", F.pmod(F.xxhash64("id", "key"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .withColumn("one", F.least("side", other)).withColumn("two", F.greatest("side", other))
+            .drop("n", "other"))
+
+
+def _likely_pairs(likely: Callable):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                mask = likely(*(pdf[c].to_numpy() for c in ("n_a", "payload_a", "n_b", "payload_b")))
+                yield pdf.loc[mask, ["a", "b"]]
+    return run
+
+
+def _block_pairs(likely: Callable, exact: bool):
+    """Likely pairs of different components inside a block pair, each only in the
+    first bucket its ends share. If ``likely`` is exact, one link per pair of
+    components is enough."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in runs(batches, ["key", "one", "two"]):
+            ids, comp, side, n, payload = (part[c].to_numpy() for c in ("id", "comp", "side", "n", "payload"))
+            keys = np.frombuffer(b"".join(part["keys"]), np.int64).reshape(len(part), -1)
+            bucket = int((keys[0] == part["key"].iloc[0]).argmax())
+            across = part["one"].iloc[0] != part["two"].iloc[0]
+            found = []
+            for i in range(len(ids) - 1):
+                other = comp[i + 1:] != comp[i]
+                if across:
+                    other &= side[i + 1:] != side[i]
+                at = np.flatnonzero(other) + i + 1
+                if len(at):
+                    at = at[(keys[at] == keys[i]).argmax(axis=1) == bucket]
+                if len(at):
+                    at = at[likely(np.repeat(n[i], len(at)), [payload[i]] * len(at), n[at], payload[at])]
+                    found += [(ids[i], ids[k], comp[i], comp[k]) for k in at]
+            if found:
+                out = pd.DataFrame(found, columns=["a", "b", "ca", "cb"])
+                if exact:
+                    out = out.drop_duplicates(["ca", "cb"])
+                yield pd.DataFrame({"a": out[["a", "b"]].min(axis=1), "b": out[["a", "b"]].max(axis=1)})
+    return run
+
+
+def bucket_components(scratch: Scratch, members: DataFrame, facts: Callable[[DataFrame], DataFrame],
+                      likely: Callable, confirm: Callable[[DataFrame], DataFrame] | None = None,
+                      block: int = 512) -> DataFrame:
     """(node, root) labels from LSH buckets ``members(key, id)``.
 
-    ``confirm(pairs(a, b))`` returns the pairs that are truly linked. A bucket
-    isn't expanded into all its pairs: since only components are wanted, a pair
-    need not be checked once its ends are in one component.
+    ``facts(ids)`` gives (id, n, payload, keys) of the members that share a
+    bucket: set size, sketch or set, and all their bucket keys as packed longs.
+    ``likely(n_a, payload_a, n_b, payload_b)`` tells which pairs may be linked and
+    ``confirm(pairs(a, b))`` which truly are; without it ``likely`` is exact.
+
+    A bucket isn't expanded into all its pairs: since components are wanted, a
+    pair need not be checked once its ends are in one component.
 
     1. Every member is checked against the smallest member of its bucket, and
        the components of these links are labelled. This settles near-copy
-       groups: one check per member.
-    2. In buckets that still hold several components, every member is checked
-       against the smallest member of each *other* component in the bucket.
-       A component with one member there is then settled.
-    3. What is left are buckets with several components of two or more members
-       each; their cross pairs are checked.
+       groups with one check per member.
+    2. Buckets that still hold several components are dealt into blocks. A task
+       compares two blocks in numpy and returns only likely pairs of different
+       components, each once.
 
     So every pair that shares a bucket ends in one component or has been
     checked, and no link between bucket mates is lost.
@@ -149,49 +221,34 @@ def bucket_components(scratch: Scratch, members: DataFrame,
         members.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("top"))
         .filter("pivot <> top").select("key", "pivot"), "buckets")
     shared = scratch.table(members.join(spans, "key"), "members")
+    known = scratch.table(facts(scratch.table(shared.select("id").distinct(), "ids")), "facts")
     pairs = scratch.table(shared.filter("id <> pivot")
                           .select(F.col("pivot").alias("a"), F.col("id").alias("b"))
                           .distinct(), "pairs")
-    shared = shared.select("key", "id")
-    links = scratch.table(confirm(pairs), "links")
+    side = {x: known.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"),
+                            F.col("payload").alias(f"payload_{x}")) for x in "ab"}
+    links = scratch.table(pairs.join(side["a"], "a").join(side["b"], "b")
+                          .mapInPandas(_likely_pairs(likely), "a long, b long"), "likely")
+    if confirm:
+        links = scratch.table(confirm(links), "links")
     labels = components(scratch, links)
-    tested = pairs
-    for least in (1, 2):
-        open_ = _open_buckets(scratch, shared, labels, least)
-        mates = open_.select("key", F.col("id").alias("mate"), F.col("comp").alias("mate_comp"))
-        if least == 1:
-            mates = open_.groupBy("key", F.col("comp").alias("mate_comp")).agg(
-                F.min("id").alias("mate"))
-        left = scratch.table(mates, "mates")
-        pairs = scratch.table(
-            open_.join(left, "key").filter("comp <> mate_comp")
-            .select(F.least("id", "mate").alias("a"), F.greatest("id", "mate").alias("b"))
-            .distinct(), "pairs")
-        fresh = scratch.table(pairs.join(tested, ["a", "b"], "left_anti"), "fresh")
-        if fresh.isEmpty():
-            continue
-        tested = scratch.table(tested.unionByName(fresh), "tested")
-        found = scratch.table(confirm(fresh), "links")
-        links = scratch.table(links.unionByName(found), "links")
-        labels = components(scratch, links)
-    return labels
-
 
-def _open_buckets(scratch: Scratch, shared: DataFrame, labels: DataFrame, least: int) -> DataFrame:
-    """Members (key, id, comp) of buckets with two or more components, counting
-    only components with ``least`` or more members in the bucket."""
     roots = labels.select(F.col("node").alias("id"), "root")
-    rows = scratch.table(
-        shared.join(roots, "id", "left")
-        .select("key", "id", F.coalesce("root", "id").alias("comp")), "comps")
-    if least > 1:
-        big = scratch.table(rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-                            .filter(F.col("n") >= least).select("key", "comp"), "big")
-        rows = scratch.table(rows.join(big, ["key", "comp"]), "comps")
+    rows = scratch.table(shared.join(roots, "id", "left")
+                         .select("key", "id", F.coalesce("root", "id").alias("comp")), "comps")
     mixed = scratch.table(
-        rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        .filter("lo <> hi").select("key"), "mixed")
-    return scratch.table(rows.join(mixed, "key"), "open")
+        rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
+        .filter("lo <> hi").select("key", "n"), "mixed")
+    blocks = scratch.table(dealt(rows, mixed, block), "blocks")
+    more = scratch.table(
+        blocks.join(known, "id").repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
+        .mapInPandas(_block_pairs(likely, confirm is None), "a long, b long"), "likely")
+    fresh = scratch.table(more.join(pairs, ["a", "b"], "left_anti"), "fresh")
+    if fresh.isEmpty():
+        return labels
+    if confirm:
+        fresh = scratch.table(confirm(fresh), "links")
+    return components(scratch, links.unionByName(fresh))
 
 
 # --- hashing ---------------------------------------------------------------

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, mix
+from .common import Scratch, components, dealt, mix, runs
 
 PROJECTIONS = 8
 TABLES = 45
@@ -113,23 +113,11 @@ def _block(part: pd.DataFrame, cosine: float) -> pd.DataFrame | None:
 
 
 def _compare(cosine: float):
-    """Blocks arrive sorted by (key, one, two); the last of a batch may go on in
-    the next one and waits for it."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for pdf in batches:
-            if rest is not None:
-                pdf = pd.concat([rest, pdf], ignore_index=True)
-            cols = [pdf[c].to_numpy() for c in ("key", "one", "two")]
-            cut = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
-            edges = [0, *cut.tolist(), len(pdf)]
-            out = [_block(pdf.iloc[s:e], cosine) for s, e in zip(edges[:-2], edges[1:-1])]
-            rest = pdf.iloc[edges[-2]:]
-            out = [o for o in out if o is not None]
-            if out:
-                yield pd.concat(out, ignore_index=True)
-        if rest is not None and len(rest) and (o := _block(rest, cosine)) is not None:
-            yield o
+        for part in runs(batches, ["key", "one", "two"]):
+            out = _block(part, cosine)
+            if out is not None:
+                yield out
     return run
 
 
@@ -153,19 +141,12 @@ def near_embeddings(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
         .filter("id is not null").select("sig1", "sig2", "id", "copies", "v.label", "v.vec"), "classes")
     members = scratch.table(classes.select("id", "label", "vec").mapInPandas(_keys, "key long, id long"), "keys")
     buckets = scratch.table(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    other = F.col("other")
-    dealt = scratch.table(
-        members.join(buckets, "key")
-        .withColumn("side", F.pmod(F.xxhash64("id", "key"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("side", other).alias("one"), F.greatest("side", other).alias("two"), "side", "id"),
-        "blocks")
+    blocks = scratch.table(dealt(members, buckets, BLOCK), "blocks")
     compared = scratch.table(
-        dealt.join(classes.select("id", "label", "vec", "copies"), "id")
+        blocks.join(classes.select("id", "label", "vec", "copies"), "id")
         .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
         .mapInPandas(_compare(cosine), "id long, links long, root long"), "compared")
-    scratch.drop(members, buckets, dealt)
+    scratch.drop(members, buckets, blocks)
     roots = components(scratch, compared.select(F.col("id").alias("a"), F.col("root").alias("b")))
     counts = scratch.table(compared.groupBy("id").agg(F.sum("links").alias("links")), "counts")
     known = scratch.table(

@@ -1,13 +1,14 @@
 """Near-duplicate documents by HyperMinHash.
 
 A document's shingle set is hashed once. The top bits of a hash choose one of
-``m`` buckets; of the smallest remaining value per bucket only the count of its
-leading zeros and the next ``MANTISSA`` bits are stored, 16 bits a register.
-Empty buckets copy a non-empty one along a per-bucket random probe sequence, so
-that a register of two documents agrees with a probability equal to their
-Jaccard similarity also for short texts. Registers are banded; bucket mates are
-estimated from the registers with the chance collisions of compressed registers
-taken out, and the survivors are confirmed on the full sets.
+512 registers; of the smallest remaining value per register only the count of
+its leading zeros and the next ``MANTISSA`` bits are stored, 8 bits in all. For
+banding, an empty register copies a filled one along its own random probe
+sequence, so that a register of two documents agrees with a probability equal
+to their Jaccard similarity also for short texts. Bucket mates are estimated
+from the registers that either fills, with the chance collisions of compressed
+registers taken out, and what may reach the threshold is confirmed on the full
+sets.
 
 With 5 registers a band and 48 bands a pair at exactly 0.8 is missed with a
 probability of (1 - 0.8^5)^48, about 5e-9.
@@ -29,12 +30,13 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, ascii_words, bucket_components, mix, overlap, shingle_set, signature
 
-BUCKET_BITS = 8
-MANTISSA = 10
+BUCKET_BITS = 9
+MANTISSA = 4
+MAX_ZEROS = 14
 ROWS = 5
 BANDS = 48
 M = 1 << BUCKET_BITS
-EMPTY = np.uint16(0xFFFF)
+EMPTY = np.uint8(0xFF)
 
 
 def _probes() -> np.ndarray:
@@ -49,53 +51,75 @@ PROBES = _probes()
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
-    """Registers (leading zeros, mantissa) of a sorted hash set; uint16[m]."""
-    regs = np.full(M, EMPTY, np.uint16)
+    """Registers (leading zeros, mantissa) of a sorted hash set; uint8[M]."""
+    regs = np.full(M, EMPTY, np.uint8)
     if not len(s):
         return regs
     bucket = (s >> np.uint64(64 - BUCKET_BITS)).astype(np.intp)
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     rest = s[first] << np.uint64(BUCKET_BITS)
-    # leading zeros by exponent of the top 53 bits; a zero value counts as the maximum
-    zeros = np.where(rest > 0, 64 - np.frexp((rest >> np.uint64(11)).astype(np.float64))[1] - 11, 60)
-    zeros = np.minimum(zeros, 60).astype(np.uint64)
+    # leading zeros from the exponent of the top 53 bits
+    zeros = 53 - np.frexp((rest >> np.uint64(11)).astype(np.float64))[1]
+    zeros = np.minimum(zeros, MAX_ZEROS).astype(np.uint64)
     mant = (rest << (zeros + np.uint64(1))) >> np.uint64(64 - MANTISSA)
-    regs[bucket[first]] = ((zeros << np.uint64(MANTISSA)) | mant).astype(np.uint16)
-    gaps = np.flatnonzero(regs == EMPTY)
-    if len(gaps):
-        full = regs != EMPTY
-        at = PROBES[gaps]
-        regs[gaps] = regs[at[np.arange(len(gaps)), full[at].argmax(axis=1)]]
+    regs[bucket[first]] = ((zeros << np.uint64(MANTISSA)) | mant).astype(np.uint8)
     return regs
 
 
+def filled(regs: np.ndarray) -> np.ndarray:
+    """Registers with the empty ones copied from filled ones."""
+    full = regs != EMPTY
+    gaps = np.flatnonzero(~full)
+    if not len(gaps) or len(gaps) == M:
+        return regs
+    at = PROBES[gaps]
+    out = regs.copy()
+    out[gaps] = regs[at[np.arange(len(gaps)), full[at].argmax(axis=1)]]
+    return out
+
+
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """One 64-bit key per band of compressed registers."""
     acc = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
-    block = regs[:ROWS * BANDS].reshape(BANDS, ROWS).astype(np.uint64)
+    block = filled(regs)[:ROWS * BANDS].reshape(BANDS, ROWS).astype(np.uint64)
     for j in range(ROWS):
         acc = mix(acc ^ (block[:, j] + np.uint64(1)), j)
     return acc
 
 
 def chance_collision(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Probability that registers of unrelated sets of these sizes agree: both
-    minima fall into the same (zeros, mantissa) cell. With k values a bucket the
-    minimum is below x with probability 1 - (1 - x)^k."""
-    level = np.arange(61, dtype=np.float64)
-    hi, lo = 2.0 ** -level, 2.0 ** -(level + 1)
+    """Probability that filled registers of unrelated sets of these sizes agree:
+    both minima fall into the same (zeros, mantissa) cell. With k values a
+    register the minimum is above x with probability (1 - x)^k."""
+    level = np.arange(MAX_ZEROS + 1, dtype=np.float64)
+    hi, lo = 2.0 ** -level, np.where(level < MAX_ZEROS, 2.0 ** -(level + 1), 0)
 
     def cells(n):
         k = np.maximum(n / M, 1.0)[:, None]
-        return (1 - lo) ** k - np.clip(1 - hi, 0, 1) ** k
+        return (1 - lo) ** k - (1 - hi) ** k
     return (cells(n_a) * cells(n_b)).sum(axis=1) / 2 ** MANTISSA
 
 
-def estimate(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Collision-corrected Jaccard estimate, row by row."""
-    same = (regs_a == regs_b).mean(axis=1)
+def estimate(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray,
+             n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Collision-corrected Jaccard estimates, row by row, and the number of
+    registers each rests on (those that either set fills)."""
+    used = ((regs_a != EMPTY) | (regs_b != EMPTY)).sum(axis=1)
+    both = ((regs_a != EMPTY) & (regs_b != EMPTY)).sum(axis=1)
+    same = ((regs_a == regs_b) & (regs_a != EMPTY)).sum(axis=1)
     chance = chance_collision(n_a, n_b)
-    return np.clip((same - chance) / (1 - chance), 0, 1)
+    # of the registers that both fill, unrelated ones agree by chance
+    related = (same - chance * both) / (1 - chance)
+    return np.clip(related / np.maximum(used, 1), 0, 1), used
+
+
+def standard_error(want: float, used: np.ndarray, union: np.ndarray) -> np.ndarray:
+    """Error of the estimate at similarity ``want``: registers are a sample of the
+    union without replacement (variance of one-permutation hashing), plus the
+    share of a register that compression adds."""
+    rest = np.maximum(union - 1, 1)
+    var = np.maximum((1 + 1 / rest) / np.maximum(used, 1) - 1 / rest, 0)
+    return np.sqrt(want * (1 - want) * var + 0.02 * (1 - want) / np.maximum(used, 1))
 
 
 def _sketches(k: int):
@@ -104,7 +128,7 @@ def _sketches(k: int):
             rows = []
             for i, t in zip(pdf["doc_id"], pdf["text"]):
                 s = shingle_set(ascii_words(t), k)
-                rows.append((i, len(s), *signature(s), sketch(s).tobytes() if len(s) else b""))
+                rows.append((i, len(s), *signature(s), sketch(s).tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "sig1", "sig2", "regs"]).astype(
                 {"doc_id": "Int64"})
     return run
@@ -113,26 +137,26 @@ def _sketches(k: int):
 def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         if len(pdf):
-            keys = np.concatenate([band_keys(np.frombuffer(r, np.uint16)) for r in pdf["regs"]])
+            keys = np.concatenate([band_keys(np.frombuffer(r, np.uint8)) for r in pdf["regs"]])
             yield pd.DataFrame({"key": keys.view(np.int64), "id": np.repeat(pdf["id"].to_numpy(), BANDS)})
 
 
+def _facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pd.DataFrame({"id": pdf["id"], "n": pdf["n_shingles"], "payload": pdf["regs"], "keys": [
+            band_keys(np.frombuffer(r, np.uint8)).tobytes() for r in pdf["regs"]]})
+
+
 def _plausible(percent: int):
-    """Keep pairs whose sizes and corrected estimate allow the threshold. The
-    estimate must lie five standard errors below it to rule a pair out; with
-    fewer distinct registers than shingles would fill, the error grows."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs whose sizes and corrected estimate allow the threshold: the estimate
+    must lie five standard errors below it to rule a pair out."""
+    def run(n_a, regs_a, n_b, regs_b) -> np.ndarray:
         want = percent / 100
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            n_a, n_b = pdf["n_a"].to_numpy(float), pdf["n_b"].to_numpy(float)
-            regs = [np.frombuffer(b"".join(pdf[c]), np.uint16).reshape(-1, M) for c in ("regs_a", "regs_b")]
-            est = estimate(*regs, n_a, n_b)
-            seen = M * (1 - np.exp(-np.minimum(n_a, n_b) / M))
-            slack = 5 * np.sqrt(want * (1 - want) / np.maximum(seen, 1))
-            sizes = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-            yield pdf.loc[sizes & (est >= want - slack), ["a", "b"]]
+        n_a, n_b = np.asarray(n_a, float), np.asarray(n_b, float)
+        a, b = (np.frombuffer(b"".join(r), np.uint8).reshape(-1, M) for r in (regs_a, regs_b))
+        est, used = estimate(a, b, n_a, n_b)
+        slack = 5 * standard_error(want, used, (n_a + n_b) / (1 + want))
+        return (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)) & (est >= want - slack - 1e-9)
     return run
 
 
@@ -168,17 +192,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
         .agg(F.min("doc_id").alias("id"), F.first("regs").alias("regs")), "classes")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        side = {x: classes.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"),
-                                  F.col("regs").alias(f"regs_{x}")) for x in "ab"}
-        likely = scratch.table(
-            pairs.join(side["a"], "a").join(side["b"], "b")
-            .mapInPandas(_plausible(percent), "a long, b long").distinct(), "plausible")
         text = {x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
-        return (likely.join(text["b"], "b").join(text["a"], "a")
+        return (pairs.join(text["b"], "b").join(text["a"], "a")
                 .mapInPandas(_confirmed(shingle_words, percent), "a long, b long").distinct())
 
+    def facts(ids: DataFrame) -> DataFrame:
+        return (classes.join(ids, "id").select("id", "n_shingles", "regs")
+                .mapInPandas(_facts, "id long, n long, payload binary, keys binary"))
+
     members = classes.select("id", "regs").mapInPandas(_bands, "key long, id long")
-    labels = bucket_components(scratch, members, confirm)
+    labels = bucket_components(scratch, members, facts, _plausible(percent), confirm)
     roots = scratch.table(
         classes.join(labels.withColumnRenamed("node", "id"), "id", "left")
         .select("sig1", "sig2", "n_shingles", F.coalesce("root", "id").alias("root")), "roots")

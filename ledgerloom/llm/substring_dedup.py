@@ -109,18 +109,22 @@ def _paragraph_rows(min_words: int):
     return run
 
 
-def _confirmed(percent: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, pivot = None, None
-        for pdf in batches:
-            keep = []
-            for ta, tb in zip(pdf["text_a"], pdf["text_b"]):
-                if ta != last:
-                    last, pivot = ta, shingle_set(ascii_words(ta), SHINGLE)
-                other = shingle_set(ascii_words(tb), SHINGLE)
-                both = overlap(pivot, other)
-                keep.append(100 * both >= percent * (len(pivot) + len(other) - both))
-            yield pdf.loc[keep, ["a", "b"]]
+def _facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        sets = [shingle_set(ascii_words(t), SHINGLE) for t in pdf["text"]]
+        yield pd.DataFrame({"id": pdf["id"], "n": [len(s) for s in sets], "payload": [s.tobytes() for s in sets],
+                            "keys": [np.asarray(k, np.int64).tobytes() for k in pdf["bands"]]})
+
+
+def _similar(percent: int):
+    """Exact Jaccard test on the shingle sets."""
+    def run(n_a, sets_a, n_b, sets_b) -> np.ndarray:
+        out = np.zeros(len(n_a), bool)
+        for i, (na, a, nb, b) in enumerate(zip(n_a, sets_a, n_b, sets_b)):
+            if 100 * min(na, nb) >= percent * max(na, nb):
+                both = overlap(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
+                out[i] = 100 * both >= percent * (na + nb - both)
+        return out
     return run
 
 
@@ -136,20 +140,15 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = 15, percent: int = 80,
     classes = scratch.table(
         each.groupBy("sig1", "sig2").agg(
             F.min(F.struct("doc_id", "start", "end")).alias("at"), F.first("bands").alias("bands")), "classes")
-    place = classes.select(F.col("sig1").alias("id"), "at.*")
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        where = scratch.table(place.join(scratch.table(ids, "ids"), "id"), "places")
-        found = scratch.table(
-            texts.join(where, "doc_id").select(
-                "id", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("text")), "texts")
-        side = {x: found.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
-        return (pairs.join(side["b"], "b").join(side["a"], "a")
-                .mapInPandas(_confirmed(percent), "a long, b long").distinct())
+
+    def facts(ids: DataFrame) -> DataFrame:
+        where = scratch.table(classes.select(F.col("sig1").alias("id"), "at.*", "bands").join(ids, "id"), "places")
+        cut = F.substring("text", F.col("start") + 1, F.col("end") - F.col("start"))
+        return (texts.join(where, "doc_id").select("id", cut.alias("text"), "bands")
+                .mapInPandas(_facts, "id long, n long, payload binary, keys binary").dropDuplicates(["id"]))
 
     members = classes.select(F.explode("bands").alias("key"), F.col("sig1").alias("id"))
-    labels = bucket_components(scratch, members, confirm)
+    labels = bucket_components(scratch, members, facts, _similar(percent))
     named = scratch.table(
         each.drop("bands", "sig2").join(labels.withColumnRenamed("node", "sig1"), "sig1", "left")
         .select("doc_id", "start", "end", F.coalesce("root", "sig1").alias("cluster")), "named")
