@@ -209,3 +209,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
     return (each.drop("regs").join(roots, ["sig1", "sig2", "n_shingles"], "left")
             .select("doc_id", "n_shingles", root.alias("component_id"),
                     F.coalesce(root == F.col("doc_id"), F.lit(True)).alias("kept")))
+
+
+def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the one with the
+    smallest doc_id; of rows that repeat a doc_id, one."""
+    scratch = Scratch(docs.sparkSession, "keep-one")
+    found = scratch.table(near_duplicates(docs, shingle_words, percent).select("doc_id", "kept"), "found")
+    fate = scratch.table(
+        found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.min("kept").alias("_kept"), F.count(F.lit(1)).alias("_n"))
+        .filter("not _kept or _n > 1").select("_id", "_kept"), "fate")
+    judged = docs.join(fate, docs["doc_id"].cast("long") == fate["_id"], "left")
+    out = judged.filter("_id is null").select(*(docs[c] for c in docs.columns))
+    if fate.filter("_kept").isEmpty():
+        return out
+    again = judged.filter("_kept").select(*(docs[c] for c in docs.columns)).dropDuplicates(["doc_id"])
+    return out.unionByName(again)
