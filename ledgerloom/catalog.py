@@ -10,6 +10,7 @@ their table afresh to exercise the key operator itself.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,13 @@ from pyspark.sql import functions as F
 from .config import stage_path
 from .functions import columns as C
 from .operators.dedup import keep_first
-from .operators.lookups import lookup
+from .operators.lookups import Lookup, lookup, lookup_distinct
 from .plans import entities as E
 from .plans import validate as V
 from .plans.normalize import Normalizer, flat_load
 from .plans.publish import current_run, read_tables, run_and_publish, table_counts
 from .plans.views import sales_by_region_category, sales_view
-from .schemas import SOURCE_HEADERS
+from .schemas import LINE_GRAIN, ORDER_GRAIN, SOURCE_HEADERS, TABLE_ORDER
 from .sources import fixtures
 from .sources.readers import CSV_OPTIONS, clean_raw_orders, read_sheet
 
@@ -41,6 +42,16 @@ def built(spark: SparkSession, sf_dir: str) -> Normalizer:
     return _BUILT[key]
 
 
+def edge_built(spark: SparkSession, sf_dir: str) -> Normalizer:
+    """Normalizer over the awkward variant of the inputs."""
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), f"{sf_dir} edge")
+    if key not in _BUILT:
+        _BUILT[key] = Normalizer(clean_raw_orders(fixtures.edge_orders(spark, sf_dir)),
+                                 fixtures.edge_people_seq(spark, sf_dir).drop("seq"),
+                                 fixtures.edge_returns_seq(spark, sf_dir).drop("seq"))
+    return _BUILT[key]
+
+
 def reset_built() -> None:
     _BUILT.clear()
 
@@ -286,6 +297,102 @@ def validation_report(spark, sf):
     return V.validation_report(_tables(spark, sf), rows, sums)
 
 
+# -- the operators over awkward rows -------------------------------------------------
+
+def edge_table(name: str) -> Query:
+    def query(spark, sf):
+        return edge_built(spark, sf).table(name)
+    return query
+
+
+def edge_scan(spark, sf):
+    return clean_raw_orders(fixtures.edge_orders(spark, sf)).drop("row_id")
+
+
+def edge_null_sentinels(spark, sf):
+    t = edge_built(spark, sf)
+    pre = t.raw_orders.select("order_id", "product_id", "product_name",
+                              C.sentinel("region").alias("region_key")).distinct()
+    return (lookup(pre, E.product_lookup(t.table("product")))
+            .select("order_id", "product_id", "product_name", "region_key",
+                    C.sentinel("product_code").alias("product_code_text")))
+
+
+def edge_postal(spark, sf):
+    return fixtures.edge_orders(spark, sf).select(
+        "customer_id", "postal_code", C.postal_normalize("postal_code").alias("postal_norm")).distinct()
+
+
+def edge_returns_unfiltered(spark, sf):
+    t = edge_built(spark, sf)
+    return E.build_returns_unfiltered(t.raw_returns, t.table("order_details"))
+
+
+def edge_flat_people(spark, sf):
+    return keep_first(fixtures.edge_people_seq(spark, sf), ["region"], "seq", ["person", "region"])
+
+
+def edge_flat_returns(spark, sf):
+    return keep_first(fixtures.edge_returns_seq(spark, sf), ["order_id"], "seq", ["returned", "order_id"])
+
+
+def _damaged(spark, sf) -> dict[str, DataFrame]:
+    """The awkward tables with parents missing and keys repeated."""
+    t = dict(edge_built(spark, sf).build())
+    product, detail = t["product"], t["order_details"]
+    t["product"] = product.filter("product_code % 7 <> 0")
+    t["order_details"] = detail.unionByName(detail.filter("detail_id % 50 = 0"))
+    return t
+
+
+def edge_check_pk_unique(spark, sf):
+    return V.check_pk_unique(_damaged(spark, sf))
+
+
+def edge_check_lookup_unique(spark, sf):
+    return V.check_lookup_unique(_damaged(spark, sf))
+
+
+def edge_check_fk_orphans(spark, sf):
+    return V.check_fk_orphans(_damaged(spark, sf))
+
+
+def edge_check_row_counts(spark, sf):
+    t = edge_built(spark, sf)
+    return V.check_row_counts(_damaged(spark, sf),
+                              V.expected_counts_from_raw(t.raw_orders, t.raw_people, t.raw_returns))
+
+
+def edge_sales_view(spark, sf):
+    return sales_view(edge_built(spark, sf).build())
+
+
+# -- lookups with no dimension small enough to broadcast -------------------------------
+
+def _shuffled(*lookups: Lookup) -> list[Lookup]:
+    return [replace(lk, broadcast_rows=-1) for lk in lookups]
+
+
+def lookup_product_shuffled(spark, sf):
+    t = edge_built(spark, sf)
+    pre = t.raw_orders.select("product_id", "product_name").distinct()
+    return lookup(pre, *_shuffled(E.product_lookup(t.table("product"))))
+
+
+def fact_orders_shuffled(spark, sf):
+    t = edge_built(spark, sf)
+    out = ["order_id", "order_date", "people_id", "customer_id", "ship_id", "addresses_id"]
+    lookups = _shuffled(E.people_lookup(t.table("people")), E.ship_lookup(t.table("type_ship")),
+                        E.address_lookup(t.table("addresses")))
+    return lookup_distinct(E.with_postal_key(t.raw_orders), lookups, out, pre=ORDER_GRAIN)
+
+
+def fact_order_details_shuffled(spark, sf):
+    t = edge_built(spark, sf)
+    out = ["order_id", "product_code", "quantity", "sales", "discount", "profit"]
+    return lookup_distinct(t.raw_orders, _shuffled(E.product_lookup(t.table("product"))), out, pre=LINE_GRAIN)
+
+
 # -- views -------------------------------------------------------------------------
 
 def sales_view_query(spark, sf):
@@ -337,6 +444,21 @@ _BUILDERS: dict[str, Query] = {
     "check_row_counts": check_row_counts,
     "check_control_totals": check_control_totals,
     "validation_report": validation_report,
+    "edge_scan": edge_scan,
+    "edge_null_sentinels": edge_null_sentinels,
+    "edge_postal": edge_postal,
+    **{f"edge_{name}": edge_table(name) for name in TABLE_ORDER},
+    "edge_returns_unfiltered": edge_returns_unfiltered,
+    "edge_flat_people": edge_flat_people,
+    "edge_flat_returns": edge_flat_returns,
+    "edge_check_pk_unique": edge_check_pk_unique,
+    "edge_check_lookup_unique": edge_check_lookup_unique,
+    "edge_check_fk_orphans": edge_check_fk_orphans,
+    "edge_check_row_counts": edge_check_row_counts,
+    "edge_sales_view": edge_sales_view,
+    "lookup_product_shuffled": lookup_product_shuffled,
+    "fact_orders_shuffled": fact_orders_shuffled,
+    "fact_order_details_shuffled": fact_order_details_shuffled,
     "sales_view": sales_view_query,
     "sales_by_region_category": sales_by_region_category_query,
 }
@@ -348,7 +470,9 @@ _BUILDERS: dict[str, Query] = {
 # client library converts them. Decimals come out as Decimal objects from one
 # engine and floats from the other; an integer column holding NULLs comes out
 # as float from one and as a nullable integer from the other. Doubles hold
-# these values exactly (integers below 2**53, decimals of at most 18 digits).
+# integers below 2**53 exactly, and four decimals up to about 9 * 10**11, which
+# covers single prices; the exact totals are compared inside both engines
+# (check_control_totals).
 MONEY = ("sales", "discount", "profit")
 REPORT = ("expected", "actual")
 DECIMAL_OUTPUTS: dict[str, tuple[str, ...]] = {
@@ -364,6 +488,18 @@ DECIMAL_OUTPUTS: dict[str, tuple[str, ...]] = {
     "check_control_totals": REPORT,
     "validation_report": REPORT,
     "returns_unfiltered": ("detail_id",),   # NULL for a return of an unknown order
+    "edge_orders": ("people_id", "ship_id", "addresses_id"),
+    "edge_date_ship": ("ship_id",),
+    "edge_order_details": ("product_code", *MONEY),
+    "edge_returns_unfiltered": ("detail_id",),
+    "edge_check_pk_unique": REPORT,
+    "edge_check_lookup_unique": REPORT,
+    "edge_check_fk_orphans": REPORT,
+    "edge_check_row_counts": REPORT,
+    "edge_sales_view": ("product_code", *MONEY),
+    "lookup_product_shuffled": ("product_code",),
+    "fact_orders_shuffled": ("people_id", "ship_id", "addresses_id"),
+    "fact_order_details_shuffled": ("product_code",),
 }
 
 

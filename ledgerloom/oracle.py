@@ -10,6 +10,8 @@ nation customer part orders lineitem ...). Target tables are CTEs named ``t_<tab
 
 from __future__ import annotations
 
+import re
+
 VALUE = "DECIMAL(38,4)"
 
 # The model as this oracle understands it, stated apart from the library's own
@@ -120,6 +122,42 @@ raw_returns_seq AS (
 raw_returns AS (SELECT returned, order_id FROM raw_returns_seq),
 """
 
+# The awkward variant: the same rows with the edits of FIXTURES.md §6.
+_EDGE_CTES = re.sub(r"\braw_(orders|people_seq|people|returns_seq|returns)\b", r"clean_\1", _FIXTURE_CTES) + f"""
+numbered AS (
+  SELECT *, CAST(substr(order_id, 3) AS BIGINT) AS o, CAST(substr(customer_id, 3) AS BIGINT) AS c,
+         CAST(substr(product_id, 3) AS BIGINT) AS p
+  FROM clean_orders
+),
+edge_text AS (
+  SELECT * EXCLUDE (o, c, p) REPLACE (
+    CASE WHEN c % 11 = 0 THEN NULL WHEN c % 13 = 0 THEN 'Nowhere' ELSE region END AS region,
+    CASE WHEN c % 17 = 0 THEN NULL ELSE city END AS city,
+    CASE WHEN o % 23 = 0 THEN 'N/A' WHEN o % 29 = 0 THEN '' ELSE ship_mode END AS ship_mode,
+    CASE WHEN p % 20 = 0 THEN NULL ELSE product_name END AS product_name,
+    CASE c % 50 WHEN 9 THEN 123456.0::DOUBLE WHEN 11 THEN postal_code + 0.9::DOUBLE WHEN 12 THEN -42.0::DOUBLE
+      ELSE postal_code END AS postal_code,
+    CASE WHEN quantity % 2 = 0 THEN sales + 0.00003::DOUBLE ELSE sales END AS sales)
+  FROM numbered
+),
+raw_orders AS (
+  SELECT * REPLACE (CASE WHEN ship_mode IN ('N/A', '') THEN NULL ELSE ship_mode END AS ship_mode) FROM edge_text
+),
+raw_people_seq AS (
+  SELECT person, region, seq FROM clean_people_seq
+  UNION ALL
+  SELECT 'Deputy ' || CAST(r_regionkey AS VARCHAR), r_name, CAST(r_regionkey - 100 AS BIGINT)
+  FROM region WHERE r_regionkey % 2 = 0
+  UNION ALL
+  SELECT 'Floater', NULL, 500 FROM region WHERE r_regionkey = 0
+),
+raw_people AS (SELECT person, region FROM raw_people_seq),
+raw_returns_seq AS (
+  SELECT CASE WHEN seq % 5 = 1 THEN 'No' ELSE returned END AS returned, order_id, seq FROM clean_returns_seq
+),
+raw_returns AS (SELECT returned, order_id FROM raw_returns_seq),
+"""
+
 # Target tables from the raw views raw_orders, raw_people, raw_returns: the raw
 # rows are brought to their grains, each dimension gives a map from its natural
 # to its surrogate key, and the facts are the grains with the maps applied.
@@ -172,8 +210,16 @@ t_returns_unfiltered AS ({_numbered("returns", """
 """
 
 
-def with_ctes(body: str) -> str:
-    return f"WITH {_FIXTURE_CTES}\n{TARGET_CTES}\n{body}"
+def with_ctes(body: str, raw: str = _FIXTURE_CTES) -> str:
+    return f"WITH {raw}\n{TARGET_CTES}\n{body}"
+
+
+def damaged(sql: str) -> str:
+    """The check's SQL over a product table that lacks every seventh code and
+    details of which every fiftieth is repeated."""
+    return (sql.replace("t_product", "(SELECT * FROM t_product WHERE product_code % 7 <> 0)")
+            .replace("t_order_details", "(SELECT * FROM t_order_details UNION ALL "
+                                        "SELECT * FROM t_order_details WHERE detail_id % 50 = 0)"))
 
 
 def target_sql(table: str) -> str:
@@ -393,6 +439,27 @@ def oracle_queries() -> dict[str, str]:
             "LEFT JOIN t_product pr ON pr.product_code = d.product_code "
             "GROUP BY p.region, pr.category"),
     }
+    raw_of = {name: _FIXTURE_CTES for name in body}
+    edge = {
+        "edge_scan": f"SELECT {', '.join(_RAW_COLS)} FROM raw_orders",
+        "edge_null_sentinels": body["null_sentinels"],
+        "edge_postal": (f"SELECT DISTINCT customer_id, postal_code, {postal_sql('postal_code')} AS postal_norm "
+                        f"FROM raw_orders"),
+        **{f"edge_{name}": f"SELECT * FROM t_{name}" for name in PRIMARY_KEYS},
+        "edge_returns_unfiltered": body["returns_unfiltered"],
+        "edge_flat_people": body["flat_people"],
+        "edge_flat_returns": body["flat_returns"],
+        "edge_check_pk_unique": damaged(_pk_sql()),
+        "edge_check_lookup_unique": damaged(_lookup_unique_sql()),
+        "edge_check_fk_orphans": damaged(_fk_sql()),
+        "edge_check_row_counts": damaged(_row_counts_sql()),
+        "edge_sales_view": _sales_view_sql(),
+        "lookup_product_shuffled": body["lookup_product"],
+        "fact_orders_shuffled": "SELECT * FROM t_orders",
+        "fact_order_details_shuffled": "SELECT * FROM g_detail",
+    }
+    body |= edge
+    raw_of |= {name: _EDGE_CTES for name in edge}
     from .catalog import DECIMAL_OUTPUTS
     out = {}
     for name, sql in body.items():
@@ -400,5 +467,5 @@ def oracle_queries() -> dict[str, str]:
         if cols:
             casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
             sql = f"SELECT * REPLACE ({casts}) FROM ({sql}) q"
-        out[name] = with_ctes(sql)
+        out[name] = with_ctes(sql, raw_of[name])
     return out

@@ -104,5 +104,49 @@ def raw_returns(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> Dat
     return out if with_seq else out.drop("seq")
 
 
+# -- awkward variant -------------------------------------------------------------
+# The same whole tables with the cases that clean rows lack: NULL and unknown
+# regions, missing-marker text, NULL names and cities, long, fractional and
+# negative postal codes, prices beyond four decimals, several people per region
+# and several values of ``returned``.
+
+def _number(c: str) -> F.Column:
+    return F.substring(F.col(c), 3, 18).cast("bigint")
+
+
+def edge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_orders(spark, sf_dir)
+    order, customer, product = _number("order_id"), _number("customer_id"), _number("product_id")
+    price = F.when(F.col("quantity") % 2 == 0, F.col("sales") + F.lit(0.00003)).otherwise(F.col("sales"))
+    edits = {
+        "region": F.when(customer % 11 == 0, None).when(customer % 13 == 0, "Nowhere").otherwise(F.col("region")),
+        "city": F.when(customer % 17 == 0, None).otherwise(F.col("city")),
+        "ship_mode": F.when(order % 23 == 0, "N/A").when(order % 29 == 0, "").otherwise(F.col("ship_mode")),
+        "product_name": F.when(product % 20 == 0, None).otherwise(F.col("product_name")),
+        "postal_code": F.when(customer % 50 == 9, 123456.0).when(customer % 50 == 11, F.col("postal_code") + F.lit(0.9))
+                        .when(customer % 50 == 12, -42.0).otherwise(F.col("postal_code")),
+        "sales": price,
+    }
+    return raw.select(*[edits.get(c, F.col(c)).alias(c) for c in raw.columns])
+
+
+def edge_people_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second person for every other region, and one without a region."""
+    first = raw_people_seq(spark, sf_dir)
+    region = table(spark, sf_dir, "region")
+    deputies = region.filter(F.col("r_regionkey") % 2 == 0).select(
+        F.concat(F.lit("Deputy "), _text(F.col("r_regionkey"))).alias("person"), F.col("r_name").alias("region"),
+        (F.col("r_regionkey") - 100).cast("bigint").alias("seq"))
+    spare = region.filter(F.col("r_regionkey") == 0).select(
+        F.lit("Floater").alias("person"), F.lit(None).cast("string").alias("region"),
+        F.lit(500).cast("bigint").alias("seq"))
+    return first.unionByName(deputies).unionByName(spare)
+
+
+def edge_returns_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = raw_returns(spark, sf_dir, with_seq=True)
+    return rows.withColumn("returned", F.when(F.col("seq") % 5 == 1, "No").otherwise(F.col("returned")))
+
+
 def raw_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return raw_orders(spark, sf_dir), raw_people(spark, sf_dir), raw_returns(spark, sf_dir)
