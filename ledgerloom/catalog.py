@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from .config import stage_path
 from .functions import columns as C
 from .operators.dedup import keep_first
+from .operators.keys import dense_key
 from .operators.lookups import Lookup, lookup, lookup_distinct
 from .plans import entities as E
 from .plans import validate as V
@@ -236,7 +238,15 @@ def returns_unfiltered(spark, sf):
 
 
 def orders_sorted(spark, sf):
-    return E.sort_orders(_tables(spark, sf)["orders"])
+    """Orders in presentation order, with the place that order gives them."""
+    return dense_key(_tables(spark, sf)["orders"], ["order_date", "customer_id", "order_id"], "place")
+
+
+def flat_orders(spark, sf):
+    """The flat orders table in its written form."""
+    loaded = flat_load(fixtures.raw_orders(spark, sf), fixtures.raw_people_seq(spark, sf),
+                       fixtures.raw_returns(spark, sf, with_seq=True), out_dir=stage_path(spark, "flat"))
+    return loaded["orders"].drop("row_id")
 
 
 def flat_people(spark, sf):
@@ -252,14 +262,16 @@ def flat_returns(spark, sf):
 
 def sink_roundtrip(spark, sf):
     """Build, write, validate and publish a run; then read the published tables
-    back through the manifest and count them."""
+    back through the manifest: every row of every table as text."""
     ro, rp, rr = fixtures.raw_inputs(spark, sf)
     base = stage_path(spark, "warehouse")
     result = run_and_publish(ro, rp, rr, base)
     run_dir = current_run(spark, base)
     if not result.published or run_dir is None:
         raise RuntimeError(f"run {result.run_dir} failed validation and was not published")
-    return table_counts(read_tables(spark, run_dir))
+    frames = [t.select(F.lit(name).alias("table_name"), F.concat_ws("|", *(F.col(c).cast("string") for c in t.columns))
+                       .alias("row_text")) for name, t in read_tables(spark, run_dir).items()]
+    return reduce(DataFrame.unionByName, frames)
 
 
 # -- checks ------------------------------------------------------------------------
@@ -435,6 +447,7 @@ _BUILDERS: dict[str, Query] = {
     "fact_returns": fact_returns,
     "returns_unfiltered": returns_unfiltered,
     "orders_sorted": orders_sorted,
+    "flat_orders": flat_orders,
     "flat_people": flat_people,
     "flat_returns": flat_returns,
     "sink_roundtrip": sink_roundtrip,

@@ -23,6 +23,10 @@ from pyspark.sql import functions as F
 
 from ..config import stage_path
 
+#: Ranges of a key build. Spark samples about a hundred rows per range, one million
+#: at most, so more ranges get uneven and the sample heavy on the driver.
+MAX_RANGES = 10_000
+
 _PART = "_ll_part"
 _POS = "_ll_pos"
 _CNT = "_ll_cnt"
@@ -51,10 +55,12 @@ def dense_key(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
     """
     spark = df.sparkSession
     ordering = _ordering(order_by)
+    if num_partitions is None and int(spark.conf.get("spark.sql.shuffle.partitions")) > MAX_RANGES:
+        num_partitions = MAX_RANGES
     if num_partitions is None:
         ranged = df.repartitionByRange(*ordering)
     else:
-        ranged = df.repartitionByRange(num_partitions, *ordering)
+        ranged = df.repartitionByRange(min(num_partitions, MAX_RANGES), *ordering)
     positioned = (ranged.sortWithinPartitions(*ordering)
                   .withColumn(_PART, F.spark_partition_id())
                   .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))

@@ -28,6 +28,12 @@ NUMBERED = {
     "returns": ("return_id", ("detail_id", "returned"), ("returned", "detail_id")),
 }
 DETAIL_ORDER = ("order_id", "product_code", "quantity", "sales", "discount", "profit")
+STORED = {
+    **{name: (key, *columns) for name, (key, _, columns) in NUMBERED.items()},
+    "customers": ("customer_id", "customer_name", "segment"),
+    "orders": ("order_id", "order_date", "people_id", "customer_id", "ship_id", "addresses_id"),
+    "order_details": ("detail_id", *DETAIL_ORDER),
+}
 PRIMARY_KEYS = {
     "product": ("product_code",), "addresses": ("addresses_id",), "type_ship": ("ship_id",),
     "people": ("people_id",), "customers": ("customer_id",), "orders": ("order_id",),
@@ -246,6 +252,12 @@ def _status(cond: str) -> str:
     return f"CASE WHEN coalesce({cond}, false) THEN 'OK' ELSE 'MISMATCH' END"
 
 
+# Order lines as the store must hold them: an incompletely named product is none.
+_LINES = ("SELECT DISTINCT order_id, CASE WHEN product_name IS NOT NULL THEN product_id END AS product_id, "
+          "CASE WHEN product_id IS NOT NULL THEN product_name END AS product_name, "
+          "quantity, sales, discount, profit FROM raw_orders")
+
+
 def _row_counts_sql() -> str:
     expected = {
         "product": "SELECT count(*) FROM (SELECT DISTINCT product_id, category, sub_category, product_name FROM raw_orders)",
@@ -255,10 +267,9 @@ def _row_counts_sql() -> str:
         "customers": "SELECT count(*) FROM (SELECT DISTINCT customer_id, customer_name, segment FROM raw_orders)",
         "orders": "SELECT count(*) FROM (SELECT DISTINCT order_id FROM raw_orders)",
         "date_ship": "SELECT count(*) FROM (SELECT DISTINCT order_id, ship_date, ship_mode FROM raw_orders)",
-        "order_details": "SELECT count(*) FROM (SELECT DISTINCT order_id, product_id, product_name, quantity, sales, discount, profit FROM raw_orders)",
+        "order_details": f"SELECT count(*) FROM ({_LINES})",
         "returns": ("SELECT coalesce(sum(n), 0) FROM (SELECT DISTINCT returned, order_id FROM raw_returns) r "
-                    "JOIN (SELECT order_id, count(*) AS n FROM (SELECT DISTINCT order_id, product_id, product_name, "
-                    "quantity, sales, discount, profit FROM raw_orders) GROUP BY order_id) l USING (order_id)"),
+                    f"JOIN (SELECT order_id, count(*) AS n FROM ({_LINES}) GROUP BY order_id) l USING (order_id)"),
     }
     parts = []
     for name in PRIMARY_KEYS:
@@ -306,8 +317,7 @@ def _fk_sql() -> str:
 
 
 def _totals_sql() -> str:
-    lines = ("(SELECT DISTINCT order_id, product_id, product_name, quantity, sales, discount, profit "
-             "FROM raw_orders)")
+    lines = f"({_LINES})"
 
     def expected(col: str) -> str:
         return (f"(SELECT CAST(sum(CAST({col} AS DECIMAL(12,4))) AS {VALUE}) "
@@ -409,14 +419,18 @@ def oracle_queries() -> dict[str, str]:
         "fact_order_details": "SELECT * FROM t_order_details",
         "fact_returns": "SELECT * FROM t_returns",
         "returns_unfiltered": "SELECT * FROM t_returns_unfiltered",
-        "orders_sorted": "SELECT * FROM t_orders ORDER BY order_date, customer_id, order_id",
+        "orders_sorted": (f"SELECT *, row_number() OVER (ORDER BY {_nf(('order_date', 'customer_id', 'order_id'))}) "
+                          f"AS place FROM t_orders"),
+        "flat_orders": f"SELECT {', '.join(_RAW_COLS)} FROM raw_orders",
         "flat_people": ("SELECT person, region FROM (SELECT person, region, row_number() OVER "
                         "(PARTITION BY region ORDER BY seq, person NULLS FIRST) AS rn FROM raw_people_seq) "
                         "WHERE rn = 1"),
         "flat_returns": ("SELECT returned, order_id FROM (SELECT returned, order_id, row_number() OVER "
                          "(PARTITION BY order_id ORDER BY seq, returned NULLS FIRST) AS rn FROM raw_returns_seq) "
                          "WHERE rn = 1"),
-        "sink_roundtrip": _counts_sql([(n, f"t_{n}") for n in PRIMARY_KEYS]),
+        "sink_roundtrip": " UNION ALL ".join(
+            f"SELECT '{n}' AS table_name, concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in cols)}) AS row_text "
+            f"FROM t_{n}" for n, cols in STORED.items()),
         "check_pk_unique": _pk_sql(),
         "check_lookup_unique": _lookup_unique_sql(),
         "check_fk_orphans": _fk_sql(),

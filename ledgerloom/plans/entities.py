@@ -122,8 +122,11 @@ def build_orders(raw: DataFrame, people: DataFrame, type_ship: DataFrame,
 
 
 def sort_orders(orders: DataFrame) -> DataFrame:
-    """Presentation order (date, customer, order), kept inside each partition."""
-    return orders.sortWithinPartitions("order_date", "customer_id", "order_id")
+    """Presentation order (date, customer, order): range partitions in order, each
+    sorted, so that reading them one after another gives the whole order and a
+    filter on the date skips files."""
+    order = ["order_date", "customer_id", "order_id"]
+    return orders.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def build_date_ship(raw: DataFrame, type_ship: DataFrame, num_partitions: int | None = None,
