@@ -18,7 +18,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import remove_path, stage_path
@@ -68,6 +68,12 @@ def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_of(spark, sf_dir, "documents")
 
 
+def drawn(share: float, *columns: str) -> Column:
+    """A repeatable draw of about ``share`` of the rows by a hash of ``columns``.
+    Name doc_id among them: copies of one text are then drawn one by one."""
+    return F.pmod(F.xxhash64(*columns, F.lit("draw")), F.lit(1_000_000)) < int(share * 1_000_000)
+
+
 # --- components ------------------------------------------------------------
 
 def _flat(scratch: Scratch, parent: DataFrame) -> DataFrame:
@@ -156,24 +162,27 @@ def dealt(rows: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
             .drop("n", "other"))
 
 
-def _likely_pairs(likely: Callable):
+def _likely_pairs(load: Callable, likely: Callable):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                mask = likely(*(pdf[c].to_numpy() for c in ("n_a", "payload_a", "n_b", "payload_b")))
+                mask = likely(pdf["n_a"].to_numpy(), load(pdf["payload_a"]), pdf["n_b"].to_numpy(), load(pdf["payload_b"]))
                 yield pdf.loc[mask, ["a", "b"]]
     return run
 
 
-def _block_pairs(likely: Callable, exact: bool):
+def _block_pairs(load: Callable, likely: Callable, exact: bool):
     """Likely pairs of different components inside a block pair, each only in the
     first bucket its ends share. If ``likely`` is exact, one link per pair of
     components is enough."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in runs(batches, ["key", "one", "two"]):
-            ids, comp, side, n, payload = (part[c].to_numpy() for c in ("id", "comp", "side", "n", "payload"))
-            keys = np.frombuffer(b"".join(part["keys"]), np.int64).reshape(len(part), -1)
-            bucket = int((keys[0] == part["key"].iloc[0]).argmax())
+            ids, comp, side, n = (part[c].to_numpy() for c in ("id", "comp", "side", "n"))
+            if (comp == comp[0]).all():
+                continue
+            payload = load(part["payload"])
+            keys = np.frombuffer(b"".join(part["keys"]), np.int32).reshape(len(part), -1)
+            bucket = int((keys[0] == short_keys(part["key"].to_numpy()[:1])).argmax())
             across = part["one"].iloc[0] != part["two"].iloc[0]
             found = []
             for i in range(len(ids) - 1):
@@ -184,7 +193,7 @@ def _block_pairs(likely: Callable, exact: bool):
                 if len(at):
                     at = at[(keys[at] == keys[i]).argmax(axis=1) == bucket]
                 if len(at):
-                    at = at[likely(np.repeat(n[i], len(at)), [payload[i]] * len(at), n[at], payload[at])]
+                    at = at[likely(np.repeat(n[i], len(at)), payload[[i]], n[at], payload[at])]
                     found += [(ids[i], ids[k], comp[i], comp[k]) for k in at]
             if found:
                 out = pd.DataFrame(found, columns=["a", "b", "ca", "cb"])
@@ -194,15 +203,21 @@ def _block_pairs(likely: Callable, exact: bool):
     return run
 
 
+def short_keys(keys: np.ndarray) -> np.ndarray:
+    """The lower half of 64-bit bucket keys, to find the first one two members share."""
+    return keys.astype(np.int64).astype(np.int32)
+
+
 def bucket_components(scratch: Scratch, members: DataFrame, facts: Callable[[DataFrame], DataFrame],
-                      likely: Callable, confirm: Callable[[DataFrame], DataFrame] | None = None,
-                      block: int = 512) -> DataFrame:
+                      load: Callable, likely: Callable, confirm: Callable[[DataFrame], DataFrame] | None = None,
+                      block: int = 2048) -> DataFrame:
     """(node, root) labels from LSH buckets ``members(key, id)``.
 
     ``facts(ids)`` gives (id, n, payload, keys) of the members that share a
-    bucket: set size, sketch or set, and all their bucket keys as packed longs.
-    ``likely(n_a, payload_a, n_b, payload_b)`` tells which pairs may be linked and
-    ``confirm(pairs(a, b))`` which truly are; without it ``likely`` is exact.
+    bucket: set size, sketch or set as bytes, and their ``short_keys`` as bytes.
+    ``load(payloads)`` makes an array of them; ``likely(n_a, a, n_b, b)`` tells which
+    pairs may be linked (``a`` may be one row for all) and ``confirm(pairs(a, b))``
+    which truly are; without it ``likely`` is exact.
 
     A bucket isn't expanded into all its pairs: since components are wanted, a
     pair need not be checked once its ends are in one component.
@@ -228,7 +243,7 @@ def bucket_components(scratch: Scratch, members: DataFrame, facts: Callable[[Dat
     side = {x: known.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"),
                             F.col("payload").alias(f"payload_{x}")) for x in "ab"}
     links = scratch.table(pairs.join(side["a"], "a").join(side["b"], "b")
-                          .mapInPandas(_likely_pairs(likely), "a long, b long"), "likely")
+                          .mapInPandas(_likely_pairs(load, likely), "a long, b long"), "likely")
     if confirm:
         links = scratch.table(confirm(links), "links")
     labels = components(scratch, links)
@@ -242,7 +257,8 @@ def bucket_components(scratch: Scratch, members: DataFrame, facts: Callable[[Dat
     blocks = scratch.table(dealt(rows, mixed, block), "blocks")
     more = scratch.table(
         blocks.join(known, "id").repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-        .mapInPandas(_block_pairs(likely, confirm is None), "a long, b long"), "likely")
+        .mapInPandas(_block_pairs(load, likely, confirm is None), "a long, b long"), "likely")
+    scratch.drop(shared, rows, blocks, known)
     fresh = scratch.table(more.join(pairs, ["a", "b"], "left_anti"), "fresh")
     if fresh.isEmpty():
         return labels

@@ -1,10 +1,10 @@
 """Near-duplicate documents by HyperMinHash.
 
 A document's shingle set is hashed once. The top bits of a hash choose one of
-512 registers; of the smallest remaining value per register only the count of
+1024 registers; of the smallest remaining value per register only the count of
 its leading zeros and the next ``MANTISSA`` bits are stored, 8 bits in all. For
-banding, an empty register copies a filled one along its own random probe
-sequence, so that a register of two documents agrees with a probability equal
+banding, an empty register copies the filled one that comes first in its own
+random order, so that a register of two documents agrees with a probability equal
 to their Jaccard similarity also for short texts. Bucket mates are estimated
 from the registers that either fills, with the chance collisions of compressed
 registers taken out, and what may reach the threshold is confirmed on the full
@@ -28,9 +28,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_words, bucket_components, mix, overlap, shingle_set, signature
+from .common import Scratch, ascii_words, bucket_components, mix, overlap, shingle_set, short_keys, signature
 
-BUCKET_BITS = 9
+BUCKET_BITS = 10
 MANTISSA = 4
 MAX_ZEROS = 14
 ROWS = 5
@@ -39,15 +39,14 @@ M = 1 << BUCKET_BITS
 EMPTY = np.uint8(0xFF)
 
 
-def _probes() -> np.ndarray:
-    """For each register, the buckets in the order they are tried when empty."""
-    b = np.arange(M, dtype=np.uint64)
-    order = np.argsort(mix(b[:, None] * np.uint64(M) + b[None, :], 7), axis=1)
-    own = order == b[:, None].astype(order.dtype)
-    return np.concatenate([b[:, None].astype(order.dtype), order[~own].reshape(M, M - 1)], axis=1)
+def _ranks() -> np.ndarray:
+    """Per banded register, the place of every register in its own random order."""
+    b = np.arange(ROWS * BANDS, dtype=np.uint64)[:, None]
+    value = mix(b * np.uint64(M) + np.arange(M, dtype=np.uint64)[None, :], 7)
+    return value.argsort(axis=1).argsort(axis=1).astype(np.int16)
 
 
-PROBES = _probes()
+RANKS = _ranks()
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -66,22 +65,35 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return regs
 
 
-def filled(regs: np.ndarray) -> np.ndarray:
-    """Registers with the empty ones copied from filled ones."""
+def pack_regs(regs: np.ndarray) -> bytes:
+    """A bit per register that is filled, then the filled ones."""
     full = regs != EMPTY
-    gaps = np.flatnonzero(~full)
-    if not len(gaps) or len(gaps) == M:
-        return regs
-    at = PROBES[gaps]
-    out = regs.copy()
-    out[gaps] = regs[at[np.arange(len(gaps)), full[at].argmax(axis=1)]]
+    return np.packbits(full).tobytes() + regs[full].tobytes()
+
+
+def unpack_regs(packed) -> np.ndarray:
+    """One row of registers per packed sketch."""
+    packed = list(packed)
+    full = np.unpackbits(np.frombuffer(b"".join(p[:M // 8] for p in packed), np.uint8)).reshape(-1, M).astype(bool)
+    out = np.full(full.shape, EMPTY, np.uint8)
+    out[full] = np.frombuffer(b"".join(p[M // 8:] for p in packed), np.uint8)
+    return out
+
+
+def filled(regs: np.ndarray) -> np.ndarray:
+    """The banded registers, the empty ones copied from the filled register that
+    comes first in their order."""
+    out = regs[:ROWS * BANDS].copy()
+    gaps, full = np.flatnonzero(out == EMPTY), np.flatnonzero(regs != EMPTY)
+    if len(gaps) and len(full):
+        out[gaps] = regs[full[RANKS[np.ix_(gaps, full)].argmin(axis=1)]]
     return out
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """One 64-bit key per band of compressed registers."""
     acc = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
-    block = filled(regs)[:ROWS * BANDS].reshape(BANDS, ROWS).astype(np.uint64)
+    block = filled(regs).reshape(BANDS, ROWS).astype(np.uint64)
     for j in range(ROWS):
         acc = mix(acc ^ (block[:, j] + np.uint64(1)), j)
     return acc
@@ -128,32 +140,30 @@ def _sketches(k: int):
             rows = []
             for i, t in zip(pdf["doc_id"], pdf["text"]):
                 s = shingle_set(ascii_words(t), k)
-                rows.append((i, len(s), *signature(s), sketch(s).tobytes()))
+                rows.append((i, len(s), *signature(s), pack_regs(sketch(s))))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "sig1", "sig2", "regs"]).astype(
                 {"doc_id": "Int64"})
     return run
 
 
-def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         if len(pdf):
-            keys = np.concatenate([band_keys(np.frombuffer(r, np.uint8)) for r in pdf["regs"]])
-            yield pd.DataFrame({"key": keys.view(np.int64), "id": np.repeat(pdf["id"].to_numpy(), BANDS)})
+            yield pdf.assign(bands=[band_keys(r).view(np.int64) for r in unpack_regs(pdf["regs"])])
 
 
 def _facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        yield pd.DataFrame({"id": pdf["id"], "n": pdf["n_shingles"], "payload": pdf["regs"], "keys": [
-            band_keys(np.frombuffer(r, np.uint8)).tobytes() for r in pdf["regs"]]})
+        yield pd.DataFrame({"id": pdf["id"], "n": pdf["n_shingles"], "payload": pdf["regs"],
+                            "keys": [short_keys(k).tobytes() for k in pdf["bands"]]})
 
 
 def _plausible(percent: int):
     """Pairs whose sizes and corrected estimate allow the threshold: the estimate
     must lie five standard errors below it to rule a pair out."""
-    def run(n_a, regs_a, n_b, regs_b) -> np.ndarray:
+    def run(n_a, a, n_b, b) -> np.ndarray:
         want = percent / 100
         n_a, n_b = np.asarray(n_a, float), np.asarray(n_b, float)
-        a, b = (np.frombuffer(b"".join(r), np.uint8).reshape(-1, M) for r in (regs_a, regs_b))
         est, used = estimate(a, b, n_a, n_b)
         slack = 5 * standard_error(want, used, (n_a + n_b) / (1 + want))
         return (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)) & (est >= want - slack - 1e-9)
@@ -189,7 +199,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
     classes = scratch.table(
         each.filter("n_shingles > 0 and doc_id is not null")
         .groupBy("sig1", "sig2", "n_shingles")
-        .agg(F.min("doc_id").alias("id"), F.first("regs").alias("regs")), "classes")
+        .agg(F.min("doc_id").alias("id")), "classes")
+    sketches = scratch.table(
+        each.join(classes.withColumnRenamed("id", "doc_id"), ["sig1", "sig2", "n_shingles", "doc_id"])
+        .select(F.col("doc_id").alias("id"), "n_shingles", "regs")
+        .mapInPandas(_banded, "id long, n_shingles long, regs binary, bands array<long>"), "sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         text = {x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
@@ -197,11 +211,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
                 .mapInPandas(_confirmed(shingle_words, percent), "a long, b long").distinct())
 
     def facts(ids: DataFrame) -> DataFrame:
-        return (classes.join(ids, "id").select("id", "n_shingles", "regs")
-                .mapInPandas(_facts, "id long, n long, payload binary, keys binary"))
+        return (sketches.join(ids, "id").mapInPandas(_facts, "id long, n long, payload binary, keys binary")
+                .dropDuplicates(["id"]))
 
-    members = classes.select("id", "regs").mapInPandas(_bands, "key long, id long")
-    labels = bucket_components(scratch, members, facts, _plausible(percent), confirm)
+    members = sketches.select(F.explode("bands").alias("key"), "id")
+    labels = bucket_components(scratch, members, facts, unpack_regs, _plausible(percent), confirm)
     roots = scratch.table(
         classes.join(labels.withColumnRenamed("node", "id"), "id", "left")
         .select("sig1", "sig2", "n_shingles", F.coalesce("root", "id").alias("root")), "roots")

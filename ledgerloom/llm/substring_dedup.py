@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_words, bucket_components, mix, overlap, shingle_set
+from .common import Scratch, ascii_words, bucket_components, mix, overlap, shingle_set, short_keys
 
 SHINGLE = 5
 ROWS, BANDS = 4, 16
@@ -113,16 +113,22 @@ def _facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         sets = [shingle_set(ascii_words(t), SHINGLE) for t in pdf["text"]]
         yield pd.DataFrame({"id": pdf["id"], "n": [len(s) for s in sets], "payload": [s.tobytes() for s in sets],
-                            "keys": [np.asarray(k, np.int64).tobytes() for k in pdf["bands"]]})
+                            "keys": [short_keys(np.asarray(k, np.int64)).tobytes() for k in pdf["bands"]]})
+
+
+def _sets(payload) -> np.ndarray:
+    out = np.empty(len(payload), object)
+    out[:] = [np.frombuffer(p, np.uint64) for p in payload]
+    return out
 
 
 def _similar(percent: int):
     """Exact Jaccard test on the shingle sets."""
     def run(n_a, sets_a, n_b, sets_b) -> np.ndarray:
         out = np.zeros(len(n_a), bool)
-        for i, (na, a, nb, b) in enumerate(zip(n_a, sets_a, n_b, sets_b)):
+        for i, (na, nb) in enumerate(zip(n_a, n_b)):
             if 100 * min(na, nb) >= percent * max(na, nb):
-                both = overlap(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
+                both = overlap(sets_a[i if len(sets_a) > 1 else 0], sets_b[i])
                 out[i] = 100 * both >= percent * (na + nb - both)
         return out
     return run
@@ -148,7 +154,7 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = 15, percent: int = 80,
                 .mapInPandas(_facts, "id long, n long, payload binary, keys binary").dropDuplicates(["id"]))
 
     members = classes.select(F.explode("bands").alias("key"), F.col("sig1").alias("id"))
-    labels = bucket_components(scratch, members, facts, _similar(percent))
+    labels = bucket_components(scratch, members, facts, _sets, _similar(percent))
     named = scratch.table(
         each.drop("bands", "sig2").join(labels.withColumnRenamed("node", "sig1"), "sig1", "left")
         .select("doc_id", "start", "end", F.coalesce("root", "sig1").alias("cluster")), "named")
