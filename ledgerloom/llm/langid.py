@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, drawn
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -207,14 +207,15 @@ def _expected(shared):
 
 def train(labelled: DataFrame, sample_rows: int = 6000, rounds: int = 2,
           vocabulary: str = VOCABULARY) -> Model:
-    """Model from ``labelled(text, lang)``; rows without text or lang are left out."""
+    """Model from ``labelled(doc_id, text, lang)``; rows without text or lang are left
+    out, and about ``sample_rows`` of the others drawn."""
     spark = labelled.sparkSession
-    rows = labelled.select("text", "lang").filter("text is not null and lang is not null")
+    rows = labelled.select("doc_id", "text", "lang").filter("text is not null and lang is not null")
     share = min(1.0, sample_rows / max(rows.count(), 1))
     if share < 1:
-        rows = rows.filter(F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000))
+        rows = rows.filter(drawn(share, "doc_id", "text"))
     scratch = Scratch(spark, "langid")
-    counts = scratch.table(rows.mapInPandas(_counted, "lang string, word string, n long")
+    counts = scratch.table(rows.select("text", "lang").mapInPandas(_counted, "lang string, word string, n long")
                            .groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
     model = Model(vocabulary_pieces(vocabulary), langs)

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import drawn
+
 # Kinds in the order they are listed, and their patterns. Possessive
 # repeats and the look-behind keep long runs linear and change no match.
 KINDS = ("email", "ip", "card", "phone")
@@ -260,23 +262,22 @@ def _gold(spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> lis
 def _labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for text in pdf["text"]:
+        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
             base = base_spans(text or "")
-            for w in windows(text or ""):
-                rows.append(([text[s:e] for s, e in w], _gold(w, base)))
-        yield pd.DataFrame(rows, columns=["tokens", "labels"])
+            for i, w in enumerate(windows(text or "")):
+                rows.append((doc_id, i, [text[s:e] for s, e in w], _gold(w, base)))
+        yield pd.DataFrame(rows, columns=["doc_id", "place", "tokens", "labels"]).astype({"doc_id": "Int64"})
 
 
 def labelled_windows(docs: DataFrame, train_rows: int = 4000, train_windows: int = 4000) -> DataFrame:
-    """The labelled table (tokens, labels): windows of about ``train_rows``
-    documents drawn by hash, and of these about ``train_windows`` windows."""
+    """The labelled table (doc_id, place, tokens, labels): windows of about
+    ``train_rows`` documents drawn by hash, and of these about ``train_windows``."""
     share = min(1.0, train_rows / max(docs.count(), 1))
-    draw = lambda col: F.pmod(F.xxhash64(col, F.lit("draw")), F.lit(1_000_000))
-    found = (docs.select("text").filter(F.col("text").isNotNull() & (draw("text") < int(share * 1_000_000)))
-             .mapInPandas(_labelled, "tokens array<string>, labels array<int>"))
-    n = found.count()
-    keep = min(1.0, train_windows / max(n, 1))
-    return found.filter(draw("tokens") < int(keep * 1_000_000)) if keep < 1 else found
+    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+             .filter(F.col("text").isNotNull() & drawn(share, "doc_id", "text"))
+             .mapInPandas(_labelled, "doc_id long, place long, tokens array<string>, labels array<int>"))
+    keep = min(1.0, train_windows / max(found.count(), 1))
+    return found.filter(drawn(keep, "doc_id", "place", "tokens")) if keep < 1 else found
 
 
 def train(docs: DataFrame, train_rows: int = 4000, train_windows: int = 4000) -> Field | None:

@@ -12,7 +12,7 @@ model scores every document. Two targets are learned: quality and toxicity.
 On held-out labels of the 10,000-document test table the combined quality model
 is right in 99.8 % of the cases.
 
-Fitting uses a bounded sample drawn by a hash of doc_id (``sample_rows``
+Fitting uses a bounded sample drawn by a hash (``sample_rows``
 documents, labelled or not; the sample is what reaches the driver). Scoring
 covers all documents and whole texts.
 
@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import drawn
+
 WORD_BITS = 16
 DIM = 1 << WORD_BITS
 META = 1 << 10  # hashed source and language, then the layout numbers
@@ -229,10 +231,9 @@ def _views(words: list[np.ndarray], codes: list, layouts: list) -> tuple[Sparse,
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000) -> dict[str, Target]:
     """Models from about ``sample_rows`` documents, with or without label."""
     share = min(1.0, sample_rows / max(docs.count(), 1))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1_000_000)) < int(share * 1_000_000)
-    known = labels.filter(drawn).groupBy(F.col("doc_id").alias("_id")).agg(
+    known = labels.groupBy(F.col("doc_id").alias("_id")).agg(
         F.min(F.col("quality").cast("double")).alias("quality"), F.max(F.col("toxic").cast("double")).alias("toxic"))
-    rows = docs.select("doc_id", "text", "source", "lang").filter(drawn)
+    rows = docs.select("doc_id", "text", "source", "lang").filter(drawn(share, "doc_id", "text"))
     sample = (rows.join(known, rows["doc_id"] == known["_id"], "left")
               .orderBy("doc_id").mapInPandas(_featured, FEATURES).toPandas())
     text, meta = _views(list(sample["words"]), list(sample["codes"]), list(sample["layout"]))
