@@ -1,4 +1,4 @@
-"""Repeated passages by paragraph MinHash banding.
+"""Repeated passages by paragraph MinHash banding and exact word runs.
 
 A paragraph is a line; a line of more than ``LONG_LINE`` words is cut after
 sentences chosen by their own hash, so that a passage inside two different long
@@ -10,6 +10,14 @@ since unrelated paragraphs hardly share five words in a row. Bucket mates are ve
 the exact shingle sets, components over the confirmed links give the clusters,
 and of each cluster the first paragraph in (doc_id, start) order stays.
 
+Besides, every run of ``RUN`` equal words or more is found wherever it lies, also
+inside a line or across line ends. The key of a window of ``RUN`` words is the
+smallest hash of its ``GRAM``-word shingles, so equal windows have equal keys; only windows
+whose key occurs in two places are listed, and compared by 128 bits of all their
+words. A window is removed if it occurs in an earlier place that it doesn't
+overlap. Of removed windows, what no removed paragraph covers is removed as spans
+of its own. Either rule refers to an earlier (doc_id, start), so the first copy stays.
+
 Defined results: null and empty texts have no paragraph; a paragraph repeated
 inside one document keeps its first place; rows that repeat a doc_id and text
 are treated alike, so a kept paragraph stays in each of them; offsets are code
@@ -34,6 +42,7 @@ SHINGLE = 5
 ROWS, BANDS = 3, 12
 LONG_LINE = 60
 CUT_ONE_IN = 3
+RUN, GRAM = 50, 20
 SENTENCE = re.compile(r"[.!?]\s+")
 FACTORS = mix(np.arange(ROWS * BANDS, dtype=np.uint64), 11) | np.uint64(1)
 
@@ -91,6 +100,128 @@ def band_keys(paras: list[list[bytes]]) -> np.ndarray:
     return keys
 
 
+def word_bounds(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code point starts and ends of the ``ascii_words`` of a text."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.r_[False, (code != 32) & ((code < 9) | (code > 13)), False]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
+def grams(h: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` word hashes, put together from powers of two."""
+    def joined(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
+        n = max(len(b) - shift, 0)
+        return mix(a[:n] * FACTORS[0] ^ b[shift:], seed)
+    part, size, out, done = mix(h, seed), 1, None, 0
+    while done < k:
+        if k & size:
+            out = part if out is None else joined(out, part, done)
+            done += size
+        if done < k:
+            part, size = joined(part, part, size), 2 * size
+    return out
+
+
+def window_keys(grams_: np.ndarray) -> np.ndarray:
+    """Per window of ``RUN`` words the smallest of its shingle hashes."""
+    width, size, low = RUN - GRAM + 1, 1, grams_
+    while 2 * size <= width:
+        low, size = np.minimum(low[:-size], low[size:]), 2 * size
+    rest = width - size
+    return np.minimum(low[:-rest], low[rest:]) if rest else low
+
+
+def _word_hashes(text: str | None) -> np.ndarray:
+    words = ascii_words(text)
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def _key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The distinct window keys of a document; ``twice`` if one is in two places."""
+    for pdf in batches:
+        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            h = _word_hashes(text)
+            if len(h) >= RUN:
+                g = grams(h, GRAM, 1)
+                keys = np.unique(window_keys(g))
+                values, count = np.unique(g, return_counts=True)
+                yield pd.DataFrame({"doc_id": doc_id, "key": keys.view(np.int64),
+                                    "twice": count[np.searchsorted(values, keys)] > 1})
+
+
+def _window_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The windows of a document whose key is one of ``shared``."""
+    for pdf in batches:
+        for doc_id, text, shared in zip(pdf["doc_id"], pdf["text"], pdf["shared"]):
+            h = _word_hashes(text)
+            if len(h) >= RUN:
+                at = np.flatnonzero(np.isin(window_keys(grams(h, GRAM, 1)).view(np.int64), shared))
+                start, end = word_bounds(text)
+                yield pd.DataFrame({"h1": grams(h, RUN, 2)[at].view(np.int64), "h2": grams(h, RUN, 3)[at].view(np.int64),
+                                    "doc_id": doc_id, "w": at, "start": start[at], "end": end[at + RUN - 1]})
+
+
+def repeated_windows(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, w, start, end) of the windows of ``RUN`` words, from word ``w`` on,
+    that also occur in an earlier place."""
+    keys = scratch.table(texts.mapInPandas(_key_rows, "doc_id long, key long, twice boolean"), "keys")
+    shared = scratch.table(
+        keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("twice").alias("twice"))
+        .filter("lo <> hi or twice").select("key"), "shared")
+    per_doc = scratch.table(
+        keys.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("shared")), "doc-keys")
+    scratch.drop(keys, shared)
+    windows = scratch.table(
+        texts.join(per_doc, "doc_id").mapInPandas(
+            _window_rows, "h1 long, h2 long, doc_id long, w long, start long, end long"), "windows")
+    spot = F.struct("doc_id", "w")
+    first = scratch.table(
+        windows.groupBy("h1", "h2").agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
+        .filter("first <> last").select("h1", "h2", "first"), "first")
+    gone = scratch.table(
+        windows.join(first, ["h1", "h2"])
+        .filter(f"first.doc_id < doc_id or (first.doc_id = doc_id and first.w + {RUN} <= w)")
+        .select("doc_id", "w", "start", "end"), "gone")
+    scratch.drop(per_doc, windows, first)
+    return gone
+
+
+def merged(paras: list[dict], windows: list[dict]) -> list[tuple[int, int]]:
+    """Spans of the removed paragraphs and of the words of removed windows outside
+    them, in order."""
+    out = [(p["start"], p["end"]) for p in paras]
+    joined: list[list[int]] = []
+    for x in windows:
+        if joined and x["w"] <= joined[-1][1]:
+            joined[-1][1], joined[-1][3] = x["w"] + RUN, x["end"]
+        else:
+            joined.append([x["w"], x["w"] + RUN, x["start"], x["end"]])
+    i = 0
+    for at, stop, start, end in joined:
+        while i < len(paras) and paras[i]["w1"] <= at:
+            i += 1
+        k = i
+        while k < len(paras) and paras[k]["w0"] < stop:
+            if paras[k]["w0"] > at:
+                out.append((start, paras[k]["start"]))
+            at, start = paras[k]["w1"], paras[k]["end"]
+            k += 1
+        if at < stop:
+            out.append((start, end))
+    return sorted(out)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    for batch in batches:
+        spans = [[{"start": s, "end": e} for s, e in merged(p or [], w or [])]
+                 for p, w in zip(batch.column("removed").to_pylist(), batch.column("windows").to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in ("doc_id", "n_paragraphs", "n_repeated")), pa.array(spans, kind)],
+            names=["doc_id", "n_paragraphs", "n_repeated", "removed"])
+
+
 def _paragraph_rows(min_words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
@@ -98,13 +229,16 @@ def _paragraph_rows(min_words: int):
                 pdf = whole.iloc[i:i + 500]
                 rows, words = [], []
                 for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                    for start, end, ws in paragraphs(text, min_words):
+                    found = paragraphs(text, min_words)
+                    at = word_bounds(text)[0] if found else ()
+                    for start, end, ws in found:
+                        w0 = int(np.searchsorted(at, start))
                         d = xxhash.xxh3_128_digest(b" ".join(ws))
-                        rows.append((doc_id, start, end, int.from_bytes(d[:8], "big", signed=True),
+                        rows.append((doc_id, start, end, w0, w0 + len(ws), int.from_bytes(d[:8], "big", signed=True),
                                      int.from_bytes(d[8:], "big", signed=True)))
                         words.append(ws)
                 if rows:
-                    out = pd.DataFrame(rows, columns=["doc_id", "start", "end", "sig1", "sig2"])
+                    out = pd.DataFrame(rows, columns=["doc_id", "start", "end", "w0", "w1", "sig1", "sig2"])
                     out["bands"] = list(band_keys(words).view(np.int64))
                     yield out
     return run
@@ -137,13 +271,14 @@ def _similar(percent: int):
 
 def repeated_paragraphs(docs: DataFrame, min_words: int = 15, percent: int = 80,
                         scratch: Scratch | None = None) -> DataFrame:
-    """(doc_id, start, end, cluster, n, first) per paragraph that takes part:
-    ``n`` paragraphs in its cluster, ``first`` if it is the one that stays."""
+    """(doc_id, start, end, w0, w1, cluster, n, first) per paragraph that takes part:
+    its words from ``w0`` to before ``w1``, ``n`` paragraphs in its cluster,
+    ``first`` if it is the one that stays."""
     scratch = scratch or Scratch(docs.sparkSession, "substring")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     each = scratch.table(texts.mapInPandas(
         _paragraph_rows(min_words),
-        "doc_id long, start long, end long, sig1 long, sig2 long, bands array<long>"), "paragraphs")
+        "doc_id long, start long, end long, w0 int, w1 int, sig1 long, sig2 long, bands array<long>"), "paragraphs")
     classes = scratch.table(
         each.groupBy("sig1", "sig2").agg(
             F.min(F.struct("doc_id", "start", "end")).alias("at"), F.first("bands").alias("bands")), "classes")
@@ -158,12 +293,12 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = 15, percent: int = 80,
     labels = bucket_components(scratch, members, facts, _sets, _similar(percent))
     named = scratch.table(
         each.drop("bands", "sig2").join(labels.withColumnRenamed("node", "sig1"), "sig1", "left")
-        .select("doc_id", "start", "end", F.coalesce("root", "sig1").alias("cluster")), "named")
+        .select("doc_id", "start", "end", "w0", "w1", F.coalesce("root", "sig1").alias("cluster")), "named")
     spot = F.struct("doc_id", "start")
     clusters = scratch.table(
         named.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("keeper")), "clusters")
     return named.join(clusters, "cluster").select(
-        "doc_id", "start", "end", "cluster", "n", (F.col("keeper") == spot).alias("first"))
+        "doc_id", "start", "end", "w0", "w1", "cluster", "n", (F.col("keeper") == spot).alias("first"))
 
 
 def _per_document(docs: DataFrame, min_words: int, percent: int) -> DataFrame:
@@ -171,10 +306,15 @@ def _per_document(docs: DataFrame, min_words: int, percent: int) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "substring")
     found = scratch.table(repeated_paragraphs(docs, min_words, percent, scratch), "found")
     gone = ~F.col("first")
-    return scratch.table(found.distinct().groupBy("doc_id").agg(
+    paras = found.distinct().groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_paragraphs"),
         F.count(F.when(F.col("n") > 1, 1)).alias("n_repeated"),
-        F.array_sort(F.collect_list(F.when(gone, F.struct("start", "end")))).alias("removed")), "spans")
+        F.array_sort(F.collect_list(F.when(gone, F.struct("start", "end", "w0", "w1")))).alias("removed"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
+    windows = repeated_windows(texts, scratch).groupBy("doc_id").agg(
+        F.array_sort(F.collect_set(F.struct("w", "start", "end"))).alias("windows"))
+    return scratch.table(paras.join(windows, "doc_id", "full").mapInArrow(
+        _merged, "doc_id long, n_paragraphs long, n_repeated long, removed array<struct<start:long,end:long>>"), "spans")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 15, percent: int = 80) -> DataFrame:
@@ -198,13 +338,14 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("_removed").to_pylist()):
             for s in reversed(spans or ()):
-                text = text[:s["start"]] + text[s["end"]:].removeprefix("\n")
+                before, after = text[:s["start"]], text[s["end"]:]
+                text = before + (after.removeprefix("\n") if before[-1:] in ("", "\n") else after)
             texts.append(text)
         yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
 
 def remove_repeats(docs: DataFrame, min_words: int = 15, percent: int = 80) -> DataFrame:
-    """``docs`` with every repeated paragraph but the first cut from the text."""
+    """``docs`` with every repeated paragraph and word run but the first cut from the text."""
     spans = _per_document(docs, min_words, percent).select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
     joined = docs.join(spans, docs["doc_id"] == spans["_id"], "left").drop("_id")
     return joined.mapInArrow(_without, joined.schema).drop("_removed")

@@ -137,6 +137,44 @@ def test_passage_inside_long_lines_is_cut_alike():
     assert sum(map(len, found[0] & found[1])) >= 40
 
 
+def test_repeated_runs_against_all_windows(spark):
+    """Runs anywhere: inside long lines, without sentence ends, wrapped in short lines."""
+    rng = random.Random(4)
+    new = lambda n: [f"u{rng.randrange(10 ** 8)}" for _ in range(n)]
+    wrap = lambda ws, n: "\n".join(" ".join(ws[i:i + n]) for i in range(0, len(ws), n))
+    run, other = new(70), new(50)
+    texts = [" ".join(new(90) + run + new(80)), wrap(new(33) + run + new(41), 7), " ".join(new(8) + run[:49] + new(99)),
+             " ".join(new(61) + other + new(3)) + "\n\n" + " ".join(new(30) + other + new(30)),
+             wrap(new(5) + other, 11) + " \t " + " ".join(run[10:] + new(200)), " ".join(["x"] * 180), "é " + wrap(run, 20)]
+    texts.append("\n".join([" ".join(new(20)), texts[6], " ".join(new(70))]))
+    df = spark.createDataFrame(list(enumerate([*texts, None, ""])), "doc_id long, text string")
+    first, want = {}, {}
+    for i, t in enumerate(texts):
+        w, want[i] = words(t), set()
+        for p in range(len(w) - 49):
+            d, q = first.setdefault(tuple(w[p:p + 50]), (i, p))
+            if d < i or q + 50 <= p:
+                want[i] |= set(range(p, p + 50))
+    got = {r.doc_id: r for r in repeated_passages(df).collect()}
+    for i, t in enumerate(texts):
+        at, place = [], 0
+        for w in words(t):
+            place = t.lower().index(w, place)
+            at.append(place)
+            place += len(w)
+        spans = [tuple(map(int, s.split(":"))) for s in got[i].removed.split(",") if s]
+        lines = [(s, e) for s, e, _ in paragraphs(t, 15)]
+        gone = {k for k, p in enumerate(at) if any(s <= p < e for s, e in spans)}
+        # whole repeated lines go as well; nothing else does
+        assert want[i] <= gone
+        assert all(any(s <= at[k] < e and (s, e) in spans for s, e in lines) for k in gone - want[i])
+        assert got[i].n_removed == len(spans) and sorted(spans) == spans
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert [bool(want[i]) for i in range(8)] == [False, True, False, True, True, True, True, True]
+    out = {r.doc_id: r.text for r in remove_repeats(df).collect()}
+    assert words(out[1]) == words(texts[1])[:33] + words(texts[1])[103:] and out[0] == texts[0] and out[9] == ""
+
+
 def test_dedup_of_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_duplicates(none).collect() == [] and repeated_passages(none).collect() == []
