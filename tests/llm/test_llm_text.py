@@ -175,6 +175,19 @@ def test_battery_and_thresholds(spark):
     assert sum(found[i] for i in range(300)) >= 270 and not any(found[1000 + i] for i in range(50))
 
 
+def test_thresholds_refuse_bands_without_random_tokens(spark):
+    rng = np.random.default_rng(6)
+    letters = [*secret_scan.ALPHABETS["base64"][:62]]
+    random_ = np.array([battery("".join(rng.choice(letters, 44)), "base64") for _ in range(4_000)])
+    text = rng.beta(0.1, 3, 200_000)
+    scores = {4: text, 5: np.r_[text, random_], 6: rng.beta(0.1, 3, 3_000), 7: 1 - np.sqrt(1 - rng.random(20_000)),
+              8: random_, 9: np.r_[random_, 0.01 * rng.random(60_000)], 10: rng.beta(0.1, 3, 200)}
+    rows = [(band, [("base64", band, float(v)) for v in p]) for band, p in scores.items()]
+    df = spark.createDataFrame(rows, "id long, _tokens array<struct<enc:string,band:int,p:double>>")
+    got = secret_scan.thresholds(df, 0.05)
+    assert set(got) == {("base64", 8), ("base64", 9)} and max(got.values()) <= 0.1
+
+
 def test_redact(spark, docs):
     out = {r.doc_id: r for r in secret_scan.redact(docs).collect()}
     assert out[14].text == "<SECRET>\" and password:short <SECRET> <SECRET>"
