@@ -12,9 +12,12 @@ model scores every document. Two targets are learned: quality and toxicity.
 On held-out labels of the 10,000-document test table the combined quality model
 is right in 99.8 % of the cases.
 
-Fitting uses a bounded sample drawn by a hash (``sample_rows``
-documents, labelled or not; the sample is what reaches the driver). Scoring
-covers all documents and whole texts.
+Fitting uses two bounded samples drawn by a hash: up to ``sample_rows`` labelled
+documents, so that unlabelled ones can't thin them, and as many unlabelled
+ones at most. Where labels are more, rare classes are drawn more densely (a
+sixteenth of the sample, or all), and the intercepts are set back to the shares among all
+labelled documents. The samples are what reaches the driver. Scoring covers all
+documents and whole texts.
 
 Defined results: null text has no words and the layout of an empty page; null
 source or language is a value of its own; repeated rows get equal rows; a
@@ -36,8 +39,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drawn
-
 WORD_BITS = 16
 DIM = 1 << WORD_BITS
 META = 1 << 10  # hashed source and language, then the layout numbers
@@ -46,6 +47,7 @@ ROUNDS = 3
 LEAST_Z = 4.0
 MOST_FEATURES = 300
 CONFIDENT = 0.95
+BLOCK = 2048  # rows of a fit that are dense at a time
 TARGETS = ("quality", "toxic")
 WORD = re.compile(r"[^\W\d_]+|[^\w\s]+")
 
@@ -133,19 +135,22 @@ class View:
         place = np.full(x.dim, -1)
         place[chosen] = np.arange(len(chosen))
         hit = place[x.flat] >= 0
-        a = np.zeros((len(y), len(chosen)))
+        a = np.zeros((len(y), len(chosen)), bool)
         a[x.row[hit], place[x.flat[hit]]] = 1
         mean = np.average(x.dense, axis=0, weights=weight) if x.dense.shape[1] else np.zeros(0)
         dev = np.sqrt(np.average((x.dense - mean) ** 2, axis=0, weights=weight)) + 1e-9 if len(mean) else mean
-        a = np.hstack([a, (x.dense - mean) / dev if len(mean) else x.dense, np.ones((len(y), 1))])
-        keep = np.full(a.shape[1], ridge)
+        tail = np.hstack([(x.dense - mean) / dev if len(mean) else x.dense, np.ones((len(y), 1))])
+        keep = np.full(a.shape[1] + tail.shape[1], ridge)
         keep[-1] = 1e-6
-        theta = np.zeros(a.shape[1])
+        theta = np.zeros(len(keep))
         theta[-1] = math.log((n1 + 1) / (n0 + 1))
         for _ in range(12):
-            q = _sigmoid(a @ theta)
-            grad = a.T @ (weight * (y - q)) - keep * theta
-            hess = (a * (weight * q * (1 - q) + 1e-9)[:, None]).T @ a + np.diag(keep)
+            grad, hess = -keep * theta, np.diag(keep)
+            for i in range(0, len(y), BLOCK):
+                m, w, part = np.hstack([a[i:i + BLOCK], tail[i:i + BLOCK]]), weight[i:i + BLOCK], y[i:i + BLOCK]
+                q = _sigmoid(m @ theta)
+                grad += m.T @ (w * (part - q))
+                hess += (m * (w * q * (1 - q) + 1e-9)[:, None]).T @ m
             step = np.linalg.solve(hess, grad)
             theta += step * min(1.0, 5 / max(np.abs(step).max(), 1e-9))
         self.w[chosen] = theta[:len(chosen)]
@@ -175,11 +180,18 @@ class Target:
         return Sparse([np.empty(0, np.int64)] * len(z), z, 1)
 
 
-def co_train(text: Sparse, meta: Sparse, y: np.ndarray) -> Target:
+def _logit(p: float) -> float:
+    return math.log(p / (1 - p))
+
+
+def co_train(text: Sparse, meta: Sparse, y: np.ndarray, prior: float | None = None) -> Target:
     """``y`` is 0 or 1, or NaN in the unlabelled pool. A fifth of the labelled rows
-    is kept for the combination."""
+    is kept for the combination. ``prior``: share of positives where it is not that of ``y``."""
     known = np.flatnonzero(~np.isnan(y))
     share = float(y[known].mean()) if len(known) else 0.5
+    excess = 0.0
+    if prior is not None and 0 < prior < 1 and 0 < share < 1:
+        share, excess = prior, _logit(share) - _logit(prior)
     fold = np.arange(len(known)) % 5 == 0
     train, tune = known[~fold], known[fold]
     target = Target(share)
@@ -194,6 +206,7 @@ def co_train(text: Sparse, meta: Sparse, y: np.ndarray) -> Target:
             own = np.r_[train, rows]
             weight = np.r_[np.ones(len(train)), np.full(len(rows), 0.5)]
             models.append(View(x.dim, x.dense.shape[1]).fit(x.take(own), np.r_[y[train], labels], weight))
+            models[-1].b -= excess
         target.views = models
         if turn == ROUNDS or not len(pool):
             break
@@ -205,20 +218,21 @@ def co_train(text: Sparse, meta: Sparse, y: np.ndarray) -> Target:
         extra = [taught[1], taught[0]]
     stack = target._stack(text.take(tune), meta.take(tune))
     target.blend = View(1, 2).fit(stack, y[tune], np.ones(len(tune)))
+    target.blend.b -= excess
     return target
 
 
 # --- Spark side ------------------------------------------------------------
 
-FEATURES = "words array<long>, codes array<long>, layout array<double>, quality double, toxic double"
+FEATURES = "words binary, codes array<long>, layout binary, quality double, toxic double"
 
 
 def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     words = Words()
     for pdf in batches:
         meta = [metadata(*x) for x in zip(pdf["source"], pdf["lang"], pdf["text"])]
-        yield pd.DataFrame({"words": [words(t) for t in pdf["text"]], "codes": [m[0] for m in meta],
-                            "layout": [m[1] for m in meta], "quality": pdf["quality"], "toxic": pdf["toxic"]})
+        yield pd.DataFrame({"words": [words(t).astype(np.int32).tobytes() for t in pdf["text"]], "codes": [m[0] for m in meta],
+                            "layout": [np.array(m[1]).tobytes() for m in meta], "quality": pdf["quality"], "toxic": pdf["toxic"]})
 
 
 def _views(words: list[np.ndarray], codes: list, layouts: list) -> tuple[Sparse, Sparse]:
@@ -228,16 +242,47 @@ def _views(words: list[np.ndarray], codes: list, layouts: list) -> tuple[Sparse,
                    np.asarray(list(layouts), float).reshape(len(words), LAYOUT), META))
 
 
+def shares(counts: dict[tuple, int], rows: int) -> dict[tuple, float]:
+    """Share to draw of each class, about ``rows`` together: a sixteenth of them (or
+    all) of a class that has less by an even draw, even shares of the others."""
+    least = rows // 16
+    even = rows / max(sum(counts.values()), 1)
+    if even >= 1:
+        return dict.fromkeys(counts, 1.0)
+    rare = {c: min(n, least) for c, n in counts.items() if n * even < least}
+    rest = (rows - sum(rare.values())) / max(sum(n for c, n in counts.items() if c not in rare), 1)
+    return {c: rare[c] / n if c in rare else min(rest, 1.0) for c, n in counts.items()}
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000) -> dict[str, Target]:
-    """Models from about ``sample_rows`` documents, with or without label."""
-    share = min(1.0, sample_rows / max(docs.count(), 1))
+    """Models from about ``sample_rows`` labelled documents and as many others at
+    most. Only ids and hashes of the rows are joined with the labels; equal rows count once."""
     known = labels.groupBy(F.col("doc_id").alias("_id")).agg(
         F.min(F.col("quality").cast("double")).alias("quality"), F.max(F.col("toxic").cast("double")).alias("toxic"))
-    rows = docs.select("doc_id", "text", "source", "lang").filter(drawn(share, "doc_id", "text"))
-    sample = (rows.join(known, rows["doc_id"] == known["_id"], "left")
-              .orderBy("doc_id").mapInPandas(_featured, FEATURES).toPandas())
-    text, meta = _views(list(sample["words"]), list(sample["codes"]), list(sample["layout"]))
-    return {k: co_train(text, meta, sample[k].to_numpy(float)) for k in TARGETS}
+    mark = F.xxhash64("doc_id", "text", F.lit("draw"))
+    classes = [(F.col(k) >= 0.5).alias(f"is_{k}") for k in TARGETS]
+    ids = docs.select("doc_id", mark.alias("mark")).distinct()
+    ids = ids.join(known, ids["doc_id"] == known["_id"], "left").select("doc_id", "mark", *TARGETS, *classes)
+    counts = {tuple(r[:2]): r["n"] for r in ids.groupBy(*(f"is_{k}" for k in TARGETS)).agg(F.count(F.lit(1)).alias("n")).collect()}
+    pool = {c: n for c, n in counts.items() if c == (None, None)}
+    labelled = {c: n for c, n in counts.items() if c not in pool}
+    share = F.lit(0.0)
+    for c, part in {**shares(labelled, sample_rows), **{c: min(1.0, sample_rows / n) for c, n in pool.items()}}.items():
+        share = F.when(F.col("is_quality").eqNullSafe(F.lit(c[0])) & F.col("is_toxic").eqNullSafe(F.lit(c[1])),
+                       F.lit(part)).otherwise(share)
+    chosen = ids.filter(F.pmod("mark", F.lit(10 ** 12)) < share * 10 ** 12).select(
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), *TARGETS)
+    rows = docs.select("doc_id", "text", "source", "lang", mark.alias("mark"))
+    sample = (rows.join(F.broadcast(chosen), rows["doc_id"].eqNullSafe(chosen["_id"]) & (rows["mark"] == chosen["_mark"]))
+              .dropDuplicates(["doc_id", "mark"]).orderBy("doc_id", "mark").mapInPandas(_featured, FEATURES).toPandas())
+    text, meta = _views([np.frombuffer(w, np.int32) for w in sample["words"]], list(sample["codes"]),
+                        [np.frombuffer(x) for x in sample["layout"]])
+    priors = {}
+    if sum(labelled.values()) > sample_rows:
+        for i, k in enumerate(TARGETS):
+            n = [sum(m for c, m in labelled.items() if c[i] is v) for v in (False, True)]
+            priors[k] = n[1] / max(sum(n), 1)
+    return {k: co_train(text, meta, sample[k].to_numpy(float), priors.get(k)) for k in TARGETS}
 
 
 def _scores(models: dict[str, Target], words: Words, texts: list, sources: list, langs: list) -> dict[str, np.ndarray]:

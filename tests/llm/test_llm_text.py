@@ -298,5 +298,19 @@ def test_quality_rows(spark, docs):
     assert quality.classify(spark.createDataFrame([], EMPTY), none).collect() == []
 
 
+def test_quality_labels_are_not_thinned(spark):
+    """Few labels beside many documents, and a rare class among many labels."""
+    rng = random.Random(12)
+    toxic = {i: i % 40 == 0 for i in range(12_000)}
+    say = lambda i: " ".join(["vile"] * toxic[i] + [f"w{rng.randrange(60)}" for _ in range(12)])
+    docs = spark.createDataFrame([(i, say(i), "en", "s") for i in toxic], "doc_id long, text string, lang string, source string")
+    for known in (range(0, 12_000, 20), [i for i in toxic if i % 40 or i % 800 == 0]):
+        labels = spark.createDataFrame([(i, i % 2, int(toxic[i])) for i in known], "doc_id long, quality int, toxic int")
+        got = {r.doc_id: r.toxic_score for r in quality.classify(docs, labels, sample_rows=700).collect()}
+        true, clean = ([v for i, v in got.items() if toxic[i] == x] for x in (True, False))
+        assert len(true) == 300 and min(true) > max(clean)
+        assert np.mean(clean) < 0.05
+
+
 def test_metadata_layout_of_empty_text():
     assert len(quality.layout(None)) == quality.LAYOUT and pd.notna(quality.layout(None)).all()
