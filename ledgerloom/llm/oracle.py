@@ -91,7 +91,44 @@ SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, sha1(p.h) AS payload_dig
 FROM p LEFT JOIN top ON p.h = top.h AND p.n >= 1000
 """
 
+# The bounded shares in closed form: in the order of bound / weight the bounded
+# sources come first. Documents are taken in the order of their key, by a running
+# sum over all of them.
+SOURCE_MIXTURE = """
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')), 1, 15) AS BIGINT) AS k
+  FROM documents
+), s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, 2.0::DOUBLE * source_size AS bound,
+         [5.0::DOUBLE, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM s
+), p AS (
+  SELECT *, 1.5::DOUBLE * (sum(source_size) OVER ()) - coalesce(sum(bound) OVER o, 0) AS free,
+         (sum(w) OVER ()) - coalesce(sum(w) OVER o, 0) AS rest, row_number() OVER (ORDER BY bound / w, source NULLS LAST) AS i
+  FROM w WINDOW o AS (ORDER BY bound / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), share AS (SELECT free, rest FROM p WHERE w * free / rest <= bound ORDER BY i LIMIT 1),
+t AS (
+  SELECT source, source_size, least(w * free / rest, bound) AS target FROM w, share
+), u AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t
+), g AS (
+  SELECT source, k, sum(size) AS words, count(*) AS n, sum(sum(size)) OVER (PARTITION BY source ORDER BY k) AS upto
+  FROM d GROUP BY source, k
+), m AS (
+  SELECT u.*, g.k, CASE
+      WHEN upto <= target - whole * source_size THEN n
+      WHEN upto - words > target - whole * source_size OR words = 0 THEN 0
+      ELSE least(n, floor((target - whole * source_size - upto + words) / (words / n) + 0.5)) END AS more
+  FROM g JOIN u ON u.source IS NOT DISTINCT FROM g.source
+), r AS (SELECT *, row_number() OVER (PARTITION BY source, k) AS place FROM d)
+SELECT r.doc_id, r.size, m.source_size, m.target,
+       CAST(r.size * (m.whole + CASE WHEN r.place <= m.more THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r JOIN m ON m.source IS NOT DISTINCT FROM r.source AND m.k = r.k
+"""
+
 ORACLE: dict[str, str] = {
+    "op13_source_mixing": SOURCE_MIXTURE,
     "op2_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_benchmark_decontamination": CONTAMINATION,
     "op5_warc_round_trip": ARCHIVED_PAGES,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import docs_of, table_of
 
@@ -59,6 +60,14 @@ def op10_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs_of(spark, sf_dir), table_of(spark, sf_dir, "labels"))
 
 
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+    size, copies = F.col("mix_size"), F.col("mix_copies")
+    return mix(docs_of(spark, sf_dir)).select(
+        "doc_id", size.alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
+        (size * copies).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -70,4 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pstable_embedding_dedup": op8_pstable_embedding_dedup,
     "op9_paragraph_substring_dedup": op9_paragraph_substring_dedup,
     "op10_co_trained_quality": op10_co_trained_quality,
+    "op13_source_mixing": op13_source_mixing,
 }
