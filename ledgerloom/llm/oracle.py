@@ -127,7 +127,66 @@ SELECT r.doc_id, r.size, m.source_size, m.target,
 FROM r JOIN m ON m.source IS NOT DISTINCT FROM r.source AND m.k = r.k
 """
 
+# A path is the concatenation of its turns' digests, 30 characters each, so a
+# prefix is a left part of it. crc32 is worked out bit by bit.
+PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id, turn, substr(sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 30) AS t,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, list(t ORDER BY turn NULLS FIRST, t) AS ts, list(words ORDER BY turn NULLS FIRST, t) AS ws FROM turns GROUP BY conv_id
+), coded AS (
+  SELECT *, xor(list_reduce(flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(CAST(conv_id AS VARCHAR), '')]),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, CAST(x AS BIGINT)) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END,
+      4294967295), 4294967295) % 4 AS h
+  FROM convs
+), rebuilt AS (
+  SELECT c.conv_id, coalesce(b.ts, [])[1:c.h] || c.ts[c.h + 1:] AS ts, coalesce(b.ws, [])[1:c.h] || c.ws[c.h + 1:] AS ws
+  FROM coded c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 20
+), rows AS (
+  SELECT conv_id, d, array_to_string(ts[1:d], '') AS p, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS words, d = len(ts) AS ends
+  FROM rebuilt, unnest(range(0, len(ts) + 1)) AS u(d)
+), nodes AS (
+  SELECT p, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM rows GROUP BY p
+), kids AS (SELECT left(p, (d - 1) * 30) AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+own AS (SELECT n.p, n.d, (n_convs - 1) * words AS saved, CASE WHEN k.n IS NULL THEN 1 ELSE 0 END AS leaf FROM nodes n LEFT JOIN kids k USING (p)),
+sums AS (
+  SELECT left(p, k * 30) AS p, sum(saved) AS saved, sum(leaf) AS leaves FROM own, unnest(range(0, d + 1)) AS u(k) GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, CASE WHEN n.d > 0 THEN up.conv_id END AS parent_conv_id, n.n_convs,
+       coalesce(kids.n, 0) AS n_children, CAST(sums.leaves AS BIGINT) AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums ON sums.p = n.p LEFT JOIN kids ON kids.p = n.p
+LEFT JOIN nodes up ON n.d > 0 AND up.p = left(n.p, (n.d - 1) * 30)
+"""
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.alike
+  AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op11_conversation_prefix_trie": PREFIX_TRIE,
     "op13_source_mixing": SOURCE_MIXTURE,
     "op2_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_benchmark_decontamination": CONTAMINATION,

@@ -60,6 +60,19 @@ def op10_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs_of(spark, sf_dir), table_of(spark, sf_dir, "labels"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import rebuilt_trie
+    return rebuilt_trie(table_of(spark, sf_dir, "conversations")).drop("prefix")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh vec_id are moved on by one first."""
+    from .hard_negatives import hard_negatives
+    rows = table_of(spark, sf_dir, "embeddings").select("vec_id", F.col("label").try_cast("long").alias("label"), "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved))
+
+
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
     size, copies = F.col("mix_size"), F.col("mix_copies")
@@ -79,5 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pstable_embedding_dedup": op8_pstable_embedding_dedup,
     "op9_paragraph_substring_dedup": op9_paragraph_substring_dedup,
     "op10_co_trained_quality": op10_co_trained_quality,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_source_mixing": op13_source_mixing,
 }
