@@ -28,7 +28,7 @@ from .plans.publish import current_run, read_tables, run_and_publish, table_coun
 from .plans.views import sales_by_region_category, sales_view
 from .schemas import LINE_GRAIN, ORDER_GRAIN, SOURCE_HEADERS, TABLE_ORDER
 from .sources import fixtures
-from .sources.readers import CSV_OPTIONS, clean_raw_orders, read_sheet
+from .sources.readers import CSV_OPTIONS, clean_raw_orders, read_sheet, read_sheet_with_rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,21 @@ def scan_csv_sheets(spark, sf):
     return read_sheet(spark, path, "orders").drop("row_id")
 
 
+def csv_with_rejects(spark, sf):
+    """Damaged order rows written as CSV and read with rejects: every row, the bad ones
+    with the columns that failed."""
+    source_names = {ours: theirs for theirs, ours in SOURCE_HEADERS.items()}
+    rows = fixtures.damaged_orders(spark, sf)
+    path = stage_path(spark, "csv-damaged")
+    rows.select(*[F.col(c).alias(source_names[c]) for c in rows.columns]).write.options(**CSV_OPTIONS).csv(path)
+    good, bad = read_sheet_with_rejects(spark, path, "orders")
+    shown = ["order_id", "product_id", "customer_name", "quantity", "order_date", "sales"]
+    text = [F.col(c).cast("string").alias(c) for c in shown]
+    day = F.date_format("order_date", "yyyy-MM-dd").alias("order_date")
+    return (good.select(*[day if c == "order_date" else t for c, t in zip(shown, text)], F.lit("").alias("failed"))
+            .unionByName(bad.select(*text, F.array_join("failed", ",").alias("failed"))))
+
+
 def raw_counts(spark, sf):
     ro, rp, rr = fixtures.raw_inputs(spark, sf)
     return table_counts({"raw_orders": ro, "raw_people": rp, "raw_returns": rr})
@@ -136,15 +151,15 @@ def decimal_cast(spark, sf):
 # -- dimensions (natural attributes) and keyed tables ----------------------------
 
 def dim_product(spark, sf):
-    return E.distinct_product(_raw(spark, sf))
+    return built(spark, sf).grains["product"]
 
 
 def dim_addresses(spark, sf):
-    return E.distinct_addresses(_raw(spark, sf))
+    return built(spark, sf).grains["addresses"]
 
 
 def dim_ship_mode(spark, sf):
-    return E.distinct_ship_mode(_raw(spark, sf))
+    return built(spark, sf).grains["type_ship"]
 
 
 def dim_people(spark, sf):
@@ -152,7 +167,7 @@ def dim_people(spark, sf):
 
 
 def dim_customers(spark, sf):
-    return E.build_customers(_raw(spark, sf))
+    return built(spark, sf).grains["customers"]
 
 
 def keyed_product(spark, sf):
@@ -305,10 +320,46 @@ def check_control_totals(spark, sf):
 
 
 def validation_report(spark, sf):
+    """The report of the built tables, with the figures gathered while writing them."""
+    rows, sums = _expected(spark, sf)
+    tables = _tables(spark, sf)
+    return V.validation_report(tables, rows, sums, built(spark, sf).metrics)
+
+
+def validation_report_scanned(spark, sf):
+    """The same report with every figure taken from the tables again."""
     rows, sums = _expected(spark, sf)
     return V.validation_report(_tables(spark, sf), rows, sums)
 
 
+def write_metrics(spark, sf):
+    """Rows, NULL foreign keys and decimal sums of every table, observed by the jobs
+    that write them, from the run's journal."""
+    t = built(spark, sf)
+    t.build()
+    return t.journal.frame()
+
+
+def edge_write_metrics(spark, sf):
+    t = edge_built(spark, sf)
+    t.build()
+    return t.journal.frame()
+
+
+def resumed_load(spark, sf):
+    """A load that ended after four tables, finished by a second one on the same
+    folder: rows by table, and how many tables the second wrote."""
+    ro, rp, rr = fixtures.raw_inputs(spark, sf)
+    run_dir = stage_path(spark, "resumed")
+    first = Normalizer(ro, rp, rr, run_dir=run_dir)
+    first.build(TABLE_ORDER[:4])
+    second = Normalizer(ro, rp, rr, run_dir=run_dir, resume=True)
+    counts = table_counts(second.build())
+    second.cleanup_staging()
+    return counts.withColumn("taken_up", F.col("table_name").isin(second.resumed)) \
+                 .withColumn("tables_written", F.lit(len(second.written)))
+
+
 # -- the operators over awkward rows -------------------------------------------------
 
 def edge_table(name: str) -> Query:
@@ -376,7 +427,52 @@ def edge_check_row_counts(spark, sf):
 
 
 def edge_sales_view(spark, sf):
-    return sales_view(edge_built(spark, sf).build())
+    t = edge_built(spark, sf)
+    return sales_view(t.build(), t.metrics)
+
+
+# -- facts stored by order_id ----------------------------------------------------------
+
+def colocated(spark: SparkSession, sf: str) -> Normalizer:
+    """Normalizer over the awkward rows with orders, lines and returned orders bucketed."""
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), f"{sf} bucketed")
+    if key not in _BUILT:
+        _BUILT[key] = Normalizer(clean_raw_orders(fixtures.edge_orders(spark, sf)),
+                                 fixtures.edge_people_seq(spark, sf).drop("seq"),
+                                 fixtures.edge_returns_seq(spark, sf).drop("seq"),
+                                 buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _BUILT[key]
+
+
+def colocated_returns(spark, sf):
+    return colocated(spark, sf).table("returns")
+
+
+def colocated_sales_view(spark, sf):
+    t = colocated(spark, sf)
+    return sales_view(t.build(), t.metrics)
+
+
+# -- a second load that keeps the keys of the first ------------------------------------
+
+def second_load(table: str) -> Query:
+    """``table`` of a load of the awkward rows after one of the clean rows, both on
+    the same key maps."""
+    def query(spark, sf):
+        key = (spark.conf.get("spark.app.id", None) or str(id(spark)), f"{sf} second load")
+        if key not in _BUILT:
+            keys = stage_path(spark, "keys")
+            first = Normalizer(*fixtures.raw_inputs(spark, sf), key_dir=keys)
+            first.build(SECOND_LOAD)
+            first.cleanup_staging()
+            _BUILT[key] = Normalizer(clean_raw_orders(fixtures.edge_orders(spark, sf)),
+                                     fixtures.edge_people_seq(spark, sf).drop("seq"),
+                                     fixtures.edge_returns_seq(spark, sf).drop("seq"), key_dir=keys)
+        return _BUILT[key].table(table)
+    return query
+
+
+SECOND_LOAD = ("product", "addresses", "type_ship", "people", "order_details")
 
 
 # -- lookups with no dimension small enough to broadcast -------------------------------
@@ -391,6 +487,15 @@ def lookup_product_shuffled(spark, sf):
     return lookup(pre, *_shuffled(E.product_lookup(t.table("product"))))
 
 
+def lookup_product_hot(spark, sf):
+    """Lines of which a third name one product: the hot product is joined apart."""
+    t = built(spark, sf)
+    path = stage_path(spark, "hot-lines")
+    fixtures.hot_lines(spark, sf).write.parquet(path)
+    lk = replace(E.product_lookup(t.table("product")), broadcast_rows=-1, hot_share=0.05)
+    return lookup(spark.read.parquet(path), lk)
+
+
 def fact_orders_shuffled(spark, sf):
     t = edge_built(spark, sf)
     out = ["order_id", "order_date", "people_id", "customer_id", "ship_id", "addresses_id"]
@@ -408,16 +513,17 @@ def fact_order_details_shuffled(spark, sf):
 # -- views -------------------------------------------------------------------------
 
 def sales_view_query(spark, sf):
-    return sales_view(_tables(spark, sf))
+    return sales_view(_tables(spark, sf), built(spark, sf).metrics)
 
 
 def sales_by_region_category_query(spark, sf):
-    return sales_by_region_category(_tables(spark, sf))
+    return sales_by_region_category(_tables(spark, sf), built(spark, sf).metrics)
 
 
 _BUILDERS: dict[str, Query] = {
     "scan_raw_orders": scan_raw_orders,
     "scan_csv_sheets": scan_csv_sheets,
+    "csv_with_rejects": csv_with_rejects,
     "raw_counts": raw_counts,
     "parse_locale_number": parse_locale_number,
     "postal_normalize": postal_normalize,
@@ -457,6 +563,10 @@ _BUILDERS: dict[str, Query] = {
     "check_row_counts": check_row_counts,
     "check_control_totals": check_control_totals,
     "validation_report": validation_report,
+    "validation_report_scanned": validation_report_scanned,
+    "write_metrics": write_metrics,
+    "edge_write_metrics": edge_write_metrics,
+    "resumed_load": resumed_load,
     "edge_scan": edge_scan,
     "edge_null_sentinels": edge_null_sentinels,
     "edge_postal": edge_postal,
@@ -469,7 +579,11 @@ _BUILDERS: dict[str, Query] = {
     "edge_check_fk_orphans": edge_check_fk_orphans,
     "edge_check_row_counts": edge_check_row_counts,
     "edge_sales_view": edge_sales_view,
+    "colocated_returns": colocated_returns,
+    "colocated_sales_view": colocated_sales_view,
+    **{f"second_load_{name}": second_load(name) for name in SECOND_LOAD},
     "lookup_product_shuffled": lookup_product_shuffled,
+    "lookup_product_hot": lookup_product_hot,
     "fact_orders_shuffled": fact_orders_shuffled,
     "fact_order_details_shuffled": fact_order_details_shuffled,
     "sales_view": sales_view_query,
@@ -500,6 +614,9 @@ DECIMAL_OUTPUTS: dict[str, tuple[str, ...]] = {
     "check_row_counts": REPORT,
     "check_control_totals": REPORT,
     "validation_report": REPORT,
+    "validation_report_scanned": REPORT,
+    "write_metrics": ("value",),
+    "edge_write_metrics": ("value",),
     "returns_unfiltered": ("detail_id",),   # NULL for a return of an unknown order
     "edge_orders": ("people_id", "ship_id", "addresses_id"),
     "edge_date_ship": ("ship_id",),
@@ -510,6 +627,9 @@ DECIMAL_OUTPUTS: dict[str, tuple[str, ...]] = {
     "edge_check_fk_orphans": REPORT,
     "edge_check_row_counts": REPORT,
     "edge_sales_view": ("product_code", *MONEY),
+    "colocated_sales_view": ("product_code", *MONEY),
+    "lookup_product_hot": ("product_code",),
+    "second_load_order_details": ("product_code", *MONEY),
     "lookup_product_shuffled": ("product_code",),
     "fact_orders_shuffled": ("people_id", "ship_id", "addresses_id"),
     "fact_order_details_shuffled": ("product_code",),

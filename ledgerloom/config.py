@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -114,3 +115,43 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath) and fs.delete(hpath, True))
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> bool:
+    """Write a small driver-side record (a journal entry, a manifest record). Without
+    ``overwrite`` the file is created only if it is absent, in one step where the
+    file system offers that (HDFS, local disks); False if it was there already."""
+    sc = _context(spark)
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    hpath = hadoop.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(hpath.getParent())
+    try:
+        out = fs.create(hpath, overwrite)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() in ("FileAlreadyExistsException", "FileAlreadyExists") or (
+                not overwrite and fs.exists(hpath)):
+            return False
+        raise
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Read a record that ``write_text`` wrote."""
+    sc = _context(spark)
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(sc._jsc.hadoopConfiguration()).open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none if it doesn't exist), sorted."""
+    sc = _context(spark)
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .hotkeys import hot_hashes, key_hash, split_by_heat
+
 BROADCAST_ROWS_CONF = "ledgerloom.broadcast.maxRows"
 BROADCAST_BYTES_CONF = "ledgerloom.broadcast.maxBytes"
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -39,32 +41,41 @@ def _width(field: T.StructField) -> Column:
     return F.lit(16 if isinstance(field.dataType, T.DecimalType) else 8).cast("long")
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row of ``df`` in a broadcast relation (text measured exactly)."""
+    width = F.lit(ROW_OVERHEAD_BYTES).cast("long")
+    for f in df.schema.fields:
+        width = width + _width(f)
+    return width
+
+
 def fits_broadcast(dim: DataFrame, max_rows: int | None = None,
-                   max_bytes: int | None = None) -> bool:
+                   max_bytes: int | None = None, known: tuple[int, int] | None = None) -> bool:
     """True when ``dim`` has at most ``max_rows`` rows and its rows add up to
     at most ``max_bytes`` (text measured exactly, plus a per-row overhead).
 
     The row count comes first: on Parquet it is answered from row-group
     metadata, so a huge table is rejected without reading its columns (a
     ``limit`` would funnel rows through one task instead). Only a table that
-    passes is measured, and that pass reads at most ``max_rows`` rows.
+    passes is measured, and that pass reads at most ``max_rows`` rows. ``known``
+    gives rows and bytes that were measured before, e.g. by the job that wrote the
+    table (bytes of more columns are an upper bound); no job runs then.
     """
     limit = broadcast_limit(dim) if max_rows is None else max_rows
     byte_limit = broadcast_byte_limit(dim) if max_bytes is None else max_bytes
+    if known is not None:
+        return known[0] <= limit and known[1] <= byte_limit
     if dim.count() > limit:
         return False
-    width = F.lit(ROW_OVERHEAD_BYTES).cast("long")
-    for f in dim.schema.fields:
-        width = width + _width(f)
-    size = dim.agg(F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()["b"]
+    size = dim.agg(F.coalesce(F.sum(row_bytes(dim)), F.lit(0)).alias("b")).first()["b"]
     return size <= byte_limit
 
 
 def sized_broadcast(dim: DataFrame, max_rows: int | None = None,
-                    max_bytes: int | None = None) -> DataFrame:
+                    max_bytes: int | None = None, known: tuple[int, int] | None = None) -> DataFrame:
     """``broadcast(dim)`` when it passes ``fits_broadcast``, else ``dim`` (the
     planner and adaptive execution then choose the join)."""
-    return F.broadcast(dim) if fits_broadcast(dim, max_rows, max_bytes) else dim
+    return F.broadcast(dim) if fits_broadcast(dim, max_rows, max_bytes, known) else dim
 
 
 @dataclass(frozen=True)
@@ -75,6 +86,7 @@ class Lookup:
     take: tuple[str, ...]
     left_keys: tuple[str, ...] | None = None
     broadcast_rows: int | None = None
+    hot_share: float | None = None      # keys of at least this share of the rows are joined apart
 
 
 def _join(left: DataFrame, lk: Lookup, right: DataFrame) -> DataFrame:
@@ -94,9 +106,23 @@ def lookup(left: DataFrame, lk: Lookup) -> DataFrame:
     """LEFT JOIN ``lk.dim`` on its keys; adds the ``take`` columns.
 
     Plain SQL equality: a NULL key matches nothing and yields NULL ids. A key
-    present twice in the dimension fans out (see ``check_lookup_unique``).
+    present twice in the dimension fans out (see ``check_lookup_unique``). If the
+    dimension is too large to broadcast and ``hot_share`` is set, hot keys and NULL
+    keys are kept out of the shuffled join (``hotkeys``); ``left`` is then read
+    for the sketch and once for each part, so it should be a stored table.
     """
-    return _join(left, lk, sized_broadcast(_right(lk), lk.broadcast_rows))
+    right = _right(lk)
+    if lk.hot_share is None or fits_broadcast(right, lk.broadcast_rows):
+        return _join(left, lk, sized_broadcast(right, lk.broadcast_rows))
+    keys = list(lk.left_keys or lk.keys)
+    hot = hot_hashes(left, keys, lk.hot_share)
+    few = right.filter(key_hash([f"_lk_{k}" for k in lk.keys]).isin(hot))
+    if not hot or not fits_broadcast(few):
+        return _join(left, lk, right)
+    unmatched, heated, rest = split_by_heat(left, keys, hot)
+    none = [F.lit(None).cast(lk.dim.schema[c].dataType).alias(c) for c in lk.take]
+    return (_join(rest, lk, right).unionByName(_join(heated, lk, F.broadcast(few)))
+            .unionByName(unmatched.select("*", *none)))
 
 
 def lookup_distinct(raw: DataFrame, lookups: Sequence[Lookup], out: Sequence[str],

@@ -357,6 +357,45 @@ def _counts_sql(names: list[tuple[str, str]]) -> str:
         for label, src in names)
 
 
+def _metrics_sql() -> str:
+    rows = [f"SELECT '{n}' AS table_name, 'rows' AS metric, CAST(count(*) AS {VALUE}) AS value FROM t_{n}" for n in PRIMARY_KEYS]
+    rows += [f"SELECT '{child}', 'null {column}', CAST(count(*) FILTER (WHERE {column} IS NULL) AS {VALUE}) FROM t_{child}"
+             for child, column, _ in RELATIONS]
+    rows += [f"SELECT 'order_details', 'sum {c}', CAST(sum({c}) AS {VALUE}) FROM t_order_details"
+             for c in ("sales", "discount", "profit")]
+    return " UNION ALL ".join(rows)
+
+
+def _second_load_sql() -> dict[str, str]:
+    """Tables of a load of the awkward rows that keeps the keys of a load of the clean
+    ones: keys of rows seen before, and new ones in order after the largest."""
+    grains = {
+        "product": "SELECT DISTINCT product_id, category, sub_category, product_name FROM {}_orders",
+        "addresses": f"SELECT DISTINCT country, city, state, {postal_key_sql('postal_code')} AS postal_code FROM {{}}_orders",
+        "type_ship": "SELECT DISTINCT ship_mode FROM {}_orders",
+        "people": "SELECT DISTINCT person, region FROM {}_people",
+    }
+    ctes, out = [], {}
+
+    def numbered(name: str, key: str, order, columns, first: str, second: str) -> None:
+        same = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in columns)
+        ctes.append(f"f_{name} AS (SELECT row_number() OVER (ORDER BY {_nf(order)}) AS {key}, * FROM ({first}))")
+        ctes.append(f"s_{name} AS (SELECT a.*, b.{key} AS old FROM ({second}) a LEFT JOIN f_{name} b ON {same})")
+        ctes.append(f"k_{name} AS (SELECT * EXCLUDE (old), CAST(coalesce(old, (SELECT max({key}) FROM f_{name}) + "
+                    f"row_number() OVER (PARTITION BY old IS NULL ORDER BY {_nf(order)})) AS BIGINT) AS {key} FROM s_{name})")
+
+    for name, grain in grains.items():
+        key, order, columns = NUMBERED[name]
+        numbered(name, key, order, columns, grain.format("clean"), grain.format("raw"))
+        out[name] = f"SELECT {', '.join(STORED[name])} FROM k_{name}"
+    lines = ("SELECT DISTINCT order_id, product_code, quantity, sales, discount, profit FROM {0}_orders o "
+             "LEFT JOIN {1}_product p ON p.product_id = o.product_id AND p.product_name = o.product_name")
+    numbered("order_details", "detail_id", DETAIL_ORDER, DETAIL_ORDER, lines.format("clean", "f"), lines.format("raw", "k"))
+    out["order_details"] = ("SELECT detail_id, order_id, product_code, quantity, CAST(sales AS DECIMAL(12,4)) AS sales, "
+                            "CAST(discount AS DECIMAL(6,4)) AS discount, CAST(profit AS DECIMAL(12,4)) AS profit FROM k_order_details")
+    return {name: f"WITH {', '.join(ctes)} {sql}" for name, sql in out.items()}
+
+
 def oracle_queries() -> dict[str, str]:
     raw_select = ", ".join(_na(c) if c in _RAW_STRING_COLS else c for c in _RAW_COLS)
     locale_text = "translate(format('{:,.2f}', l_extendedprice), ',.', ' ,')"
@@ -365,6 +404,21 @@ def oracle_queries() -> dict[str, str]:
     body = {
         "scan_raw_orders": f"SELECT {raw_select} FROM raw_orders",
         "scan_csv_sheets": f"SELECT {raw_select} FROM raw_orders",
+        "csv_with_rejects": """
+            SELECT * FROM (WITH n AS (SELECT *, CAST(substr(order_id, 3) AS BIGINT) AS o, CAST(substr(customer_id, 3) AS BIGINT) AS c FROM raw_orders),
+            f AS (SELECT *, concat_ws(',', CASE WHEN c % 41 = 0 THEN 'order_date' END, CASE WHEN o % 31 = 0 THEN 'quantity' END) AS failed FROM n)
+            SELECT order_id, product_id, CASE WHEN c % 19 = 0 THEN customer_name || ', "the' || chr(10) || 'third"' ELSE customer_name END AS customer_name,
+              CASE WHEN o % 31 = 0 THEN 'many' WHEN o % 37 = 0 THEN CASE WHEN failed <> '' THEN 'NA' END ELSE CAST(quantity AS VARCHAR) END AS quantity,
+              CASE WHEN c % 41 = 0 THEN 'some day' ELSE strftime(order_date, '%Y-%m-%d') END AS order_date,
+              CASE WHEN o % 43 = 0 THEN NULL ELSE CAST(sales AS VARCHAR) END AS sales, failed
+            FROM f)""",
+        "lookup_product_hot": """
+            SELECT * FROM (WITH h AS (SELECT product_id AS h_id, product_name AS h_name FROM raw_orders ORDER BY product_id, product_name LIMIT 1),
+            l AS (SELECT order_id, quantity, CASE CAST(substr(order_id, 3) AS BIGINT) % 9 WHEN 0 THEN h_id WHEN 3 THEN h_id WHEN 6 THEN h_id
+                    WHEN 1 THEN NULL ELSE product_id END AS product_id,
+                  CASE CAST(substr(order_id, 3) AS BIGINT) % 9 WHEN 0 THEN h_name WHEN 3 THEN h_name WHEN 6 THEN h_name
+                    WHEN 1 THEN NULL ELSE product_name END AS product_name FROM raw_orders, h)
+            SELECT l.*, p.product_code FROM l LEFT JOIN t_product p ON p.product_id = l.product_id AND p.product_name = l.product_name)""",
         "raw_counts": _counts_sql([("raw_orders", "raw_orders"), ("raw_people", "raw_people"),
                                    ("raw_returns", "raw_returns")]),
         "parse_locale_number": (
@@ -440,6 +494,9 @@ def oracle_queries() -> dict[str, str]:
             f"SELECT *, bool_and(CASE WHEN status = 'INFO' THEN true ELSE status = 'OK' END) OVER () "
             f"AS all_passed FROM ({_row_counts_sql()} UNION ALL {_pk_sql()} UNION ALL "
             f"{_lookup_unique_sql()} UNION ALL {_fk_sql()} UNION ALL {_totals_sql()})"),
+        "write_metrics": _metrics_sql(),
+        "resumed_load": "SELECT *, table_name IN ('product', 'addresses', 'type_ship', 'people') AS taken_up, 5 AS tables_written "
+                        f"FROM ({_counts_sql([(n, f't_{n}') for n in PRIMARY_KEYS])})",
         "sales_view": _sales_view_sql(),
         "sales_by_region_category": (
             "SELECT p.region, pr.category, CAST(count(*) AS BIGINT) AS lines, "
@@ -453,6 +510,7 @@ def oracle_queries() -> dict[str, str]:
             "LEFT JOIN t_product pr ON pr.product_code = d.product_code "
             "GROUP BY p.region, pr.category"),
     }
+    body["validation_report_scanned"] = body["validation_report"]
     raw_of = {name: _FIXTURE_CTES for name in body}
     edge = {
         "edge_scan": f"SELECT {', '.join(_RAW_COLS)} FROM raw_orders",
@@ -468,6 +526,10 @@ def oracle_queries() -> dict[str, str]:
         "edge_check_fk_orphans": damaged(_fk_sql()),
         "edge_check_row_counts": damaged(_row_counts_sql()),
         "edge_sales_view": _sales_view_sql(),
+        "edge_write_metrics": _metrics_sql(),
+        "colocated_returns": "SELECT * FROM t_returns",
+        "colocated_sales_view": _sales_view_sql(),
+        **{f"second_load_{name}": f"SELECT * FROM ({sql})" for name, sql in _second_load_sql().items()},
         "lookup_product_shuffled": body["lookup_product"],
         "fact_orders_shuffled": "SELECT * FROM t_orders",
         "fact_order_details_shuffled": "SELECT * FROM g_detail",

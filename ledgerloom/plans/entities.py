@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import postal_normalize, postal_or_default, to_store_decimal
 from ..operators.dedup import distinct_rows
+from ..operators.keymap import KeyMap
 from ..operators.keys import dense_key
 from ..operators.lookups import Lookup, lookup, lookup_distinct
 from ..schemas import DISCOUNT_TYPE, LINE_GRAIN, ORDER_GRAIN, PROFIT_TYPE, SALES_TYPE, TABLES
@@ -33,49 +34,91 @@ def postal_key(raw: DataFrame) -> F.Column:
     return postal_or_default(postal_normalize("postal_code"))
 
 
-def _keyed(df: DataFrame, name: str, num_partitions: int | None = None,
-           stage_dir: str | None = None) -> DataFrame:
+def number(df: DataFrame, name: str, num_partitions: int | None = None, stage_dir: str | None = None,
+           known: KeyMap | None = None) -> DataFrame:
+    """``df`` with the table's surrogate key: 1, 2, … in the key order, or the keys of
+    earlier loads (``known``) and new ones after them."""
     spec = TABLES[name]
-    return conform_table(dense_key(df, spec.key_order, spec.surrogate, num_partitions,
-                                   stage_dir=stage_dir), name)
+    if known is not None:
+        return known.number(df, spec.key_order, spec.surrogate, num_partitions, stage_dir=stage_dir)
+    return dense_key(df, spec.key_order, spec.surrogate, num_partitions, stage_dir=stage_dir)
+
+
+def keyed(df: DataFrame, name: str, num_partitions: int | None = None, stage_dir: str | None = None,
+          known: KeyMap | None = None) -> DataFrame:
+    """Distinct rows of table ``name`` as the table: numbered, in declared types."""
+    return conform_table(number(df, name, num_partitions, stage_dir, known), name)
 
 
 # -- dimensions --------------------------------------------------------------
 
+# The dimensions that are distinct tuples of the order rows.
+DIMENSION_GRAINS = {
+    "product": ("product_id", "category", "sub_category", "product_name"),
+    "addresses": ("country", "city", "state", "postal_code"),
+    "type_ship": ("ship_mode",),
+    "customers": ("customer_id", "customer_name", "segment"),
+}
+
+
+def dimension_rows(raw: DataFrame) -> DataFrame:
+    """The distinct tuples of all four dimensions from one scan: GROUPING SETS with a
+    set for each dimension, named by ``grain``; columns of the others are NULL. Every
+    row is expanded to four, which the partial aggregation collapses before the one
+    shuffle."""
+    cols = [c for grain in DIMENSION_GRAINS.values() for c in grain]
+    rows = with_postal_key(raw).select(*cols)
+    # grouping_id has a bit for each column that a set leaves out, the first column's highest
+    ids = {name: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in grain)
+           for name, grain in DIMENSION_GRAINS.items()}
+    names = F.create_map(*[x for name, i in ids.items() for x in (F.lit(i).cast("bigint"), F.lit(name))])
+    grouped = rows.groupingSets([[F.col(c) for c in grain] for grain in DIMENSION_GRAINS.values()], *cols)
+    return grouped.agg(F.grouping_id().alias("_ll_set")).select(names[F.col("_ll_set").cast("bigint")].alias("grain"), *cols)
+
+
+def stage_dimensions(raw: DataFrame, path: str) -> dict[str, DataFrame]:
+    """``dimension_rows`` written once, a folder for each dimension; the dimensions'
+    distinct rows as read from there."""
+    rows = dimension_rows(raw)
+    rows.write.mode("overwrite").partitionBy("grain").parquet(path)
+    staged = raw.sparkSession.read.schema(rows.schema).parquet(path)
+    return {name: staged.filter(F.col("grain") == name).select(*grain) for name, grain in DIMENSION_GRAINS.items()}
+
+
 def distinct_product(raw: DataFrame) -> DataFrame:
     return distinct_rows(raw, ["product_id", "category", "sub_category", "product_name"])
 
 
-def build_product(raw: DataFrame, num_partitions: int | None = None,
-                  stage_dir: str | None = None) -> DataFrame:
-    return _keyed(distinct_product(raw), "product", num_partitions, stage_dir)
+def build_product(raw: DataFrame, num_partitions: int | None = None, stage_dir: str | None = None,
+                  known: KeyMap | None = None) -> DataFrame:
+    return keyed(distinct_product(raw), "product", num_partitions, stage_dir, known)
 
 
 def distinct_addresses(raw: DataFrame) -> DataFrame:
     return raw.select("country", "city", "state", postal_key(raw).alias("postal_code")).distinct()
 
 
-def build_addresses(raw: DataFrame, num_partitions: int | None = None,
-                  stage_dir: str | None = None) -> DataFrame:
-    return _keyed(distinct_addresses(raw), "addresses", num_partitions, stage_dir)
+def build_addresses(raw: DataFrame, num_partitions: int | None = None, stage_dir: str | None = None,
+                  known: KeyMap | None = None) -> DataFrame:
+    return keyed(distinct_addresses(raw), "addresses", num_partitions, stage_dir, known)
 
 
 def distinct_ship_mode(raw: DataFrame) -> DataFrame:
     return distinct_rows(raw, ["ship_mode"])
 
 
-def build_ship_mode(raw: DataFrame, num_partitions: int | None = None,
-                  stage_dir: str | None = None) -> DataFrame:
-    return _keyed(distinct_ship_mode(raw), "type_ship", num_partitions, stage_dir)
+def build_ship_mode(raw: DataFrame, num_partitions: int | None = None, stage_dir: str | None = None,
+                  known: KeyMap | None = None) -> DataFrame:
+    return keyed(distinct_ship_mode(raw), "type_ship", num_partitions, stage_dir, known)
 
 
 def distinct_people(raw_people: DataFrame) -> DataFrame:
     return distinct_rows(raw_people, ["person", "region"])
 
 
-def build_people(raw_people: DataFrame, num_partitions: int | None = None,
-                 stage_dir: str | None = None) -> DataFrame:
-    return _keyed(distinct_people(raw_people), "people", num_partitions, stage_dir)
+def build_people(raw_people: DataFrame, num_partitions: int | None = None, stage_dir: str | None = None,
+                 known: KeyMap | None = None) -> DataFrame:
+    return keyed(distinct_people(raw_people), "people", num_partitions, stage_dir, known)
 
 
 def build_customers(raw: DataFrame) -> DataFrame:
@@ -130,12 +173,12 @@ def sort_orders(orders: DataFrame) -> DataFrame:
 
 
 def build_date_ship(raw: DataFrame, type_ship: DataFrame, num_partitions: int | None = None,
-                    stage_dir: str | None = None) -> DataFrame:
+                    stage_dir: str | None = None, known: KeyMap | None = None) -> DataFrame:
     """One row per distinct (ship mode, order, ship date); split shipments give
     several rows per order."""
     rows = lookup_distinct(raw, [ship_lookup(type_ship)], ["ship_id", "order_id", "ship_date"],
                            pre=["ship_mode", "order_id", "ship_date"])
-    return _keyed(rows, "date_ship", num_partitions, stage_dir)
+    return keyed(rows, "date_ship", num_partitions, stage_dir, known)
 
 
 def line_grain(raw: DataFrame) -> DataFrame:
@@ -144,34 +187,37 @@ def line_grain(raw: DataFrame) -> DataFrame:
 
 
 def build_order_details(raw: DataFrame, product: DataFrame, num_partitions: int | None = None,
-                        stage_dir: str | None = None) -> DataFrame:
+                        stage_dir: str | None = None, known: KeyMap | None = None) -> DataFrame:
     """Distinct lines with their product code, numbered, then cast to the exact
     store types. The cast comes after DISTINCT: lines that differ only beyond
     the fourth decimal both survive (and both store the same value)."""
     out = ["order_id", "product_code", "quantity", "sales", "discount", "profit"]
     rows = lookup_distinct(raw, [product_lookup(product)], out, pre=LINE_GRAIN)
-    keyed = dense_key(rows, TABLES["order_details"].key_order, "detail_id", num_partitions,
-                      stage_dir=stage_dir)
-    return conform_table(keyed, "order_details")
+    return keyed(rows, "order_details", num_partitions, stage_dir, known)
 
 
 def returned_orders(raw_returns: DataFrame) -> DataFrame:
     return raw_returns.select("returned", "order_id").distinct()
 
 
-def build_returns(raw_returns: DataFrame, orders: DataFrame, order_details: DataFrame,
-                  num_partitions: int | None = None, stage_dir: str | None = None) -> DataFrame:
-    """Every line of a returned order is a return; returns of unknown orders
-    (or of orders without lines) are dropped.
+def return_rows(raw_returns: DataFrame, orders: DataFrame, order_details: DataFrame) -> DataFrame:
+    """Distinct (returned, detail_id): every line of a returned order.
 
     (returned, order) pairs are made distinct first; since a detail belongs to
     one order, the joined (returned, detail) pairs are then distinct as well.
-    The Orders hop is a semi join: Orders has one row per order.
+    The Orders hop is a semi join: Orders has one row per order. Over tables bucketed
+    by order_id nothing is shuffled.
     """
-    known = returned_orders(raw_returns).join(orders.select("order_id"), "order_id", "left_semi")
-    rows = known.join(order_details.select("order_id", "detail_id"), "order_id", "inner") \
-                .select("returned", "detail_id")
-    return _keyed(rows, "returns", num_partitions, stage_dir)
+    listed = returned_orders(raw_returns).join(orders.select("order_id"), "order_id", "left_semi")
+    return listed.join(order_details.select("order_id", "detail_id"), "order_id", "inner").select("returned", "detail_id")
+
+
+def build_returns(raw_returns: DataFrame, orders: DataFrame, order_details: DataFrame,
+                  num_partitions: int | None = None, stage_dir: str | None = None,
+                  known: KeyMap | None = None) -> DataFrame:
+    """Every line of a returned order is a return; returns of unknown orders
+    (or of orders without lines) are dropped."""
+    return keyed(return_rows(raw_returns, orders, order_details), "returns", num_partitions, stage_dir, known)
 
 
 def build_returns_unfiltered(raw_returns: DataFrame, order_details: DataFrame,
@@ -182,7 +228,7 @@ def build_returns_unfiltered(raw_returns: DataFrame, order_details: DataFrame,
     joined = lookup(returned_orders(raw_returns),
                     Lookup(order_details.select("order_id", "detail_id"), ("order_id",), ("detail_id",)))
     rows = joined.select("returned", "detail_id").distinct()
-    return _keyed(rows, "returns", num_partitions, stage_dir)
+    return keyed(rows, "returns", num_partitions, stage_dir)
 
 
 MONEY_TYPES = {"sales": SALES_TYPE, "discount": DISCOUNT_TYPE, "profit": PROFIT_TYPE}

@@ -17,10 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import remove_path, stage_path
+from ..operators.buckets import by_bucket, even, write_bucketed
 from ..operators.dedup import keep_first
 from ..operators.integrity import duplicate_keys
+from ..operators.keymap import KeyMap
 from ..schemas import RAW_ORDERS_SCHEMA, TABLE_ORDER, TABLES
 from . import entities as E
+from .metrics import Journal, TableMetrics, observed_write
 
 
 # Tables each builder reads (FK parents that are only checked are not inputs).
@@ -33,6 +36,10 @@ BUILD_INPUTS = {
 }
 
 
+# The facts that are joined on order_id.
+BUCKETED = ("orders", "order_details")
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` and return the written table."""
     df.write.mode("overwrite").parquet(path)
@@ -66,17 +73,30 @@ def check_keys(name: str, table: DataFrame, sample: int = 5) -> None:
 class Normalizer:
     """Builds the nine tables on demand, parents first, each written once.
 
-    ``raw_orders`` is staged as Parquet first (when ``stage_raw``), so seven
+    ``raw_orders`` is staged as Parquet first (when ``stage_raw``), so the
     builders read just their columns from a columnar copy instead of repeating
-    the upstream scan or join. With ``strict`` a table whose natural or lookup
+    the upstream scan or join; the four dimensions in it come from one scan. With ``strict`` a table whose natural or lookup
     key is not unique stops the load (``KeyViolation``), as a primary key
     constraint would; otherwise such rows are kept and the validation report
     flags them.
+
+    ``metrics`` has each table's figures, gathered while it was written. They are
+    kept in the run's journal; with ``resume`` the tables that the journal of
+    ``run_dir`` names are taken up as they are (``resumed``) and only the others
+    (``written``) are built. The inputs must be those of the first attempt.
+
+    ``key_dir`` names a folder of key maps: surrogate keys given there by earlier
+    loads are kept, new rows are numbered after them.
+
+    With ``buckets`` orders, lines and the returned orders are stored in that many
+    buckets by order_id, so that the joins on it need no shuffle; a table whose buckets
+    turn out uneven (a hot order) is read as plain files, whose joins can be split.
     """
 
     def __init__(self, raw_orders: DataFrame, raw_people: DataFrame, raw_returns: DataFrame,
                  run_dir: str | None = None, stage_raw: bool = True,
-                 num_partitions: int | None = None, strict: bool = False):
+                 num_partitions: int | None = None, strict: bool = False, resume: bool = False,
+                 key_dir: str | None = None, buckets: int | None = None):
         self.spark = raw_orders.sparkSession
         self.run_dir = (run_dir or stage_path(self.spark, "run")).rstrip("/")
         self.num_partitions = num_partitions
@@ -85,7 +105,20 @@ class Normalizer:
         self.raw_people = raw_people
         self.raw_returns = raw_returns
         self.strict = strict
+        self.key_dir = key_dir
+        self.buckets = buckets
+        self._grains: dict[str, DataFrame] | None = None
+        self._returned: DataFrame | None = None
         self.tables: dict[str, DataFrame] = {}
+        self.metrics: dict[str, TableMetrics] = {}
+        self.written: list[str] = []
+        self.resumed: list[str] = []
+        self.journal = Journal(self.spark, self.run_dir)
+        if resume:
+            for name, figures in self.journal.done().items():
+                self.tables[name] = self.spark.read.parquet(self.path(name))
+                self.metrics[name] = figures
+                self.resumed.append(name)
 
     @property
     def raw_orders(self) -> DataFrame:
@@ -94,24 +127,53 @@ class Normalizer:
             self._staged_raw = stage(self._raw_orders.select(*cols), f"{self.run_dir}/_staging/raw_orders")
         return self._staged_raw
 
+    @property
+    def grains(self) -> dict[str, DataFrame]:
+        """The distinct rows of the dimensions that come from the orders, all from
+        one scan of them."""
+        if self._grains is None:
+            self._grains = E.stage_dimensions(self.raw_orders, f"{self.run_dir}/_staging/dimensions")
+        return self._grains
+
+    def _known(self, name: str) -> KeyMap | None:
+        return KeyMap(self.spark, f"{self.key_dir.rstrip('/')}/{name}") if self.key_dir else None
+
     def _builders(self) -> dict[str, Callable[[], DataFrame]]:
         n = self.num_partitions
         s = f"{self.run_dir}/_staging"
         t = self.table
+        k = self._known
         return {
-            "product": lambda: E.build_product(self.raw_orders, n, s),
-            "addresses": lambda: E.build_addresses(self.raw_orders, n, s),
-            "type_ship": lambda: E.build_ship_mode(self.raw_orders, n, s),
-            "people": lambda: E.build_people(self.raw_people, n, s),
-            "customers": lambda: E.build_customers(self.raw_orders),
-            "orders": lambda: E.sort_orders(E.build_orders(
+            "product": lambda: E.keyed(self.grains["product"], "product", n, s, k("product")),
+            "addresses": lambda: E.keyed(self.grains["addresses"], "addresses", n, s, k("addresses")),
+            "type_ship": lambda: E.keyed(self.grains["type_ship"], "type_ship", n, s, k("type_ship")),
+            "people": lambda: E.build_people(self.raw_people, n, s, k("people")),
+            "customers": lambda: E.conform_table(self.grains["customers"], "customers"),
+            "orders": lambda: self._order(E.build_orders(
                 self.raw_orders, t("people"), t("type_ship"), t("addresses"))),
-            "date_ship": lambda: E.build_date_ship(self.raw_orders, t("type_ship"), n, s),
-            "order_details": lambda: E.build_order_details(self.raw_orders, t("product"), n, s),
-            "returns": lambda: E.build_returns(self.raw_returns, t("orders"), t("order_details"),
-                                               n, s),
+            "date_ship": lambda: E.build_date_ship(self.raw_orders, t("type_ship"), n, s, k("date_ship")),
+            "order_details": lambda: E.build_order_details(self.raw_orders, t("product"), n, s, k("order_details")),
+            "returns": lambda: E.build_returns(self.returned, t("orders"), t("order_details"),
+                                               n, s, k("returns")),
         }
 
+    def _order(self, orders: DataFrame) -> DataFrame:
+        return orders if self.buckets else E.sort_orders(orders)
+
+    @property
+    def returned(self) -> DataFrame:
+        """The raw returns, bucketed like the facts if these are."""
+        if not self.buckets:
+            return self.raw_returns
+        if self._returned is None:
+            rows = by_bucket(E.returned_orders(self.raw_returns), "order_id", self.buckets)
+            path = f"{self.run_dir}/_staging/returned"
+            self._returned = self._if_even(write_bucketed(rows, path, "order_id", self.buckets, "returned"), path)
+        return self._returned
+
+    def _if_even(self, table: DataFrame, path: str) -> DataFrame:
+        return table if even(table, self.buckets) else self.spark.read.parquet(path)
+
     def path(self, name: str) -> str:
         return f"{self.run_dir}/{name}"
 
@@ -121,14 +183,21 @@ class Normalizer:
         if asked for afterwards."""
         if self._staged_raw is not None and self._staged_raw is not self._raw_orders:
             self._staged_raw = None
+        self._grains = self._returned = None
         return remove_path(self.spark, f"{self.run_dir}/_staging")
 
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
             built = self._builders()[name]()
-            written = stage(built, self.path(name))
+            bucket = ("order_id", self.buckets) if self.buckets and name in BUCKETED else None
+            written, figures = observed_write(built, self.path(name), name, bucket)
+            if bucket is not None:
+                written = self._if_even(written, self.path(name))
             if self.strict:
                 check_keys(name, written)
+            self.journal.record(name, figures)
+            self.metrics[name] = figures
+            self.written.append(name)
             self.tables[name] = written
         return self.tables[name]
 
@@ -153,6 +222,8 @@ class Normalizer:
         pending = [n for n in TABLE_ORDER if n in wanted and n not in self.tables]
         if any(n != "people" for n in pending):
             self.raw_orders  # stage the shared input once, before the builders start
+        if any(n in E.DIMENSION_GRAINS for n in pending):
+            self.grains
         if not parallel or len(pending) < 2:
             for n in pending:
                 self.table(n)

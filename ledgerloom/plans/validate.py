@@ -4,6 +4,11 @@ Report columns: ``check_group``, ``check_name``, ``expected``, ``actual``
 (both ``decimal(22,4)``), ``status`` (``OK`` / ``MISMATCH``, or ``INFO`` for
 figures that do not gate). Every check is an aggregation on the executors; the
 driver sees only the report rows.
+
+Keys are checked in one pass a table (``integrity.key_pass``): its primary key and
+all foreign keys that name it are aggregated together, without joins. Row counts,
+NULL foreign keys and sums come from the figures that the writing job gathered
+(``metrics``), or from these passes where there are none.
 """
 
 from __future__ import annotations
@@ -14,10 +19,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.integrity import orphan_count
+from ..operators.integrity import key_pass
 from ..schemas import (CONTROL_TOLERANCE, FOREIGN_KEYS, LOOKUP_TABLES,
                        SOURCE_WORKBOOK_PROFIT, SOURCE_WORKBOOK_ROWS, SOURCE_WORKBOOK_SALES,
                        TABLE_ORDER, TABLES, TOTAL_TYPE)
+from .metrics import TableMetrics, metrics_frame
 
 VALUE_TYPE = "decimal(38,4)"
 TOLERANCE = CONTROL_TOLERANCE
@@ -114,19 +120,11 @@ def expected_counts_from_raw(raw_orders: DataFrame, raw_people: DataFrame,
     return _union([stacked, people, lines])
 
 
-def check_row_counts(tables: Mapping[str, DataFrame], expected: DataFrame,
-                     stats: DataFrame | None = None) -> DataFrame:
-    """Actual vs expected rows per table (expected: table_name, expected_rows).
-
-    ``stats`` (from ``table_stats``) supplies the actual counts when the
-    primary-key pass has been made anyway; otherwise each table is counted.
-    """
-    actual = actual_counts(tables) if stats is None else stats.select("table_name", "actual_rows")
-    j = actual.join(expected, "table_name", "left")
-    return j.select(*_row("row_count", F.col("table_name"), F.col("expected_rows"),
-                          F.col("actual_rows"),
-                          _ok_if(F.coalesce(F.col("actual_rows") == F.col("expected_rows"),
-                                            F.lit(False)))))
+def check_row_counts(tables: Mapping[str, DataFrame], expected: DataFrame) -> DataFrame:
+    """Actual vs expected rows per table (expected: table_name, expected_rows)."""
+    actual = actual_counts(tables).select(F.lit("row_count").alias("check_group"), F.col("table_name").alias("check_name"),
+                                          F.col("actual_rows").cast(VALUE_TYPE).alias("actual"))
+    return _judged(actual, expected)
 
 
 # -- keys ----------------------------------------------------------------------
@@ -142,32 +140,65 @@ def _dup_check(df: DataFrame, key: tuple[str, ...], group: str, name: str,
     return per_key.agg(bad.alias("bad")).select(*_row(group, name, F.lit(0), F.col("bad"), _ok_if(F.col("bad") == 0)))
 
 
-def table_stats(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One pass per table over its primary key: ``actual_rows`` and
-    ``bad_keys`` (key values that are NULL or occur twice)."""
+def key_figures(tables: Mapping[str, DataFrame], groups: tuple[str, ...],
+                metrics: Mapping[str, TableMetrics] | None = None) -> DataFrame:
+    """(check_group, check_name, actual) of the ``groups`` among ``row_count``,
+    ``pk_unique``, ``fk_orphans`` and ``fk_nulls``: one pass for each table that has
+    something to be told of. With ``metrics`` counts and NULLs come from there."""
+    known = metrics or {}
     frames = []
     for n in TABLE_ORDER:
         if n not in tables:
             continue
-        key = TABLES[n].primary_key
-        per_key = tables[n].groupBy(*key).agg(F.count(F.lit(1)).alias("_ll_n"))
-        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-        frames.append(per_key.agg(
-            F.coalesce(F.sum("_ll_n"), F.lit(0)).cast("bigint").alias("actual_rows"),
-            F.count_if((F.col("_ll_n") > 1) | any_null).cast("bigint").alias("bad_keys"))
-            .select(F.lit(n).alias("table_name"), "actual_rows", "bad_keys"))
+        spec = TABLES[n]
+        named = {f"{fk.child}_{fk.column}": fk for fk in FOREIGN_KEYS if fk.parent == n and fk.child in tables} \
+            if "fk_orphans" in groups else {}
+        children = {k: (tables[fk.child], fk.column) for k, fk in named.items()}
+        for k, fk in named.items():
+            if fk.child in known:  # the NULLs are counted already
+                children[k] = (tables[fk.child].filter(F.col(fk.column).isNotNull()), fk.column)
+        rows = []
+        if "row_count" in groups and n not in known:
+            rows.append(("row_count", n, "rows"))
+        if "pk_unique" in groups:
+            rows.append(("pk_unique", f"{n}.{','.join(spec.primary_key)}", "bad_keys"))
+        for k, fk in named.items():
+            rows.append(("fk_orphans", fk.name, f"orphans_{k}"))
+            if "fk_nulls" in groups and fk.child not in known:
+                rows.append(("fk_nulls", fk.name, f"nulls_{k}"))
+        if rows:
+            stacked = F.stack(F.lit(len(rows)), *[x for g, name, c in rows for x in (F.lit(g), F.lit(name), F.col(c).cast(VALUE_TYPE))])
+            frames.append(key_pass(tables[n], spec.primary_key, children)
+                          .select(stacked.alias("check_group", "check_name", "actual")))
+    if known:
+        label = F.create_map(*[x for fk in FOREIGN_KEYS for x in (F.lit(f"{fk.child} null {fk.column}"), F.lit(fk.name))])
+        null = F.col("metric").startswith("null ")
+        spark = next(iter(tables.values())).sparkSession
+        frames.append(metrics_frame(spark, known).filter((F.col("metric") == "rows") | null).select(
+            F.when(null, "fk_nulls").otherwise("row_count").alias("check_group"),
+            F.when(null, label[F.concat_ws(" ", "table_name", "metric")]).otherwise(F.col("table_name")).alias("check_name"),
+            F.col("value").alias("actual")).filter(F.col("check_group").isin(*groups)))
     return _union(frames)
 
 
-def check_pk_unique(tables: Mapping[str, DataFrame], stats: DataFrame | None = None) -> DataFrame:
+def _judged(figures: DataFrame, expected_rows: DataFrame | None = None) -> DataFrame:
+    """Report rows from (check_group, check_name, actual): row counts must equal the
+    expected ones, NULL keys are INFO, all others must be 0."""
+    group = F.col("check_group")
+    expected = F.when(group.isin("pk_unique", "fk_orphans"), F.lit(0))
+    if expected_rows is not None:
+        rows = expected_rows.select(F.lit("row_count").alias("check_group"), F.col("table_name").alias("check_name"), "expected_rows")
+        figures = figures.join(rows, ["check_group", "check_name"], "left")
+        expected = F.when(group == "row_count", F.col("expected_rows")).otherwise(expected)
+    expected = expected.cast(VALUE_TYPE)
+    status = F.when(group == "fk_nulls", "INFO").otherwise(_ok_if(F.coalesce(F.col("actual") == expected, F.lit(False))))
+    return figures.select(group, "check_name", expected.alias("expected"), F.col("actual").cast(VALUE_TYPE).alias("actual"),
+                          status.alias("status"))
+
+
+def check_pk_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Primary keys: number of key values that are NULL or occur twice."""
-    stats = table_stats(tables) if stats is None else stats
-    keys = {n: ",".join(TABLES[n].primary_key) for n in TABLE_ORDER}
-    label = F.concat(F.col("table_name"), F.lit("."),
-                     F.create_map(*[x for n, k in keys.items() for x in (F.lit(n), F.lit(k))])
-                     [F.col("table_name")])
-    return stats.select(*_row("pk_unique", label, F.lit(0), F.col("bad_keys"),
-                              _ok_if(F.col("bad_keys") == 0)))
+    return _judged(key_figures(tables, ("pk_unique",)))
 
 
 def check_lookup_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -180,16 +211,7 @@ def check_lookup_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
 def check_fk_orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All nine foreign keys: orphans gate (expected 0); NULL keys are reported
     as INFO (a nullable FK may be NULL)."""
-    frames = []
-    for fk in FOREIGN_KEYS:
-        counts = orphan_count(tables[fk.child], fk.column, tables[fk.parent], fk.parent_column)
-        # both rows from one aggregate, so that child and parent are read once
-        frames.append(counts.select(F.stack(
-            F.lit(2), F.lit("fk_orphans"), F.lit(0), F.col("orphan_rows"),
-            F.lit("fk_nulls"), F.lit(None).cast("int"), F.col("null_fk_rows")).alias("group", "expected", "actual"))
-            .select(*_row(F.col("group"), fk.name, F.col("expected"), F.col("actual"),
-                          F.when(F.col("group") == "fk_nulls", "INFO").otherwise(_ok_if(F.col("actual") == 0)))))
-    return _union(frames)
+    return _judged(key_figures(tables, ("fk_orphans", "fk_nulls")))
 
 
 # -- control totals ------------------------------------------------------------
@@ -220,13 +242,19 @@ def expected_totals(spark: SparkSession, sales: float, profit: float) -> DataFra
                                  "metric string, expected double")
 
 
-def check_control_totals(order_details: DataFrame, expected: DataFrame,
-                         tolerance: float = TOLERANCE) -> DataFrame:
+def check_control_totals(order_details: DataFrame, expected: DataFrame, tolerance: float = TOLERANCE,
+                         metrics: Mapping[str, TableMetrics] | None = None) -> DataFrame:
     """|actual − expected| < tolerance for SUM(sales) and SUM(profit). An empty
-    table gives NULL sums and fails instead of crashing."""
-    actual = _sums(order_details, "sum_sales", "sum_profit").select(
-        F.stack(F.lit(2), F.lit("sum_sales"), "sum_sales", F.lit("sum_profit"),
-                "sum_profit").alias("metric", "actual"))
+    table gives NULL sums and fails instead of crashing. With ``metrics`` the sums
+    are those gathered when the table was written."""
+    if metrics and "order_details" in metrics:
+        sums = metrics_frame(order_details.sparkSession, {"order_details": metrics["order_details"]})
+        actual = sums.filter(F.col("metric").isin("sum sales", "sum profit")).select(
+            F.translate("metric", " ", "_").alias("metric"), F.col("value").alias("actual"))
+    else:
+        actual = _sums(order_details, "sum_sales", "sum_profit").select(
+            F.stack(F.lit(2), F.lit("sum_sales"), "sum_sales", F.lit("sum_profit"),
+                    "sum_profit").alias("metric", "actual"))
     j = actual.join(expected, "metric", "left")
     diff = F.abs(F.col("actual").cast(VALUE_TYPE) - F.col("expected").cast(VALUE_TYPE))
     return j.select(F.lit("control_total").alias("check_group"), F.col("metric").alias("check_name"),
@@ -237,20 +265,19 @@ def check_control_totals(order_details: DataFrame, expected: DataFrame,
 
 # -- report --------------------------------------------------------------------
 
-def validation_report(tables: Mapping[str, DataFrame], expected_rows: DataFrame,
-                      expected_sums: DataFrame) -> DataFrame:
+def validation_report(tables: Mapping[str, DataFrame], expected_rows: DataFrame, expected_sums: DataFrame,
+                      metrics: Mapping[str, TableMetrics] | None = None) -> DataFrame:
     """All checks in one frame plus ``all_passed``: every gating status is OK.
+    With ``metrics``, the figures gathered when the tables were written, no table is
+    read for counts, NULLs or sums; one pass a table checks its keys.
 
     The window that computes ``all_passed`` spans the report rows only (a few
     dozen, one per check), never table data.
     """
-    stats = table_stats(tables)
     report = _union([
-        check_row_counts(tables, expected_rows, stats),
-        check_pk_unique(tables, stats),
+        _judged(key_figures(tables, ("row_count", "pk_unique", "fk_orphans", "fk_nulls"), metrics), expected_rows),
         check_lookup_unique(tables),
-        check_fk_orphans(tables),
-        check_control_totals(tables["order_details"], expected_sums),
+        check_control_totals(tables["order_details"], expected_sums, metrics=metrics),
     ])
     gating_ok = F.when(F.col("status") == "INFO", F.lit(True)).otherwise(F.col("status") == "OK")
     return report.withColumn("all_passed", F.min(gating_ok).over(Window.partitionBy()))

@@ -148,5 +148,32 @@ def edge_returns_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("returned", F.when(F.col("seq") % 5 == 1, "No").otherwise(F.col("returned")))
 
 
+def damaged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders as text, with cells that are no number or date, missing markers
+    and names that hold a quote, a comma and a line end."""
+    raw = raw_orders(spark, sf_dir).drop("row_id")
+    order, customer = _number("order_id"), _number("customer_id")
+    edits = {
+        "quantity": F.when(order % 31 == 0, "many").when(order % 37 == 0, "NA").otherwise(_text(F.col("quantity"))),
+        "order_date": F.when(customer % 41 == 0, "some day").otherwise(F.date_format("order_date", "yyyy-MM-dd")),
+        "sales": F.when(order % 43 == 0, "").otherwise(_text(F.col("sales"))),
+        "customer_name": F.when(customer % 19 == 0, F.concat(F.col("customer_name"), F.lit(', "the\nthird"')))
+                         .otherwise(F.col("customer_name")),
+    }
+    return raw.select(*[edits[c].alias(c) if c in edits else _text(F.col(c)).alias(c) for c in raw.columns])
+
+
+def hot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of which more than a third name one product and a ninth none."""
+    raw = raw_orders(spark, sf_dir)
+    order = _number("order_id")
+    hot = F.min(F.struct("product_id", "product_name")).alias("hot")
+    first = raw.agg(hot).select("hot.*").withColumnsRenamed({"product_id": "h_id", "product_name": "h_name"})
+    lines = raw.select("order_id", "quantity", "product_id", "product_name").join(F.broadcast(first))
+    return lines.select("order_id", "quantity", *[
+        F.when(order % 3 == 0, F.col(h)).when(order % 9 == 1, None).otherwise(F.col(c)).alias(c)
+        for c, h in (("product_id", "h_id"), ("product_name", "h_name"))])
+
+
 def raw_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return raw_orders(spark, sf_dir), raw_people(spark, sf_dir), raw_returns(spark, sf_dir)
