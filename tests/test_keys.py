@@ -82,3 +82,16 @@ def test_hot_leading_value_spans_range_partitions(spark):
              .select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts >= 2
     assert _keys(dense_key(df, ORDER, "k", num_partitions=6)) == _keys(row_number_key(df, ORDER, "k"))
+
+
+def test_input_behind_a_shuffle_runs_once(spark):
+    """The range sample reads the shuffled rows; lookups below a DISTINCT aren't run
+    again for it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+    rows = spark.range(1000).mapInPandas(count, "id long").distinct()
+    assert dense_key(rows, ["id"], "k").count() == 1000 and seen.value == 1000
