@@ -17,9 +17,14 @@ prefixes, then one vector step per (end position, piece length).
 
 Words are runs of letters, lower-cased; runs of more than ``LONGEST`` letters are
 scored in parts of that length, so that no likelihood underflows. All letters of
-a text count. Defined results: null texts and texts without a letter are
-``und`` with score 0; repeated rows get equal rows; ties go to the language that
-sorts first; without any labelled row everything is ``und``.
+a text count; a batch is scored ``WORDS`` words at a time, so that memory follows
+neither the length nor the number of its texts.
+
+Defined results: null texts and texts without a letter (signs like a half or a
+superscript two are none) are ``und`` with score 0; repeated rows get equal rows; ties
+go to the language that sorts first; without any labelled row everything is ``und``; an
+empty table gives an empty result. Extra columns aren't looked at by
+:func:`identify` and handed on by :func:`accept`, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,18 +42,34 @@ from .common import Scratch, drawn
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 LETTERS = re.compile(r"[^\W\d_]+")
+SPACE = re.compile(r"\s")
+PART = 500_000
 START = "▁"  # marks the start of a word in the vocabulary
 LONGEST = 32
 FLOOR = 1e-7  # probability of a character that is no piece of its own
 BASE = np.uint64(0x100000001B3)
 MAX_CELLS = 8_000_000  # languages x pieces that a model may hold
+WORDS, NODES = 100_000, 200_000  # words, and lattice nodes of them, scored at a time
+MEMO_CELLS = 2_000_000  # languages x words whose likelihoods a task remembers
+
+
+def pieces_of(text: str | None) -> Iterator[str]:
+    """The text in parts of about ``PART`` characters, cut at white space."""
+    at = 0
+    while text and at < len(text):
+        m = SPACE.search(text, at + PART)
+        end = m.start() if m else len(text)
+        yield text[at:end]
+        at = end
 
 
 def words_of(text: str | None) -> list[str]:
-    out = []
-    for w in LETTERS.findall(text.lower()) if text else ():
-        out += [w] if len(w) <= LONGEST else [w[i:i + LONGEST] for i in range(0, len(w), LONGEST)]
-    return out
+    found = LETTERS.findall(text.lower()) if text else []
+    if found and (not "".join(found).isalpha() or max(map(len, found)) > LONGEST):
+        # the pattern also takes signs that are numeric without being digits
+        runs = [w for run in found for w in ((run,) if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
+        found = [w[i:i + LONGEST] for w in runs for i in range(0, len(w), LONGEST)]
+    return found
 
 
 def vocabulary_pieces(path: str = VOCABULARY) -> list[str]:
@@ -156,9 +177,11 @@ class Model:
         p = np.maximum(p, FLOOR)
         self.p = p
         self._lattice = None
+        self._at: dict[str, int] = {}
+        self._logs: np.ndarray | None = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_lattice": None}
+        return {**self.__dict__, "_lattice": None, "_at": {}, "_logs": None}
 
     @property
     def lattice(self) -> Lattice:
@@ -166,20 +189,59 @@ class Model:
             self._lattice = Lattice(self.pieces)
         return self._lattice
 
+    def _likelihoods(self, distinct: list[str]) -> np.ndarray:
+        """Log-likelihoods of words, those of frequent ones from the memo."""
+        room = max(MEMO_CELLS // len(self.langs), 2 * len(distinct))
+        if self._logs is None or len(self._logs) < room:
+            self._at, self._logs = {}, np.empty((room, len(self.langs)))
+        new = [w for w in distinct if w not in self._at]
+        if len(self._at) + len(new) > len(self._logs):
+            self._at, new = {}, distinct
+        first = 0
+        while first < len(new):
+            last, nodes = first, 0
+            while last < len(new) and nodes < NODES:
+                nodes += len(new[last]) + 2
+                last += 1
+            at = len(self._at)
+            self._logs[at:at + last - first] = self.lattice.log_likelihood(new[first:last], self.p)
+            self._at.update(zip(new[first:last], range(at, at + last - first)))
+            first = last
+        return self._logs[[self._at[w] for w in distinct]]
+
     def scores(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Best language and its posterior, text by text."""
-        each = [words_of(t) for t in texts]
-        size = np.fromiter(map(len, each), np.int64, len(each))
-        langs, score = np.full(len(each), "und", object), np.zeros(len(each))
-        if size.sum() and self.langs:
-            at, distinct = pd.factorize(np.array([w for ws in each for w in ws], object))
-            logs = np.concatenate([self.lattice.log_likelihood(list(distinct[i:i + 50_000]), self.p)
-                                   for i in range(0, len(distinct), 50_000)])
-            full = np.flatnonzero(size)
-            total = np.add.reduceat(logs[at], np.r_[0, np.cumsum(size[full])[:-1]], axis=0)
-            best = total.argmax(axis=1)
-            langs[full] = np.array(self.langs, object)[best]
-            score[full] = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+        langs, score = np.full(len(texts), "und", object), np.zeros(len(texts))
+        if not self.langs:
+            return langs.tolist(), score
+        total, size = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), np.int64)
+        words: list[str] = []
+        owner: list[tuple[int, int]] = []
+        most = max(1000, min(WORDS, MEMO_CELLS // (4 * len(self.langs))))
+
+        def flush() -> None:
+            at, distinct = pd.factorize(np.array(words, object))
+            logs = self._likelihoods(list(distinct))[at]
+            rows, counts = np.array(owner).T
+            np.add.at(total, rows, np.add.reduceat(logs, np.r_[0, np.cumsum(counts)[:-1]], axis=0))
+            words.clear()
+            owner.clear()
+        for i, text in enumerate(texts):
+            for piece in pieces_of(text):
+                found = words_of(piece)
+                for k in range(0, len(found), most):
+                    part = found[k:k + most]
+                    size[i] += len(part)
+                    words += part
+                    owner.append((i, len(part)))
+                    if len(words) >= most:
+                        flush()
+        if words:
+            flush()
+        full = np.flatnonzero(size)
+        best = total[full].argmax(axis=1)
+        langs[full] = np.array(self.langs, object)[best]
+        score[full] = 1 / np.exp(total[full] - total[full].max(axis=1, keepdims=True)).sum(axis=1)
         return langs.tolist(), score
 
 
@@ -187,7 +249,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         c: Counter = Counter()
         for lang, text in zip(pdf["lang"], pdf["text"]):
-            c.update((lang, w) for w in words_of(text))
+            for piece in pieces_of(text):
+                c.update((lang, w) for w in words_of(piece))
         yield pd.DataFrame([(lang, w, n) for (lang, w), n in c.items()], columns=["lang", "word", "n"])
 
 
@@ -208,12 +271,18 @@ def _expected(shared):
 def train(labelled: DataFrame, sample_rows: int = 6000, rounds: int = 2,
           vocabulary: str = VOCABULARY) -> Model:
     """Model from ``labelled(doc_id, text, lang)``; rows without text or lang are left
-    out, and about ``sample_rows`` of the others drawn."""
+    out, and about ``sample_rows`` of the others drawn. Every language is learned: of
+    one with a small share, a quarter of an even part of the sample, or all of it, is
+    drawn instead of its share."""
     spark = labelled.sparkSession
-    rows = labelled.select("doc_id", "text", "lang").filter("text is not null and lang is not null")
-    share = min(1.0, sample_rows / max(rows.count(), 1))
-    if share < 1:
-        rows = rows.filter(drawn(share, "doc_id", "text"))
+    rows = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CELLS).collect()  # more couldn't be learned
+    even = sample_rows / max(sum(r["n"] for r in sizes), 1)
+    if even < 1:
+        least = sample_rows / (4 * len(sizes))
+        shares = spark.createDataFrame([(r["lang"], min(1.0, max(even, least / r["n"]))) for r in sizes], "l string, share double")
+        rows = (rows.join(F.broadcast(shares), F.col("lang") == F.col("l"))
+                .filter(drawn(F.col("share"), "doc_id", "text")).select("doc_id", "text", "lang"))
     scratch = Scratch(spark, "langid")
     counts = scratch.table(rows.select("text", "lang").mapInPandas(_counted, "lang string, word string, n long")
                            .groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
@@ -262,7 +331,7 @@ def _accepted(shared, least: float):
                 lang, score = shared.value.scores(texts)
                 keep = [x != "und" and s >= least for x, s in zip(lang, score)]
             else:  # nothing to learn from: only texts without a letter go
-                keep = [bool(t and LETTERS.search(t)) for t in texts]
+                keep = [any(map(words_of, pieces_of(t))) for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
     return run
 
