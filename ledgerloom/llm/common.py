@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import remove_path, stage_path
+from ..operators.bitmaps import bitmaps, has_bit
 
 GOLDEN = 0x9E3779B97F4A7C15
 
@@ -49,11 +50,26 @@ class Scratch:
             remove_path(self.spark, t.scratch_path)
 
 
+#: Rows of an Arrow batch, where the session doesn't say: Spark's default of 10 000 whole
+#: texts, and what is made of them, would take most of a worker's memory.
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
+#: Workers give freed Arrow buffers back to the system: the default pool keeps them, some
+#: hundred MB a worker, for as long as the worker lives.
+WORKER_ENV = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": "131072", "MALLOC_TRIM_THRESHOLD_": "131072"}
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, so
     that a caller's working folder doesn't matter; a cluster ships it as usual
-    (``--py-files``)."""
+    (``--py-files``). Workers get ``WORKER_ENV``, and batches of rows a size for texts
+    unless the session's configuration has one."""
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     env = spark.sparkContext.environment
+    for name, value in WORKER_ENV.items():
+        env.setdefault(name, value)
     root = str(Path(__file__).resolve().parents[2])
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
@@ -68,10 +84,26 @@ def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_of(spark, sf_dir, "documents")
 
 
-def drawn(share: float, *columns: str) -> Column:
+def drawn(share: float | Column, *columns: str) -> Column:
     """A repeatable draw of about ``share`` of the rows by a hash of ``columns``.
     Name doc_id among them: copies of one text are then drawn one by one."""
-    return F.pmod(F.xxhash64(*columns, F.lit("draw")), F.lit(1_000_000)) < int(share * 1_000_000)
+    part = F.lit(share) if isinstance(share, float) else share
+    return F.pmod(F.xxhash64(*columns, F.lit("draw")), F.lit(10 ** 12)) < part * 10 ** 12
+
+
+#: Places of a hash filter; its bitmaps take 16 MB at most, whatever it holds.
+FILTER_BITS = 1 << 27
+
+
+def may_be_in(df: DataFrame, columns: list, keys: DataFrame, key_columns: list, flag: str) -> DataFrame:
+    """``df`` with boolean ``flag``: False where its ``columns`` surely don't occur among
+    ``keys``. A broadcast bit for each hash value of a key tells; a wrong True is rare,
+    so rows of a large table that a join would drop needn't be shuffled for it."""
+    place = F.pmod(F.xxhash64(*key_columns), F.lit(FILTER_BITS)) + 1
+    marks = F.broadcast(bitmaps(keys.select(place.alias("_ll_place")), "_ll_place"))
+    at = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS)) + 1
+    return (df.join(marks, F.bitmap_bucket_number(at) == F.col("_ll_bucket"), "left")
+            .withColumn(flag, has_bit(F.col("_ll_bitmap"), F.bitmap_bit_position(at))).drop("_ll_bucket", "_ll_bitmap"))
 
 
 # --- components ------------------------------------------------------------
@@ -132,6 +164,22 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     return labels
 
 
+def named_components(scratch: Scratch, rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, component) for every node of ``rows(name, node)``: the smallest name of
+    a row whose node is reachable, by ``labels(node, root)`` or through rows that share a
+    name. NULL names link nothing; a component of those alone is NULL."""
+    rooted = scratch.table(
+        rows.join(labels, "node", "left").select("name", "node", F.coalesce("root", "node").alias("root")), "rooted")
+    several = (rooted.filter("name is not null").groupBy("name").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+               .filter("a <> b").select("name", "a"))
+    links = scratch.table(rooted.join(several, "name").select("a", F.col("root").alias("b")).distinct(), "shared-names")
+    if not links.isEmpty():
+        up = components(scratch, links).select(F.col("node").alias("root"), F.col("root").alias("up"))
+        rooted = scratch.table(rooted.join(up, "root", "left").select("name", "node", F.coalesce("up", "root").alias("root")), "rooted")
+    first = rooted.groupBy("root").agg(F.min("name").alias("component"))
+    return scratch.table(rooted.select("node", "root").distinct().join(first, "root").select("node", "component"), "components")
+
+
 def runs(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
     """Runs of equal ``by`` from batches sorted by it; the last run of a batch may
     go on in the next one and waits for it."""
@@ -181,8 +229,8 @@ def _block_pairs(load: Callable, likely: Callable, exact: bool):
             if (comp == comp[0]).all():
                 continue
             payload = load(part["payload"])
-            keys = np.frombuffer(b"".join(part["keys"]), np.int32).reshape(len(part), -1)
-            bucket = int((keys[0] == short_keys(part["key"].to_numpy()[:1])).argmax())
+            keys = np.frombuffer(b"".join(part["keys"]), np.int64).reshape(len(part), -1)
+            bucket = int((keys[0] == part["key"].iloc[0]).argmax())
             across = part["one"].iloc[0] != part["two"].iloc[0]
             found = []
             for i in range(len(ids) - 1):
@@ -203,18 +251,13 @@ def _block_pairs(load: Callable, likely: Callable, exact: bool):
     return run
 
 
-def short_keys(keys: np.ndarray) -> np.ndarray:
-    """The lower half of 64-bit bucket keys, to find the first one two members share."""
-    return keys.astype(np.int64).astype(np.int32)
-
-
 def bucket_components(scratch: Scratch, members: DataFrame, facts: Callable[[DataFrame], DataFrame],
                       load: Callable, likely: Callable, confirm: Callable[[DataFrame], DataFrame] | None = None,
                       block: int = 2048) -> DataFrame:
     """(node, root) labels from LSH buckets ``members(key, id)``.
 
     ``facts(ids)`` gives (id, n, payload, keys) of the members that share a
-    bucket: set size, sketch or set as bytes, and their ``short_keys`` as bytes.
+    bucket: set size, sketch or set as bytes, and their bucket keys as bytes (int64).
     ``load(payloads)`` makes an array of them; ``likely(n_a, a, n_b, b)`` tells which
     pairs may be linked (``a`` may be one row for all) and ``confirm(pairs(a, b))``
     which truly are; without it ``likely`` is exact.
@@ -222,10 +265,12 @@ def bucket_components(scratch: Scratch, members: DataFrame, facts: Callable[[Dat
     A bucket isn't expanded into all its pairs: since components are wanted, a
     pair need not be checked once its ends are in one component.
 
-    1. Every member is checked against the smallest member of its bucket, and
-       the components of these links are labelled. This settles near-copy
-       groups with one check per member.
-    2. Buckets that still hold several components are dealt into blocks. A task
+    1. Every member is checked against the smallest pivot it shares a bucket with
+       (a bucket's pivot is its smallest member), and the components of these links are
+       labelled. This settles near-copy groups with one check a member.
+    2. In buckets that still hold several components, members are checked against
+       pivots of other components than their own.
+    3. Buckets that hold several components even then are dealt into blocks. A task
        compares two blocks in numpy and returns only likely pairs of different
        components, each once.
 
@@ -235,31 +280,56 @@ def bucket_components(scratch: Scratch, members: DataFrame, facts: Callable[[Dat
     spans = scratch.table(
         members.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("top"))
         .filter("pivot <> top").select("key", "pivot"), "buckets")
-    shared = scratch.table(members.join(spans, "key"), "members")
-    known = scratch.table(facts(scratch.table(shared.select("id").distinct(), "ids")), "facts")
-    pairs = scratch.table(shared.filter("id <> pivot")
-                          .select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-                          .distinct(), "pairs")
+    sharing = may_be_in(members, ["key"], spans, ["key"], "_ll_shared").filter("_ll_shared").drop("_ll_shared")
+    shared = scratch.table(sharing.join(spans, "key"), "members")
+    scratch.drop(spans)
+    ids = scratch.table(shared.select("id").distinct(), "ids")
+    known = scratch.table(facts(ids), "facts")
+    scratch.drop(ids)
     side = {x: known.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"),
                             F.col("payload").alias(f"payload_{x}")) for x in "ab"}
-    links = scratch.table(pairs.join(side["a"], "a").join(side["b"], "b")
-                          .mapInPandas(_likely_pairs(load, likely), "a long, b long"), "likely")
-    if confirm:
-        links = scratch.table(confirm(links), "links")
-    labels = components(scratch, links)
 
-    roots = labels.select(F.col("node").alias("id"), "root")
-    rows = scratch.table(shared.join(roots, "id", "left")
-                         .select("key", "id", F.coalesce("root", "id").alias("comp")), "comps")
-    mixed = scratch.table(
-        rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-        .filter("lo <> hi").select("key", "n"), "mixed")
-    blocks = scratch.table(dealt(rows, mixed, block), "blocks")
-    more = scratch.table(
+    def checked(pairs: DataFrame) -> DataFrame:
+        links = scratch.table(pairs.join(side["a"], "a").join(side["b"], "b")
+                              .mapInPandas(_likely_pairs(load, likely), "a long, b long"), "likely")
+        if not confirm:
+            return links
+        confirmed = scratch.table(confirm(links), "links")
+        scratch.drop(links)
+        return confirmed
+
+    def labelled(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The members with their components, and the buckets of several components."""
+        roots = labels.select(F.col("node").alias("id"), "root")
+        rows = scratch.table(shared.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("comp")), "comps")
+        mixed = scratch.table(
+            rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"),
+                                    F.min("id").alias("pivot"), F.min_by("comp", "id").alias("its"))
+            .filter("lo <> hi").select("key", "n", "pivot", "its"), "mixed")
+        return rows, mixed
+
+    pairs = scratch.table(shared.filter("id <> pivot").groupBy(F.col("id").alias("b")).agg(F.min("pivot").alias("a"))
+                          .select("a", "b"), "pairs")
+    links = checked(pairs)
+    labels = components(scratch, links)
+    rows, mixed = labelled(labels)
+    others = scratch.table(
+        rows.join(mixed.select("key", "pivot", "its"), "key").filter("comp <> its")
+        .select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    if not others.isEmpty():
+        more = checked(others)
+        if not more.isEmpty():
+            links = scratch.table(links.unionByName(more), "links")
+            labels = components(scratch, links)
+            scratch.drop(rows, mixed)
+            rows, mixed = labelled(labels)
+    blocks = scratch.table(dealt(rows, mixed.select("key", "n"), block), "blocks")
+    found = scratch.table(
         blocks.join(known, "id").repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
         .mapInPandas(_block_pairs(load, likely, confirm is None), "a long, b long"), "likely")
-    scratch.drop(shared, rows, blocks, known)
-    fresh = scratch.table(more.join(pairs, ["a", "b"], "left_anti"), "fresh")
+    scratch.drop(shared, rows, blocks, known, mixed)
+    fresh = scratch.table(found.join(pairs.unionByName(others), ["a", "b"], "left_anti"), "fresh")
+    scratch.drop(found, pairs, others)
     if fresh.isEmpty():
         return labels
     if confirm:

@@ -13,11 +13,15 @@ blocks) and a spanning forest of the links, never the pairs. A link is counted
 only in the first table in which its ends share a key, so no distinct over
 links is needed.
 
-Defined results: null or zero vectors, vectors with null or non-finite
+Defined results: a label may be of any type; labels of others than integers are
+compared by 64 bits. Null or zero vectors, vectors with null or non-finite
 components and vectors without label are linked with nothing, are their own
 component and kept. Vectors of different length aren't compared. Equal vectors
 of a label are one class with a count. A null vec_id has a null component, is
-kept and still counts as a link of its copies.
+kept and still counts as a link of its copies. Rows that share a vec_id with different
+vectors have links of their own and one component. Two cosines that tie at the threshold
+are both links. An empty table gives an empty result. Other columns aren't looked at,
+whatever their names; a vector is as long as a row of the table may be.
 """
 
 from __future__ import annotations
@@ -29,8 +33,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from .common import Scratch, components, dealt, mix, runs
+from .common import Scratch, components, dealt, importable, mix, named_components, runs
 
 PROJECTIONS = 8
 TABLES = 45
@@ -124,21 +129,22 @@ def _compare(cosine: float):
 def near_embeddings(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of
     ``vectors(vec_id, embedding, label)``."""
+    importable(vectors.sparkSession)
     scratch = Scratch(vectors.sparkSession, "embeddings")
     x = F.col("vec")
+    label = F.col("label") if isinstance(vectors.schema["label"].dataType, IntegralType) else F.xxhash64("label")
     fine = (F.col("label").isNotNull() & x.isNotNull()
             & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
             & F.exists(x, lambda v: v != 0))
-    each = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
+    each = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(F.col("label").isNotNull(), label.cast("long")).alias("label"),
                            F.col("embedding").alias("vec"))
             .withColumn("fine", F.coalesce(fine, F.lit(False)))
             .withColumn("sig1", F.xxhash64("label", "vec"))
             .withColumn("sig2", F.xxhash64(F.lit("second"), "vec", "label")))
     classes = scratch.table(
         each.filter("fine").groupBy("sig1", "sig2")
-        .agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"),
-             F.first(F.struct("label", "vec")).alias("v"))
-        .filter("id is not null").select("sig1", "sig2", "id", "copies", "v.label", "v.vec"), "classes")
+        .agg(F.count("vec_id").alias("named"), F.count(F.lit(1)).alias("copies"), F.first(F.struct("label", "vec")).alias("v"))
+        .filter("named > 0").select("sig1", "sig2", F.monotonically_increasing_id().alias("id"), "copies", "v.label", "v.vec"), "classes")
     members = scratch.table(classes.select("id", "label", "vec").mapInPandas(_keys, "key long, id long"), "keys")
     buckets = scratch.table(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
     blocks = scratch.table(dealt(members, buckets, BLOCK), "blocks")
@@ -149,14 +155,16 @@ def near_embeddings(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     scratch.drop(members, buckets, blocks)
     roots = components(scratch, compared.select(F.col("id").alias("a"), F.col("root").alias("b")))
     counts = scratch.table(compared.groupBy("id").agg(F.sum("links").alias("links")), "counts")
-    known = scratch.table(
-        classes.select("sig1", "sig2", "id", "copies").join(counts, "id", "left")
-        .join(roots.withColumnRenamed("node", "id"), "id", "left")
-        .select("sig1", "sig2", F.coalesce("root", "id").alias("root"),
-                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-                F.lit(True).alias("fine")), "known")
-    root = F.when(F.col("vec_id").isNotNull(), F.coalesce("root", "vec_id"))
-    return (each.drop("vec", "label").join(known, ["sig1", "sig2", "fine"], "left")
-            .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-                    root.alias("component_id"),
-                    F.coalesce(root == F.col("vec_id"), F.lit(True)).alias("kept")))
+    own = scratch.table(each.drop("vec", "label").join(classes.select("sig1", "sig2", "id", "copies", F.lit(True).alias("fine")), ["sig1", "sig2", "fine"], "left")
+                        .select("vec_id", F.col("id").alias("node"), "copies"), "rows")
+    scratch.drop(classes)
+    named = named_components(scratch, own.filter("node is not null and vec_id is not null").select(F.col("vec_id").alias("name"), "node"), roots)
+    found = named.join(counts.withColumnRenamed("id", "node"), "node", "left")
+    # rows that share a vec_id are one vector with several values: one component
+    whole = (own.filter("node is not null").select("vec_id", "node").join(named, "node")
+             .groupBy("vec_id").agg(F.min("component").alias("of")))
+    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("of", "vec_id"))
+    links = F.when(F.col("node").isNotNull(), F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0)
+    return (own.join(found, "node", "left").join(whole, "vec_id", "left")
+            .select("vec_id", links.cast("long").alias("n_links"), component.alias("component_id"),
+                    F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept")))

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, drawn
+from .common import Scratch, drawn, importable
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -50,7 +50,7 @@ FLOOR = 1e-7  # probability of a character that is no piece of its own
 BASE = np.uint64(0x100000001B3)
 MAX_CELLS = 8_000_000  # languages x pieces that a model may hold
 WORDS, NODES = 100_000, 200_000  # words, and lattice nodes of them, scored at a time
-MEMO_CELLS = 2_000_000  # languages x words whose likelihoods a task remembers
+MEMO_CELLS = 800_000  # languages x words whose likelihoods a task remembers
 
 
 def pieces_of(text: str | None) -> Iterator[str]:
@@ -275,6 +275,7 @@ def train(labelled: DataFrame, sample_rows: int = 6000, rounds: int = 2,
     one with a small share, a quarter of an even part of the sample, or all of it, is
     drawn instead of its share."""
     spark = labelled.sparkSession
+    importable(spark)
     rows = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CELLS).collect()  # more couldn't be learned
     even = sample_rows / max(sum(r["n"] for r in sizes), 1)
@@ -323,22 +324,19 @@ def identify(docs: DataFrame, sample_rows: int = 6000) -> DataFrame:
 
 
 def _accepted(shared, least: float):
-    def run(batches):
-        import pyarrow as pa
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            if shared.value.langs:
-                lang, score = shared.value.scores(texts)
-                keep = [x != "und" and s >= least for x, s in zip(lang, score)]
-            else:  # nothing to learn from: only texts without a letter go
-                keep = [any(map(words_of, pieces_of(t))) for t in texts]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-    return run
+    @F.pandas_udf("boolean")
+    def keep(texts: pd.Series) -> pd.Series:
+        if shared.value.langs:
+            lang, score = shared.value.scores(texts.tolist())
+            return pd.Series([x != "und" and s >= least for x, s in zip(lang, score)], dtype=bool)
+        # nothing to learn from: only texts without a letter go
+        return pd.Series([any(map(words_of, pieces_of(t))) for t in texts], dtype=bool)
+    return keep
 
 
 def accept(docs: DataFrame, least_score: float = 0.5, sample_rows: int = 6000) -> DataFrame:
     """``docs`` without the rows that have no letter, or whose best language
-    stays under ``least_score``."""
+    stays under ``least_score``. Only the texts go through Python."""
     model = train(docs.filter(~held_out()), sample_rows)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_accepted(shared, least_score), docs.schema)
+    return docs.filter(_accepted(shared, least_score)(F.col("text")))

@@ -10,13 +10,16 @@ from the registers that either fills, with the chance collisions of compressed
 registers taken out, and what may reach the threshold is confirmed on the full
 sets.
 
-With 5 registers a band and 48 bands a pair at exactly 0.8 is missed with a
-probability of (1 - 0.8^5)^48, about 5e-9.
+With 6 registers a band and 44 bands a pair at exactly 0.8 is missed with a
+probability of (1 - 0.8^6)^44, about 1.5e-6.
 
 Defined results: null or empty texts have the empty set (0 shingles), are
 linked with nothing and kept. Rows that share a doc_id count as one document
-with several texts. A null doc_id has a null component and is kept. Texts with
-equal sets are one class before banding, so thousands of copies cost one row.
+with several texts: they have one component, to which the links of all of them belong.
+A null doc_id has a null component and is kept. Texts with equal sets are one class
+before banding, so thousands of copies cost one row. Very long texts are hashed
+whole, a text at a time. An empty table gives an empty result. Columns other than
+doc_id and text aren't looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,13 +31,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_words, bucket_components, mix, overlap, shingle_set, short_keys, signature
+from .common import (Scratch, ascii_words, bucket_components, importable, may_be_in, mix, named_components, overlap,
+                     shingle_set, signature)
 
 BUCKET_BITS = 10
 MANTISSA = 4
 MAX_ZEROS = 14
-ROWS = 5
-BANDS = 48
+ROWS = 6
+BANDS = 44
 M = 1 << BUCKET_BITS
 EMPTY = np.uint8(0xFF)
 
@@ -138,10 +142,10 @@ def _sketches(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for i, t in zip(pdf["doc_id"], pdf["text"]):
+            for i, m, t in zip(pdf["doc_id"], pdf["mark"], pdf["text"]):
                 s = shingle_set(ascii_words(t), k)
-                rows.append((i, len(s), *signature(s), pack_regs(sketch(s))))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "sig1", "sig2", "regs"]).astype(
+                rows.append((i, m, len(s), *signature(s), pack_regs(sketch(s))))
+            yield pd.DataFrame(rows, columns=["doc_id", "mark", "n_shingles", "sig1", "sig2", "regs"]).astype(
                 {"doc_id": "Int64"})
     return run
 
@@ -155,7 +159,7 @@ def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         yield pd.DataFrame({"id": pdf["id"], "n": pdf["n_shingles"], "payload": pdf["regs"],
-                            "keys": [short_keys(k).tobytes() for k in pdf["bands"]]})
+                            "keys": [np.asarray(k, np.int64).tobytes() for k in pdf["bands"]]})
 
 
 def _plausible(percent: int):
@@ -170,73 +174,117 @@ def _plausible(percent: int):
     return run
 
 
-def _confirmed(k: int, percent: int):
-    """Exact test on the full sets; the set of the last pivot is kept, since its
-    pairs come together."""
+def _full_sets(k: int):
+    """The full set of each class, from the texts of the document it was first met in;
+    of several texts the one with the class's signature."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i in range(0, len(pdf), 200):
+                rows = []
+                for r in pdf.iloc[i:i + 200].itertuples():
+                    s = shingle_set(ascii_words(r.text), k)
+                    if signature(s) == (r.sig1, r.sig2):
+                        rows.append((r.id, s.tobytes()))
+                yield pd.DataFrame(rows, columns=["id", "full"])
+    return run
+
+
+def _confirmed(percent: int):
+    """Exact test on the full sets."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, pivot = None, None
         for pdf in batches:
             keep = []
-            for a, ta, tb in zip(pdf["a"], pdf["text_a"], pdf["text_b"]):
-                if last is None or last != (a, ta):
-                    last, pivot = (a, ta), shingle_set(ascii_words(ta), k)
-                other = shingle_set(ascii_words(tb), k)
-                both = overlap(pivot, other)
-                union = len(pivot) + len(other) - both
+            for x, y in zip(pdf["full_a"], pdf["full_b"]):
+                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = overlap(a, b)
+                union = len(a) + len(b) - both
                 keep.append(union > 0 and 100 * both >= percent * union)
             yield pdf.loc[keep, ["a", "b"]]
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row of ``docs(doc_id, text)``;
-    links are pairs with 100 * intersection >= percent * union."""
-    scratch = Scratch(docs.sparkSession, "minhash")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _classes(scratch: Scratch, docs: DataFrame, shingle_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, mark, n_shingles, node), classes' labels (node, root) among them;
+    ``node`` is the class of texts with equal sets, NULL for empty sets."""
+    importable(docs.sparkSession)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
     each = scratch.table(texts.mapInPandas(
         _sketches(shingle_words),
-        "doc_id long, n_shingles long, sig1 long, sig2 long, regs binary"), "sketches")
+        "doc_id long, mark long, n_shingles long, sig1 long, sig2 long, regs binary"), "sketches")
+    signed = ["sig1", "sig2", "n_shingles"]
+    # the number of a class is fixed once the table is written
     classes = scratch.table(
-        each.filter("n_shingles > 0 and doc_id is not null")
-        .groupBy("sig1", "sig2", "n_shingles")
-        .agg(F.min("doc_id").alias("id")), "classes")
-    sketches = scratch.table(
-        each.join(classes.withColumnRenamed("id", "doc_id"), ["sig1", "sig2", "n_shingles", "doc_id"])
-        .select(F.col("doc_id").alias("id"), "n_shingles", "regs")
-        .mapInPandas(_banded, "id long, n_shingles long, regs binary, bands array<long>"), "sets")
+        each.filter("n_shingles > 0 and doc_id is not null").groupBy(*signed)
+        .agg(F.min(F.struct("doc_id", "mark")).alias("at"), F.first("regs").alias("regs"))
+        .select(F.monotonically_increasing_id().alias("id"), *signed, "at.*", "regs")
+        .mapInPandas(_banded, "id long, sig1 long, sig2 long, n_shingles long, doc_id long, mark long, regs binary, bands array<long>"),
+        "classes")
+    rows = scratch.table(each.join(classes.select("id", *signed), signed, "left")
+                         .select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("id")).alias("node")), "rows")
+    scratch.drop(each)
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        text = {x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
-        return (pairs.join(text["b"], "b").join(text["a"], "a")
-                .mapInPandas(_confirmed(shingle_words, percent), "a long, b long").distinct())
+        ids = scratch.table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+        wanted = scratch.table(classes.select("id", "sig1", "sig2", "doc_id", "mark").join(ids, "id"), "wanted")
+        held = may_be_in(texts, ["doc_id", "mark"], wanted, ["doc_id", "mark"], "_ll_held").filter("_ll_held")
+        full = scratch.table(held.join(wanted, ["doc_id", "mark"]).select("id", "sig1", "sig2", "text")
+                             .mapInPandas(_full_sets(shingle_words), "id long, full binary"), "full-sets")
+        side = {x: full.select(F.col("id").alias(x), F.col("full").alias(f"full_{x}")) for x in "ab"}
+        links = scratch.table(pairs.join(side["a"], "a").join(side["b"], "b")
+                              .mapInPandas(_confirmed(percent), "a long, b long").distinct(), "confirmed")
+        scratch.drop(ids, wanted, full)
+        return links
 
     def facts(ids: DataFrame) -> DataFrame:
-        return (sketches.join(ids, "id").mapInPandas(_facts, "id long, n long, payload binary, keys binary")
-                .dropDuplicates(["id"]))
+        return classes.select("id", "n_shingles", "regs", "bands").join(ids, "id").mapInPandas(
+            _facts, "id long, n long, payload binary, keys binary")
 
-    members = sketches.select(F.explode("bands").alias("key"), "id")
+    members = classes.select(F.explode("bands").alias("key"), "id")
     labels = bucket_components(scratch, members, facts, unpack_regs, _plausible(percent), confirm)
-    roots = scratch.table(
-        classes.join(labels.withColumnRenamed("node", "id"), "id", "left")
-        .select("sig1", "sig2", "n_shingles", F.coalesce("root", "id").alias("root")), "roots")
-    root = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
-    return (each.drop("regs").join(roots, ["sig1", "sig2", "n_shingles"], "left")
-            .select("doc_id", "n_shingles", root.alias("component_id"),
-                    F.coalesce(root == F.col("doc_id"), F.lit(True)).alias("kept")))
+    scratch.drop(classes)
+    return rows, labels
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) per row of ``docs(doc_id, text)``;
+    links are pairs with 100 * intersection >= percent * union."""
+    scratch = Scratch(docs.sparkSession, "minhash")
+    rows, labels = _classes(scratch, docs, shingle_words, percent)
+    named = named_components(scratch, rows.filter("node is not null").select(F.col("doc_id").alias("name"), "node"), labels)
+    # a document of which only some texts have words is one document all the same
+    whole = named_documents(rows, named)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return (rows.join(whole, "doc_id", "left")
+            .select("doc_id", "n_shingles", component.alias("component_id"),
+                    F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")))
+
+
+def named_documents(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """(doc_id, component) of the documents with a text that has words."""
+    return (rows.filter("node is not null").select("doc_id", "node").join(named, "node")
+            .groupBy("doc_id").agg(F.min("component").alias("component")))
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: the one with the
-    smallest doc_id; of rows that repeat a doc_id, one."""
+    """``docs`` with one row of each group of near-duplicate texts: that with the
+    smallest (doc_id, hash of the text). Other texts under the same doc_id are texts of
+    their own. Of rows equal in doc_id and text the one with the smallest hash over all
+    columns stays. Rows without a doc_id or without words all stay. Columns of any name
+    are handed on."""
     scratch = Scratch(docs.sparkSession, "keep-one")
-    found = scratch.table(near_duplicates(docs, shingle_words, percent).select("doc_id", "kept"), "found")
+    rows, labels = _classes(scratch, docs, shingle_words, percent)
+    rooted = scratch.table(rows.filter("node is not null").join(labels, "node", "left")
+                           .groupBy("doc_id", "mark", F.coalesce("root", "node").alias("root"))
+                           .agg(F.count(F.lit(1)).alias("n")), "texts")
+    first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
     fate = scratch.table(
-        found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.min("kept").alias("_kept"), F.count(F.lit(1)).alias("_n"))
-        .filter("not _kept or _n > 1").select("_id", "_kept"), "fate")
-    judged = docs.join(fate, docs["doc_id"].cast("long") == fate["_id"], "left")
-    out = judged.filter("_id is null").select(*(docs[c] for c in docs.columns))
-    if fate.filter("_kept").isEmpty():
-        return out
-    again = judged.filter("_kept").select(*(docs[c] for c in docs.columns)).dropDuplicates(["doc_id"])
-    return out.unionByName(again)
+        rooted.join(first, "root").withColumn("stays", F.col("first") == F.struct("doc_id", "mark"))
+        .filter("not stays or n > 1").select("doc_id", "mark", "stays"), "fate")
+    scratch.drop(rows, rooted)
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"))
+    # only rows that may have a fate are joined with it
+    judged = may_be_in(packed, ["doc_id", "mark"], fate, ["doc_id", "mark"], "_ll_judged")
+    again = judged.filter("_ll_judged").join(fate, ["doc_id", "mark"], "left")
+    one = again.filter("stays").groupBy("doc_id", "mark").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return (judged.filter("not _ll_judged").select("row.*")
+            .unionByName(again.filter("stays is null").select("row.*")).unionByName(one.select("row.*")))

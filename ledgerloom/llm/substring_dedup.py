@@ -3,25 +3,33 @@
 A paragraph is a line; a line of more than ``LONG_LINE`` words is cut after
 sentences chosen by their own hash, so that a passage inside two different long
 lines is cut alike in both. Paragraphs of at least ``min_words`` words take
-part. Equal ones (same words) are one class; classes are banded on 36 MinHash
-values of their 5-word shingles, 12 bands of 3 rows: a pair at Jaccard 0.8 is
-missed with a probability of 1.8e-4, at 0.85 of 1.1e-5. Few rows a band are enough,
+part. Equal ones (same words, by 128 bits) are one class; classes are banded on 16
+MinHash values of their 5-word shingles, 8 bands of 2 rows: a pair at Jaccard 0.8 is
+missed with a probability of 2.8e-4, at 0.85 of 3.5e-5. Few rows a band are enough,
 since unrelated paragraphs hardly share five words in a row. Bucket mates are verified on
 the exact shingle sets, components over the confirmed links give the clusters,
-and of each cluster the first paragraph in (doc_id, start) order stays.
+and of each cluster the first paragraph in (doc_id, mark, start) order stays.
 
 Besides, every run of ``RUN`` equal words or more is found wherever it lies, also
-inside a line or across line ends. The key of a window of ``RUN`` words is the
-smallest hash of its ``GRAM``-word shingles, so equal windows have equal keys; only windows
-whose key occurs in two places are listed, and compared by 128 bits of all their
-words. A window is removed if it occurs in an earlier place that it doesn't
-overlap. Of removed windows, what no removed paragraph covers is removed as spans
-of its own. Either rule refers to an earlier (doc_id, start), so the first copy stays.
-
-Defined results: null and empty texts have no paragraph; a paragraph repeated
-inside one document keeps its first place; rows that repeat a doc_id and text
-are treated alike, so a kept paragraph stays in each of them; offsets are code
-points with exclusive ends; documents with null doc_id are left as they are.
+inside a line or across line ends. A window of ``RUN`` words is anchored at the smallest hash
+of its ``GRAM``-word shingles, so equal windows have equal anchors; a document has one
+row for each anchor, about one for 16 words, with the range of windows it stands for and
+128 bits of all their words. Only anchors whose shingle occurs twice go on. Occurrences
+with equal contexts are one class, and one row of it tells where its windows occur
+first; windows are listed one by one only for classes that share a shingle with a
+different class, once for each class. A window is removed if its first occurrence is an
+earlier place that it doesn't overlap. Of removed windows, what no removed paragraph
+covers is removed as spans of its own. Either rule refers to an earlier place, so the
+first copy stays.
+
+Defined results: a document is a row; rows equal in doc_id and text are treated alike,
+so what stays in one stays in each, and other texts under the same doc_id are
+documents of their own, told apart by ``mark``, a hash of the text. Null and empty
+texts have no paragraph; a paragraph repeated inside one document keeps its first
+place; offsets are code points with exclusive ends; documents with null doc_id are
+left as they are. Very long texts are read whole, one at a time. An empty table gives an
+empty result. Other columns, whatever their names, aren't looked at by
+:func:`repeated_passages` and handed on by :func:`remove_repeats`.
 """
 
 from __future__ import annotations
@@ -36,10 +44,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_words, bucket_components, mix, overlap, shingle_set, short_keys
+from .common import Scratch, ascii_words, bucket_components, importable, may_be_in, mix, overlap, shingle_set
 
 SHINGLE = 5
-ROWS, BANDS = 3, 12
+ROWS, BANDS = 2, 8
 LONG_LINE = 60
 CUT_ONE_IN = 3
 RUN, GRAM = 50, 20
@@ -123,13 +131,19 @@ def grams(h: np.ndarray, k: int, seed: int) -> np.ndarray:
     return out
 
 
-def window_keys(grams_: np.ndarray) -> np.ndarray:
-    """Per window of ``RUN`` words the smallest of its shingle hashes."""
-    width, size, low = RUN - GRAM + 1, 1, grams_
+def anchors(grams_: np.ndarray) -> np.ndarray:
+    """Per window of ``RUN`` words the place of its smallest shingle hash, the first
+    one if it occurs twice in the window."""
+    width, size = RUN - GRAM + 1, 1
+    at, low = np.arange(len(grams_)), grams_
+
+    def lesser(at, low, shift):
+        left = low[:-shift] <= low[shift:]
+        return np.where(left, at[:-shift], at[shift:]), np.where(left, low[:-shift], low[shift:])
     while 2 * size <= width:
-        low, size = np.minimum(low[:-size], low[size:]), 2 * size
-    rest = width - size
-    return np.minimum(low[:-rest], low[rest:]) if rest else low
+        at, low = lesser(at, low, size)
+        size *= 2
+    return lesser(at, low, width - size)[0] if width > size else at
 
 
 def _word_hashes(text: str | None) -> np.ndarray:
@@ -137,89 +151,130 @@ def _word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-def _key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The distinct window keys of a document; ``twice`` if one is in two places."""
+ANCHORS = "key long, doc_id long, mark long, w long, n int, c1 long, c2 long"
+
+
+def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row for each anchor of a document: the shingle's hash, the windows ``w`` to
+    ``w + n - 1`` it stands for, and their words as 128 bits. The first and the last of
+    these windows overlap, so they cover all of them."""
     for pdf in batches:
-        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+        for doc_id, mark, text in zip(pdf["doc_id"], pdf["mark"], pdf["text"]):
             h = _word_hashes(text)
-            if len(h) >= RUN:
-                g = grams(h, GRAM, 1)
-                keys = np.unique(window_keys(g))
-                values, count = np.unique(g, return_counts=True)
-                yield pd.DataFrame({"doc_id": doc_id, "key": keys.view(np.int64),
-                                    "twice": count[np.searchsorted(values, keys)] > 1})
+            if len(h) < RUN:
+                continue
+            g = grams(h, GRAM, 1)
+            at = anchors(g)
+            first = np.flatnonzero(np.r_[True, np.diff(at) != 0])
+            last = np.r_[first[1:], len(at)] - 1
+            shape = mix(((last - first) << 6 | (at[first] - first)).astype(np.uint64), 5)
+            c = [mix(mix(w[first] ^ shape, 6) ^ w[last], 7).view(np.int64) for w in (grams(h, RUN, 2), grams(h, RUN, 3))]
+            yield pd.DataFrame({"key": g[at[first]].view(np.int64), "doc_id": doc_id, "mark": mark, "w": first,
+                                "n": (last - first + 1).astype(np.int32), "c1": c[0], "c2": c[1]})
 
 
 def _window_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The windows of a document whose key is one of ``shared``."""
+    """The windows of the contexts that ``at`` lists of a document."""
     for pdf in batches:
-        for doc_id, text, shared in zip(pdf["doc_id"], pdf["text"], pdf["shared"]):
+        for doc_id, mark, text, at in zip(pdf["doc_id"], pdf["mark"], pdf["text"], pdf["at"]):
             h = _word_hashes(text)
-            if len(h) >= RUN:
-                at = np.flatnonzero(np.isin(window_keys(grams(h, GRAM, 1)).view(np.int64), shared))
-                start, end = word_bounds(text)
-                yield pd.DataFrame({"h1": grams(h, RUN, 2)[at].view(np.int64), "h2": grams(h, RUN, 3)[at].view(np.int64),
-                                    "doc_id": doc_id, "w": at, "start": start[at], "end": end[at + RUN - 1]})
+            h1, h2 = (grams(h, RUN, k).view(np.int64) for k in (2, 3))
+            n = np.array([r["n"] for r in at])
+            w = np.repeat([r["w"] for r in at], n)
+            i = np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)
+            yield pd.DataFrame({"h1": h1[w + i], "h2": h2[w + i], "doc_id": doc_id, "mark": mark, "w": w + i,
+                                "c1": np.repeat([r["c1"] for r in at], n), "c2": np.repeat([r["c2"] for r in at], n), "i": i})
+
+
+def _of_documents(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """``texts`` with the columns of ``rows(doc_id, mark, …)``, one for a document. Texts of
+    other documents aren't shuffled."""
+    held = may_be_in(texts, ["doc_id", "mark"], rows, ["doc_id", "mark"], "_ll_held").filter("_ll_held")
+    return held.join(rows, ["doc_id", "mark"])
 
 
 def repeated_windows(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, w, start, end) of the windows of ``RUN`` words, from word ``w`` on,
-    that also occur in an earlier place."""
-    keys = scratch.table(texts.mapInPandas(_key_rows, "doc_id long, key long, twice boolean"), "keys")
+    """(doc_id, mark, w, to): windows ``w`` to before ``to`` of ``RUN`` words that also
+    occur in an earlier place. ``texts(doc_id, mark, text)`` are distinct."""
+    found = scratch.table(texts.mapInPandas(_anchor_rows, ANCHORS), "anchors")
     shared = scratch.table(
-        keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("twice").alias("twice"))
-        .filter("lo <> hi or twice").select("key"), "shared")
-    per_doc = scratch.table(
-        keys.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("shared")), "doc-keys")
-    scratch.drop(keys, shared)
+        found.groupBy("key").agg(F.count(F.lit(1)).alias("k"), *[f(c).alias(f"{c}_{f.__name__}") for c in ("c1", "c2") for f in (F.min, F.max)])
+        .filter("k > 1").select("key", F.expr("c1_min <> c1_max or c2_min <> c2_max").alias("mixed")), "shared")
+    live = scratch.table(
+        may_be_in(found, ["key"], shared, ["key"], "_ll_shared").filter("_ll_shared").drop("_ll_shared").join(shared, "key"), "live")
+    scratch.drop(found, shared)
+    spot = F.struct("doc_id", "mark", "w")
+    classes = scratch.table(
+        live.groupBy("c1", "c2").agg(F.min(spot).alias("first"), F.max("n").alias("n"), F.max("mixed").alias("mixed")), "contexts")
+    # windows of contexts that others may share in part, once for each context
+    listed = scratch.table(
+        classes.filter("mixed").groupBy("first.doc_id", "first.mark")
+        .agg(F.collect_list(F.struct("first.w", "n", "c1", "c2")).alias("at")), "listed")
     windows = scratch.table(
-        texts.join(per_doc, "doc_id").mapInPandas(
-            _window_rows, "h1 long, h2 long, doc_id long, w long, start long, end long"), "windows")
-    spot = F.struct("doc_id", "w")
-    first = scratch.table(
-        windows.groupBy("h1", "h2").agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
-        .filter("first <> last").select("h1", "h2", "first"), "first")
-    gone = scratch.table(
-        windows.join(first, ["h1", "h2"])
-        .filter(f"first.doc_id < doc_id or (first.doc_id = doc_id and first.w + {RUN} <= w)")
-        .select("doc_id", "w", "start", "end"), "gone")
-    scratch.drop(per_doc, windows, first)
-    return gone
-
-
-def merged(paras: list[dict], windows: list[dict]) -> list[tuple[int, int]]:
+        _of_documents(texts, listed).mapInPandas(
+            _window_rows, "h1 long, h2 long, doc_id long, mark long, w long, c1 long, c2 long, i int"), "windows")
+    scratch.drop(listed)
+    first = windows.groupBy("h1", "h2").agg(F.min(spot).alias("where"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    elsewhere = scratch.table(
+        windows.join(first, ["h1", "h2"]).filter(F.col("where") != spot)
+        .groupBy("c1", "c2").agg(F.map_from_entries(F.collect_list(F.struct("i", "where"))).alias("elsewhere")), "elsewhere")
+    scratch.drop(windows)
+
+    def earlier(doc, mark, w, at):
+        here, there = F.struct(F.col("doc_id"), F.col("mark")), F.struct(doc, mark)
+        return (there < here) | ((there == here) & (w + RUN <= at))
+    placed = live.select("doc_id", "mark", "w", "n", "c1", "c2").join(classes.select("c1", "c2", "first"), ["c1", "c2"]) \
+                 .join(elsewhere, ["c1", "c2"], "left")
+    whole = placed.filter("elsewhere is null").filter(
+        earlier(F.col("first.doc_id"), F.col("first.mark"), F.col("first.w"), F.col("w"))).select(
+        "doc_id", "mark", "w", (F.col("w") + F.col("n")).alias("to"))
+
+    def gone(i):
+        own = F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark"), (F.col("first.w") + i).alias("w"))
+        x = F.coalesce(F.element_at("elsewhere", i), own)
+        return earlier(x["doc_id"], x["mark"], x["w"], F.col("w") + i)
+    single = placed.filter("elsewhere is not null").select(
+        "doc_id", "mark", "w", F.explode(F.filter(F.sequence(F.lit(0), F.col("n") - 1), gone)).alias("i"))
+    out = scratch.table(whole.unionByName(single.select("doc_id", "mark", (F.col("w") + F.col("i")).alias("w"),
+                                                        (F.col("w") + F.col("i") + 1).alias("to"))), "gone")
+    scratch.drop(live, classes, elsewhere)
+    return out
+
+
+def merged(paras: list[dict], windows: list[dict], start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     """Spans of the removed paragraphs and of the words of removed windows outside
-    them, in order."""
+    them, in order; ``start`` and ``end`` are the offsets of the text's words."""
     out = [(p["start"], p["end"]) for p in paras]
     joined: list[list[int]] = []
     for x in windows:
         if joined and x["w"] <= joined[-1][1]:
-            joined[-1][1], joined[-1][3] = x["w"] + RUN, x["end"]
+            joined[-1][1] = max(joined[-1][1], x["to"] - 1 + RUN)
         else:
-            joined.append([x["w"], x["w"] + RUN, x["start"], x["end"]])
+            joined.append([x["w"], x["to"] - 1 + RUN])
     i = 0
-    for at, stop, start, end in joined:
+    for at, stop in joined:
         while i < len(paras) and paras[i]["w1"] <= at:
             i += 1
         k = i
+        begin, last = int(start[at]), int(end[stop - 1])
         while k < len(paras) and paras[k]["w0"] < stop:
             if paras[k]["w0"] > at:
-                out.append((start, paras[k]["start"]))
-            at, start = paras[k]["w1"], paras[k]["end"]
+                out.append((begin, paras[k]["start"]))
+            at, begin = paras[k]["w1"], paras[k]["end"]
             k += 1
         if at < stop:
-            out.append((start, end))
+            out.append((begin, last))
     return sorted(out)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
-        spans = [[{"start": s, "end": e} for s, e in merged(p or [], w or [])]
-                 for p, w in zip(batch.column("removed").to_pylist(), batch.column("windows").to_pylist())]
+        spans = []
+        for text, p, w in zip(*(batch.column(c).to_pylist() for c in ("text", "removed", "windows"))):
+            spans.append([{"start": s, "end": e} for s, e in merged(p or [], w or [], *word_bounds(text))])
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("doc_id", "n_paragraphs", "n_repeated")), pa.array(spans, kind)],
-            names=["doc_id", "n_paragraphs", "n_repeated", "removed"])
+            [*(batch.column(c) for c in ("doc_id", "mark")), pa.array(spans, kind)], names=["doc_id", "mark", "removed"])
 
 
 def _paragraph_rows(min_words: int):
@@ -228,17 +283,17 @@ def _paragraph_rows(min_words: int):
             for i in range(0, len(whole), 500):
                 pdf = whole.iloc[i:i + 500]
                 rows, words = [], []
-                for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+                for doc_id, mark, text in zip(pdf["doc_id"], pdf["mark"], pdf["text"]):
                     found = paragraphs(text, min_words)
                     at = word_bounds(text)[0] if found else ()
                     for start, end, ws in found:
                         w0 = int(np.searchsorted(at, start))
                         d = xxhash.xxh3_128_digest(b" ".join(ws))
-                        rows.append((doc_id, start, end, w0, w0 + len(ws), int.from_bytes(d[:8], "big", signed=True),
+                        rows.append((doc_id, mark, start, end, w0, w0 + len(ws), int.from_bytes(d[:8], "big", signed=True),
                                      int.from_bytes(d[8:], "big", signed=True)))
                         words.append(ws)
                 if rows:
-                    out = pd.DataFrame(rows, columns=["doc_id", "start", "end", "w0", "w1", "sig1", "sig2"])
+                    out = pd.DataFrame(rows, columns=["doc_id", "mark", "start", "end", "w0", "w1", "sig1", "sig2"])
                     out["bands"] = list(band_keys(words).view(np.int64))
                     yield out
     return run
@@ -248,7 +303,7 @@ def _facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         sets = [shingle_set(ascii_words(t), SHINGLE) for t in pdf["text"]]
         yield pd.DataFrame({"id": pdf["id"], "n": [len(s) for s in sets], "payload": [s.tobytes() for s in sets],
-                            "keys": [short_keys(np.asarray(k, np.int64)).tobytes() for k in pdf["bands"]]})
+                            "keys": [np.asarray(k, np.int64).tobytes() for k in pdf["bands"]]})
 
 
 def _sets(payload) -> np.ndarray:
@@ -269,52 +324,75 @@ def _similar(percent: int):
     return run
 
 
-def repeated_paragraphs(docs: DataFrame, min_words: int = 15, percent: int = 80,
-                        scratch: Scratch | None = None) -> DataFrame:
-    """(doc_id, start, end, w0, w1, cluster, n, first) per paragraph that takes part:
+def distinct_texts(scratch: Scratch, docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, text) of the documents, each once. Rows that repeat both are
+    few or none, so the texts stay where they are unless there are any."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text") \
+                .filter("doc_id is not null and text is not null")
+    twice = scratch.table(texts.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("doc_id", "mark"), "twice")
+    if twice.isEmpty():
+        return texts
+    told = may_be_in(texts, ["doc_id", "mark"], twice, ["doc_id", "mark"], "_ll_twice")
+    once = told.filter("_ll_twice").groupBy("doc_id", "mark").agg(F.first("text").alias("text"))
+    return told.filter("not _ll_twice").drop("_ll_twice").unionByName(once)
+
+
+PARAGRAPHS = "doc_id long, mark long, start long, end long, w0 int, w1 int, sig1 long, sig2 long, bands array<long>"
+
+
+def repeated_paragraphs(texts: DataFrame, min_words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(doc_id, mark, start, end, w0, w1, cluster, n, first) per paragraph that takes part:
     its words from ``w0`` to before ``w1``, ``n`` paragraphs in its cluster,
     ``first`` if it is the one that stays."""
-    scratch = scratch or Scratch(docs.sparkSession, "substring")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    each = scratch.table(texts.mapInPandas(
-        _paragraph_rows(min_words),
-        "doc_id long, start long, end long, w0 int, w1 int, sig1 long, sig2 long, bands array<long>"), "paragraphs")
+    each = scratch.table(texts.mapInPandas(_paragraph_rows(min_words), PARAGRAPHS), "paragraphs")
+    # the number of a class is fixed once the table is written
     classes = scratch.table(
         each.groupBy("sig1", "sig2").agg(
-            F.min(F.struct("doc_id", "start", "end")).alias("at"), F.first("bands").alias("bands")), "classes")
+            F.min(F.struct("doc_id", "mark", "start", "end")).alias("at"), F.first("bands").alias("bands"))
+        .withColumn("id", F.monotonically_increasing_id()), "classes")
+    rows = scratch.table(each.drop("bands").join(classes.select("sig1", "sig2", "id"), ["sig1", "sig2"]).drop("sig1", "sig2"), "rows")
+    scratch.drop(each)
 
     def facts(ids: DataFrame) -> DataFrame:
-        where = scratch.table(classes.select(F.col("sig1").alias("id"), "at.*", "bands").join(ids, "id"), "places")
+        where = scratch.table(classes.select("id", "at.*", "bands").join(ids, "id"), "places")
+        held = may_be_in(texts, ["doc_id", "mark"], where, ["doc_id", "mark"], "_ll_held").filter("_ll_held")
         cut = F.substring("text", F.col("start") + 1, F.col("end") - F.col("start"))
-        return (texts.join(where, "doc_id").select("id", cut.alias("text"), "bands")
-                .mapInPandas(_facts, "id long, n long, payload binary, keys binary").dropDuplicates(["id"]))
+        return (held.join(where, ["doc_id", "mark"]).select("id", cut.alias("text"), "bands")
+                .mapInPandas(_facts, "id long, n long, payload binary, keys binary"))
 
-    members = classes.select(F.explode("bands").alias("key"), F.col("sig1").alias("id"))
+    members = classes.select(F.explode("bands").alias("key"), "id")
     labels = bucket_components(scratch, members, facts, _sets, _similar(percent))
+    scratch.drop(classes)
     named = scratch.table(
-        each.drop("bands", "sig2").join(labels.withColumnRenamed("node", "sig1"), "sig1", "left")
-        .select("doc_id", "start", "end", "w0", "w1", F.coalesce("root", "sig1").alias("cluster")), "named")
-    spot = F.struct("doc_id", "start")
+        rows.join(labels.withColumnRenamed("node", "id"), "id", "left")
+        .select("doc_id", "mark", "start", "end", "w0", "w1", F.coalesce("root", "id").alias("cluster")), "named")
+    scratch.drop(rows)
+    spot = F.struct("doc_id", "mark", "start")
     clusters = scratch.table(
-        named.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("keeper")), "clusters")
-    return named.join(clusters, "cluster").select(
-        "doc_id", "start", "end", "w0", "w1", "cluster", "n", (F.col("keeper") == spot).alias("first"))
+        named.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("keeper")).filter("n > 1"), "clusters")
+    return named.join(clusters, "cluster", "left").select(
+        "doc_id", "mark", "start", "end", "w0", "w1", "cluster", F.coalesce("n", F.lit(1)).alias("n"),
+        F.coalesce(F.col("keeper") == spot, F.lit(True)).alias("first"))
 
 
 def _per_document(docs: DataFrame, min_words: int, percent: int) -> DataFrame:
-    """Per doc_id: counts of its paragraphs and the removed spans in order."""
+    """Per (doc_id, mark): counts of its paragraphs and the removed spans in order."""
+    importable(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "substring")
-    found = scratch.table(repeated_paragraphs(docs, min_words, percent, scratch), "found")
+    texts = distinct_texts(scratch, docs)
     gone = ~F.col("first")
-    paras = found.distinct().groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_paragraphs"),
-        F.count(F.when(F.col("n") > 1, 1)).alias("n_repeated"),
-        F.array_sort(F.collect_list(F.when(gone, F.struct("start", "end", "w0", "w1")))).alias("removed"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    windows = repeated_windows(texts, scratch).groupBy("doc_id").agg(
-        F.array_sort(F.collect_set(F.struct("w", "start", "end"))).alias("windows"))
-    return scratch.table(paras.join(windows, "doc_id", "full").mapInArrow(
-        _merged, "doc_id long, n_paragraphs long, n_repeated long, removed array<struct<start:long,end:long>>"), "spans")
+    paras = scratch.table(
+        repeated_paragraphs(texts, min_words, percent, scratch).groupBy("doc_id", "mark").agg(
+            F.count(F.lit(1)).alias("n_paragraphs"),
+            F.count(F.when(F.col("n") > 1, 1)).alias("n_repeated"),
+            F.array_sort(F.collect_list(F.when(gone, F.struct("start", "end", "w0", "w1")))).alias("removed")), "per-document")
+    windows = scratch.table(repeated_windows(texts, scratch).groupBy("doc_id", "mark").agg(
+        F.array_sort(F.collect_set(F.struct("w", "to"))).alias("windows")), "runs")
+    cut = paras.filter(F.size("removed") > 0).select("doc_id", "mark", "removed").join(windows, ["doc_id", "mark"], "full")
+    spans = scratch.table(
+        _of_documents(texts, scratch.table(cut, "cut")).select("doc_id", "mark", "text", "removed", "windows").mapInArrow(
+            _merged, "doc_id long, mark long, removed array<struct<start:long,end:long>>"), "spans")
+    return paras.drop("removed").join(spans, ["doc_id", "mark"], "full")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 15, percent: int = 80) -> DataFrame:
@@ -323,7 +401,8 @@ def repeated_passages(docs: DataFrame, min_words: int = 15, percent: int = 80) -
     spans = _per_document(docs, min_words, percent)
     gone = F.coalesce("removed", F.array().cast("array<struct<start:long,end:long>>"))
     zero = F.lit(0).cast("long")
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(spans, "doc_id", "left")
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"))
+            .join(spans, ["doc_id", "mark"], "left")
             .select("doc_id", F.coalesce("n_paragraphs", zero).alias("n_paragraphs"),
                     F.coalesce("n_repeated", zero).alias("n_repeated"),
                     F.size(gone).cast("long").alias("n_removed"),
@@ -334,18 +413,23 @@ def repeated_passages(docs: DataFrame, min_words: int = 15, percent: int = 80) -
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = batch.schema.get_field_index("text")
         texts = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("_removed").to_pylist()):
-            for s in reversed(spans or ()):
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist()):
+            for s in reversed(spans):
                 before, after = text[:s["start"]], text[s["end"]:]
                 text = before + (after.removeprefix("\n") if before[-1:] in ("", "\n") else after)
             texts.append(text)
-        yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
 
 def remove_repeats(docs: DataFrame, min_words: int = 15, percent: int = 80) -> DataFrame:
     """``docs`` with every repeated paragraph and word run but the first cut from the text."""
-    spans = _per_document(docs, min_words, percent).select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
-    joined = docs.join(spans, docs["doc_id"] == spans["_id"], "left").drop("_id")
-    return joined.mapInArrow(_without, joined.schema).drop("_removed")
+    spans = _per_document(docs, min_words, percent).filter(F.size("removed") > 0).select("doc_id", "mark", "removed")
+    spans = Scratch(docs.sparkSession, "substring").table(spans, "removed")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"))
+    told = may_be_in(rows, ["doc_id", "mark"], spans, ["doc_id", "mark"], "_ll_cut")
+    joined = told.filter("_ll_cut").join(spans, ["doc_id", "mark"], "left")
+    touched = joined.filter("removed is not null").select("row", F.col("row.text").alias("text"), "removed")
+    cut = touched.mapInArrow(_without, touched.select("row", "text").schema)
+    return (told.filter("not _ll_cut").select("row.*").unionByName(joined.filter("removed is null").select("row.*"))
+            .unionByName(cut.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])))

@@ -185,3 +185,93 @@ def test_dedup_of_empty_tables(spark):
 def test_words_are_those_of_the_contract():
     text = "A b  c\x1fd\x0be É"
     assert [w.decode() for w in common.ascii_words(text)] == words(text)
+
+
+def same_id_rows() -> list[tuple]:
+    """doc_ids that repeat with another text, with the same text, or are NULL; the
+    extra columns have names that operators might use inside."""
+    rng = random.Random(12)
+    x, y, z = (" ".join(f"{c}{rng.randrange(10 ** 7)}" for _ in range(110)) for c in "xyz")
+    near = lambda t, i: t.replace(t.split()[i], "edited")
+    rows = [(5, x), (5, y), (7, near(x, 3)), (8, near(y, 9)), (6, z), (6, z), (4, z + " tail"), (None, x), (None, x), (9, ""), (9, None),
+            (3, " ".join(y.split()[20:90]) + " " + " ".join(f"n{i}" for i in range(60)))]
+    return [(i, t, f"row {k}", 1, True, 2, 3, "h") for k, (i, t) in enumerate(rows)]
+
+
+SAME_ID = "doc_id long, text string, _id string, _removed int, _kept boolean, _n int, mark int, row string"
+
+
+def test_links_of_a_doc_id_with_several_texts(spark):
+    rows = same_id_rows()
+    got = minhash.near_duplicates(spark.createDataFrame(rows, SAME_ID).repartition(3)).collect()
+    want = near_components([r[:2] for r in rows], 2)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.component_id == want.get(r.doc_id) and r.kept == (r.doc_id is None or want[r.doc_id] == r.doc_id)
+    assert want[7] == want[8] == want[5] == 5 and want[6] == want[4] == 4
+
+
+def test_keep_one_keeps_every_different_text(spark):
+    rows = same_id_rows()
+    df = spark.createDataFrame(rows, SAME_ID)
+    out = [tuple(r) for r in minhash.keep_one(df, 2).collect()]
+    assert sorted(out, key=str) == sorted((tuple(r) for r in minhash.keep_one(df.repartition(5), 2).collect()), key=str)
+    assert sorted((r[0], r[1]) for r in out if r[0] and r[1]) == sorted(
+        [(5, rows[0][1]), (5, rows[1][1]), (4, rows[6][1]), (3, rows[11][1])])
+    # rows without a doc_id or words all stay, and every row handed on is one of the input
+    assert sum(r[0] is None for r in out) == 2 and sum(r[0] == 9 for r in out) == 2 and set(out) <= set(rows)
+
+
+def test_passages_of_a_doc_id_with_several_texts(spark):
+    """Only what a text itself repeats is cut from it."""
+    rows = same_id_rows()
+    df = spark.createDataFrame(rows, SAME_ID).repartition(4)
+    out = {r[2]: tuple(r) for r in remove_repeats(df).collect()}
+    assert len(out) == len(rows)
+    for r in rows:
+        text = out[r[2]][1]
+        assert out[r[2]][:1] + out[r[2]][2:] == r[:1] + r[2:]
+        if r[0] is None or not r[1] or r[0] in (3, 4):  # the first copies, and rows that are left alone
+            assert text == r[1] or (r[0] == 4 and text == r[1])
+    one = {r[2]: words(out[r[2]][1]) for r in rows}
+    assert words(rows[0][1]) == one["row 0"]  # x under doc 5: its copy in doc 7 is later
+    assert one["row 4"] == one["row 5"] == []  # both copies of z are later than doc 4's
+    assert one["row 2"] == [] and one["row 3"] == []  # near copies of whole paragraphs
+    # y under doc 5 repeats 70 words of doc 3
+    y = words(rows[1][1])
+    assert one["row 1"] == y[:20] + y[90:]
+    counts = {(r.doc_id, r.n_removed) for r in repeated_passages(df).collect()}
+    assert {(3, 0), (4, 0), (5, 0), (5, 1), (6, 1), (7, 1), (8, 1), (9, 0), (None, 0)} == counts
+
+
+def test_runs_of_partly_equal_contexts(spark):
+    """Copies that begin and end at random places of one long text share windows with
+    several different contexts."""
+    rng = random.Random(8)
+    base = [f"b{rng.randrange(10 ** 8)}" for _ in range(400)]
+    texts = []
+    for _ in range(30):
+        s, n = rng.randrange(340), rng.randrange(30, 160)
+        texts.append([*(f"u{rng.randrange(10 ** 8)}" for _ in range(20)), *base[s:s + n], *(f"u{rng.randrange(10 ** 8)}" for _ in range(20))])
+    texts.append([f"p{i % 7}" for i in range(130)])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.text for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), min_words=1000).collect()}
+    first = {}
+    for i, t in enumerate(texts):
+        gone = set()
+        for p in range(len(t) - 49):
+            d, q = first.setdefault(tuple(t[p:p + 50]), (i, p))
+            if d < i or q + 50 <= p:
+                gone |= set(range(p, p + 50))
+        assert words(got[i]) == [w for k, w in enumerate(t) if k not in gone]
+
+
+def test_embeddings_of_string_labels_and_shared_ids(spark):
+    a, b, c = [1.0, 0.0, 0.1], [0.0, 1.0, 0.1], [0.0, 0.1, 1.0]
+    near = lambda v: [x + 0.01 for x in v]
+    rows = [(1, a, "x"), (2, near(a), "x"), (3, near(a), "y"), (4, near(a), None), (5, b, "x"), (5, c, "x"),
+            (6, near(b), "x"), (7, near(c), "x"), (None, a, "x")]
+    df = spark.createDataFrame([(*r, 1, 2, True) for r in rows], "vec_id long, embedding array<double>, label string, id int, key int, fine boolean")
+    got = sorted(((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in near_embeddings(df).collect()), key=str)
+    assert got == sorted([(1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 1, 5, True), (5, 1, 5, True),
+                          (6, 1, 5, False), (7, 1, 5, False), (0, 2, None, True)], key=str)
