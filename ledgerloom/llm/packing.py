@@ -11,7 +11,11 @@ one task's work, however many sequences share a length.
 
 Defined results: null and empty texts make one sequence of 0 tokens in the
 narrowest bucket; repeated rows are packed as often as they occur; null doc_id
-comes first.
+comes first. Sequences that tie in (doc_id, chunk), under a repeated doc_id, are placed by
+length and a hash of their tokens, so a rerun places them alike. Very long texts are
+cut into as many sequences as they need; a task holds ``FLUSH`` tokens besides one
+text. An empty table gives an empty result. Other columns aren't looked at, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -22,12 +26,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keys import dense_key
-from .common import Scratch
+from .common import Scratch, importable
 
+#: Tokens that a task holds before it hands them on.
+FLUSH = 300_000
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the tokenizer of VOCABULARY splits text before merging (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -43,31 +50,44 @@ def _encoding(ranks: bytes):
 def _sequences(ranks, max_tokens: int, keep_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(ranks.value).encode_ordinary
+        rows: list[tuple] = []
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            ids, chunks, sizes, marks = zip(*rows)
+            out = [pa.array(ids, pa.int64()), pa.array(chunks, pa.int64()), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64())]
+            names = ["doc_id", "chunk", "n_tokens", "mark"]
+            if keep_tokens:
+                ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+                out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held))))
+                names.append("tokens")
+            rows.clear()
+            held.clear()
+            return pa.RecordBatch.from_arrays(out, names=names)
+        n = 0
         for batch in batches:
-            ids, chunks, sizes, tokens = [], [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                codes = encode(text.as_py() or "")
+                codes = np.array(encode(text.as_py() or ""), np.int32)
                 for c, at in enumerate(range(0, max(len(codes), 1), max_tokens)):
-                    ids.append(i)
-                    chunks.append(c)
-                    sizes.append(min(max_tokens, len(codes) - at))
-                    if keep_tokens:
-                        tokens.append(codes[at:at + max_tokens])
-            out = [pa.array(ids, pa.int64()), pa.array(chunks, pa.int64()), pa.array(sizes, pa.int64())]
-            names = ["doc_id", "chunk", "n_tokens"]
-            if keep_tokens:
-                out.append(pa.array(tokens, pa.list_(pa.int32())))
-                names.append("tokens")
-            yield pa.RecordBatch.from_arrays(out, names=names)
+                    part = codes[at:at + max_tokens]
+                    rows.append((i, c, len(part), xxhash.xxh64_intdigest(part.tobytes()) - 2 ** 63))
+                    held.append(part)
+                    n += len(part) + 16
+                    if n >= FLUSH:
+                        yield flush()
+                        n = 0
+        if rows:
+            yield flush()
     return run
 
 
 def sequences(docs: DataFrame, max_tokens: int = 4096, vocabulary: str = VOCABULARY,
-              keep_tokens: bool = False) -> DataFrame:
-    """(doc_id, chunk, n_tokens[, tokens]): the texts in runs of ``max_tokens``."""
+              keep_tokens: bool = True) -> DataFrame:
+    """(doc_id, chunk, n_tokens, mark[, tokens]): the texts in runs of ``max_tokens``;
+    ``mark`` is a hash of the tokens."""
     with open(vocabulary, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
-    schema = "doc_id long, chunk long, n_tokens long" + ", tokens array<int>" * keep_tokens
+    schema = "doc_id long, chunk long, n_tokens long, mark long" + ", tokens array<int>" * keep_tokens
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .mapInArrow(_sequences(ranks, max_tokens, keep_tokens), schema))
 
@@ -97,16 +117,18 @@ def best_widths(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[i
 
 
 def pack(docs: DataFrame, buckets: int = 16, max_tokens: int = 4096, token_budget: int = 65_536,
-         vocabulary: str = VOCABULARY, keep_tokens: bool = False) -> DataFrame:
+         vocabulary: str = VOCABULARY, keep_tokens: bool = True) -> DataFrame:
     """One row per sequence: doc_id, chunk, n_tokens, width (padded length),
-    batch_id, slot (place in the batch)[, tokens]."""
+    batch_id, slot (place in the batch), tokens. Without ``keep_tokens`` the assignment
+    alone."""
+    importable(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "packing")
     rows = scratch.table(sequences(docs, max_tokens, vocabulary, keep_tokens), "sequences")
     histogram = rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).orderBy("n_tokens").toPandas()
     if histogram.empty:
         return rows.select("doc_id", "chunk", "n_tokens", F.lit(0).cast("long").alias("width"),
                            F.lit(0).cast("long").alias("batch_id"), F.lit(0).cast("long").alias("slot"),
-                           *rows.columns[3:])
+                           *rows.columns[4:])
     lengths, counts = histogram["n_tokens"].to_numpy(), histogram["n"].to_numpy()
     widths = best_widths(lengths, counts, buckets)
     # per width: sequences before it, sequences a batch, batches before it
@@ -122,9 +144,10 @@ def pack(docs: DataFrame, buckets: int = 16, max_tokens: int = 4096, token_budge
             out = F.when(F.col("n_tokens") <= w, F.lit(int(v)).cast("long")).otherwise(out)
         return out
     sized = rows.withColumn("width", by_width(widths))
-    placed = dense_key(sized, ["width", "doc_id", "chunk"], "place", start=0, stage_dir=scratch.root)
+    placed = dense_key(sized, ["width", "doc_id", "chunk", "n_tokens", "mark"], "place", start=0, stage_dir=scratch.root)
+    scratch.drop(rows)
     inside = F.col("place") - by_width(first)
     return placed.select(
         "doc_id", "chunk", "n_tokens", "width",
         (by_width(batch) + F.floor(inside / by_width(per))).cast("long").alias("batch_id"),
-        (inside % by_width(per)).cast("long").alias("slot"), *rows.columns[3:])
+        (inside % by_width(per)).cast("long").alias("slot"), *rows.columns[4:])
