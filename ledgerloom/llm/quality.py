@@ -1,7 +1,9 @@
 """Document quality by co-training.
 
 Two views of a document are classified apart: the text view (which words occur,
-hashed) and the metadata view (source, language and the layout of the page:
+hashed; of runs longer than ``LONG_WORD``, as in scripts without spaces, also the
+character trigrams) and the metadata view (source, language and twelve numbers of the
+page's layout, which are computed from the text, since the table has no page of its own:
 lengths, lines, shares of letters, digits, upper case and symbols, repetition).
 Each is a logistic regression. Over ``ROUNDS`` rounds each view labels the
 documents of an unlabelled pool that it is confident about, and the *other* view
@@ -13,8 +15,8 @@ On held-out labels of the 10,000-document test table the combined quality model
 is right in 99.8 % of the cases.
 
 Fitting uses two bounded samples drawn by a hash: up to ``sample_rows`` labelled
-documents, so that unlabelled ones can't thin them, and as many unlabelled
-ones at most. Where labels are more, rare classes are drawn more densely (a
+documents, so that unlabelled ones can't thin them, and up to ``pool_rows`` unlabelled
+ones. A view keeps up to ``most_features`` features, those whose classes differ most. Where labels are more, rare classes are drawn more densely (a
 sixteenth of the sample, or all), and the intercepts are set back to the shares among all
 labelled documents. The samples are what reaches the driver. Scoring covers all
 documents and whole texts.
@@ -46,6 +48,7 @@ LAYOUT = 12
 ROUNDS = 3
 LEAST_Z = 4.0
 MOST_FEATURES = 300
+LONG_WORD = 24
 CONFIDENT = 0.95
 BLOCK = 2048  # rows of a fit that are dense at a time
 TARGETS = ("quality", "toxic")
@@ -64,11 +67,18 @@ class Words:
             self.memo.clear()
         memo, out = self.memo, set()
         for w in set(WORD.findall(text.lower())) if text else ():
+            if len(w) > LONG_WORD:
+                out.update(map(_word_id, {w, *(w[i:i + 3] for i in range(len(w) - 2))}))
+                continue
             i = memo.get(w)
             if i is None:
-                i = memo[w] = zlib.crc32(w[:64].encode("utf-8", "surrogatepass")) % DIM
+                i = memo[w] = _word_id(w)
             out.add(i)
-        return np.fromiter(out, np.int64, len(out))
+        return np.fromiter(out, np.uint16, len(out))
+
+
+def _word_id(w: str) -> int:
+    return zlib.crc32(w.encode("utf-8", "surrogatepass")) % DIM
 
 
 def layout(text: str | None) -> list[float]:
@@ -99,17 +109,46 @@ def metadata(source: str | None, lang: str | None, text: str | None) -> tuple[li
 
 
 class Sparse:
-    """Rows of binary features plus dense numbers."""
+    """Rows of binary features (ids below 65 536) plus dense numbers. What a fit needs
+    of the features is summed block by block, so the ids are all that is held."""
+
+    def __init__(self, flat: np.ndarray, size: np.ndarray, dense: np.ndarray, dim: int):
+        self.flat, self.size, self.dense, self.dim = flat, size, dense, dim
+        self.start = np.r_[0, np.cumsum(size, dtype=np.int64)]
+
+    @classmethod
+    def of(cls, ids: list[np.ndarray], dense: np.ndarray, dim: int) -> "Sparse":
+        return cls(np.concatenate([*ids, np.empty(0, np.uint16)]).astype(np.uint16), np.fromiter(map(len, ids), np.int64, len(ids)), dense, dim)
 
-    def __init__(self, ids: list[np.ndarray], dense: np.ndarray, dim: int):
-        self.size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.flat = np.concatenate([*ids, np.empty(0, np.int64)]).astype(np.int64)
-        self.row = np.repeat(np.arange(len(ids)), self.size)
-        self.dense, self.dim = dense, dim
+    def __len__(self) -> int:
+        return len(self.size)
 
     def take(self, rows: np.ndarray) -> "Sparse":
-        cut = np.split(self.flat, np.cumsum(self.size)[:-1])
-        return Sparse([cut[i] for i in rows], self.dense[rows], self.dim)
+        size = self.size[rows]
+        at = np.repeat((self.start[rows] - np.r_[0, np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
+        return Sparse(self.flat[at], size, self.dense[rows], self.dim)
+
+    def blocks(self):
+        """(first row, last row, row of each id in the block, ids)"""
+        for i in range(0, len(self), BLOCK):
+            k = min(i + BLOCK, len(self))
+            yield i, k, np.repeat(np.arange(k - i), self.size[i:k]), self.flat[self.start[i]:self.start[k]].astype(np.intp)
+
+    def summed(self, weight: np.ndarray) -> np.ndarray:
+        """Per feature the weights of the rows that have it."""
+        return sum((np.bincount(ids, weight[i:k][row], self.dim) for i, k, row, ids in self.blocks()), np.zeros(self.dim))
+
+    def scored(self, w: np.ndarray) -> np.ndarray:
+        """Per row the weights of its features."""
+        return np.concatenate([np.zeros(0), *(np.bincount(row, w[ids], k - i) for i, k, row, ids in self.blocks())])
+
+    def chosen(self, place: np.ndarray, n: int) -> np.ndarray:
+        """Which of the ``n`` features with a ``place`` each row has."""
+        out = np.zeros((len(self), n), bool)
+        for i, _, row, ids in self.blocks():
+            hit = place[ids] >= 0
+            out[i + row[hit], place[ids[hit]]] = 1
+        return out
 
 
 class View:
@@ -117,26 +156,24 @@ class View:
     significantly (|z| >= ``LEAST_Z``, the ``MOST_FEATURES`` strongest) and the
     dense numbers, standardised; fitted by Newton steps with a ridge."""
 
-    def __init__(self, dim: int, dense: int):
+    def __init__(self, dim: int, dense: int, most_features: int = MOST_FEATURES):
+        self.most_features = most_features
         self.w, self.v, self.b = np.zeros(dim), np.zeros(dense), 0.0
 
     def logits(self, x: Sparse) -> np.ndarray:
-        return np.bincount(x.row, self.w[x.flat], len(x.size)) + x.dense @ self.v + self.b
+        return x.scored(self.w) + x.dense @ self.v + self.b
 
     def fit(self, x: Sparse, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> "View":
         n1, n0 = (weight * y).sum(), (weight * (1 - y)).sum()
-        c1 = np.bincount(x.flat, (weight * y)[x.row], x.dim)
-        c0 = np.bincount(x.flat, (weight * (1 - y))[x.row], x.dim)
+        c1, c0 = x.summed(weight * y), x.summed(weight * (1 - y))
         p = np.clip((c1 + c0) / (n1 + n0), 1e-9, 1 - 1e-9)
         z = np.abs(c1 / max(n1, 1e-9) - c0 / max(n0, 1e-9)) / np.sqrt(
             p * (1 - p) * (1 / max(n1, 1e-9) + 1 / max(n0, 1e-9)))
-        chosen = np.argsort(-z, kind="stable")[:MOST_FEATURES]
+        chosen = np.argsort(-z, kind="stable")[:self.most_features]
         chosen = chosen[z[chosen] >= LEAST_Z]
         place = np.full(x.dim, -1)
         place[chosen] = np.arange(len(chosen))
-        hit = place[x.flat] >= 0
-        a = np.zeros((len(y), len(chosen)), bool)
-        a[x.row[hit], place[x.flat[hit]]] = 1
+        a = x.chosen(place, len(chosen))
         mean = np.average(x.dense, axis=0, weights=weight) if x.dense.shape[1] else np.zeros(0)
         dev = np.sqrt(np.average((x.dense - mean) ** 2, axis=0, weights=weight)) + 1e-9 if len(mean) else mean
         tail = np.hstack([(x.dense - mean) / dev if len(mean) else x.dense, np.ones((len(y), 1))])
@@ -172,19 +209,20 @@ class Target:
 
     def score(self, text: Sparse, meta: Sparse) -> np.ndarray:
         if self.views is None:
-            return np.full(len(text.size), self.share)
+            return np.full(len(text), self.share)
         return _sigmoid(self.blend.logits(self._stack(text, meta)))
 
     def _stack(self, text: Sparse, meta: Sparse) -> Sparse:
         z = np.column_stack([v.logits(x) for v, x in zip(self.views, (text, meta))])
-        return Sparse([np.empty(0, np.int64)] * len(z), z, 1)
+        return Sparse(np.empty(0, np.uint16), np.zeros(len(z), np.int64), z, 1)
 
 
 def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def co_train(text: Sparse, meta: Sparse, y: np.ndarray, prior: float | None = None) -> Target:
+def co_train(text: Sparse, meta: Sparse, y: np.ndarray, prior: float | None = None,
+             most_features: int = MOST_FEATURES) -> Target:
     """``y`` is 0 or 1, or NaN in the unlabelled pool. A fifth of the labelled rows
     is kept for the combination. ``prior``: share of positives where it is not that of ``y``."""
     known = np.flatnonzero(~np.isnan(y))
@@ -205,7 +243,7 @@ def co_train(text: Sparse, meta: Sparse, y: np.ndarray, prior: float | None = No
         for x, (rows, labels) in zip(views, extra):
             own = np.r_[train, rows]
             weight = np.r_[np.ones(len(train)), np.full(len(rows), 0.5)]
-            models.append(View(x.dim, x.dense.shape[1]).fit(x.take(own), np.r_[y[train], labels], weight))
+            models.append(View(x.dim, x.dense.shape[1], most_features).fit(x.take(own), np.r_[y[train], labels], weight))
             models[-1].b -= excess
         target.views = models
         if turn == ROUNDS or not len(pool):
@@ -231,14 +269,14 @@ def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     words = Words()
     for pdf in batches:
         meta = [metadata(*x) for x in zip(pdf["source"], pdf["lang"], pdf["text"])]
-        yield pd.DataFrame({"words": [words(t).astype(np.int32).tobytes() for t in pdf["text"]], "codes": [m[0] for m in meta],
+        yield pd.DataFrame({"words": [words(t).tobytes() for t in pdf["text"]], "codes": [m[0] for m in meta],
                             "layout": [np.array(m[1]).tobytes() for m in meta], "quality": pdf["quality"], "toxic": pdf["toxic"]})
 
 
 def _views(words: list[np.ndarray], codes: list, layouts: list) -> tuple[Sparse, Sparse]:
     none = np.zeros((len(words), 0))
-    return (Sparse([np.asarray(w, np.int64) for w in words], none, DIM),
-            Sparse([np.asarray(c, np.int64) for c in codes],
+    return (Sparse.of(words, none, DIM),
+            Sparse.of([np.asarray(c, np.uint16) for c in codes],
                    np.asarray(list(layouts), float).reshape(len(words), LAYOUT), META))
 
 
@@ -254,8 +292,9 @@ def shares(counts: dict[tuple, int], rows: int) -> dict[tuple, float]:
     return {c: rare[c] / n if c in rare else min(rest, 1.0) for c, n in counts.items()}
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000) -> dict[str, Target]:
-    """Models from about ``sample_rows`` labelled documents and as many others at
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000, pool_rows: int = 16_000,
+        most_features: int = MOST_FEATURES) -> dict[str, Target]:
+    """Models from about ``sample_rows`` labelled documents and ``pool_rows`` others at
     most. Only ids and hashes of the rows are joined with the labels; equal rows count once."""
     known = labels.groupBy(F.col("doc_id").alias("_id")).agg(
         F.min(F.col("quality").cast("double")).alias("quality"), F.max(F.col("toxic").cast("double")).alias("toxic"))
@@ -267,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000) -> dict[s
     pool = {c: n for c, n in counts.items() if c == (None, None)}
     labelled = {c: n for c, n in counts.items() if c not in pool}
     share = F.lit(0.0)
-    for c, part in {**shares(labelled, sample_rows), **{c: min(1.0, sample_rows / n) for c, n in pool.items()}}.items():
+    for c, part in {**shares(labelled, sample_rows), **{c: min(1.0, pool_rows / n) for c, n in pool.items()}}.items():
         share = F.when(F.col("is_quality").eqNullSafe(F.lit(c[0])) & F.col("is_toxic").eqNullSafe(F.lit(c[1])),
                        F.lit(part)).otherwise(share)
     chosen = ids.filter(F.pmod("mark", F.lit(10 ** 12)) < share * 10 ** 12).select(
@@ -275,14 +314,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000) -> dict[s
     rows = docs.select("doc_id", "text", "source", "lang", mark.alias("mark"))
     sample = (rows.join(F.broadcast(chosen), rows["doc_id"].eqNullSafe(chosen["_id"]) & (rows["mark"] == chosen["_mark"]))
               .dropDuplicates(["doc_id", "mark"]).orderBy("doc_id", "mark").mapInPandas(_featured, FEATURES).toPandas())
-    text, meta = _views([np.frombuffer(w, np.int32) for w in sample["words"]], list(sample["codes"]),
+    text, meta = _views([np.frombuffer(w, np.uint16) for w in sample["words"]], list(sample["codes"]),
                         [np.frombuffer(x) for x in sample["layout"]])
     priors = {}
     if sum(labelled.values()) > sample_rows:
         for i, k in enumerate(TARGETS):
             n = [sum(m for c, m in labelled.items() if c[i] is v) for v in (False, True)]
             priors[k] = n[1] / max(sum(n), 1)
-    return {k: co_train(text, meta, sample[k].to_numpy(float), priors.get(k)) for k in TARGETS}
+    labelled_as = {k: sample[k].to_numpy(float) for k in TARGETS}
+    del sample
+    return {k: co_train(text, meta, y, priors.get(k), most_features) for k, y in labelled_as.items()}
 
 
 def _scores(models: dict[str, Target], words: Words, texts: list, sources: list, langs: list) -> dict[str, np.ndarray]:
@@ -302,13 +343,13 @@ def _scored(shared):
     return run
 
 
-def classify(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000,
-             least_quality: float = 0.5, most_toxic: float = 0.35) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000, pool_rows: int = 16_000,
+             most_features: int = MOST_FEATURES, least_quality: float = 0.5, most_toxic: float = 0.35) -> DataFrame:
     """Per document: doc_id, quality_score, toxic_score (0 to 1), kept (good and
     not toxic). The toxic limit lies below 0.5, since a miss costs more."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"),
                       F.col("lang").cast("string").alias("lang"))
-    shared = docs.sparkSession.sparkContext.broadcast(fit(own, labels, sample_rows))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(own, labels, sample_rows, pool_rows, most_features))
     out = own.mapInArrow(_scored(shared), "doc_id long, quality double, toxic double")
     return out.select("doc_id", F.col("quality").alias("quality_score"), F.col("toxic").alias("toxic_score"),
                       ((F.col("quality") >= least_quality) & (F.col("toxic") < most_toxic)).alias("kept"))
