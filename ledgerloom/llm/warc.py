@@ -16,7 +16,11 @@ URIs work alike.
 Defined results: null html is an empty payload; null url has no
 WARC-Target-URI header, line ends in it are percent-encoded; null page_id is
 written as an empty id, never holds other pages' payload and is a revisit if a
-page with an id has its payload. A file cut off in a record raises.
+page with an id has its payload. Pages that repeat a page_id are records of their own, and
+of equal ones all but those with the largest id are revisits. Spaces around a url are
+kept; header bytes that aren't UTF-8 are read as ``\\xNN``. A file cut off in a record
+raises. A very long payload is one record; a task holds 32 MB of payloads, or one. An
+empty table gives no record. Other columns of the pages aren't looked at.
 """
 
 from __future__ import annotations
@@ -212,8 +216,8 @@ def _head(f, what: str) -> dict[str, str]:
             raise ValueError(f"{what}: cut off in a header")
         if line in (b"\r\n", b"\n"):
             return out
-        name, _, value = line.decode("utf-8").partition(":")
-        out[name.strip().lower()] = value.strip()
+        name, _, value = line.rstrip(b"\r\n").decode("utf-8", "backslashreplace").partition(":")
+        out[name.strip().lower()] = value.removeprefix(" ")  # as written: other spaces belong to the value
 
 
 def records(store: fs.FileSystem, path: str, tests: list[tuple[str, Callable]],
