@@ -2,21 +2,31 @@
 
 Base spans (email, ip, card, phone) come from fixed patterns with their checks.
 Beyond them, a CRF over word-shape features labels tokens as outside or as
-beginning or continuing a kind. It is trained on a small labelled table: windows
-of tokens drawn by hash from at most ``train_rows`` documents, labelled by the
-base spans that passed their checks, so that a shape which the checks often
-reject (a long number that is no card) gets its true, low probability. Documents
+beginning or continuing a kind. It learns from a small labelled table of its own
+(``pii_table``: written-out and bracketed addresses, numbers in spellings that no
+pattern takes, and sentences that look alike and hold nothing), each row counting
+``TABLE_WEIGHT`` times, and from windows of the documents themselves, drawn by hash, in
+which the patterns can tell every open token: it belongs to a base span, to a match that
+failed its check, or is a short number by itself. So a shape which the checks
+often reject (a long number that is no card) gets its true, low probability. Documents
 are decoded in numpy batches by Viterbi; a decoded entity that touches no base
 span is added if the mean marginal probability of its labels reaches ``least``.
 
-Tokens are runs of non-space characters. A token without a digit or ``@`` is
-always outside; windows are the tokens within ``CONTEXT`` of one that has a
-digit or ``@``, and since the chain is fixed outside, decoding the windows alone
+Tokens are runs of non-space characters. Open tokens may be inside an entity: those with a
+digit or ``@``, and those within ``REACH`` of a cue (the word dot, or at and dot in
+brackets). All others are outside; windows are the tokens within ``CONTEXT`` of an open
+one, and since the chain is fixed outside, decoding the windows alone
 equals decoding the whole text. Windows of any length are decoded whole.
 
+Bounds of the fit, all parameters: ``train_rows`` documents are drawn, ``train_windows`` of
+their windows, and windows of more than ``LONG`` tokens or ``LONG_CHARS`` characters are no
+training rows.
+
 Defined results: null text is empty and has no spans; offsets are code points,
-ends exclusive; repeated rows get equal rows; with no labelled window nothing is
-added.
+ends exclusive; repeated rows get equal rows; paths that tie go to the label that
+comes first; an empty table gives an empty result; without a document to learn from the
+labelled table is all there is. Extra columns aren't looked at by
+:func:`personal_data` and handed on by :func:`mask`, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drawn
+from .common import drawn, importable
+from .pii_table import labelled
 
 # Kinds in the order they are listed, and their patterns. Possessive
 # repeats and the look-behind keep long runs linear and change no match.
@@ -45,10 +56,14 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 TOKEN = re.compile(r"\S+")
 MARK = re.compile(r"[0-9@]")
-CONTEXT = 1
+CUE = re.compile(r"(?i)^dot$|[\[({<](?:at|dot)[\])}>]")  # of a token
+HINT = re.compile(r"(?i)[0-9@]|\bdot\b|[\[({<]at[\])}>]")  # of a text that may have open tokens
+SHORT = re.compile(r"\W*[0-9]{1,4}\W*")
+CONTEXT, REACH = 1, 3
+TABLE_WEIGHT, LONG, LONG_CHARS = 4, 200, 4000
 LABELS = ["O"] + [f"{p}-{k}" for k in KINDS for p in "BI"]
 DIM = 1 << 14
-FEATURES = 9
+FEATURES = 12
 
 
 # --- base patterns ---------------------------------------------------------
@@ -99,17 +114,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 # --- features --------------------------------------------------------------
 
 def shape(token: str) -> str:
-    """Digits as 9, letters as a and A, runs as one symbol with their length up to 5."""
-    s = re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]", lambda m: "A" if m.group().isupper() else "a", token[:64]))
+    """Digits as 9, letters as a and A, runs as one symbol with their length up to 20."""
+    s = re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]", lambda m: "A" if m.group().isupper() else "a", token))
     return re.sub(r"(.)\1+", lambda m: f"{m.group(1)}{min(len(m.group()), 20)}", s)
 
 
+def open_tokens(words: list[str]) -> np.ndarray:
+    """Which tokens may be inside an entity."""
+    out = np.array([bool(MARK.search(w)) for w in words])
+    for i, w in enumerate(words):
+        if CUE.search(w.strip(".,;:!?")):
+            out[max(i - REACH, 0):i + REACH + 1] = True
+    return out
+
+
 def windows(text: str) -> list[list[tuple[int, int]]]:
-    """Token offsets of the windows around tokens with a digit or ``@``."""
-    if not MARK.search(text):
+    """Token offsets of the windows around open tokens."""
+    if not HINT.search(text):
         return []
     tokens = [m.span() for m in TOKEN.finditer(text)]
-    marks = [i for i, (s, e) in enumerate(tokens) if MARK.search(text, s, e)]
+    marks = np.flatnonzero(open_tokens([text[s:e] for s, e in tokens])).tolist()
     out, end = [], -1
     for i in marks:
         lo, hi = max(i - CONTEXT, 0), min(i + CONTEXT + 1, len(tokens))
@@ -121,10 +145,17 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+def cue(word: str) -> str:
+    """The word itself if it may join the parts of an address, else nothing."""
+    w = word.strip(".,;:!?").lower()
+    return w if w in ("at", "dot") or (len(w) < 8 and CUE.search(w)) else "in" if CUE.search(w) else ""
+
+
 def features(words: list[str]) -> np.ndarray:
     """(tokens, FEATURES) hashed feature ids."""
-    full = [shape(w) for w in words]
+    full = [shape(w.rstrip(".,;:!?\"'") or w) for w in words]
     core = [re.sub(r"\d+", "", f.replace("9", "d")) for f in full]
+    cues = ["", *map(cue, words), ""]
     out = np.empty((len(words), FEATURES), np.int64)
     for i, w in enumerate(words):
         before, after = (core[i - 1] if i else "^"), (core[i + 1] if i + 1 < len(words) else "$")
@@ -132,7 +163,8 @@ def features(words: list[str]) -> np.ndarray:
         plain = words[i - 1].lower() if i and not MARK.search(words[i - 1]) else ""
         for j, f in enumerate((f"s{full[i]}", f"c{core[i]}", f"p{before}|{core[i]}", f"n{core[i]}|{after}",
                                f"d{min(digits, 20)}", f"@{'@' in w}{w.count('.')}", f"x{before}|{full[i]}|{after}",
-                               f"w{plain}", f"e{w[0]}{len(w) > 3}")):
+                               f"w{plain}", f"e{w[0]}{len(w) > 3}", f"q{cues[i]}|{cues[i + 1]}|{cues[i + 2]}",
+                               f"y{cues[i + 1]}|{full[i]}", f"z{cues[i]}|{cues[i + 2]}|{core[i]}")):
             out[i, j] = zlib.crc32(f.encode("utf-8", "surrogatepass")) % DIM
     return out
 
@@ -259,13 +291,39 @@ def _gold(spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> lis
     return out
 
 
+def failed_spans(text: str) -> list[tuple[int, int]]:
+    """Matches of the patterns that failed their check and are of no other kind either:
+    four numbers of up to three digits, unbroken digits of a card's length, phones of the
+    wrong length."""
+    out = [m.span() for m in IP.finditer(text) if all(len(p) <= 3 for p in m.group().split(".")) and any(int(p) > 255 for p in m.group().split("."))]
+    out += [m.span() for m in CARD.finditer(text) if m.group().isdigit() and 13 <= len(m.group()) <= 19 and not luhn(m.group())]
+    if "+" in text:
+        out += [m.span() for m in PHONE.finditer(text) if not 9 <= len(_digits(m.group())) <= 15]
+    return out
+
+
+def _told(words: list[str], spans: list[tuple[int, int]], known: list[tuple[int, int]]) -> bool:
+    """Whether the patterns can tell every token of a window."""
+    if any(map(cue, words)):
+        return False
+    digits = [False, *(bool(MARK.search(w)) for w in words), False]
+    for i, (w, (s, e)) in enumerate(zip(words, spans)):
+        alone = SHORT.fullmatch(w) and not digits[i] and not digits[i + 2]
+        if digits[i + 1] and not alone and not any(a < e and s < b for a, b in known):
+            return False
+    return True
+
+
 def _labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
             base = base_spans(text or "")
+            known = [x[1:] for x in base] + failed_spans(text or "")
             for i, w in enumerate(windows(text or "")):
-                rows.append((doc_id, i, [text[s:e] for s, e in w], _gold(w, base)))
+                words = [text[s:e] for s, e in w]
+                if len(w) <= LONG and sum(map(len, words)) <= LONG_CHARS and _told(words, w, known):
+                    rows.append((doc_id, i, words, _gold(w, base)))
         yield pd.DataFrame(rows, columns=["doc_id", "place", "tokens", "labels"]).astype({"doc_id": "Int64"})
 
 
@@ -280,31 +338,33 @@ def labelled_windows(docs: DataFrame, train_rows: int = 4000, train_windows: int
     return found.filter(drawn(keep, "doc_id", "place", "tokens")) if keep < 1 else found
 
 
-def train(docs: DataFrame, train_rows: int = 4000, train_windows: int = 4000) -> Field | None:
-    table = labelled_windows(docs, train_rows, train_windows).toPandas()  # bounded by train_windows
-    if table.empty:
-        return None
+def table_windows() -> list[tuple[list[str], list[int]]]:
+    """The windows of the labelled table: tokens and labels."""
+    out = []
+    for text, spans in labelled():
+        truth = [(KINDS.index(k), s, e) for k, s, e in spans]
+        out += [([text[s:e] for s, e in w], _gold(w, truth)) for w in windows(text)]
+    return out
+
+
+def train(docs: DataFrame, train_rows: int = 4000, train_windows: int = 4000) -> Field:
+    table = labelled_windows(docs, train_rows, train_windows).toPandas()  # bounded in rows and bytes
     table = table.iloc[table["tokens"].map(lambda t: "\x00".join(t)).argsort(kind="stable")]
+    rows = table_windows() * TABLE_WEIGHT + [(list(t), list(x)) for t, x in zip(table["tokens"], table["labels"])]
     field = Field()
-    words = [list(t) for t in table["tokens"]]
-    field.fit([features(w) for w in words],
-              [np.array([bool(MARK.search(x)) for x in w]) for w in words],
-              [np.asarray(x, np.int64) for x in table["labels"]])
+    field.fit([features(w) for w, _ in rows], [open_tokens(w) for w, _ in rows], [np.asarray(x, np.int64) for _, x in rows])
     return field
 
 
-def added_spans(field: Field | None, texts: list[str], base: list[list[tuple[int, int, int]]],
+def added_spans(field: Field, texts: list[str], base: list[list[tuple[int, int, int]]],
                 least: float) -> list[list[tuple[int, int, int]]]:
     """Entities of the field that touch no base span, text by text."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    if field is None:
-        return out
     all_windows = [(i, w) for i, t in enumerate(texts) for w in windows(t)]
     if not all_windows:
         return out
     words = [[texts[i][s:e] for s, e in w] for i, w in all_windows]
-    decoded = field.decode([features(w) for w in words],
-                           [np.array([bool(MARK.search(x)) for x in w]) for w in words])
+    decoded = field.decode([features(w) for w in words], [open_tokens(w) for w in words])
     for (i, w), (path, prob) in zip(all_windows, decoded):
         at = 0
         while at < len(path):
@@ -316,8 +376,12 @@ def added_spans(field: Field | None, texts: list[str], base: list[list[tuple[int
                 end += 1
             start, stop = w[at][0], w[end - 1][1]
             body = texts[i][start:stop]
-            stop -= len(body) - len(body.rstrip(".,;:!?\"')]}"))
-            start += len(body) - len(body.lstrip("\"'[{"))
+            stop -= len(body) - len(body.rstrip(".,;:!?\"'"))
+            start += len(body) - len(body.lstrip("\"'"))
+            body = texts[i][start:stop]
+            # brackets that open or close outside of the entity
+            stop -= sum(body.endswith(b) and body.count(b) > body.count(a) for a, b in ("()", "[]", "{}"))
+            start += sum(body.startswith(a) and body.count(a) > body.count(b) for a, b in ("()", "[]", "{}"))
             if (start < stop and prob[at:end].mean() >= least
                     and not any(s < stop and start < e for _, s, e in base[i])):
                 out[i].append(((int(path[at]) - 1) // 2, start, stop))
@@ -345,11 +409,12 @@ def _spans(shared, least: float):
     return run
 
 
-def personal_data(docs: DataFrame, least: float = 0.9, train_rows: int = 4000) -> DataFrame:
+def personal_data(docs: DataFrame, least: float = 0.9, train_rows: int = 4000, train_windows: int = 4000) -> DataFrame:
     """Per document: doc_id, n_email, n_ip, n_card, n_phone (base spans),
     base_sha256, spans (base and added), n_added."""
+    importable(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shared = docs.sparkSession.sparkContext.broadcast(train(own, train_rows))
+    shared = docs.sparkSession.sparkContext.broadcast(train(own, train_rows, train_windows))
     return own.mapInPandas(_spans(shared, least),
                            "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS)
                            + ", base_sha256 string, spans string, n_added long")
@@ -374,7 +439,8 @@ def _masked(shared, least: float):
     return run
 
 
-def mask(docs: DataFrame, least: float = 0.9, train_rows: int = 4000) -> DataFrame:
+def mask(docs: DataFrame, least: float = 0.9, train_rows: int = 4000, train_windows: int = 4000) -> DataFrame:
     """``docs`` with every span replaced by its kind."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, train_rows))
+    importable(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, train_rows, train_windows))
     return docs.mapInArrow(_masked(shared, least), docs.schema)

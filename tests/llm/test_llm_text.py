@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from conftest import SF_SMALL
 from llm_brute import SCHEMA, awkward, contamination, listing, pii_base, secret_base, sha
 
 from ledgerloom.llm import decontam, langid, packing, pii_crf, quality, secret_scan
@@ -23,6 +24,32 @@ EMPTY = "doc_id long, text string, lang string, source string"
 
 # --- language ID -------------------------------------------------------------
 
+def test_signs_are_no_letters_and_long_texts_are_read_in_parts(monkeypatch):
+    assert langid.words_of("½ ² Ⅷ 5 _ a²b") == ["a", "b"] and langid.words_of("½²") == []
+    text = "one two three " * 40
+    whole = langid.words_of(text)
+    monkeypatch.setattr(langid, "PART", 30)
+    assert [w for p in langid.pieces_of(text) for w in langid.words_of(p)] == whole
+    model = langid.Model(["o", "n", "e", "t", "w", "on", "tw", "▁o"], ["a", "b"], np.random.default_rng(1).random((9, 2)) * 50)
+    want = model.scores([text, None, "²", "one"])
+    monkeypatch.setattr(langid, "WORDS", 1)
+    monkeypatch.setattr(langid, "NODES", 5)
+    monkeypatch.setattr(langid, "MEMO_CELLS", 4)
+    again = langid.Model(model.pieces, model.langs)
+    again.p = model.p
+    got = again.scores([text, None, "²", "one"])
+    assert got[0] == want[0] and np.allclose(got[1], want[1]) and got[0][1:3] == ["und", "und"]
+
+
+def test_every_language_is_learned(spark):
+    """A language with one document in a thousand is still one of the model's."""
+    rows = [(i, f"alpha beta gamma {i}", "big") for i in range(3000)] + [(5000 + i, "ypsilon omega zeta", "rare") for i in range(3)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=200, rounds=1)
+    assert model.langs == ["big", "rare"]
+    assert model.scores(["ypsilon omega"])[0] == ["rare"]
+
+
+
 def segmentations(word, pieces, p):
     """Sum over all segmentations, by recursion; a character outside the vocabulary
     has the floor probability."""
@@ -230,6 +257,44 @@ def test_field_against_enumeration():
             assert np.exp(logp[0, i, k]) == pytest.approx(want, abs=1e-9)
 
 
+def test_field_finds_what_no_pattern_takes(spark):
+    """Forms of the labelled table with other names, hosts and numbers, in other
+    sentences, among the given documents: found exactly in most cases; sentences that look
+    alike and the documents themselves gain nothing."""
+    rng = random.Random(1)
+    pick = lambda *x: rng.choice(x)
+    name = lambda: pick("otto", "greta", "liam", "noor", "pavel", "yuki", "amir", "zoe")
+    host = lambda: pick("acme", "foobar", "postbox", "univ", "kiosk")
+    top = lambda: pick("com", "org", "net", "example", "de")
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    forms = [
+        lambda: ("email", f"{name()} dot {name()} at {host()} dot {top()}"), lambda: ("email", f"{name()} at {host()} dot {top()}"),
+        lambda: ("email", f"{name()}.{name()} (at) {host()} (dot) {top()}"), lambda: ("email", f"{name()} [at] {host()} [dot] {top()}"),
+        lambda: ("email", f"{name()}(at){host()}.{top()}"), lambda: ("email", f"{name()}[at]{host()}[dot]{top()}"),
+        lambda: ("phone", f"({d(3)}) 555-{d(4)}"), lambda: ("phone", f"{d(3)}-555-{d(4)}"), lambda: ("phone", f"{d(3)}.555.{d(4)}"),
+        lambda: ("phone", f"0049 {d(2)} {d(7)}"), lambda: ("card", f"{d(4)}.{d(4)}.{d(4)}.{d(4)}"),
+        lambda: ("card", f"{d(4)}_{d(4)}_{d(4)}_{d(4)}"), lambda: ("ip", f"{d(2)}[.]{d(3)}[.]{d(1)}[.]{d(2)}")]
+    frames = ["the letter went to {} last week", "so {} is what they gave", "please note {} as new", "they said {} was right. Then",
+              "we wrote {}, and more", "at home {} rang"]
+    planted = {}
+    for i in range(130):
+        kind, x = forms[i % len(forms)]()
+        text = rng.choice(frames).format(x)
+        s = text.index(x)
+        planted[10_000 + i] = (text, f"{kind}:{s}:{s + len(x)}")
+    clean = ["it was the dot at the end of page 12", "a dot on the i at noon", "he met 3 people at 4 and 5", "version 2.4.1 of 2021-05-06",
+             "order 8812-77 at 10.30", "the dot com boom of 1999", "see (at 7) there", "12.50 or 13.75 each", "ISBN 978-0-306-40615-7 sold",
+             "9777946427004852 at the", "chapter 7.3 at [the] end", "one dot two dot three"]
+    given = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    rows = [(i, t) for i, (t, _) in planted.items()] + [(20_000 + i, t) for i, t in enumerate(clean)]
+    got = {r.doc_id: r for r in pii_crf.personal_data(given.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    found = sum(span in got[i].spans.split(",") for i, (_, span) in planted.items())
+    added = sum(r.n_added for i, r in got.items() if i >= 10_000)
+    assert found >= 0.8 * len(planted) and found >= 0.95 * added
+    assert all(got[20_000 + i].n_added == 0 for i in range(len(clean)))
+    assert sum(r.n_added for i, r in got.items() if i < 10_000) == 0
+
+
 def test_field_learns_and_adds(spark):
     rng = random.Random(2)
     rows = [(i, f"some text and +1 ({rng.randrange(100, 999)}) 555-{rng.randrange(1000, 9999)} follows {rng.randrange(99)} times")
@@ -276,6 +341,10 @@ def test_packing_rows(spark, docs):
     assert (full <= 1).all()
     assert sorted(out.batch_id.unique()) == list(range(out.batch_id.nunique()))
     assert packing.pack(spark.createDataFrame([], EMPTY)).collect() == []
+    # a doc_id under several texts: reruns place alike
+    twice = spark.createDataFrame([(1, f"text {i % 7} {'x ' * (i % 5)}") for i in range(40)], "doc_id long, text string")
+    first, second = (sorted(map(str, packing.pack(d, token_budget=64).collect())) for d in (twice, twice.repartition(7)))
+    assert first == second
 
 
 # --- quality -----------------------------------------------------------------
