@@ -6,10 +6,11 @@ import os
 import tempfile
 
 from conftest import SF_SMALL, plan_text
+from ledgerloom.catalog import QUERIES, reset_built
 from ledgerloom.operators.keys import dense_key
 from ledgerloom.operators.lookups import lookup_distinct
 from ledgerloom.plans import entities as E
-from ledgerloom.plans.normalize import Normalizer
+from ledgerloom.plans.normalize import Normalizer, stage
 from ledgerloom.sources import fixtures, read_sheet
 from ledgerloom.sources.readers import conform, rename_headers
 from ledgerloom.schemas import RAW_ORDERS_SCHEMA, RAW_RETURNS_SCHEMA
@@ -153,3 +154,22 @@ def test_corrupt_manifest_is_an_error(spark):
         f.write("{not json\n")
     with pytest.raises(Exception):
         current_run(spark, d)
+
+
+def test_load_moves_few_and_narrow_rows(spark, tmp_path):
+    """Joins of tables too large to broadcast: customers meet orders, not lines; lines are
+    shuffled for the lookup and for one DISTINCT; what is stored is compressed well."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(fixtures.raw_orders(spark, SF_SMALL))
+        by_customer = [b for b in plan.split("\n\n") if "hashpartitioning(o_custkey" in b]
+        assert by_customer and not any("l_orderkey" in b for b in by_customer)
+        lines = QUERIES["fact_order_details_shuffled"](spark, SF_SMALL)
+        plan = plan_text(lines)
+        assert plan.count("hashpartitioning(") == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        reset_built()
+    stored = stage(spark.range(10), str(tmp_path / "t")).inputFiles()
+    assert stored and all(f.endswith(".zstd.parquet") for f in stored)
