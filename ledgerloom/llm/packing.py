@@ -47,7 +47,12 @@ def _encoding(ranks: bytes):
     return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
 
-def _sequences(ranks, max_tokens: int, keep_tokens: bool):
+def _code_type(ranks: bytes) -> np.dtype:
+    """The narrowest of two- and four-byte integers that holds every token."""
+    return np.dtype("<u2" if max(int(line.split()[1]) for line in ranks.splitlines() if line.strip()) < 1 << 16 else "<u4")
+
+
+def _sequences(ranks, max_tokens: int, keep_tokens: bool, packed: np.dtype | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(ranks.value).encode_ordinary
         rows: list[tuple] = []
@@ -58,8 +63,12 @@ def _sequences(ranks, max_tokens: int, keep_tokens: bool):
             out = [pa.array(ids, pa.int64()), pa.array(chunks, pa.int64()), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64())]
             names = ["doc_id", "chunk", "n_tokens", "mark"]
             if keep_tokens:
-                ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
-                out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held))))
+                ends, codes = np.r_[0, np.cumsum(sizes)].astype(np.int32), np.concatenate(held)
+                if packed is None:
+                    out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(codes)))
+                else:
+                    out.append(pa.BinaryArray.from_buffers(
+                        pa.binary(), len(sizes), [None, pa.py_buffer(ends * np.int32(packed.itemsize)), pa.py_buffer(codes.astype(packed))]))
                 names.append("tokens")
             rows.clear()
             held.clear()
@@ -81,15 +90,31 @@ def _sequences(ranks, max_tokens: int, keep_tokens: bool):
     return run
 
 
+def _unpacked(packed: np.dtype):
+    """The last column's packed tokens as arrays of int."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            held = batch.column(batch.num_columns - 1).cast(pa.binary())
+            ends = np.frombuffer(held.buffers()[1], np.int32)[held.offset:held.offset + len(held) + 1]
+            codes = np.frombuffer(held.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]].view(packed).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array((ends - ends[0]) // packed.itemsize), pa.array(codes))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], tokens], names=batch.schema.names)
+    return run
+
+
 def sequences(docs: DataFrame, max_tokens: int = 4096, vocabulary: str = VOCABULARY,
-              keep_tokens: bool = True) -> DataFrame:
+              keep_tokens: bool = True, packed: np.dtype | None = None) -> DataFrame:
     """(doc_id, chunk, n_tokens, mark[, tokens]): the texts in runs of ``max_tokens``;
-    ``mark`` is a hash of the tokens."""
+    ``mark`` is a hash of the tokens. With ``packed`` the tokens are bytes of that type."""
     with open(vocabulary, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
-    schema = "doc_id long, chunk long, n_tokens long, mark long" + ", tokens array<int>" * keep_tokens
+    schema = "doc_id long, chunk long, n_tokens long, mark long"
+    if keep_tokens:
+        schema += ", tokens array<int>" if packed is None else ", tokens binary"
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(_sequences(ranks, max_tokens, keep_tokens), schema))
+            .mapInArrow(_sequences(ranks, max_tokens, keep_tokens, packed), schema))
 
 
 def best_widths(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
@@ -120,15 +145,22 @@ def pack(docs: DataFrame, buckets: int = 16, max_tokens: int = 4096, token_budge
          vocabulary: str = VOCABULARY, keep_tokens: bool = True) -> DataFrame:
     """One row per sequence: doc_id, chunk, n_tokens, width (padded length),
     batch_id, slot (place in the batch), tokens. Without ``keep_tokens`` the assignment
-    alone."""
+    alone. On the way tokens are bytes, two each where the vocabulary allows it: they are
+    written, shuffled and written again, which takes most of the disk and memory."""
     importable(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "packing")
-    rows = scratch.table(sequences(docs, max_tokens, vocabulary, keep_tokens), "sequences")
+    with open(vocabulary, "rb") as f:
+        packed = _code_type(f.read())
+
+    def unpacked(placed: DataFrame) -> DataFrame:
+        return placed.mapInArrow(_unpacked(packed), (
+            "doc_id long, chunk long, n_tokens long, width long, batch_id long, slot long, tokens array<int>")) if keep_tokens else placed
+    rows = scratch.table(sequences(docs, max_tokens, vocabulary, keep_tokens, packed), "sequences")
     histogram = rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).orderBy("n_tokens").toPandas()
     if histogram.empty:
-        return rows.select("doc_id", "chunk", "n_tokens", F.lit(0).cast("long").alias("width"),
-                           F.lit(0).cast("long").alias("batch_id"), F.lit(0).cast("long").alias("slot"),
-                           *rows.columns[4:])
+        return unpacked(rows.select("doc_id", "chunk", "n_tokens", F.lit(0).cast("long").alias("width"),
+                                    F.lit(0).cast("long").alias("batch_id"), F.lit(0).cast("long").alias("slot"),
+                                    *rows.columns[4:]))
     lengths, counts = histogram["n_tokens"].to_numpy(), histogram["n"].to_numpy()
     widths = best_widths(lengths, counts, buckets)
     # per width: sequences before it, sequences a batch, batches before it
@@ -147,7 +179,7 @@ def pack(docs: DataFrame, buckets: int = 16, max_tokens: int = 4096, token_budge
     placed = dense_key(sized, ["width", "doc_id", "chunk", "n_tokens", "mark"], "place", start=0, stage_dir=scratch.root)
     scratch.drop(rows)
     inside = F.col("place") - by_width(first)
-    return placed.select(
+    return unpacked(placed.select(
         "doc_id", "chunk", "n_tokens", "width",
         (by_width(batch) + F.floor(inside / by_width(per))).cast("long").alias("batch_id"),
-        (inside % by_width(per)).cast("long").alias("slot"), *rows.columns[4:])
+        (inside % by_width(per)).cast("long").alias("slot"), *rows.columns[4:]))

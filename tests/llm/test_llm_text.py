@@ -347,6 +347,24 @@ def test_packing_rows(spark, docs):
     assert first == second
 
 
+def test_packing_moves_tokens_as_bytes(spark, docs, monkeypatch):
+    moved = []
+    key = packing.dense_key
+
+    def spy(df, *args, **kwargs):
+        moved.append(dict(df.dtypes)["tokens"])
+        return key(df, *args, **kwargs)
+    monkeypatch.setattr(packing, "dense_key", spy)
+    out = packing.pack(docs, max_tokens=64)
+    assert moved == ["binary"] and dict(out.dtypes)["tokens"] == "array<int>"
+    plain = packing.sequences(docs, 64).select("doc_id", "chunk", "tokens")
+    assert sorted(map(str, out.select("doc_id", "chunk", "tokens").collect())) == sorted(map(str, plain.collect()))
+    assert packing._code_type(b"YQ== 0\nYg== 65535\n").itemsize == 2 and packing._code_type(b"YQ== 65536\n").itemsize == 4
+    wide = packing.sequences(docs, 64, packed=np.dtype("<u4"))
+    back = wide.select("doc_id", "chunk", "tokens").mapInArrow(packing._unpacked(np.dtype("<u4")), "doc_id long, chunk long, tokens array<int>")
+    assert sorted(map(str, back.collect())) == sorted(map(str, plain.collect()))
+
+
 # --- quality -----------------------------------------------------------------
 
 def test_quality_held_out_accuracy(spark):
