@@ -239,8 +239,11 @@ def _classes(scratch: Scratch, docs: DataFrame, shingle_words: int, percent: int
         return classes.select("id", "n_shingles", "regs", "bands").join(ids, "id").mapInPandas(
             _facts, "id long, n long, payload binary, keys binary")
 
-    members = classes.select(F.explode("bands").alias("key"), "id")
-    labels = bucket_components(scratch, members, facts, unpack_regs, _plausible(percent), confirm)
+    def alike(x, y):
+        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+    members = classes.select(F.explode("bands").alias("key"), "id", F.col("n_shingles").alias("n"))
+    labels = bucket_components(scratch, members, facts, unpack_regs, _plausible(percent), confirm, alike=alike)
     scratch.drop(classes)
     return rows, labels
 
