@@ -146,9 +146,31 @@ def anchors(grams_: np.ndarray) -> np.ndarray:
     return lesser(at, low, width - size)[0] if width > size else at
 
 
-def _word_hashes(text: str | None) -> np.ndarray:
-    words = ascii_words(text)
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+#: Words whose windows are hashed together: many short texts at once, a longer one alone.
+CHUNK_WORDS = 100_000
+
+
+def _hashed(texts: Iterator) -> Iterator[tuple[np.ndarray, list[int], np.ndarray, np.ndarray]]:
+    """Chunks of the texts of at least ``RUN`` words: the hashes of their words one text
+    after another, places of the texts, where each begins, and its number of words."""
+    parts, places, size, total = [], [], [], 0
+
+    def chunk():
+        n = np.array(size)
+        return np.concatenate(parts), places, np.cumsum(n) - n, n
+    for i, text in enumerate(texts):
+        words = ascii_words(text)
+        if len(words) < RUN:
+            continue
+        parts.append(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
+        places.append(i)
+        size.append(len(words))
+        total += len(words)
+        if total >= CHUNK_WORDS:
+            yield chunk()
+            parts, places, size, total = [], [], [], 0
+    if parts:
+        yield chunk()
 
 
 ANCHORS = "key long, doc_id long, mark long, w long, n int, c1 long, c2 long"
@@ -159,31 +181,37 @@ def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     ``w + n - 1`` it stands for, and their words as 128 bits. The first and the last of
     these windows overlap, so they cover all of them."""
     for pdf in batches:
-        for doc_id, mark, text in zip(pdf["doc_id"], pdf["mark"], pdf["text"]):
-            h = _word_hashes(text)
-            if len(h) < RUN:
-                continue
+        ids, marks = pdf["doc_id"].to_numpy(), pdf["mark"].to_numpy()
+        for h, places, begin, size in _hashed(pdf["text"]):
             g = grams(h, GRAM, 1)
-            at = anchors(g)
+            # windows inside one text; those of two texts never have one anchor
+            per = size - RUN + 1
+            own = np.repeat(begin - (np.cumsum(per) - per), per) + np.arange(per.sum())
+            at = anchors(g)[own]
             first = np.flatnonzero(np.r_[True, np.diff(at) != 0])
             last = np.r_[first[1:], len(at)] - 1
-            shape = mix(((last - first) << 6 | (at[first] - first)).astype(np.uint64), 5)
-            c = [mix(mix(w[first] ^ shape, 6) ^ w[last], 7).view(np.int64) for w in (grams(h, RUN, 2), grams(h, RUN, 3))]
-            yield pd.DataFrame({"key": g[at[first]].view(np.int64), "doc_id": doc_id, "mark": mark, "w": first,
-                                "n": (last - first + 1).astype(np.int32), "c1": c[0], "c2": c[1]})
+            a, z = own[first], own[last]
+            shape = mix(((z - a) << 6 | (at[first] - a)).astype(np.uint64), 5)
+            c = [mix(mix(w[a] ^ shape, 6) ^ w[z], 7).view(np.int64) for w in (grams(h, RUN, 2), grams(h, RUN, 3))]
+            of = np.searchsorted(begin, a, "right") - 1
+            rows = np.asarray(places)[of]
+            yield pd.DataFrame({"key": g[at[first]].view(np.int64), "doc_id": ids[rows], "mark": marks[rows], "w": a - begin[of],
+                                "n": (z - a + 1).astype(np.int32), "c1": c[0], "c2": c[1]})
 
 
 def _window_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The windows of the contexts that ``at`` lists of a document."""
     for pdf in batches:
-        for doc_id, mark, text, at in zip(pdf["doc_id"], pdf["mark"], pdf["text"], pdf["at"]):
-            h = _word_hashes(text)
+        ids, marks, listed = pdf["doc_id"].to_numpy(), pdf["mark"].to_numpy(), pdf["at"].tolist()
+        for h, places, begin, _ in _hashed(pdf["text"]):
             h1, h2 = (grams(h, RUN, k).view(np.int64) for k in (2, 3))
-            n = np.array([r["n"] for r in at])
-            w = np.repeat([r["w"] for r in at], n)
-            i = np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)
-            yield pd.DataFrame({"h1": h1[w + i], "h2": h2[w + i], "doc_id": doc_id, "mark": mark, "w": w + i,
-                                "c1": np.repeat([r["c1"] for r in at], n), "c2": np.repeat([r["c2"] for r in at], n), "i": i})
+            k = np.fromiter((len(listed[p]) for p in places), np.int64, len(places))
+            w, n, c1, c2 = np.array([(r["w"], r["n"], r["c1"], r["c2"]) for p in places for r in listed[p]], np.int64).reshape(-1, 4).T
+            rows, base = np.repeat(np.repeat(places, k), n), np.repeat(np.repeat(begin, k), n)
+            i = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            w = np.repeat(w, n) + i
+            yield pd.DataFrame({"h1": h1[base + w], "h2": h2[base + w], "doc_id": ids[rows], "mark": marks[rows], "w": w,
+                                "c1": np.repeat(c1, n), "c2": np.repeat(c2, n), "i": i})
 
 
 def _of_documents(texts: DataFrame, rows: DataFrame) -> DataFrame:
@@ -278,24 +306,33 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _paragraph_rows(min_words: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for i in range(0, len(whole), 500):
-                pdf = whole.iloc[i:i + 500]
-                rows, words = [], []
-                for doc_id, mark, text in zip(pdf["doc_id"], pdf["mark"], pdf["text"]):
+            for i in range(0, whole.num_rows, 500):
+                batch = whole.slice(i, 500)
+                per, starts, ends, w0, words = [], [], [], [], []
+                for text in batch.column("text").to_pylist():
                     found = paragraphs(text, min_words)
-                    at = word_bounds(text)[0] if found else ()
-                    for start, end, ws in found:
-                        w0 = int(np.searchsorted(at, start))
-                        d = xxhash.xxh3_128_digest(b" ".join(ws))
-                        rows.append((doc_id, mark, start, end, w0, w0 + len(ws), int.from_bytes(d[:8], "big", signed=True),
-                                     int.from_bytes(d[8:], "big", signed=True)))
-                        words.append(ws)
-                if rows:
-                    out = pd.DataFrame(rows, columns=["doc_id", "mark", "start", "end", "w0", "w1", "sig1", "sig2"])
-                    out["bands"] = list(band_keys(words).view(np.int64))
-                    yield out
+                    per.append(len(found))
+                    if found:
+                        begin, end, ws = zip(*found)
+                        starts += begin
+                        ends += end
+                        w0.append(np.searchsorted(word_bounds(text)[0], begin))
+                        words += ws
+                if not words:
+                    continue
+                sigs = b"".join(xxhash.xxh3_128_digest(b" ".join(ws)) for ws in words)
+                sig = np.frombuffer(sigs, ">i8").astype(np.int64).reshape(-1, 2)
+                w0 = np.concatenate(w0)
+                size = np.fromiter(map(len, words), np.int64, len(words))
+                keys = band_keys(words).view(np.int64)
+                of = np.repeat(np.arange(batch.num_rows), per)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).take(pa.array(of)) for c in ("doc_id", "mark")), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()),
+                     pa.array(w0.astype(np.int32)), pa.array((w0 + size).astype(np.int32)), pa.array(sig[:, 0].copy()), pa.array(sig[:, 1].copy()),
+                     pa.ListArray.from_arrays(np.arange(len(words) + 1, dtype=np.int32) * BANDS, keys.ravel())],
+                    names=["doc_id", "mark", "start", "end", "w0", "w1", "sig1", "sig2", "bands"])
     return run
 
 
@@ -344,7 +381,7 @@ def repeated_paragraphs(texts: DataFrame, min_words: int, percent: int, scratch:
     """(doc_id, mark, start, end, w0, w1, cluster, n, first) per paragraph that takes part:
     its words from ``w0`` to before ``w1``, ``n`` paragraphs in its cluster,
     ``first`` if it is the one that stays."""
-    each = scratch.table(texts.mapInPandas(_paragraph_rows(min_words), PARAGRAPHS), "paragraphs")
+    each = scratch.table(texts.mapInArrow(_paragraph_rows(min_words), PARAGRAPHS), "paragraphs")
     # the number of a class is fixed once the table is written
     classes = scratch.table(
         each.groupBy("sig1", "sig2").agg(
