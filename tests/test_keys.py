@@ -8,6 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerloom.config import stage_path
+from ledgerloom.operators.keymap import KeyMap
 from ledgerloom.operators.keys import dense_key
 
 ORDER = ["a", "b", "c"]
@@ -95,3 +97,29 @@ def test_input_behind_a_shuffle_runs_once(spark):
             yield b
     rows = spark.range(1000).mapInPandas(count, "id long").distinct()
     assert dense_key(rows, ["id"], "k").count() == 1000 and seen.value == 1000
+
+
+def test_repeated_rows_become_distinct_in_their_ranges(spark):
+    rows = [(f"o{i % 29}", i % 4, float(i % 11) / 7) for i in range(900)] + [(None, 1, 1.0), (None, 1, 1.0), ("o1", None, -0.0), ("o1", None, 0.0)]
+    df = spark.createDataFrame(rows, "a string, b bigint, c double")
+    got = _keys(dense_key(df, ORDER, "k", num_partitions=6, repeated=["a", "b"]))
+    assert got == _keys(row_number_key(df.distinct(), ORDER, "k"))
+
+
+def test_rows_of_a_later_load_run_once(spark):
+    """They meet the key map in one join, not in one for the new keys and one for all."""
+    keys = KeyMap(spark, stage_path(spark, "keys"))
+    schema = "a string, b bigint, c double"
+    first = spark.createDataFrame([(f"o{i}", i, 0.5) for i in range(60)] + [(None, None, None)], schema)
+    old = _keys(keys.number(first, ORDER, "k").select("k", *ORDER))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+    rows = spark.createDataFrame([(f"o{i}", i, 0.5) for i in range(50, 80)] + [(None, None, None)], schema).mapInPandas(count, schema)
+    got = _keys(keys.number(rows, ORDER, "k"))
+    assert seen.value == 31
+    assert set(old) & set(got) == {r for r in old if r[1] is None or int(r[1][1:]) >= 50} and len(got) == 31
+    assert [r[0] for r in got if r not in old] == list(range(62, 82))
