@@ -29,3 +29,34 @@ def test_lines_of_an_order_stay_together_without_broadcasts(spark):
         assert [("o_orderkey" in x, "p_partkey" in x) for x in join[2:4]] == [(True, False), (False, True)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _shipments(spark, rows):
+    return spark.createDataFrame(rows, "ship_mode string, order_id string, ship_date date") \
+                .withColumn("ship_date", F.col("ship_date").cast("timestamp_ntz"))
+
+
+@pytest.mark.parametrize("copies, want", [(1, ("order_id", "ship_date", "ship_id")), (40, ())])
+def test_shipments_become_distinct_in_their_ranges_unless_many_are_alike(spark, monkeypatch, copies, want):
+    import datetime as dt
+    seen = []
+    plain = E.dense_key
+    monkeypatch.setattr(E, "dense_key", lambda *a, **k: seen.append(tuple(k["repeated"])) or plain(*a, **k))
+    days = [None if i == 7 else dt.date(2024, 1, 1 + i % 28) for i in range(300)]
+    rows = [(("First", "Second", None, "Lost")[i % 4], f"O-{i // 2}", days[i]) for i in range(300)]
+    raw = _shipments(spark, rows * copies + rows[:5])
+    modes = spark.createDataFrame([(1, "First"), (2, "Second")], "ship_id bigint, ship_mode string")
+    got = E.build_date_ship(raw, modes, num_partitions=5)
+    assert seen == [want]
+    ids = {"First": 1, "Second": 2}
+    low = dt.date(1, 1, 1)
+    order = sorted({(o, d, ids.get(m)) for m, o, d in rows}, key=lambda r: (r[0], r[1] or low, r[2] or 0))
+    found = [(r["order_id"], r["ship_date"] and r["ship_date"].date(), r["ship_id"]) for r in got.orderBy("date_ship_id").collect()]
+    assert found == order
+    assert [r[0] for r in got.select("date_ship_id").orderBy("date_ship_id").collect()] == list(range(1, len(order) + 1))
+
+
+def test_a_hot_value_is_not_mostly_distinct(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 100, None).otherwise(F.col("id")).alias("a"))
+    assert not mostly_distinct(rows, ["a"], 0.05) and mostly_distinct(rows, ["a"], 0.2)
+    assert not mostly_distinct(rows.select(F.col("a") % 20), ["(a % 20)"], 0.9)
