@@ -60,3 +60,19 @@ def test_a_hot_value_is_not_mostly_distinct(spark):
     rows = spark.range(1000).select(F.when(F.col("id") < 100, None).otherwise(F.col("id")).alias("a"))
     assert not mostly_distinct(rows, ["a"], 0.05) and mostly_distinct(rows, ["a"], 0.2)
     assert not mostly_distinct(rows.select(F.col("a") % 20), ["(a % 20)"], 0.9)
+
+
+def test_rows_meet_the_key_map_without_a_join(spark, monkeypatch):
+    keys = KeyMap(spark, stage_path(spark, "map"))
+    df = lambda *rows: spark.createDataFrame(list(rows), "a string, x double")
+    first = keys.number(df(("b", 1.0), ("a", None), (None, 2.0)), ["a", "x"], "k")
+    assert spark_bag(first) == spark_bag(spark.createDataFrame([(1, None, 2.0), (2, "a", None), (3, "b", 1.0)], "k bigint, a string, x double"))
+    joins = []
+    plain = DataFrame.join
+    cls = type(first)
+    monkeypatch.setattr(cls, "join", lambda self, *a, f=cls.__dict__.get("join", plain), **k: joins.append(1) or f(self, *a, **k))
+    rows = [("a", None), ("c", 0.5), ("a", None), (None, 2.0), ("c", 0.5)]
+    second = keys.number(df(*rows), ["a", "x"], "k", repeated=["a"])
+    want = [(1, None, 2.0), (2, "a", None), (4, "c", 0.5)]
+    assert spark_bag(second) == spark_bag(spark.createDataFrame(want, "k bigint, a string, x double"))
+    assert len(joins) == 1  # the offsets of the key build
