@@ -76,3 +76,21 @@ def test_rows_meet_the_key_map_without_a_join(spark, monkeypatch):
     want = [(1, None, 2.0), (2, "a", None), (4, "c", 0.5)]
     assert spark_bag(second) == spark_bag(spark.createDataFrame(want, "k bigint, a string, x double"))
     assert len(joins) == 1  # the offsets of the key build
+
+
+def test_resumed_run_takes_up_its_staged_rows(spark, monkeypatch):
+    raw = fixtures.raw_inputs(spark, SF_SMALL)
+    run_dir = stage_path(spark, "resume-staged")
+    N.Normalizer(*raw, run_dir=run_dir).build(TABLE_ORDER[:2])
+    staged = []
+    plain = N.stage
+    monkeypatch.setattr(N, "stage", lambda df, path: staged.append(os.path.basename(path)) or plain(df, path))
+    second = N.Normalizer(*raw, run_dir=run_dir, resume=True)
+    assert spark_bag(second.raw_orders.select("order_id", "sales")) == spark_bag(raw[0].select("order_id", "sales"))
+    assert staged == []
+    # an unfinished copy, or one of other columns, is staged again
+    remove_path(spark, f"{run_dir}/_staging/raw_orders/_SUCCESS")
+    third = N.Normalizer(*raw, run_dir=run_dir, resume=True)
+    assert third.raw_orders.count() == raw[0].count() and staged == ["raw_orders"]
+    fewer = N.Normalizer(raw[0].drop("row_id"), *raw[1:], run_dir=run_dir, resume=True)
+    assert "row_id" not in fewer.raw_orders.columns and staged == ["raw_orders"] * 2
