@@ -181,7 +181,7 @@ def _with(batch: pa.RecordBatch, columns: dict[str, list]) -> pa.RecordBatch:
     return batch
 
 
-def _matching(automaton) -> Callable:
+def _matching(automaton, last: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = automaton.value
         for batch in batches:
@@ -194,27 +194,27 @@ def _matching(automaton) -> Callable:
                 n_words.append(len(words))
                 hits.append([{"start": s, "end": e} for s, e in ranges])
                 items.append(sorted({*old_items, *(x for x in names if x is not None)}))
-            yield _with(batch, dict(zip(STATE, (n_words, hits, items))))
+            matched = _with(batch, dict(zip(STATE, (n_words, hits, items))))
+            yield last(matched) if last else matched
     return run
 
 
-def match_items(docs: DataFrame, items: DataFrame, window: int = 10,
-                tokens_per_pass: int = 500_000) -> DataFrame:
+def match_items(docs: DataFrame, items: DataFrame, window: int = 10, tokens_per_pass: int = 500_000,
+                last: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
     """``docs`` with ``_n_words``, ``_hits`` (merged ranges of word positions) and
-    ``_items`` (sorted ids, as strings, of the items that occur)."""
+    ``_items`` (sorted ids, as strings, of the items that occur). ``last`` goes over the
+    matched batches of the last pass in the worker that made them."""
     spark = docs.sparkSession
     state = docs.withColumns({
         STATE[0]: F.lit(0).cast("long"),
         STATE[1]: F.array().cast("array<struct<start:long,end:long>>"),
         STATE[2]: F.array().cast("array<string>")})
-    scratch, schema = None, state.schema
+    scratch, shared, schema = Scratch(spark, "decontam"), None, state.schema
     for group in _passes(items, tokens_per_pass):
-        if scratch is not None:
-            state = scratch.table(state, "pass")
-        scratch = scratch or Scratch(spark, "decontam")
+        if shared is not None:
+            state = scratch.table(state.mapInArrow(_matching(shared), schema), "pass")
         shared = spark.sparkContext.broadcast(ItemAutomaton(group, window))
-        state = state.mapInArrow(_matching(shared), schema)
-    return state
+    return state.mapInArrow(_matching(shared, last), schema)
 
 
 def hit_words():
@@ -232,21 +232,24 @@ def cut_words(text: str, ranges: list[dict]) -> str:
     return "".join([*out, text[done:]])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [cut_words(t, h) if h else t for t, h in
-                 zip(batch.column("text").to_pylist(), batch.column(STATE[1]).to_pylist())]
-        yield _with(batch, {"text": texts})
+def _cutting(max_coverage: float) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """Matched documents without the hit words; those over ``max_coverage`` are left out."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, kept = [], []
+        for text, n, hits in zip(*(batch.column(c).to_pylist() for c in ("text", *STATE[:2]))):
+            kept.append(sum(h["end"] - h["start"] for h in hits) <= max_coverage * n)
+            texts.append(cut_words(text, hits) if hits and kept[-1] else text)
+        return _with(batch, {"text": texts}).filter(pa.array(kept, pa.bool_()))
+    return run
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10,
                   max_coverage: float = 0.5) -> DataFrame:
     """``docs`` with contaminated spans removed from the text; a document of whose
-    words more than ``max_coverage`` are hit is dropped."""
+    words more than ``max_coverage`` are hit is dropped. One Python worker a task matches
+    and cuts, so texts go there and back once."""
     rows = docs.select(F.struct("*").alias("_row"), "text")  # columns of any name pass through
-    found = match_items(rows, items, window)
-    found = found.filter(hit_words() <= F.lit(max_coverage) * F.col(STATE[0]))
-    return found.mapInArrow(_cut, found.schema).select(
+    return match_items(rows, items, window, last=_cutting(max_coverage)).select(
         *(F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
 
 

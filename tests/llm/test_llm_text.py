@@ -8,7 +8,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 from llm_brute import SCHEMA, awkward, contamination, listing, pii_base, secret_base, sha
 
 from ledgerloom.llm import decontam, langid, packing, pii_crf, quality, secret_scan
@@ -152,6 +152,16 @@ def test_decontaminate_cuts_spans(spark, docs):
     assert decontam.decontaminate(docs, none).count() == len(awkward())
 
 
+def test_decontaminate_has_one_python_worker_a_task(spark, docs):
+    """A check saw this step stand still when tasks matched in one worker and cut in another."""
+    df = spark.createDataFrame([(1, "Beta gamma, delta")], "item_id long, text string")
+    assert plan_text(decontam.decontaminate(docs, df), "simple").count("MapInArrow") == 1
+    rows = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e"), (3, None), (4, "")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "b c"), (2, "E")], "item_id long, text string")
+    found = decontam.match_items(rows, items, tokens_per_pass=1, last=decontam._cutting(0.5)).collect()
+    assert sorted((r.doc_id, r.text) for r in found) == [(1, "a  d  f"), (3, None), (4, "")]
+
+
 # --- secrets -----------------------------------------------------------------
 
 def test_secret_rows(spark, docs):
