@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.bitmaps import with_membership
-from ..operators.lookups import sized_broadcast
+from ..operators.lookups import fits_broadcast, sized_broadcast
 from ..schemas import TOTAL_TYPE
 from .metrics import TableMetrics
 
@@ -29,11 +29,15 @@ def with_returned_flag(details: DataFrame, returns: DataFrame) -> DataFrame:
     return with_membership(details, "detail_id", returns, "detail_id", "is_returned")
 
 
+def _size(name: str, metrics: Metrics | None) -> tuple[int, int] | None:
+    """Rows and bytes of table ``name`` gathered when it was written, if it was told."""
+    return (metrics[name].rows, metrics[name].bytes) if metrics and name in metrics else None
+
+
 def _dimension(tables: Mapping[str, DataFrame], name: str, metrics: Metrics | None, df: DataFrame | None = None) -> DataFrame:
     """The table, or columns ``df`` of it, with a broadcast hint if its size allows; the
     size is that gathered when it was written, or else measured."""
-    known = (metrics[name].rows, metrics[name].bytes) if metrics and name in metrics else None
-    return sized_broadcast(tables[name] if df is None else df, known=known)
+    return sized_broadcast(tables[name] if df is None else df, known=_size(name, metrics))
 
 
 def sales_view(tables: Mapping[str, DataFrame], metrics: Metrics | None = None) -> DataFrame:
@@ -43,29 +47,29 @@ def sales_view(tables: Mapping[str, DataFrame], metrics: Metrics | None = None)
     Lines meet orders in a shuffled join on ``order_id`` (both sides grow with
     the data; adaptive execution splits a hot order). Each dimension is
     broadcast when its known size allows (``metrics``; without them it is measured).
+    One that is too large meets the orders before these meet the lines, of which there
+    are several an order; the broadcast ones come last, so that no shuffle carries their
+    columns.
     The returned flag is a bit test, so a line listed under two ``returned`` values
     still appears once. Ship dates are left out: an order may have several.
     """
     d, o = tables["order_details"], tables["orders"]
-    cust = _dimension(tables, "customers", metrics)
-    addr = _dimension(tables, "addresses", metrics, tables["addresses"].withColumnRenamed("addresses_id", "_addr_id"))
-    ppl = _dimension(tables, "people", metrics, tables["people"].withColumnRenamed("people_id", "_ppl_id"))
-    ship = _dimension(tables, "type_ship", metrics, tables["type_ship"].withColumnRenamed("ship_id", "_ship_id"))
-    prod = _dimension(tables, "product", metrics, tables["product"].withColumnRenamed("product_code", "_prod_code"))
-    flagged = with_returned_flag(d, tables["returns"])
     orders = o.select(F.col("order_id").alias("_o_id"), "order_date",
                       F.col("customer_id").alias("_o_cust"), "people_id", "ship_id", "addresses_id")
-    v = (flagged.join(orders, F.col("order_id") == F.col("_o_id"), "left")
-         .join(cust, F.col("_o_cust") == cust["customer_id"], "left")
-         .join(addr, F.col("addresses_id") == F.col("_addr_id"), "left")
-         .join(ppl, F.col("people_id") == F.col("_ppl_id"), "left")
-         .join(ship, F.col("ship_id") == F.col("_ship_id"), "left")
+    last = []
+    for name, key, fk in (("customers", "customer_id", "_o_cust"), ("addresses", "addresses_id", "addresses_id"),
+                          ("people", "people_id", "people_id"), ("type_ship", "ship_id", "ship_id")):
+        dim = tables[name].withColumnRenamed(key, f"_dim_{key}")
+        if fits_broadcast(dim, known=_size(name, metrics)):
+            last.append((F.broadcast(dim), F.col(fk) == F.col(f"_dim_{key}")))
+        else:
+            orders = orders.join(dim, F.col(fk) == F.col(f"_dim_{key}"), "left").drop(f"_dim_{key}")
+    prod = _dimension(tables, "product", metrics, tables["product"].withColumnRenamed("product_code", "_prod_code"))
+    v = (with_returned_flag(d, tables["returns"]).join(orders, F.col("order_id") == F.col("_o_id"), "left").drop("_o_id")
          .join(prod, F.col("product_code") == F.col("_prod_code"), "left"))
-    cols = {c: F.col(c) for c in SALES_VIEW_COLUMNS}
-    cols["order_id"] = d["order_id"]
-    cols["customer_id"] = F.col("_o_cust")
-    cols["product_code"] = d["product_code"]
-    return v.select(*[cols[c].alias(c) for c in SALES_VIEW_COLUMNS])
+    for dim, cond in last:
+        v = v.join(dim, cond, "left")
+    return v.select(*[F.col("_o_cust" if c == "customer_id" else c).alias(c) for c in SALES_VIEW_COLUMNS])
 
 
 def sales_by_region_category(tables: Mapping[str, DataFrame], metrics: Metrics | None = None) -> DataFrame:
